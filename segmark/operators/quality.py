@@ -67,7 +67,8 @@ def freshness(
     error. One global aggregate; the as-of times fan out from its single row."""
     newest = df.agg(F.max(ts_col).alias("max_loaded_at"))
     at = F.explode(F.array(*[F.lit(t).cast("timestamp") for t in as_of])).alias("as_of")
-    age_h = (F.col("as_of").cast("double") - F.col("max_loaded_at").cast("double")) / 3600.0
+    micros = F.unix_micros(F.col("as_of")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))
+    age_h = micros / 3.6e9
     return (
         newest.select(at, "max_loaded_at")
         .withColumn("age_hours", F.round(age_h, 6))
