@@ -8,6 +8,7 @@ by person) because K-Means initialisation depends on the physical layout.
 """
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -128,11 +129,23 @@ def _score_k(model: KMeansModel, scaled: DataFrame) -> float:
     return silhouette(model.transform(scaled))
 
 
+def _fit_and_score(scaled: DataFrame, k: int, params: ModelParams) -> tuple[KMeansModel, float]:
+    m = kmeans(k, params.max_iter, params.seed).fit(scaled)
+    return m, _score_k(m, scaled)
+
+
 def train(features: DataFrame, params: ModelParams) -> TrainResult:
     """Fit assembler + scaler once, sweep k (or use the fixed k), keep the best fitted
-    model (no refit). Ties go to the smaller k; the sweep starts from -1.0."""
+    model (no refit). Ties go to the smaller k; the sweep starts from -1.0.
+
+    The k candidates are independent distributed fits over the same persisted vectors,
+    so they are submitted concurrently from driver threads; each result is the same
+    as in a serial sweep (same layout, same seed).
+    """
     feats = list(params.features)
-    laid = canonical_layout(features.select(P, *feats), params.layout_partitions)
+    spark = features.sparkSession
+    n_parts = params.layout_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    laid = canonical_layout(features.select(P, *feats), n_parts)
     scaling = fit_scaling(laid, feats)
     scaled = scaling.transform(laid).select(P, VEC).persist(StorageLevel.MEMORY_AND_DISK)
     metrics: list[tuple[str, float]] = [
@@ -144,19 +157,18 @@ def train(features: DataFrame, params: ModelParams) -> TrainResult:
     try:
         if params.k is not None:
             best_k = params.k
-            best = kmeans(best_k, params.max_iter, params.seed).fit(scaled)
-            best_score = _score_k(best, scaled)
+            best, best_score = _fit_and_score(scaled, best_k, params)
         else:
-            best_k, best_score, best = params.k_search_min, -1.0, None
-            first = None
-            for k in range(params.k_search_min, params.k_search_max + 1):
-                m = kmeans(k, params.max_iter, params.seed).fit(scaled)
-                first = first or m
-                score = _score_k(m, scaled)
+            ks = list(range(params.k_search_min, params.k_search_max + 1))
+            workers = max(1, min(params.sweep_parallelism, len(ks)))
+            with ThreadPoolExecutor(max_workers=workers) as pool:
+                fitted = list(pool.map(lambda k: _fit_and_score(scaled, k, params), ks))
+            best_k, best_score, best = ks[0], -1.0, None
+            for k, (m, score) in zip(ks, fitted):
                 metrics.append((f"silhouette_k{k}", float(score)))
                 if score > best_score:
                     best_k, best_score, best = k, score, m
-            best = best or first
+            best = best or fitted[0][0]
         cost = float(best.summary.trainingCost)
     finally:
         scaled.unpersist()

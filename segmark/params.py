@@ -35,7 +35,11 @@ class ModelParams:
     max_iter: int = 50
     seed: int = 42
     features: tuple[str, ...] = MODEL_FEATURES
-    layout_partitions: int = 64  # canonical layout before every fit (determinism)
+    # Canonical layout before every fit (K-Means init depends on it). None -> the
+    # session's spark.sql.shuffle.partitions; fixed for a given job configuration.
+    layout_partitions: int | None = None
+    # k values fitted concurrently during the sweep (each fit is a distributed job).
+    sweep_parallelism: int = 6
 
 
 @dataclass(frozen=True)
