@@ -134,6 +134,15 @@ def _fit_and_score(scaled: DataFrame, k: int, params: ModelParams) -> tuple[KMea
     return m, _score_k(m, scaled)
 
 
+def _try_fit_and_score(scaled: DataFrame, k: int, params: ModelParams):
+    """Sweep variant: a k whose fit fails (e.g. degenerate data with fewer distinct
+    points than k) scores -1.0 instead of aborting the whole sweep."""
+    try:
+        return _fit_and_score(scaled, k, params)
+    except Exception as exc:  # noqa: BLE001 - reported through the metrics
+        return exc, -1.0
+
+
 def train(features: DataFrame, params: ModelParams) -> TrainResult:
     """Fit assembler + scaler once, sweep k (or use the fixed k), keep the best fitted
     model (no refit). Ties go to the smaller k; the sweep starts from -1.0.
@@ -162,13 +171,16 @@ def train(features: DataFrame, params: ModelParams) -> TrainResult:
             ks = list(range(params.k_search_min, params.k_search_max + 1))
             workers = max(1, min(params.sweep_parallelism, len(ks)))
             with ThreadPoolExecutor(max_workers=workers) as pool:
-                fitted = list(pool.map(lambda k: _fit_and_score(scaled, k, params), ks))
-            best_k, best_score, best = ks[0], -1.0, None
+                fitted = list(pool.map(lambda k: _try_fit_and_score(scaled, k, params), ks))
+            ok = [(k, m, score) for k, (m, score) in zip(ks, fitted) if not isinstance(m, Exception)]
+            if not ok:
+                raise fitted[0][0]
+            best_k, best_score, best = ok[0][0], -1.0, None
             for k, (m, score) in zip(ks, fitted):
                 metrics.append((f"silhouette_k{k}", float(score)))
-                if score > best_score:
+                if not isinstance(m, Exception) and score > best_score:
                     best_k, best_score, best = k, score, m
-            best = best or fitted[0][0]
+            best = best or ok[0][1]
         cost = float(best.summary.trainingCost)
     finally:
         scaled.unpersist()

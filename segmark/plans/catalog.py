@@ -24,7 +24,7 @@ from segmark.sinks import writers
 from segmark.sources import raw as rawsrc
 from segmark.sources.adapter import raw_orders
 from segmark.sources.dims import state_dim
-from segmark.sources.tables import optional_table, read_dataset, read_table
+from segmark.sources.tables import empty_typed, optional_table, read_dataset, read_table
 
 MODEL_VERSION = "v1.0.0"
 SCORED_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
@@ -69,7 +69,7 @@ def _fixed_ml_table(features: DataFrame) -> DataFrame:
 
 
 def _empty_ml(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], marts.ML_SCHEMA)
+    return empty_typed(spark, marts.ML_SCHEMA)
 
 
 # ---- staging, scalar functions, lookups ----------------------------------------------

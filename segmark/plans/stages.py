@@ -16,7 +16,7 @@ from segmark.operators.staging import stage_orders
 from segmark.params import Settings
 from segmark.sinks import writers
 from segmark.sources.raw import read_raw_csv
-from segmark.sources.tables import read_dataset
+from segmark.sources.tables import empty_typed, read_dataset
 
 log = logging.getLogger("segmark.stages")
 
@@ -91,7 +91,7 @@ def build_marts_stage(
     the rule segment. The resolved relation is written once; the three tables are
     column projections of it, each laid out by its cluster keys."""
     feats = read_dataset(spark, settings.paths.silver_features, settings.output_format)
-    ml_tab = ml_table if ml_table is not None else spark.createDataFrame([], marts.ML_SCHEMA)
+    ml_tab = ml_table if ml_table is not None else empty_typed(spark, marts.ML_SCHEMA)
     resolved_path = f"{out_dir.rstrip('/')}/_resolved"
     writers.write_table(marts.resolve_segments(feats, ml_tab, settings.model_version, scored_at), resolved_path)
     resolved = read_dataset(spark, resolved_path)

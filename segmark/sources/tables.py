@@ -4,6 +4,7 @@ from __future__ import annotations
 from typing import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
@@ -28,8 +29,16 @@ def local_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType |
 
 
 def empty_typed(spark: SparkSession, schema: StructType | str) -> DataFrame:
-    """Typed empty relation (S8): Catalyst prunes joins against it (PropagateEmptyRelation)."""
-    return spark.createDataFrame([], schema)
+    """Typed empty relation (S8): ``select null::type ... where false``.
+
+    Written as a false filter (not as empty local rows) so the optimizer sees an empty
+    relation and removes joins against it (PropagateEmptyRelation)."""
+    st = schema if isinstance(schema, StructType) else spark.createDataFrame([], schema).schema
+    return (
+        spark.range(1)
+        .select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in st.fields])
+        .where(F.lit(False))
+    )
 
 
 def optional_table(spark: SparkSession, name: str, schema: StructType | str) -> DataFrame:
