@@ -209,7 +209,9 @@ def q_standardized_features(spark, sf):
 
 
 def _scaled_with_rules(spark, sf) -> DataFrame:
-    f = fixed_assignment(_features(spark, sf))
+    # Several passes follow (scaler fit, centres / cluster sums, assignment): cut the
+    # feature lineage once so each pass reads the checkpoint, not the source tables.
+    f = fixed_assignment(_checkpointed_features(spark, sf))
     return ml.fit_scaling(f).transform(f)
 
 
