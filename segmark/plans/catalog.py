@@ -377,6 +377,23 @@ def q_csv_strict(spark, sf):
     return rawsrc.read_raw_csv_strict(spark, path)
 
 
+def q_stream_ingest(spark, sf):
+    """S2/S3 as a stream: raw orders land as CSV files ('NULL' for missing values) in two
+    drops (orders from SP first, then all others); two availableNow runs load each file
+    exactly once into bronze, so bronze ends up with every order once."""
+    from segmark.streaming.ingest import ingest_new_files
+
+    landing, bronze, ckpt = (scratch_path(spark, n) for n in ("landing", "bronze", "ingest_ckpt"))
+    raw = _raw(spark, sf)
+    in_sp = F.coalesce(F.col("customer_state") == "SP", F.lit(False))
+    first, second = raw.where(in_sp), raw.where(~in_sp)
+    _csv_write(first, f"{landing}/drop=1", null_value="NULL")
+    ingest_new_files(spark, landing, bronze, ckpt)
+    _csv_write(second, f"{landing}/drop=2", null_value="NULL")
+    ingest_new_files(spark, landing, bronze, ckpt)
+    return read_dataset(spark, bronze).select(*rawsrc.RAW_COLUMNS)
+
+
 def q_parquet_roundtrip(spark, sf):
     path = scratch_path(spark, "features")
     writers.write_table(_features(spark, sf), path)
@@ -517,6 +534,7 @@ QUERIES: dict[str, Query] = {
     "dq_length": q_dq_length,
     "csv_lenient": q_csv_lenient,
     "csv_strict": q_csv_strict,
+    "stream_ingest": q_stream_ingest,
     "parquet_roundtrip": q_parquet_roundtrip,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "partition_refresh": q_partition_refresh,

@@ -417,6 +417,7 @@ cstats as (
     ),
     "csv_lenient": _q(f"select {_RAW_COLS} from raw_orders"),
     "csv_strict": _q(f"select {_RAW_COLS} from raw_orders"),
+    "stream_ingest": _q(f"select {_RAW_COLS} from raw_orders"),
     "parquet_roundtrip": _q(f"select {_FEATURE_COLS} from features"),
     "partitioned_roundtrip": _q(f"select {_FEATURE_COLS} from features"),
     "partition_refresh": _q(

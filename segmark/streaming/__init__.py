@@ -1 +1 @@
-
+"""Streaming: incremental load of raw order files."""
