@@ -9,9 +9,10 @@ Plan of ``customer_features`` (one scan of the staged orders, no window sort, no
    state))`` -- most orders first, a known state before an unknown one, then A-Z.
 3. distinct cities: (person, city) pairs, then a count per person. The pair shuffle
    spreads one person's cities over many tasks; nothing is collected per person.
-4. per-state share from the same (person, state) aggregate, joined with the 27-row
-   region dimension; the person rows look both up in a single join whose small side is
-   one row per distinct state (AQE broadcasts it after measuring it).
+4. per-state share from a state-only aggregate of the orders (one row per state per task
+   before its shuffle), joined with the 27-row region dimension; the person rows look
+   both up in a single join whose small side is one row per distinct state (AQE
+   broadcasts it after measuring it).
 Steps 2 and 3 are both hash-partitioned by person, so joining them needs no shuffle.
 """
 from __future__ import annotations
@@ -166,14 +167,17 @@ def distinct_cities(stg: DataFrame) -> DataFrame:
     )
 
 
-def state_info(ps: DataFrame) -> DataFrame:
+def state_info(stg: DataFrame) -> DataFrame:
     """One row per observed state: share of all orders plus region (from the dimension).
 
-    Built from the (person, state) aggregate, so it reuses that shuffle. Unknown states
-    keep their share; their region is NULL. The NULL state is a row too but never joins.
+    Aggregated straight from the staged orders: the scan reads the state column only and
+    the partial aggregate leaves one row per state per task, so the shuffle is tiny
+    (deriving it from the person x state aggregate would shuffle that twice). Unknown
+    states keep their share; their region is NULL. The NULL state is a row too but
+    never joins.
     """
-    spark = ps.sparkSession
-    per_state = ps.groupBy(S).agg(F.sum("cnt").alias("state_orders"))
+    spark = stg.sparkSession
+    per_state = state_orders(stg)
     dim = state_dim(spark)
     return (
         share_of_total(per_state)
@@ -199,7 +203,7 @@ def customer_features(stg: DataFrame) -> DataFrame:
         _top_state().alias("top"),
     )
     people = per_person.join(distinct_cities(stg), P, "inner")
-    info = state_info(ps)
+    info = state_info(stg)
     out = people.join(info, F.col("top.state") == F.col("ss_state"), "left")
     return out.select(
         P,
