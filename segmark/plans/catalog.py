@@ -51,6 +51,13 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
     return feat.customer_features(_stg(spark, sf))
 
 
+def _shared_features(spark: SparkSession, sf: str) -> DataFrame:
+    """Features read by several branches of one query (model table, its profile, the
+    person rows): computed once and cut from their lineage, as a written silver table
+    would be, instead of re-running the whole feature plan per branch."""
+    return _checkpointed_features(spark, sf)
+
+
 def fixed_assignment(features: DataFrame) -> DataFrame:
     """Deterministic stand-in for a model's cluster ids: the index of the person's rule
     segment in the accepted-label list. Lets SQL check the cluster operators."""
@@ -163,18 +170,18 @@ def q_fct_segments_fallback(spark, sf):
 
 
 def q_fct_segments_with_ml(spark, sf):
-    f = _features(spark, sf)
+    f = _shared_features(spark, sf)
     return marts.fct_customer_segments(f, _fixed_ml_table(f), MODEL_VERSION, SCORED_AT)
 
 
 def q_mart_wide(spark, sf):
-    f = _features(spark, sf)
+    f = _shared_features(spark, sf)
     return marts.build_marts(f, _fixed_ml_table(f), MODEL_VERSION, SCORED_AT)["mart_bi_customer_segments"]
 
 
 def q_mart_dim_fact_join(spark, sf):
     """J7 over materialised dim and fact tables (written once, joined on read)."""
-    f = _features(spark, sf)
+    f = _shared_features(spark, sf)
     built = marts.build_marts(f, _fixed_ml_table(f), MODEL_VERSION, SCORED_AT)
     dim_path, fct_path = scratch_path(spark, "dim"), scratch_path(spark, "fct")
     writers.write_table(built["dim_customers"], dim_path)
@@ -190,7 +197,7 @@ def q_optional_table(spark, sf):
 
 # ---- cluster operators on a fixed assignment ----------------------------------------
 def q_label_by_profile(spark, sf):
-    scored = fixed_assignment(_features(spark, sf))
+    scored = fixed_assignment(_shared_features(spark, sf))
     return ml.label_segments(scored).select("customer_unique_id", "segment_id", "segment_label")
 
 
@@ -248,7 +255,7 @@ def q_frequency_histogram(spark, sf):
 
 
 def q_segment_distribution(spark, sf):
-    f = _features(spark, sf)
+    f = _shared_features(spark, sf)
     return reports.segment_distribution(marts.resolve_segments(f, _fixed_ml_table(f), MODEL_VERSION, SCORED_AT))
 
 
@@ -272,7 +279,7 @@ def q_share_ranking(spark, sf):
 
 
 def q_model_vs_rule(spark, sf):
-    f = _features(spark, sf)
+    f = _shared_features(spark, sf)
     resolved = marts.resolve_segments(f, _fixed_ml_table(f), MODEL_VERSION, SCORED_AT)
     return reports.model_vs_rule(with_rule_label(resolved))
 
@@ -306,13 +313,13 @@ def q_dq_relationships(spark, sf):
 
 
 def q_dq_accepted_values(spark, sf):
-    f = _features(spark, sf)
+    f = _shared_features(spark, sf)
     mart = marts.build_marts(f, _fixed_ml_table(f), MODEL_VERSION, SCORED_AT)["mart_bi_customer_segments"]
     return quality.accepted_values_violations(mart, "segment_label", ACCEPTED_LABELS, "warn")
 
 
 def q_dq_coverage(spark, sf):
-    f = _features(spark, sf)
+    f = _shared_features(spark, sf)
     fct = marts.fct_customer_segments(f, _fixed_ml_table(f), MODEL_VERSION, SCORED_AT)
     return quality.coverage_violations(marts.dim_customers(f), fct)
 
@@ -421,7 +428,7 @@ def q_partition_refresh(spark, sf):
 
 def q_clustered_roundtrip(spark, sf):
     path = scratch_path(spark, "mart_clustered")
-    f = _features(spark, sf)
+    f = _shared_features(spark, sf)
     mart = marts.build_marts(f, _fixed_ml_table(f), MODEL_VERSION, SCORED_AT)["mart_bi_customer_segments"]
     writers.write_table(writers.clustered(mart, ["primary_region", "segment_id"]), path, rebalance=False)
     return read_dataset(spark, path).select(*marts.MART_COLUMNS)
