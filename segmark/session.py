@@ -12,6 +12,29 @@ from pyspark.sql import SparkSession
 BROADCAST_BYTES = 32 * 1024 * 1024
 
 
+# Target bytes per shuffle partition / per scan split at scale.
+PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def partitions_for(input_bytes: int, per_partition: int = PARTITION_BYTES, floor: int = 64) -> int:
+    """Initial shuffle partition count for an input of ``input_bytes``: enough that a
+    partition of the widest shuffle fits an executor task; AQE coalesces small ones."""
+    return max(floor, -(-int(input_bytes) // per_partition))
+
+
+def scale_conf(input_bytes: int) -> dict[str, str]:
+    """Settings for a cluster run over ``input_bytes`` of source data (e.g. 100 TB ->
+    ~400k initial partitions, coalesced at runtime to ~128 MB each)."""
+    n = partitions_for(input_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(n),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 * 1024 * 1024),
+        "spark.sql.files.maxPartitionBytes": str(PARTITION_BYTES),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    }
+
+
 def session_conf(shuffle_partitions: int = 64) -> dict[str, str]:
     return {
         "spark.sql.adaptive.enabled": "true",

@@ -145,3 +145,16 @@ def test_itinerant_rule_unreachable(spark):
     labels = {r.customer_unique_id: r.segment_label_rule for r in rule_segments(feats).collect()}
     assert labels == {"p": "Recurrente", "q": "Metropolitano"}
     assert "Itinerante" not in labels.values()
+
+
+def test_hot_person_third_of_rows(spark, features_of):
+    # One person holds a third of all orders, spread over states and cities.
+    rows = [(f"h{i}", "hot", f"{i % 10}0000", f"city {i % 7}", ["SP", "RJ", "BA"][i % 3]) for i in range(300)]
+    rows += [(f"o{i}", f"p{i}", "10000", "x", "SP") for i in range(600)]
+    f = features_of(raw(spark, rows))
+    h = f["hot"]
+    assert (h.num_orders, h.num_distinct_states, h.num_distinct_cities) == (300, 3, 7)
+    assert h.primary_state == "BA" and h.zip_macro_region == 9  # 100 each: A-Z tie-break
+    assert h.primary_customer_id == "h0"
+    assert abs(h.state_market_share - 100 / 900) < 1e-12
+    assert len(f) == 601
