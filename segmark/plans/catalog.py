@@ -441,6 +441,49 @@ def q_table_roundtrip(spark, sf):
     )
 
 
+# ---- end-to-end stages ------------------------------------------------------------------
+def _stage_settings(spark: SparkSession, sf: str):
+    """Settings whose raw input is the adapter's orders landed as CSV in a scratch folder."""
+    from segmark.params import Paths, Settings
+
+    landing = scratch_path(spark, "raw_orders_csv")
+    _csv_write(_raw(spark, sf), landing)
+    names = ("bronze", "silver", "gold", "model", "metrics")
+    b, s_, g, m, r = (scratch_path(spark, n) for n in names)
+    paths = Paths(raw_orders=landing, bronze=b, silver_features=s_, gold_segments=g, model_dir=m, metrics=r)
+    return Settings(paths=paths, model_version=MODEL_VERSION)
+
+
+def q_stage_features_build(spark, sf):
+    """L1: raw CSV -> staged bronze -> silver features (row count observed during the write)."""
+    from segmark.plans.stages import build_features
+
+    settings = _stage_settings(spark, sf)
+    build_features(spark, settings)
+    return read_dataset(spark, settings.paths.silver_features).select(*feat.FEATURE_COLUMNS)
+
+
+def q_stage_marts_build(spark, sf):
+    """L5 without a model table: every person falls back to its rule segment."""
+    from segmark.plans.stages import build_features, build_marts_stage
+
+    settings = _stage_settings(spark, sf)
+    build_features(spark, settings)
+    out = build_marts_stage(spark, settings, scratch_path(spark, "marts"), scored_at=SCORED_AT)
+    return read_dataset(spark, out["mart_bi_customer_segments"]).select(*marts.MART_COLUMNS)
+
+
+def q_stage_train_score(spark, sf):
+    """L1 -> L2 -> L3 chained through written tables; gold partitioned by region."""
+    from segmark.plans.stages import build_features, score_stage, train_stage
+
+    settings = _stage_settings(spark, sf)
+    build_features(spark, settings)
+    train_stage(spark, settings)
+    score_stage(spark, settings, scored_at=SCORED_AT)
+    return read_dataset(spark, settings.paths.gold_segments).select(*ml.GOLD_COLUMNS)
+
+
 # ---- model (rows-only checks) -----------------------------------------------------------
 def _checkpointed_features(spark, sf) -> DataFrame:
     """Features cut from their lineage (reliable checkpoint folder) before many ML passes."""
@@ -547,7 +590,10 @@ QUERIES: dict[str, Query] = {
     "partition_refresh": q_partition_refresh,
     "clustered_roundtrip": q_clustered_roundtrip,
     "table_roundtrip": q_table_roundtrip,
+    "stage_features_build": q_stage_features_build,
+    "stage_marts_build": q_stage_marts_build,
     # model: no SQL oracle (rows-only checks + invariant tests)
+    "stage_train_score": q_stage_train_score,
     "kmeans_scored": q_kmeans_scored,
     "k_sweep": q_k_sweep,
     "train_score_gold": q_train_score_gold,

@@ -436,3 +436,5 @@ ORACLE_SQL["primary_state_sql"] = ORACLE_SQL["primary_state_window"]
 ORACLE_SQL["primary_state_struct"] = ORACLE_SQL["primary_state_window"]
 ORACLE_SQL["mart_dim_fact_join"] = ORACLE_SQL["mart_wide"]
 ORACLE_SQL["optional_table"] = ORACLE_SQL["fct_segments_fallback"]
+ORACLE_SQL["stage_features_build"] = ORACLE_SQL["person_features"]
+ORACLE_SQL["stage_marts_build"] = _q(_MART_SELECT.replace("from resolved", "from fallback"))

@@ -35,6 +35,7 @@ def test_every_query_is_registered_with_an_oracle_or_rows_only():
         "run_metrics",
         "model_roundtrip",
         "ml_table_retrain",
+        "stage_train_score",
     }
 
 
