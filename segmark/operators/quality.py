@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -56,6 +56,13 @@ def coverage_violations(dim: DataFrame, fct: DataFrame, key: str = "customer_uni
     return dim.select(key).join(fct.select(key), key, "left_anti")
 
 
+def _ntz(value) -> Column:
+    """A wall-clock timestamp literal without time zone (string -> TIMESTAMP_NTZ), so the
+    result does not depend on the session or the Python process time zone."""
+    text = value.isoformat(sep=" ") if isinstance(value, dt.datetime) else str(value)
+    return F.lit(text).cast("timestamp_ntz")
+
+
 def freshness(
     df: DataFrame,
     ts_col: str,
@@ -64,10 +71,11 @@ def freshness(
     error_hours: float = 72,
 ) -> DataFrame:
     """Source freshness (Q6): age of the newest row at each as-of time -> pass / warn /
-    error. One global aggregate; the as-of times fan out from its single row."""
+    error. One global aggregate; the as-of times fan out from its single row. Ages are
+    computed on wall-clock (zone-free) timestamps."""
     newest = df.agg(F.max(ts_col).alias("max_loaded_at"))
-    at = F.explode(F.array(*[F.lit(t).cast("timestamp") for t in as_of])).alias("as_of")
-    micros = F.unix_micros(F.col("as_of")) - F.unix_micros(F.col("max_loaded_at").cast("timestamp"))
+    at = F.explode(F.array(*[_ntz(t) for t in as_of])).alias("as_of")
+    micros = F.timestamp_diff("MICROSECOND", F.col("max_loaded_at").cast("timestamp_ntz"), F.col("as_of"))
     age_h = micros / 3.6e9
     return (
         newest.select(at, "max_loaded_at")
