@@ -47,6 +47,14 @@ def canonical_layout(df: DataFrame, partitions: int, key: str = P) -> DataFrame:
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
+def layout_partitions(features: DataFrame, rows_per_partition: int) -> int:
+    """Partition count of the canonical layout, derived from the number of persons
+    (one count; the input is a written table or a checkpoint in every stage)."""
+    cap = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = features.count()
+    return max(1, min(cap, -(-n // rows_per_partition)))
+
+
 def fit_scaling(df: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> PipelineModel:
     asm = assembler(features)
     scaler_model = scaler().fit(asm.transform(df))
@@ -152,8 +160,7 @@ def train(features: DataFrame, params: ModelParams) -> TrainResult:
     as in a serial sweep (same layout, same seed).
     """
     feats = list(params.features)
-    spark = features.sparkSession
-    n_parts = params.layout_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_parts = params.layout_partitions or layout_partitions(features, params.layout_rows_per_partition)
     laid = canonical_layout(features.select(P, *feats), n_parts)
     scaling = fit_scaling(laid, feats)
     scaled = scaling.transform(laid).select(P, VEC).persist(StorageLevel.MEMORY_AND_DISK)
