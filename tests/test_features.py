@@ -158,3 +158,21 @@ def test_hot_person_third_of_rows(spark, features_of):
     assert h.primary_customer_id == "h0"
     assert abs(h.state_market_share - 100 / 900) < 1e-12
     assert len(f) == 601
+
+
+def test_region_indices_alphabetical_and_seeded(spark):
+    from segmark.sources.dims import state_dim
+
+    rows = {r.state_code: r for r in state_dim(spark).collect()}
+    assert len(rows) == 27
+    alpha = {r.region: r.region_idx for r in rows.values()}
+    seed = {r.region: r.region_idx_seed for r in rows.values()}
+    assert alpha == {"Centro-Oeste": 0, "Nordeste": 1, "Norte": 2, "Sudeste": 3, "Sul": 4}
+    assert seed == {"Norte": 0, "Nordeste": 1, "Centro-Oeste": 2, "Sudeste": 3, "Sul": 4}
+    assert {s for s, r in rows.items() if r.is_capital_state} == {"DF", "RJ", "SP"}
+
+
+def test_duplicate_orders_count_twice(spark, features_of):
+    # num_orders is count(*), not distinct orders; uniqueness is a separate check (Q2).
+    f = features_of(raw(spark, [("o1", "p", "1", "a", "SP"), ("o1", "p", "1", "a", "SP")]))
+    assert f["p"].num_orders == 2 and f["p"].is_repeat_customer == 1

@@ -109,3 +109,15 @@ def test_model_roundtrip(small_features, tmp_dir):
     a = r.model.transform(small_features).select("customer_unique_id", "segment_id").collect()
     b = writers.load_model(path).transform(small_features).select("customer_unique_id", "segment_id").collect()
     assert sorted(a) == sorted(b)
+
+
+def test_scaler_uses_sample_std(spark):
+    df = spark.createDataFrame(
+        [(f"p{i}", n, 0, 1, 1, 3, 0.5, 3) for i, n in enumerate([1, 2, 3, 6])],
+        "customer_unique_id string, num_orders long, is_repeat_customer int, num_distinct_states long, "
+        "num_distinct_cities long, zip_macro_region int, state_market_share double, region_idx int",
+    )
+    got = {r.customer_unique_id: r.num_orders_scaled for r in ml.scaled_columns(df).collect()}
+    mean, n = 3.0, 4
+    std = (sum((x - mean) ** 2 for x in [1, 2, 3, 6]) / (n - 1)) ** 0.5
+    assert got == {f"p{i}": round((x - mean) / std, 6) for i, x in enumerate([1, 2, 3, 6])}
