@@ -39,10 +39,12 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app_name="segmark-bench", shuffle_partitions=int(cpus),
                           extra={"spark.driver.memory": "16g"})
     names = [q for q in os.environ.get("BENCH_QUERIES", ",".join(HEADLINE)).split(",") if q]
-    # Warm-up outside the timings: JVM start, class loading and code generation, run
-    # on the smallest scale factor next to the measured one (falls back to the same).
-    warm_dir = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
-    warm_dir = warm_dir if os.path.isdir(warm_dir) else sf_dir
+    # Warm-up outside the timings: JVM start, class loading, code generation and JIT,
+    # run on a smaller scale factor than the measured one (other files, same plans).
+    base = os.path.dirname(sf_dir.rstrip("/"))
+    smaller = [d for d in ("sf0.01", "sf0.001") if os.path.isdir(os.path.join(base, d))
+               and os.path.join(base, d) != sf_dir.rstrip("/")]
+    warm_dir = os.path.join(base, smaller[0]) if smaller else sf_dir
     for name in ("person_features", "mart_wide", "dq_reconcile"):
         QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}

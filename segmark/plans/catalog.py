@@ -2,7 +2,7 @@
 
 Every query starts from the driver's tables (through the raw-orders adapter) and runs
 over them whole. Run parameters are fixed here so that results are reproducible:
-model version, scoring time, and the as-of offsets of the freshness check.
+model version, scoring time, and the as-of times of the freshness check.
 """
 from __future__ import annotations
 
