@@ -161,8 +161,11 @@ def train(features: DataFrame, params: ModelParams) -> TrainResult:
     """
     feats = list(params.features)
     n_parts = params.layout_partitions or layout_partitions(features, params.layout_rows_per_partition)
+    # Mean / std do not depend on the layout: fit the scaler on the input as it is, so
+    # the person-level shuffle of the canonical layout runs once (for the persisted
+    # vectors) instead of twice.
+    scaling = fit_scaling(features.select(P, *feats), feats)
     laid = canonical_layout(features.select(P, *feats), n_parts)
-    scaling = fit_scaling(laid, feats)
     scaled = scaling.transform(laid).select(P, VEC).persist(StorageLevel.MEMORY_AND_DISK)
     metrics: list[tuple[str, float]] = [
         ("k_fixed", float(params.k if params.k is not None else -1)),
