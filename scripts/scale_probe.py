@@ -24,21 +24,21 @@ def replicate(spark, src: str, dst: str, copies: int, hot: bool) -> None:
     ok = orders.agg(F.max("o_orderkey")).first()[0] + 1
     ck = orders.agg(F.max("o_custkey")).first()[0] + 1
     sk = supplier.agg(F.max("s_suppkey")).first()[0] + 1
-    rep = spark.range(copies).withColumnRenamed("id", "rep")
-    o = orders.crossJoin(F.broadcast(rep)).select(
+    rep = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("rep")
+    o = orders.select("*", rep).select(
         (F.col("o_orderkey") + F.col("rep") * ok).alias("o_orderkey"),
         (F.col("o_custkey") + F.col("rep") * ck).alias("o_custkey"),
         "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority",
     )
     if hot:
         o = o.withColumn("o_custkey", F.when(F.col("o_orderkey") % 3 == 0, F.lit(1)).otherwise(F.col("o_custkey")))
-    li = lineitem.crossJoin(F.broadcast(rep)).select(
+    li = lineitem.select("*", rep).select(
         (F.col("l_orderkey") + F.col("rep") * ok).alias("l_orderkey"),
         "l_partkey",
         (F.col("l_suppkey") + F.col("rep") * sk).alias("l_suppkey"),
         *[c for c in lineitem.columns if c not in ("l_orderkey", "l_partkey", "l_suppkey")],
     )
-    s = supplier.crossJoin(F.broadcast(rep)).select(
+    s = supplier.select("*", rep).select(
         (F.col("s_suppkey") + F.col("rep") * sk).alias("s_suppkey"), "s_name", "s_nationkey", "s_acctbal"
     )
     for name, df in (("orders", o), ("lineitem", li), ("supplier", s)):
