@@ -32,11 +32,19 @@ def write_table(
     writer.save(path)
 
 
-def clustered(df: DataFrame, keys: Sequence[str], partitions: int | None = None) -> DataFrame:
+def clustered(
+    df: DataFrame, keys: Sequence[str], partitions: int | None = None, tiebreak: str | None = "customer_unique_id"
+) -> DataFrame:
     """Clustered layout (K6): range-partition and sort by the keys, so every output file
-    covers a narrow key range and parquet min/max statistics skip row groups."""
+    covers a narrow key range and parquet min/max statistics skip row groups.
+
+    Range partitioning cannot split one key value, so a (region, segment) pair holding a
+    third of all rows would land in one huge file; the ``tiebreak`` column (the person id,
+    when present) is appended as the last range key so such a group spreads over several
+    files while the files stay ordered by the cluster keys."""
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    range_keys = list(keys) + ([tiebreak] if tiebreak and tiebreak in df.columns and tiebreak not in keys else [])
+    return df.repartitionByRange(n, *range_keys).sortWithinPartitions(*range_keys)
 
 
 def save_as_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet") -> None:

@@ -103,3 +103,14 @@ def test_materialize_modes(spark, tmp_dir):
     assert writers.materialize(df, "segmark_view_t", "view").count() == 1
     assert writers.materialize(df, "segmark_tab_t", "table", path=os.path.join(tmp_dir, "tab")).count() == 1
     assert writers.materialize(df, "unused", "ephemeral") is df
+
+
+def test_clustered_layout_splits_a_hot_key(spark, tmp_dir):
+    # One (region, segment) pair holds every row: it still spreads over several files.
+    df = spark.range(4000).selectExpr(
+        "'Sudeste' as primary_region", "0 as segment_id", "cast(id as string) as customer_unique_id"
+    )
+    p = os.path.join(tmp_dir, "hot")
+    writers.write_table(writers.clustered(df, ["primary_region", "segment_id"], 4), p, rebalance=False)
+    files = read_dataset(spark, p).selectExpr("input_file_name() as f").distinct().count()
+    assert files == 4
