@@ -25,3 +25,13 @@ def test_each_file_loaded_once(spark, tmp_dir):
     assert sorted(rows) == ["o1", "o2", "o3"]
     assert rows["o2"].customer_zip_code_prefix is None and rows["o2"].customer_city is None
     assert all(r._loaded_at is not None for r in rows.values())
+
+
+def test_malformed_file_aborts_strict_load(spark, tmp_dir):
+    import pytest
+
+    landing, bronze, ckpt = (os.path.join(tmp_dir, n) for n in ("landing", "bronze", "ckpt"))
+    header = "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state"
+    _land(landing, "bad.csv", [header, "o1,p1,01001,sao paulo,SP", "o2,p2"])
+    with pytest.raises(Exception):
+        ingest_new_files(spark, landing, bronze, ckpt)
