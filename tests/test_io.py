@@ -75,8 +75,13 @@ def test_partition_pruning(spark, tmp_dir):
     p = os.path.join(tmp_dir, "parts")
     writers.write_table(df, p, partition_by=["primary_region"])
     q = read_dataset(spark, p).where("primary_region = 'S'")
-    plan = q._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(primary_region" in plan
+    import contextlib
+    import io
+
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        q.explain()
+    assert "PartitionFilters: [isnotnull(primary_region" in buf.getvalue()
     assert [r.id for r in q.collect()] == [2]
 
 
