@@ -1,6 +1,8 @@
 """Person-level features from staged orders.
 
-Plan of ``customer_features`` (one scan of the staged orders, no window sort, no Expand):
+Plan of ``customer_features`` (no window sort, no Expand, no per-person collections).
+The staged orders are read by three branches, each pruned to the columns it needs; the
+staged build writes them once as columnar bronze so no branch repeats the raw parsing:
 
 1. ``person_state_counts``: group by (person, state) with partial aggregation, so a hot
    person or state is collapsed map-side before the shuffle.
