@@ -15,13 +15,19 @@ def write_table(
     partition_by: Sequence[str] | None = None,
     mode: str = "overwrite",
     overwrite: str = "static",
-    rebalance: bool = True,
+    rebalance: bool | None = None,
 ) -> None:
     """Idempotent write (K1). ``partition_by`` -> one folder per value (K2);
     ``overwrite='dynamic'`` replaces only the partitions present in ``df`` (K3), while
-    ``'static'`` is a full refresh. ``rebalance`` asks AQE for evenly sized output
-    files (K7); with a partition column, rows are rebalanced by it so each task writes
-    few partition folders."""
+    ``'static'`` is a full refresh.
+
+    ``rebalance`` (K7, default: only for partitioned writes) adds AQE's rebalance shuffle
+    by the partition columns, so each task writes few partition folders and a skewed
+    partition value is split into several files. Unpartitioned writes skip it by
+    default: their input splits / coalesced shuffle partitions already give even files,
+    and an extra full shuffle of e.g. the staged orders would cost more than it saves."""
+    if rebalance is None:
+        rebalance = bool(partition_by)
     if rebalance:
         df = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
     writer = df.write.mode(mode).format(fmt).option("partitionOverwriteMode", overwrite)
