@@ -115,3 +115,14 @@ def test_scale_conf_sizes_partitions():
     assert partitions_for(100 * 1024**4) == 409600
     assert partitions_for(1) == 64
     assert scale_conf(100 * 1024**4)["spark.sql.shuffle.partitions"] == "409600"
+
+
+def test_bucketed_dim_fact_join_has_no_shuffle(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        tree = plan(QUERIES["mart_dim_fact_join"](spark, SF_SMALL)).split("\n\n")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in tree and "Exchange" not in tree
