@@ -8,6 +8,7 @@ by person) because K-Means initialisation depends on the physical layout.
 """
 from __future__ import annotations
 
+import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Sequence
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 from segmark.functions.scalar import profile_label
 from segmark.params import MODEL_FEATURES, ModelParams
 
+log = logging.getLogger("segmark.ml")
+
 P = "customer_unique_id"
 RAW_VEC = "features_raw"
 VEC = "features"
@@ -147,7 +150,8 @@ def _try_fit_and_score(scaled: DataFrame, k: int, params: ModelParams):
     points than k) scores -1.0 instead of aborting the whole sweep."""
     try:
         return _fit_and_score(scaled, k, params)
-    except Exception as exc:  # noqa: BLE001 - reported through the metrics
+    except Exception as exc:  # noqa: BLE001 - reported through the metrics and the log
+        log.warning("k=%d: fit failed, scored -1.0 (%s)", k, str(exc).splitlines()[0][:300])
         return exc, -1.0
 
 
