@@ -79,35 +79,44 @@ region_map as (
 )"""
 
 _FEATURES = """
+ps as (
+    select customer_unique_id, customer_state,
+           count(*) as n,
+           min(customer_id) as first_id,
+           max(zip_macro_region) as top_zip
+    from stg
+    group by customer_unique_id, customer_state
+),
 state_share as (
     select customer_state,
-           count(*) as state_orders,
-           count(*) / sum(count(*)) over () as state_market_share
-    from stg
+           cast(sum(n) as bigint) as state_orders,
+           sum(n) / (select count(*) from stg) as state_market_share
+    from ps
     group by customer_state
 ),
 primary_state as (
     select customer_unique_id, customer_state as primary_state
-    from (
-        select customer_unique_id, customer_state,
-               row_number() over (partition by customer_unique_id
-                                  order by count(*) desc, customer_state asc nulls last) as rn
-        from stg
-        group by customer_unique_id, customer_state
-    ) ranked
-    where rn = 1
+    from ps
+    qualify row_number() over (partition by customer_unique_id
+                               order by n desc, customer_state asc nulls last) = 1
 ),
-person_agg as (
-    select customer_unique_id,
-           min(customer_id) as primary_customer_id,
-           count(*) as num_orders,
-           case when count(*) > 1 then 1 else 0 end as is_repeat_customer,
-           count(distinct customer_state) as num_distinct_states,
-           count(distinct customer_city) as num_distinct_cities,
-           max(zip_macro_region) as zip_macro_region
+city_counts as (
+    select customer_unique_id, count(distinct customer_city) as num_distinct_cities
     from stg
     group by customer_unique_id
 ),
+person_agg as (
+    select p.customer_unique_id,
+           min(p.first_id) as primary_customer_id,
+           cast(sum(p.n) as bigint) as num_orders,
+           case when sum(p.n) > 1 then 1 else 0 end as is_repeat_customer,
+           count(p.customer_state) as num_distinct_states,
+           any_value(c.num_distinct_cities) as num_distinct_cities,
+           max(p.top_zip) as zip_macro_region
+    from ps p
+    join city_counts c on c.customer_unique_id = p.customer_unique_id
+    group by p.customer_unique_id
+),
 features as (
     select a.customer_unique_id,
            a.primary_customer_id,
