@@ -6,6 +6,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -74,7 +75,7 @@ def score_stage(spark: SparkSession, settings: Settings, scored_at: dt.datetime
 def retrain_stage(spark: SparkSession, settings: Settings, ml_table_path: str, k: int = 5) -> int:
     """Retrain with a fixed k and overwrite the model assignment table."""
     feats = read_dataset(spark, settings.paths.silver_features, settings.output_format)
-    table, _ = ml.retrain_segments(feats, settings.model.__class__(**{**settings.model.__dict__, "k": k}))
+    table, _ = ml.retrain_segments(feats, replace(settings.model, k=k))
     table, obs = _counted(table, "ml_table")
     writers.write_table(table, ml_table_path, fmt=settings.output_format)
     return int(obs.get["rows"])
