@@ -65,6 +65,13 @@ def build_session(
     return spark
 
 
+def _conf_get(spark: SparkSession, key: str) -> str | None:
+    try:
+        return spark.conf.get(key, None)
+    except Exception:  # noqa: BLE001 - unset static key on some session types
+        return None
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for ``DataFrame.checkpoint()`` and hand-over tables.
 
@@ -72,16 +79,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     when it is unset *and* Spark runs in local mode (tests, bench) do we create a
     fresh local folder; a cluster without the setting is a configuration error.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - sessions without a driver-side context
+        configured = _conf_get(spark, "spark.checkpoint.dir")
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            configured = None
+    configured = sc.getConf().get("spark.checkpoint.dir", None) or _conf_get(spark, "spark.checkpoint.dir")
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
