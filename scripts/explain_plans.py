@@ -41,8 +41,14 @@ def main() -> None:
     spark = build_session("local[8]", shuffle_partitions=8)
     print(f"# Final physical plans (AQE, local[8], {os.path.basename(sf)})\n")
     print("Generated by `scripts/explain_plans.py`; expression details shortened.\n")
-    for key in KEYS:
-        df = QUERIES[key](spark, sf)
+    for key in KEYS + ["person_features@no-broadcast", "mart_dim_fact_join@no-broadcast"]:
+        name, _, mode = key.partition("@")
+        big = mode == "no-broadcast"
+        # Without broadcasts every join side is treated as too large: the plan a
+        # 100 TB run gets (AQE would still broadcast sides it measures as small).
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+            spark.conf.set(k, "-1" if big else str(32 * 1024 * 1024))
+        df = QUERIES[name](spark, sf)
         df.collect()  # executes df's own plan, so explain() shows the final AQE plan
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
