@@ -51,6 +51,12 @@ class Settings:
     model_version: str = "v1.0.0"
     output_format: str = "parquet"
     shuffle_partitions: int = 64
+    # Catalog mode: when set, silver features and the model table are also catalog
+    # tables named "<prefix>_features" / "<prefix>_ml_segments", bucketed by person into
+    # ``person_buckets`` buckets (size it to ~person-table bytes / 256 MB), so the
+    # features x model-table join reads both sides co-located.
+    table_prefix: str | None = None
+    person_buckets: int = 64
 
     @staticmethod
     def load(data: Mapping[str, Any] | None = None, env: Mapping[str, str] | None = None) -> "Settings":
@@ -65,6 +71,8 @@ class Settings:
             model_version=env.get("MODEL_VERSION", data.get("model_version", "v1.0.0")),
             output_format=env.get("OUTPUT_FORMAT", data.get("output_format", "parquet")),
             shuffle_partitions=int(data.get("shuffle_partitions", 64)),
+            table_prefix=data.get("table_prefix"),
+            person_buckets=int(data.get("person_buckets", 64)),
         )
 
     def with_model(self, **kw: Any) -> "Settings":

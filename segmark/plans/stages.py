@@ -22,6 +22,27 @@ from segmark.sources.tables import empty_typed, read_dataset
 log = logging.getLogger("segmark.stages")
 
 
+PERSON = "customer_unique_id"
+
+
+def _write_person_table(df: DataFrame, settings: Settings, kind: str, path: str) -> None:
+    """Person-level hand-over table: a path (default) or, in catalog mode, a catalog
+    table at the same path bucketed by person."""
+    if settings.table_prefix:
+        writers.save_as_table(
+            df, f"{settings.table_prefix}_{kind}", path=path, fmt=settings.output_format,
+            bucket_by=(settings.person_buckets, PERSON),
+        )
+    else:
+        writers.write_table(df, path, fmt=settings.output_format)
+
+
+def _read_person_table(spark: SparkSession, settings: Settings, kind: str, path: str) -> DataFrame:
+    if settings.table_prefix:
+        return spark.table(f"{settings.table_prefix}_{kind}")
+    return read_dataset(spark, path, settings.output_format)
+
+
 def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """Row count collected while the write runs (A9): no second evaluation of the plan."""
     obs = Observation(name)
@@ -38,7 +59,7 @@ def build_features(spark: SparkSession, settings: Settings, raw: DataFrame | Non
     fmt = settings.output_format
     writers.write_table(stage_orders(raw), settings.paths.bronze, fmt=fmt)
     feats, obs = _counted(customer_features(read_dataset(spark, settings.paths.bronze, fmt)), "features")
-    writers.write_table(feats, settings.paths.silver_features, fmt=fmt)
+    _write_person_table(feats, settings, "features", settings.paths.silver_features)
     n = int(obs.get["rows"])
     log.info("features written to %s (%d rows)", settings.paths.silver_features, n)
     return n
@@ -53,7 +74,7 @@ def metrics_frame(spark: SparkSession, result: ml.TrainResult, model_version: st
 
 def train_stage(spark: SparkSession, settings: Settings) -> ml.TrainResult:
     """L2: silver features -> k sweep / fixed k -> saved model + appended run metrics."""
-    feats = read_dataset(spark, settings.paths.silver_features, settings.output_format)
+    feats = _read_person_table(spark, settings, "features", settings.paths.silver_features)
     result = ml.train(feats, settings.model)
     writers.save_model(result.model, settings.paths.model_dir)
     metrics_frame(spark, result, settings.model_version).write.mode("append").parquet(settings.paths.metrics)
@@ -63,7 +84,7 @@ def train_stage(spark: SparkSession, settings: Settings) -> ml.TrainResult:
 
 def score_stage(spark: SparkSession, settings: Settings, scored_at: dt.datetime | None = None) -> int:
     """L3: silver features + saved model -> gold table partitioned by region (full refresh)."""
-    feats = read_dataset(spark, settings.paths.silver_features, settings.output_format)
+    feats = _read_person_table(spark, settings, "features", settings.paths.silver_features)
     model = writers.load_model(settings.paths.model_dir)
     gold, obs = _counted(ml.score(model, feats, settings.model_version, scored_at), "gold")
     writers.write_table(gold, settings.paths.gold_segments, fmt=settings.output_format, partition_by=["primary_region"])
@@ -74,13 +95,18 @@ def score_stage(spark: SparkSession, settings: Settings, scored_at: dt.datetime
 
 def retrain_stage(spark: SparkSession, settings: Settings, ml_table_path: str, k: int = 5) -> int:
     """Retrain with a fixed k and overwrite the model assignment table."""
-    feats = read_dataset(spark, settings.paths.silver_features, settings.output_format)
+    feats = _read_person_table(spark, settings, "features", settings.paths.silver_features)
     table, _ = ml.retrain_segments(feats, replace(settings.model, k=k))
     table, obs = _counted(table, "ml_table")
-    writers.write_table(table, ml_table_path, fmt=settings.output_format)
+    _write_person_table(table, settings, "ml_segments", ml_table_path)
     return int(obs.get["rows"])
 
 
+def read_ml_table(spark: SparkSession, settings: Settings, ml_table_path: str) -> DataFrame:
+    """The model assignment table written by ``retrain_stage``."""
+    return _read_person_table(spark, settings, "ml_segments", ml_table_path)
+
+
 def build_marts_stage(
     spark: SparkSession,
     settings: Settings,
@@ -91,7 +117,7 @@ def build_marts_stage(
     """Dim, fact and wide mart. Without a model table every person falls back to
     the rule segment. The resolved relation is written once; the three tables are
     column projections of it, each laid out by its cluster keys."""
-    feats = read_dataset(spark, settings.paths.silver_features, settings.output_format)
+    feats = _read_person_table(spark, settings, "features", settings.paths.silver_features)
     ml_tab = ml_table if ml_table is not None else empty_typed(spark, marts.ML_SCHEMA)
     resolved_path = f"{out_dir.rstrip('/')}/_resolved"
     writers.write_table(marts.resolve_segments(feats, ml_tab, settings.model_version, scored_at), resolved_path)

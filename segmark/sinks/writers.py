@@ -66,6 +66,10 @@ def save_as_table(
     ``bucket_by=(n, key)`` hash-buckets the rows by ``key`` into ``n`` files per task
     output; two tables bucketed the same way join on ``key`` without any shuffle.
     ``sort_by`` sorts each bucket (min/max statistics then prune on those columns)."""
+    if bucket_by:
+        # Same hash and count as the bucketing: each task then holds exactly one bucket
+        # and writes one file for it, instead of one file per bucket per task.
+        df = df.repartition(bucket_by[0], bucket_by[1])
     writer = df.write.mode("overwrite").format(fmt)
     if path:
         writer = writer.option("path", path)

@@ -56,3 +56,30 @@ def test_settings_env_overrides():
     s = Settings.load({"model_version": "file", "model": {"k": 4}}, env={"MODEL_VERSION": "env"})
     assert s.model_version == "env" and s.model.k == 4
     assert Settings.load({}, env={}).model.k is None
+
+
+def test_catalog_mode_joins_features_and_model_table_without_shuffle(spark, tmp_dir):
+    import contextlib
+    import io
+    import uuid
+
+    s = _settings(tmp_dir)
+    s = Settings(paths=s.paths, model=s.model, table_prefix=f"segmark_t_{uuid.uuid4().hex[:8]}", person_buckets=4)
+    stages.build_features(spark, s, raw=raw_orders(spark, SF_SMALL))
+    n = stages.retrain_stage(spark, s, os.path.join(tmp_dir, "ml_table"), k=3)
+    feats = spark.table(f"{s.table_prefix}_features")
+    ml_tab = stages.read_ml_table(spark, s, os.path.join(tmp_dir, "ml_table"))
+    assert ml_tab.count() == n == feats.count()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            marts.resolve_segments(feats, ml_tab, "v").explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    tree = buf.getvalue()
+    assert "SortMergeJoin" in tree and "Exchange" not in tree
+    out = stages.build_marts_stage(spark, s, os.path.join(tmp_dir, "marts"), ml_table=ml_tab)
+    assert read_dataset(spark, out["fct_customer_segments"]).where("segment_source = 'kmeans'").count() == n
