@@ -53,7 +53,8 @@ def main() -> None:
     from segmark.plans.catalog import QUERIES
     from segmark.session import build_session
 
-    spark = build_session("local[8]", shuffle_partitions=16)
+    spark = build_session("local[8]", shuffle_partitions=16,
+                          extra={"spark.driver.memory": os.environ.get("PROBE_DRIVER_MEMORY", "1g")})
     dst = tempfile.mkdtemp(prefix="sfx-", dir=os.environ["SEGMARK_TMP"])
     replicate(spark, src, dst, copies, hot)
     QUERIES["person_features"](spark, src).write.format("noop").mode("overwrite").save()  # warm-up
@@ -62,6 +63,7 @@ def main() -> None:
         t = time.perf_counter()
         QUERIES[name](spark, dst).write.format("noop").mode("overwrite").save()
         out[name] = round(time.perf_counter() - t, 2)
+        print(f"done {name} {out[name]}", file=sys.stderr, flush=True)
     if hot:
         top = QUERIES["person_features"](spark, dst).orderBy(F.desc("num_orders")).first()
         out["hot_person_orders"] = top.num_orders

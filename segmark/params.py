@@ -36,10 +36,11 @@ class ModelParams:
     seed: int = 42
     features: tuple[str, ...] = MODEL_FEATURES
     # Canonical layout before every fit (K-Means init depends on it). None -> one
-    # partition per ``layout_rows_per_partition`` persons, capped by the session's
-    # spark.sql.shuffle.partitions: the same input always gets the same layout.
+    # partition per ``layout_rows_per_partition`` persons (a few MB of vectors, so every
+    # core gets work), capped by the session's spark.sql.shuffle.partitions: the same
+    # input always gets the same layout.
     layout_partitions: int | None = None
-    layout_rows_per_partition: int = 500_000
+    layout_rows_per_partition: int = 50_000
     # k values fitted concurrently during the sweep (each fit is a distributed job).
     sweep_parallelism: int = 6
 
