@@ -5,6 +5,8 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from segmark.functions.scalar import typed_null
 from pyspark.sql.types import StringType, StructField, StructType
 
 # One row = one order (customer_id); the person is customer_unique_id. All strings:
@@ -51,7 +53,7 @@ def read_raw_csv_strict(spark: SparkSession, path: str | list[str]) -> DataFrame
         .csv(path)
     )
     return df.select(
-        *[F.when(F.col(c).isin("", "NULL"), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c) for c in RAW_COLUMNS]
+        *[F.when(F.col(c).isin("", "NULL"), typed_null("string")).otherwise(F.col(c)).alias(c) for c in RAW_COLUMNS]
     )
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+
+from segmark.functions.scalar import typed_null
 from pyspark.sql.streaming import StreamingQuery
 
 from segmark.sources.raw import RAW_COLUMNS, RAW_SCHEMA
@@ -28,7 +30,7 @@ def raw_order_stream(spark: SparkSession, landing: str, strict: bool = True, max
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.csv(landing)
     cleaned = stream.select(
-        *[F.when(F.col(c).isin("", "NULL"), F.lit(None).cast("string")).otherwise(F.col(c)).alias(c) for c in RAW_COLUMNS]
+        *[F.when(F.col(c).isin("", "NULL"), typed_null("string")).otherwise(F.col(c)).alias(c) for c in RAW_COLUMNS]
     )
     # current_timestamp() in a stream is the micro-batch time: the load time of the batch.
     return cleaned.withColumn("_loaded_at", F.current_timestamp())

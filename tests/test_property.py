@@ -71,3 +71,47 @@ def test_features_match_brute_force(spark, rows):
         for r in customer_features(stage_orders(raw(spark, raw_rows))).collect()
     }
     assert got == brute(raw_rows)
+
+
+person = st.tuples(
+    st.integers(min_value=1, max_value=5),  # num_orders
+    st.integers(min_value=1, max_value=3),  # distinct states
+    st.sampled_from([0.1, 0.3, 0.31, 0.9]),  # share
+    st.sampled_from([None, (0, "Recurrente"), (1, None), (2, "Metropolitano")]),  # model row
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(person, min_size=1, max_size=10))
+def test_resolution_matches_brute_force(spark, people):
+    from segmark.operators import marts
+
+    feats = spark.createDataFrame(
+        [(f"p{i}", f"o{i}", n, int(n > 1), st_, 1, 1, "SP", "Sudeste", 3, sh) for i, (n, st_, sh, _) in enumerate(people)],
+        "customer_unique_id string, primary_customer_id string, num_orders long, is_repeat_customer int, "
+        "num_distinct_states long, num_distinct_cities long, zip_macro_region int, primary_state string, "
+        "primary_region string, region_idx int, state_market_share double",
+    )
+    ml_rows = [(f"p{i}", m[0], m[1]) for i, (*_, m) in enumerate(people) if m is not None]
+    ml_tab = spark.createDataFrame(ml_rows, marts.ML_SCHEMA)
+    got = {r.customer_unique_id: (r.segment_id, r.segment_label, r.segment_source)
+           for r in marts.fct_customer_segments(feats, ml_tab, "v").collect()}
+
+    def rule(n, states, share):
+        if n >= 3:
+            return "Recurrente alto"
+        if n > 1:
+            return "Recurrente"
+        if states > 1:
+            return "Itinerante"
+        if share > 0.30:
+            return "Metropolitano"
+        return "Estándar regional"
+
+    want = {}
+    for i, (n, states, share, m) in enumerate(people):
+        if m is None:
+            want[f"p{i}"] = (-1, rule(n, states, share), "rule_based")
+        else:
+            want[f"p{i}"] = (m[0], m[1] if m[1] is not None else rule(n, states, share), "kmeans")
+    assert got == want
