@@ -82,12 +82,19 @@ def train_stage(spark: SparkSession, settings: Settings) -> ml.TrainResult:
     return result
 
 
-def score_stage(spark: SparkSession, settings: Settings, scored_at: dt.datetime | None = None) -> int:
-    """L3: silver features + saved model -> gold table partitioned by region (full refresh)."""
+def score_stage(
+    spark: SparkSession, settings: Settings, scored_at: dt.datetime | None = None, overwrite: str = "static"
+) -> int:
+    """L3: silver features + saved model -> gold table partitioned by region.
+
+    ``overwrite='static'`` is a full refresh (regions that disappeared are removed);
+    ``'dynamic'`` replaces only the regions present in this run (partial refresh)."""
     feats = _read_person_table(spark, settings, "features", settings.paths.silver_features)
     model = writers.load_model(settings.paths.model_dir)
     gold, obs = _counted(ml.score(model, feats, settings.model_version, scored_at), "gold")
-    writers.write_table(gold, settings.paths.gold_segments, fmt=settings.output_format, partition_by=["primary_region"])
+    writers.write_table(
+        gold, settings.paths.gold_segments, fmt=settings.output_format, partition_by=["primary_region"], overwrite=overwrite
+    )
     n = int(obs.get["rows"])
     log.info("segments written to %s (%d rows)", settings.paths.gold_segments, n)
     return n

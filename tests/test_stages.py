@@ -83,3 +83,20 @@ def test_catalog_mode_joins_features_and_model_table_without_shuffle(spark, tmp_
     assert "SortMergeJoin" in tree and "Exchange" not in tree
     out = stages.build_marts_stage(spark, s, os.path.join(tmp_dir, "marts"), ml_table=ml_tab)
     assert read_dataset(spark, out["fct_customer_segments"]).where("segment_source = 'kmeans'").count() == n
+
+
+def test_stages_are_idempotent_and_metrics_append(spark, tmp_dir):
+    s = _settings(tmp_dir)
+    raw = raw_orders(spark, SF_SMALL)
+    n1 = stages.build_features(spark, s, raw=raw)
+    first = sorted(map(tuple, read_dataset(spark, s.paths.silver_features).collect()))
+    n2 = stages.build_features(spark, s, raw=raw)
+    assert n1 == n2 and sorted(map(tuple, read_dataset(spark, s.paths.silver_features).collect())) == first
+    stages.train_stage(spark, s)
+    stages.train_stage(spark, s)
+    runs = read_dataset(spark, s.paths.metrics).select("run_id").distinct().count()
+    assert runs == 2
+    at = dt.datetime(2024, 2, 1)
+    g1 = stages.score_stage(spark, s, scored_at=at)
+    g2 = stages.score_stage(spark, s, scored_at=at, overwrite="dynamic")
+    assert g1 == g2 == read_dataset(spark, s.paths.gold_segments).count()
