@@ -47,6 +47,9 @@ def main() -> None:
     warm_dir = os.path.join(base, smaller[0]) if smaller else sf_dir
     for name in ("person_features", "mart_wide", "dq_reconcile"):
         QUERIES[name](spark, warm_dir).write.format("noop").mode("overwrite").save()
+    # First touch of the measured files (listing, footers, page cache) with a query that
+    # is not timed, so the first timed query is measured warm like the others.
+    QUERIES["stage_orders"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times: dict[str, float] = {}
     for name in names:
         t = time.perf_counter()
