@@ -43,3 +43,25 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["segment_label", "customers"]
     assert df.count() >= 1
+
+
+ROWS_ONLY_EXPECTED = {
+    "kmeans_scored": "persons",
+    "train_score_gold": "persons",
+    "model_roundtrip": "persons",
+    "ml_table_retrain": "persons",
+    "stage_train_score": "persons",
+    "k_sweep": 6,
+    "run_metrics": 13,
+}
+
+
+@pytest.mark.parametrize("name", sorted(ROWS_ONLY_EXPECTED))
+def test_rows_only_queries(spark, con, name):
+    persons = con.sql("select count(distinct o_custkey) from orders").fetchall()[0][0]
+    want = ROWS_ONLY_EXPECTED[name]
+    want = persons if want == "persons" else want
+    df = entry.queries()[name](spark, SF_SMALL)
+    assert df.count() == want
+    if "segment_id" in df.columns:
+        assert df.where("segment_id is null").count() == 0
