@@ -5,7 +5,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from segmark.llm import secrets, url_filter
+from segmark.llm import packing, repetition, secrets, simhash, url_filter
 from segmark.llm.common import table
 from segmark.session import scratch_path
 
@@ -18,12 +18,34 @@ URL_RULES = (
 )
 
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_json(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    with open(public_tokenizers.path(name), encoding="utf-8") as f:
+        return f.read()
+
+
+def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.repetition(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_json())
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return secrets.scan_secrets(docs, scratch_path(spark, "secret-ledger")).select(
@@ -31,6 +53,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_repetition": op1_repetition,
+    "op5_simhash": op5_simhash,
     "op8_url_filter": op8_url_filter,
+    "op9_best_fit_packing": op9_best_fit_packing,
     "op10_secret_scan": op10_secret_scan,
 }
