@@ -63,4 +63,20 @@ FROM documents d LEFT JOIN a USING (doc_id)
 """
 )
 
-ORACLE_SQL: dict[str, str] = {"op8_url_filter": OP8, "op10_secret_scan": OP10}
+_WORDS2 = """list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"""
+OP2 = f"""
+WITH d AS (SELECT doc_id, {_WORDS2} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS2} AS w FROM benchmark WHERE item_id IS NOT NULL),
+bw AS (SELECT DISTINCT item, w[k:k + 12] AS p FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS k FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(p) AS n FROM bw),
+dw AS (SELECT doc_id, n, k, w[k:k + n - 1] AS p FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS k FROM d, sizes WHERE len(w) >= n)),
+hit AS (SELECT DISTINCT doc_id, item, n, k FROM dw JOIN bw USING (p)),
+hw AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(k, k + n)) AS i FROM hit) GROUP BY doc_id),
+hi AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_decontamination": OP2, "op8_url_filter": OP8, "op10_secret_scan": OP10}

@@ -4,8 +4,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from segmark.llm import packing, repetition, secrets, simhash, url_filter
+from segmark.llm import decontam, packing, repetition, secrets, simhash, url_filter
 from segmark.llm.common import table
 from segmark.session import scratch_path
 
@@ -32,6 +33,12 @@ def op1_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.repetition(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -54,6 +61,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
+    "op2_decontamination": op2_decontamination,
     "op5_simhash": op5_simhash,
     "op8_url_filter": op8_url_filter,
     "op9_best_fit_packing": op9_best_fit_packing,
