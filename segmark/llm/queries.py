@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmark.llm import decontam, packing, repetition, secrets, simhash, url_filter
+from segmark.llm import decontam, langid, packing, repetition, secrets, simhash, toxicity, url_filter
 from segmark.llm.common import table
 from segmark.session import scratch_path
 
@@ -39,10 +39,22 @@ def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify_languages(table(spark, sf_dir, "documents").select("doc_id", "lang", "text")).select(
+        "doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return toxicity.score_toxicity(docs.withColumn("held_out", langid.held_out("doc_id")), model).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(list(URL_RULES), "host string, path string, verdict string")
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
@@ -62,7 +74,9 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op2_decontamination": op2_decontamination,
+    "op3_language_id": op3_language_id,
     "op5_simhash": op5_simhash,
+    "op7_toxicity": op7_toxicity,
     "op8_url_filter": op8_url_filter,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_secret_scan": op10_secret_scan,
