@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmark.llm import decontam, langid, packing, repetition, secrets, simhash, toxicity, url_filter
+from segmark.llm import decontam, langid, packing, repetition, secrets, simhash, suffix_dedup, toxicity, url_filter
 from segmark.llm.common import table
 from segmark.session import scratch_path
 
@@ -48,6 +48,12 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return cut.select("doc_id", "n_bytes", (F.col("n_bytes") - F.length("kept")).alias("n_removed"),
+                      F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic"))
@@ -76,6 +82,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
     "op5_simhash": op5_simhash,
+    "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
     "op8_url_filter": op8_url_filter,
     "op9_best_fit_packing": op9_best_fit_packing,
