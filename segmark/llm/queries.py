@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmark.llm import decontam, langid, packing, repetition, secrets, simhash, suffix_dedup, toxicity, url_filter
+from segmark.llm import decontam, langid, line_dedup, packing, repetition, secrets, simhash, suffix_dedup, toxicity, url_filter
 from segmark.llm.common import table
 from segmark.session import scratch_path
 
@@ -44,6 +44,11 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "held_out", "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -81,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op2_decontamination": op2_decontamination,
     "op3_language_id": op3_language_id,
+    "op4_line_dedup": op4_line_dedup,
     "op5_simhash": op5_simhash,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op7_toxicity": op7_toxicity,
