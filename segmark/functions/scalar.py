@@ -4,7 +4,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ---- fixed values (must equal the reference) ----------------------------------------
+# ---- fixed values (part of the result contract) ----------------------------------------
 LABEL_RECURRENT_HIGH = "Recurrente alto"
 LABEL_RECURRENT = "Recurrente"
 LABEL_ITINERANT = "Itinerante"

@@ -1,21 +1,18 @@
 """Person-level features from staged orders.
 
-Plan of ``customer_features`` (no window sort, no Expand, no per-person collections).
-The staged orders are read by three branches, each pruned to the columns it needs; the
-staged build writes them once as columnar bronze so no branch repeats the raw parsing:
-
-1. ``person_state_counts``: group by (person, state) with partial aggregation, so a hot
-   person or state is collapsed map-side before the shuffle.
-2. group that by person: order count, representative id, distinct states (one row per
-   state already), max zip digit, and the primary state as ``min(struct(-cnt, is_null,
-   state))`` -- most orders first, a known state before an unknown one, then A-Z.
-3. distinct cities: (person, city) pairs, then a count per person. The pair shuffle
-   spreads one person's cities over many tasks; nothing is collected per person.
-4. per-state share from a state-only aggregate of the orders (one row per state per task
-   before its shuffle), joined with the 27-row region dimension; the person rows look
-   both up in a single join whose small side is one row per distinct state (AQE
-   broadcasts it after measuring it).
-Steps 2 and 3 are both hash-partitioned by person, so joining them needs no shuffle.
+Plan of ``customer_features`` (one pass over the orders, no Expand, no per-person collections):
+
+1. ``place_counts``: group the orders by (person, state, city) with partial aggregation, so a
+   hot person or state is collapsed map-side. This is the only shuffle of order rows; both
+   branches below read the same exchange.
+2. ``person_level``: its rows, dealt by person once, give everything that has a person as its
+   grain. A window marks each city's first row, so distinct cities become a sum; then two
+   aggregates, by (person, state) and by person, run without another shuffle. The primary
+   state is ``min(struct(-cnt, is_null, state))``: most orders first, a known state before an
+   unknown one, then A-Z.
+3. ``state_info``: orders per state and their share, joined with the 27-row region dimension.
+   The person rows look it up in a single join whose small side is one row per distinct state
+   (AQE broadcasts it after measuring it, else it splits the skewed state).
 """
 from __future__ import annotations
 
@@ -55,12 +52,12 @@ def state_orders(stg: DataFrame) -> DataFrame:
 
 
 def share_of_total(per_state: DataFrame, count_col: str = "state_orders") -> DataFrame:
-    """state count / total count (A3) with the total as ``sum(count) over ()``.
+    """state count / total count (A3); the total is a scalar subquery over the same counts.
 
-    The window has no partition key; it runs on the aggregated input, one row per
-    distinct state, so the single partition holds a handful of rows.
+    Nothing bounds the number of distinct raw state texts, so the counts are not brought
+    into one partition: each task needs the total only.
     """
-    total = F.sum(count_col).over(Window.partitionBy())
+    total = per_state.agg(F.sum(count_col)).scalar()
     return per_state.withColumn("state_market_share", F.col(count_col) / total)
 
 
@@ -109,20 +106,18 @@ def primary_state_window(stg: DataFrame) -> DataFrame:
 
 
 def primary_state_sql(stg: DataFrame) -> DataFrame:
-    """``row_number`` ordered by an aggregate inside the grouping SELECT."""
+    """W2 as SQL text: a ranking window over the (person, state) counts, filtered by QUALIFY-like
+    use of a lateral alias."""
     return stg.sparkSession.sql(
         """
-        select customer_unique_id, customer_state as primary_state
-        from (
-            select customer_unique_id, customer_state,
-                   row_number() over (partition by customer_unique_id
-                                      order by count(*) desc, customer_state asc nulls last) as rn
-            from {stg}
-            group by customer_unique_id, customer_state
-        )
-        where rn = 1
+        with counts as (select customer_unique_id as person, customer_state as state, count(*) as orders
+                        from {orders} group by all),
+             placed as (select person, state,
+                               rank() over (partition by person order by orders desc, state is null, state) as place
+                        from counts)
+        select person as customer_unique_id, state as primary_state from placed where place = 1
         """,
-        stg=stg,
+        orders=stg,
     )
 
 
@@ -147,66 +142,75 @@ def primary_state_struct(stg: DataFrame) -> DataFrame:
 
 
 # ---- person rollup ---------------------------------------------------------------------
-def person_rollup(stg: DataFrame) -> DataFrame:
-    """A5 as written: count, representative id (min, deterministic), distinct states and
-    cities (NULLs ignored), max zip digit."""
-    return stg.groupBy(P).agg(
-        F.count(F.lit(1)).alias("num_orders"),
-        F.min("customer_id").alias("primary_customer_id"),
-        F.count_distinct(S).alias("num_distinct_states"),
-        F.count_distinct("customer_city").alias("num_distinct_cities"),
-        F.max("zip_macro_region").alias("zip_macro_region"),
+CITY = "customer_city"
+
+
+def place_counts(stg: DataFrame) -> DataFrame:
+    """Orders per (person, state, city) with the group's least id and largest zip digit."""
+    return stg.groupBy(P, S, CITY).agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.min("customer_id").alias("min_customer_id"),
+        F.max("zip_macro_region").alias("max_zip_macro_region"),
     )
 
 
-def distinct_cities(stg: DataFrame) -> DataFrame:
-    """Distinct non-NULL cities per person: (person, city) pairs, then a count."""
-    return (
-        stg.select(P, "customer_city")
-        .distinct()
-        .groupBy(P)
-        .agg(F.count("customer_city").alias("num_distinct_cities"))
+def person_level(places: DataFrame) -> DataFrame:
+    """One row per person from ``place_counts``: order count, least id, distinct states and
+    cities, largest zip digit and ``top`` (the primary state).
+
+    All steps after the first have the person in their key and share one exchange.
+    """
+    first_of_city = F.row_number().over(Window.partitionBy(P, CITY).orderBy(F.asc_nulls_last(S)))
+    marked = places.repartition(P).withColumn("new_city", F.when((first_of_city == 1) & F.col(CITY).isNotNull(), 1).otherwise(0))
+    by_state = marked.groupBy(P, S).agg(
+        F.sum("cnt").alias("cnt"),
+        F.min("min_customer_id").alias("min_customer_id"),
+        F.max("max_zip_macro_region").alias("max_zip_macro_region"),
+        F.sum("new_city").alias("cities"),
+    )
+    return by_state.groupBy(P).agg(
+        F.sum("cnt").alias("num_orders"),
+        F.min("min_customer_id").alias("primary_customer_id"),
+        F.count(S).alias("num_distinct_states"),
+        F.sum("cities").alias("num_distinct_cities"),
+        F.max("max_zip_macro_region").alias("zip_macro_region"),
+        _top_state().alias("top"),
     )
 
 
-def state_info(stg: DataFrame) -> DataFrame:
+def person_rollup(stg: DataFrame) -> DataFrame:
+    """A5: count, representative id (min, deterministic), distinct states and cities (NULLs
+    ignored), max zip digit."""
+    return person_level(place_counts(stg)).drop("top")
+
+
+def state_info(places: DataFrame) -> DataFrame:
     """One row per observed state: share of all orders plus region (from the dimension).
 
-    Aggregated straight from the staged orders: the scan reads the state column only and
-    the partial aggregate leaves one row per state per task, so the shuffle is tiny
-    (deriving it from the person x state aggregate would shuffle that twice). Unknown
-    states keep their share; their region is NULL. The NULL state is a row too but
-    never joins.
+    Unknown states keep their share; their region is NULL. The NULL state is a row too.
     """
-    spark = stg.sparkSession
-    per_state = state_orders(stg)
-    dim = state_dim(spark)
-    return (
-        share_of_total(per_state)
-        .join(dim, F.col(S) == dim.state_code, "left")
-        .select(
-            F.col(S).alias("ss_state"),
-            "state_orders",
-            "state_market_share",
-            F.col("region").alias("ss_region"),
-            F.col("region_idx").alias("ss_region_idx"),
-        )
+    # True for every staged order (ids are never NULL). Naming all aggregates here keeps column
+    # pruning from making this branch's exchange differ from person_level's: the plan then
+    # reads and groups the orders once and reuses that exchange.
+    whole = places.where(F.col("min_customer_id").isNotNull() & (F.coalesce("max_zip_macro_region", F.lit(UNKNOWN_INT)) >= UNKNOWN_INT))
+    per_state = whole.groupBy(S).agg(F.sum("cnt").alias("state_orders"))
+    dim = state_dim(places.sparkSession)
+    return share_of_total(per_state).join(dim, F.col(S) == dim.state_code, "left").select(
+        F.col(S).alias("ss_state"),
+        "state_orders",
+        "state_market_share",
+        F.col("region").alias("ss_region"),
+        F.col("region_idx").alias("ss_region_idx"),
     )
 
 
 def customer_features(stg: DataFrame) -> DataFrame:
     """Eleven person-level features, one row per person (see module docstring)."""
-    ps = person_state_counts(stg)
-    per_person = ps.groupBy(P).agg(
-        F.sum("cnt").alias("num_orders"),
-        F.min("min_customer_id").alias("primary_customer_id"),
-        F.count(S).alias("num_distinct_states"),
-        F.max("max_zip_macro_region").alias("zip_max"),
-        _top_state().alias("top"),
-    )
-    people = per_person.join(distinct_cities(stg), P, "inner")
-    info = state_info(stg)
-    out = people.join(info, F.col("top.state") == F.col("ss_state"), "left")
+    places = place_counts(stg)
+    # Null-safe, or the inferred "state is not null" filter would change the state branch's
+    # scan and undo the shared exchange; the NULL state's share is left out below instead.
+    out = person_level(places).join(state_info(places), F.col("top.state").eqNullSafe(F.col("ss_state")), "left")
+    share = F.when(F.col("top.state").isNotNull(), F.col("state_market_share"))
     return out.select(
         P,
         "primary_customer_id",
@@ -214,11 +218,11 @@ def customer_features(stg: DataFrame) -> DataFrame:
         flag(F.col("num_orders") > 1).alias("is_repeat_customer"),
         "num_distinct_states",
         "num_distinct_cities",
-        or_default("zip_max", UNKNOWN_INT).alias("zip_macro_region"),
+        or_default("zip_macro_region", UNKNOWN_INT).alias("zip_macro_region"),
         F.col("top.state").alias("primary_state"),
         F.col("ss_region").alias("primary_region"),
         or_default("ss_region_idx", UNKNOWN_INT).alias("region_idx"),
-        or_default("state_market_share", 0.0).alias("state_market_share"),
+        F.coalesce(share, F.lit(0.0)).alias("state_market_share"),
     )
 
 

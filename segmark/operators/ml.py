@@ -3,12 +3,12 @@
 Scale notes: the assembler + scaler are fitted once (one distributed summary pass) and
 the scaled vectors are persisted for the whole k sweep; every fit and the silhouette
 are distributed Spark ML jobs. Only k centroids / k cluster profiles ever reach the
-driver. Before each fit the rows get a canonical layout (fixed partition count, sorted
-by person) because K-Means initialisation depends on the physical layout.
+driver. Before each fit the rows get a canonical layout (the partition count named in
+``ModelParams.layout_partitions``, sorted by person) because K-Means initialisation depends
+on the physical layout; neither session settings nor row counts change it.
 """
 from __future__ import annotations
 
-import logging
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Sequence
@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 
 from segmark.functions.scalar import profile_label
 from segmark.params import MODEL_FEATURES, ModelParams
-
-log = logging.getLogger("segmark.ml")
+from segmark.session import scratch_path
 
 P = "customer_unique_id"
 RAW_VEC = "features_raw"
@@ -50,14 +49,6 @@ def canonical_layout(df: DataFrame, partitions: int, key: str = P) -> DataFrame:
     return df.repartition(partitions, key).sortWithinPartitions(key)
 
 
-def layout_partitions(features: DataFrame, rows_per_partition: int) -> int:
-    """Partition count of the canonical layout, derived from the number of persons
-    (one count; the input is a written table or a checkpoint in every stage)."""
-    cap = int(features.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    n = features.count()
-    return max(1, min(cap, -(-n // rows_per_partition)))
-
-
 def fit_scaling(df: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> PipelineModel:
     asm = assembler(features)
     scaler_model = scaler().fit(asm.transform(df))
@@ -118,9 +109,22 @@ def cluster_labels(scored: DataFrame) -> DataFrame:
 
 
 def label_segments(scored: DataFrame) -> DataFrame:
-    """Business label per cluster from its profile, joined back (M7 + J3). The label
-    table has one row per cluster id (at most k), so it is broadcast."""
-    return scored.join(F.broadcast(cluster_labels(scored)), PRED, "left")
+    """Business label per cluster from its profile, joined back (M7 + J3).
+
+    The label table has one row per cluster id. Ids may come from any caller, so there is
+    no broadcast hint: Spark broadcasts the table once it has measured it. ``scored`` is read
+    twice; hand over written predictions (``predictions``), not a model's plan.
+    """
+    return scored.join(cluster_labels(scored), PRED, "left")
+
+
+def predictions(model: PipelineModel, features: DataFrame) -> DataFrame:
+    """``features`` with cluster ids, written once to the shared folder and read back, so the
+    profile and the label join do not run the model twice over all persons."""
+    scored = model.transform(features).drop(RAW_VEC, VEC)
+    path = scratch_path(features.sparkSession, "predictions")
+    scored.write.parquet(path)
+    return features.sparkSession.read.schema(scored.schema).parquet(path)
 
 
 # ---- M6 / M11 ---------------------------------------------------------------------------
@@ -145,14 +149,15 @@ def _fit_and_score(scaled: DataFrame, k: int, params: ModelParams) -> tuple[KMea
     return m, _score_k(m, scaled)
 
 
-def _try_fit_and_score(scaled: DataFrame, k: int, params: ModelParams):
-    """Sweep variant: a k whose fit fails (e.g. degenerate data with fewer distinct
-    points than k) scores -1.0 instead of aborting the whole sweep."""
-    try:
-        return _fit_and_score(scaled, k, params)
-    except Exception as exc:  # noqa: BLE001 - reported through the metrics and the log
-        log.warning("k=%d: fit failed, scored -1.0 (%s)", k, str(exc).splitlines()[0][:300])
-        return exc, -1.0
+def distinct_points(scaled: DataFrame, enough: int) -> int:
+    """Number of distinct vectors: exact where it may be below ``enough``, else an estimate.
+
+    One aggregate; only inputs of few distinct vectors are counted exactly, and those shrink
+    to a few rows per task before the shuffle.
+    """
+    point = vector_to_array(F.col(VEC))
+    n = scaled.agg(F.approx_count_distinct(F.xxhash64(point))).first()[0]
+    return n if n > 4 * enough else scaled.select(point.alias("p")).distinct().count()
 
 
 def train(features: DataFrame, params: ModelParams) -> TrainResult:
@@ -161,40 +166,44 @@ def train(features: DataFrame, params: ModelParams) -> TrainResult:
 
     The k candidates are independent distributed fits over the same persisted vectors,
     so they are submitted concurrently from driver threads; each result is the same
-    as in a serial sweep (same layout, same seed).
+    as in a serial sweep (same layout, same seed). A fit that fails fails the run: a
+    sweep without one of its candidates could choose another k. A k above the number of
+    distinct points has no such clustering; it scores -1.0 without a fit.
     """
     feats = list(params.features)
-    n_parts = params.layout_partitions or layout_partitions(features, params.layout_rows_per_partition)
     # Mean / std do not depend on the layout: fit the scaler on the input as it is, so
     # the person-level shuffle of the canonical layout runs once (for the persisted
     # vectors) instead of twice.
     scaling = fit_scaling(features.select(P, *feats), feats)
-    laid = canonical_layout(features.select(P, *feats), n_parts)
+    laid = canonical_layout(features.select(P, *feats), params.layout_partitions)
     scaled = scaling.transform(laid).select(P, VEC).persist(StorageLevel.MEMORY_AND_DISK)
     metrics: list[tuple[str, float]] = [
         ("k_fixed", float(params.k if params.k is not None else -1)),
         ("max_iter", float(params.max_iter)),
         ("seed", float(params.seed)),
         ("n_features", float(len(feats))),
+        ("layout_partitions", float(params.layout_partitions)),
     ]
     try:
+        top = params.k if params.k is not None else params.k_search_max
+        n_points = distinct_points(scaled, top)
+        if n_points < (params.k if params.k is not None else params.k_search_min):
+            raise ValueError(f"{n_points} distinct points are too few for the clusters asked for")
         if params.k is not None:
             best_k = params.k
             best, best_score = _fit_and_score(scaled, best_k, params)
         else:
             ks = list(range(params.k_search_min, params.k_search_max + 1))
-            workers = max(1, min(params.sweep_parallelism, len(ks)))
+            possible = [k for k in ks if k <= n_points]
+            workers = max(1, min(params.sweep_parallelism, len(possible)))
             with ThreadPoolExecutor(max_workers=workers) as pool:
-                fitted = list(pool.map(lambda k: _try_fit_and_score(scaled, k, params), ks))
-            ok = [(k, m, score) for k, (m, score) in zip(ks, fitted) if not isinstance(m, Exception)]
-            if not ok:
-                raise fitted[0][0]
-            best_k, best_score, best = ok[0][0], -1.0, None
-            for k, (m, score) in zip(ks, fitted):
+                fitted = list(pool.map(lambda k: _fit_and_score(scaled, k, params), possible))
+            best_k, best_score, best = possible[0], -1.0, fitted[0][0]
+            for k, (m, score) in zip(possible, fitted, strict=True):
                 metrics.append((f"silhouette_k{k}", float(score)))
-                if not isinstance(m, Exception) and score > best_score:
+                if score > best_score:
                     best_k, best_score, best = k, score, m
-            best = best or ok[0][1]
+            metrics += [(f"silhouette_k{k}", -1.0) for k in ks[len(possible):]]
         cost = float(best.summary.trainingCost)
     finally:
         scaled.unpersist()
@@ -226,7 +235,7 @@ def score(model: PipelineModel, features: DataFrame, model_version: str, scored_
     """Assign, label and project to the 14-column output contract (M12 + P6)."""
     from segmark.operators.marts import scored_at_col
 
-    labelled = label_segments(model.transform(features))
+    labelled = label_segments(predictions(model, features))
     return labelled.select(
         *GOLD_COLUMNS[:-2],
         F.lit(model_version).alias("model_version"),
@@ -238,5 +247,5 @@ def retrain_segments(features: DataFrame, params: ModelParams) -> tuple[DataFram
     """Retrain with the configured k and return the ML assignment table (M13):
     (customer_unique_id, segment_id, segment_label)."""
     result = train(features, params)
-    table = label_segments(result.model.transform(features)).select(P, PRED, "segment_label")
+    table = label_segments(predictions(result.model, features)).select(P, PRED, "segment_label")
     return table, result

@@ -9,11 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def not_null_violations(df: DataFrame, column: str) -> DataFrame:
-    """Rows whose ``column`` is NULL (Q1)."""
-    return df.where(F.col(column).isNull())
-
-
 def not_null_summary(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
     """NULL counts for several columns in one pass (one global aggregate, no shuffle
     of rows): (table_name, column_name, violations)."""
@@ -33,6 +28,28 @@ def unique_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.where(cond).groupBy(*k).agg(F.count(F.lit(1)).alias("occurrences")).where("occurrences > 1")
 
 
+def mart_summary(df: DataFrame, table: str, key: str, label: str) -> DataFrame:
+    """One row of a mart's declared checks: persons, repeated persons, missing keys and labels
+    (no label column: none missing). Two aggregates: per key, then over the keys."""
+    no_label = F.col(label).isNull() if label in df.columns else F.lit(False)
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.count_if(no_label).alias("gaps"))
+    known = F.col(key).isNotNull()
+    return per_key.agg(
+        F.count_if(known).alias("persons"),
+        F.count_if(known & (F.col("n") > 1)).cast("int").alias("repeated"),
+        F.coalesce(F.sum(F.when(~known, F.col("n"))), F.lit(0)).cast("int").alias("missing_keys"),
+        F.coalesce(F.sum("gaps"), F.lit(0)).cast("int").alias("missing_labels"),
+    ).select(F.lit(table).alias("table_name"), "persons", "repeated", "missing_keys", "missing_labels")
+
+
+def mart_violations(df: DataFrame, table: str, key: str, label: str) -> DataFrame:
+    """Persons of a mart that are repeated or lack a label, with both counts."""
+    no_label = F.col(label).isNull() if label in df.columns else F.lit(False)
+    per_key = df.groupBy(key).agg(F.count(F.lit(1)).cast("int").alias("occurrences"), F.count_if(no_label).cast("int").alias("missing_labels"))
+    return per_key.where((F.col("occurrences") > 1) | (F.col("missing_labels") > 0)).select(
+        F.lit(table).alias("table_name"), key, "occurrences", "missing_labels")
+
+
 def relationship_violations(child: DataFrame, key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Child rows whose non-NULL key has no parent row."""
     parent_keys = parent.select(F.col(parent_key).alias("_pk"))

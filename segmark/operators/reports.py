@@ -34,10 +34,17 @@ def repeat_rate_by_region(features: DataFrame) -> DataFrame:
 
 
 def share_ranking(state_share: DataFrame) -> DataFrame:
-    """States ranked by market share (A13). Input is one row per state, so the
-    unpartitioned rank window sorts a handful of rows."""
-    w = Window.orderBy(F.desc("state_market_share"), F.asc_nulls_last("customer_state"))
-    return state_share.withColumn("share_rank", F.rank().over(w)).orderBy("share_rank")
+    """States by market share (A13); equal shares have equal ranks, the state orders the output.
+
+    The rank is one more than the number of states with more orders. The running count goes
+    over the distinct order counts, not the states: k different positive counts need more than
+    k * k / 2 orders, so that table stays small however many state texts there are.
+    """
+    sizes = state_share.groupBy("state_orders").agg(F.count(F.lit(1)).alias("n"))
+    above = F.sum("n").over(Window.orderBy(F.desc("state_orders")).rowsBetween(Window.unboundedPreceding, -1))
+    ranks = sizes.select("state_orders", (F.coalesce(above, F.lit(0)) + 1).alias("share_rank"))
+    return state_share.join(ranks, "state_orders").select(
+        "customer_state", "state_orders", "state_market_share", "share_rank").orderBy("share_rank", "customer_state")
 
 
 def model_vs_rule(labelled: DataFrame) -> DataFrame:

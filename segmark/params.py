@@ -2,7 +2,7 @@
 from __future__ import annotations
 
 import os
-from dataclasses import dataclass, field, fields, replace
+from dataclasses import MISSING, dataclass, field, fields, replace
 from typing import Any, Mapping
 
 # Feature columns of the segmentation model, in model order (fixed values).
@@ -17,14 +17,27 @@ MODEL_FEATURES = (
 )
 
 
+# Buckets of person-keyed catalog tables: a layout choice of the tables, not of the session.
+PERSON_BUCKETS = 16
+
+
 @dataclass(frozen=True)
 class Paths:
-    raw_orders: str = "data/raw/orders.csv"
-    bronze: str = "data/bronze/orders"
-    silver_features: str = "data/silver/customer_features"
-    gold_segments: str = "data/gold/customer_segments"
-    model_dir: str = "artifacts/model"
-    metrics: str = "artifacts/run_metrics"
+    """Where each stage reads and writes; on a cluster all of them in shared storage."""
+
+    raw_orders: str
+    bronze: str
+    silver_features: str
+    gold_segments: str
+    model_dir: str
+    metrics: str
+
+    @staticmethod
+    def under(base: str, raw_orders: str) -> "Paths":
+        """The usual layout below one base folder."""
+        b = base.rstrip("/")
+        return Paths(raw_orders, f"{b}/bronze/orders", f"{b}/silver/customer_features", f"{b}/gold/customer_segments",
+                     f"{b}/artifacts/model", f"{b}/artifacts/run_metrics")
 
 
 @dataclass(frozen=True)
@@ -35,46 +48,63 @@ class ModelParams:
     max_iter: int = 50
     seed: int = 42
     features: tuple[str, ...] = MODEL_FEATURES
-    # Canonical layout before every fit (K-Means init depends on it). None -> one
-    # partition per ``layout_rows_per_partition`` persons (a few MB of vectors, so every
-    # core gets work), capped by the session's spark.sql.shuffle.partitions: the same
-    # input always gets the same layout.
-    layout_partitions: int | None = None
-    layout_rows_per_partition: int = 50_000
+    # Partitions of the canonical layout before every fit. K-Means initialisation depends on
+    # them, so they are part of the model's definition (and of its run metrics), never derived
+    # from the session or the data. Raise it with the cluster: one core works on one partition.
+    layout_partitions: int = 16
     # k values fitted concurrently during the sweep (each fit is a distributed job).
     sweep_parallelism: int = 6
 
 
+@dataclass(frozen=True)
+class SparkParams:
+    """Spark settings of a job; ``conf()`` gives them to the session builder."""
+
+    shuffle_partitions: int = 64
+    broadcast_bytes: int = 32 * 1024 * 1024
+    extra: Mapping[str, str] = field(default_factory=dict)
+
+    def conf(self) -> dict[str, str]:
+        return {
+            "spark.sql.shuffle.partitions": str(self.shuffle_partitions),
+            "spark.sql.autoBroadcastJoinThreshold": str(self.broadcast_bytes),
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": str(self.broadcast_bytes),
+            **{str(k): str(v) for k, v in self.extra.items()},
+        }
+
+
 @dataclass(frozen=True)
 class Settings:
-    paths: Paths = field(default_factory=Paths)
+    paths: Paths
     model: ModelParams = field(default_factory=ModelParams)
+    spark: SparkParams = field(default_factory=SparkParams)
     model_version: str = "v1.0.0"
     output_format: str = "parquet"
-    shuffle_partitions: int = 64
     # Catalog mode: when set, silver features and the model table are also catalog
     # tables named "<prefix>_features" / "<prefix>_ml_segments", bucketed by person into
     # ``person_buckets`` buckets (size it to ~person-table bytes / 256 MB), so the
     # features x model-table join reads both sides co-located.
     table_prefix: str | None = None
-    person_buckets: int = 64
+    person_buckets: int = PERSON_BUCKETS
 
     @staticmethod
-    def load(data: Mapping[str, Any] | None = None, env: Mapping[str, str] | None = None) -> "Settings":
-        """Build settings from a plain mapping (e.g. parsed job config); env wins."""
-        data = dict(data or {})
+    def load(data: Mapping[str, Any], env: Mapping[str, str] | None = None) -> "Settings":
+        """Build settings from a plain mapping (e.g. parsed job config); env wins.
+
+        Sections: ``paths`` (required), ``model`` and ``spark``; any unknown key is an error.
+        """
         env = os.environ if env is None else env
-        paths = _build(Paths, data.get("paths", {}))
-        model = _build(ModelParams, data.get("model", {}))
-        return Settings(
-            paths=paths,
-            model=model,
-            model_version=env.get("MODEL_VERSION", data.get("model_version", "v1.0.0")),
-            output_format=env.get("OUTPUT_FORMAT", data.get("output_format", "parquet")),
-            shuffle_partitions=int(data.get("shuffle_partitions", 64)),
-            table_prefix=data.get("table_prefix"),
-            person_buckets=int(data.get("person_buckets", 64)),
-        )
+        values = dict(data)
+        known = {f.name for f in fields(Settings)}
+        if unknown := set(values) - known:
+            raise ValueError(f"unknown Settings keys: {sorted(unknown)}")
+        values["paths"] = _build(Paths, values.get("paths", {}))
+        values["model"] = _build(ModelParams, values.get("model", {}))
+        values["spark"] = _build(SparkParams, values.get("spark", {}))
+        for name in ("model_version", "output_format"):
+            if name.upper() in env:
+                values[name] = env[name.upper()]
+        return Settings(**values)
 
     def with_model(self, **kw: Any) -> "Settings":
         return replace(self, model=replace(self.model, **kw))
@@ -85,6 +115,9 @@ def _build(cls, values: Mapping[str, Any]):
     unknown = set(values) - names
     if unknown:
         raise ValueError(f"unknown {cls.__name__} keys: {sorted(unknown)}")
+    missing = [f.name for f in fields(cls) if f.name not in values and f.default is MISSING and f.default_factory is MISSING]
+    if missing:
+        raise ValueError(f"missing {cls.__name__} keys: {missing}")
     vals = dict(values)
     if "features" in vals:
         vals["features"] = tuple(vals["features"])

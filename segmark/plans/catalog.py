@@ -18,7 +18,7 @@ from segmark.operators import features as feat
 from segmark.operators import marts, ml, quality, reports
 from segmark.operators.rules import rule_segments, with_rule_label
 from segmark.operators.staging import not_null_keys, stage_orders
-from segmark.params import MODEL_FEATURES, ModelParams
+from segmark.params import MODEL_FEATURES, PERSON_BUCKETS, ModelParams
 from segmark.session import scratch_path
 from segmark.sinks import writers
 from segmark.sources import raw as rawsrc
@@ -29,6 +29,7 @@ from segmark.sources.tables import empty_typed, optional_table, read_dataset, re
 MODEL_VERSION = "v1.0.0"
 SCORED_AT = dt.datetime(2024, 2, 1, 0, 0, 0)
 # As-of times for the freshness check on events.ts (newest event: 2024-01-30, late evening).
+LOADED_AT = dt.datetime(2024, 1, 31, 0, 0, 0)
 FRESHNESS_AS_OF = (
     dt.datetime(2024, 1, 31, 1, 0, 0),
     dt.datetime(2024, 2, 1, 16, 0, 0),
@@ -53,9 +54,11 @@ def _features(spark: SparkSession, sf: str) -> DataFrame:
 
 def _shared_features(spark: SparkSession, sf: str) -> DataFrame:
     """Features read by several branches of one query (model table, its profile, the
-    person rows): computed once and cut from their lineage, as a written silver table
-    would be, instead of re-running the whole feature plan per branch."""
-    return _checkpointed_features(spark, sf)
+    person rows): written once to the shared folder and read back by column, as the silver
+    table of the staged build, instead of re-running the whole feature plan per branch."""
+    path = scratch_path(spark, "features")
+    writers.write_table(_features(spark, sf), path)
+    return read_dataset(spark, path)
 
 
 def fixed_assignment(features: DataFrame) -> DataFrame:
@@ -75,6 +78,16 @@ def _fixed_ml_table(features: DataFrame) -> DataFrame:
     return ml.label_segments(fixed_assignment(known)).select("customer_unique_id", "segment_id", "segment_label")
 
 
+def mixed_assignment(features: DataFrame) -> DataFrame:
+    """A second fixed assignment, whose cluster profiles reach all four labels: the cluster of
+    multi-state persons is diluted with single orders of one zip region."""
+    one_order = (F.col("num_orders") == 1) & (F.col("zip_macro_region") == 1)
+    return features.withColumn(
+        "segment_id",
+        F.when(F.col("num_orders") >= 3, 0).when((F.col("num_distinct_states") > 1) | one_order, 1).when(
+            F.col("state_market_share") > 0.30, 2).otherwise(3))
+
+
 def _empty_ml(spark: SparkSession) -> DataFrame:
     return empty_typed(spark, marts.ML_SCHEMA)
 
@@ -185,7 +198,7 @@ def q_mart_dim_fact_join(spark, sf):
     co-located: no shuffle on either side."""
     f = _shared_features(spark, sf)
     built = marts.build_marts(f, _fixed_ml_table(f), MODEL_VERSION, SCORED_AT)
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = PERSON_BUCKETS
     tag = uuid.uuid4().hex[:12]
     names = {}
     for kind, sort_key in (("dim_customers", "primary_region"), ("fct_customer_segments", "segment_id")):
@@ -203,12 +216,25 @@ def q_optional_table(spark, sf):
     return marts.fct_customer_segments(_features(spark, sf), ml_tab, MODEL_VERSION, SCORED_AT)
 
 
+def q_optional_table_present(spark, sf):
+    """S9 with the table there: written, probed by name and used."""
+    f = _shared_features(spark, sf)
+    name = f"segmark_ml_present_{uuid.uuid4().hex[:12]}"
+    writers.save_as_table(_fixed_ml_table(f), name, path=scratch_path(spark, name))
+    return marts.fct_customer_segments(f, optional_table(spark, name, marts.ML_SCHEMA), MODEL_VERSION, SCORED_AT)
+
+
 # ---- cluster operators on a fixed assignment ----------------------------------------
 def q_label_by_profile(spark, sf):
     scored = fixed_assignment(_shared_features(spark, sf))
     return ml.label_segments(scored).select("customer_unique_id", "segment_id", "segment_label")
 
 
+def q_label_by_profile_mixed(spark, sf):
+    return ml.label_segments(mixed_assignment(_shared_features(spark, sf))).select(
+        "customer_unique_id", "segment_id", "segment_label")
+
+
 def q_cluster_profile(spark, sf):
     prof = ml.cluster_profile(fixed_assignment(_features(spark, sf)))
     return prof.select(
@@ -224,9 +250,9 @@ def q_standardized_features(spark, sf):
 
 
 def _scaled_with_rules(spark, sf) -> DataFrame:
-    # Several passes follow (scaler fit, centres / cluster sums, assignment): cut the
-    # feature lineage once so each pass reads the checkpoint, not the source tables.
-    f = fixed_assignment(_checkpointed_features(spark, sf))
+    # Several passes follow (scaler fit, centres / cluster sums, assignment): each reads
+    # the written features, not the source tables.
+    f = fixed_assignment(_shared_features(spark, sf))
     return ml.fit_scaling(f).transform(f)
 
 
@@ -293,16 +319,24 @@ def q_model_vs_rule(spark, sf):
 
 
 # ---- data quality -----------------------------------------------------------------------
+def _fallback(spark, sf) -> DataFrame:
+    return marts.resolve_segments(_features(spark, sf), _empty_ml(spark), MODEL_VERSION, SCORED_AT)
+
+
 def q_dq_not_null(spark, sf):
-    raw = _raw(spark, sf)
-    f = _features(spark, sf)
-    a = quality.not_null_summary(raw, "raw_orders", ["customer_id", "customer_unique_id"])
-    b = quality.not_null_summary(
-        marts.resolve_segments(f, _empty_ml(spark), MODEL_VERSION, SCORED_AT),
-        "fct_customer_segments",
-        ["customer_unique_id", "segment_label"],
+    """Q1 on raw orders (missing keys), on the fact (none), and on a fact with planted gaps:
+    no key where the state is unknown, no label in one region."""
+    columns = ["customer_unique_id", "segment_label"]
+    fact = _fallback(spark, sf)
+    planted = fact.withColumns({
+        "customer_unique_id": F.when(F.col("primary_state").isNotNull(), F.col("customer_unique_id")),
+        "segment_label": F.when(~F.col("primary_region").eqNullSafe("Norte"), F.col("segment_label")),
+    })
+    return (
+        quality.not_null_summary(_raw(spark, sf), "raw_orders", ["customer_id", "customer_unique_id"])
+        .unionByName(quality.not_null_summary(fact, "fct_customer_segments", columns))
+        .unionByName(quality.not_null_summary(planted, "fct_planted", columns))
     )
-    return a.unionByName(b)
 
 
 def q_dq_unique(spark, sf):
@@ -310,7 +344,44 @@ def q_dq_unique(spark, sf):
 
 
 def q_dq_unique_orders(spark, sf):
-    return quality.unique_violations(_stg(spark, sf), ["customer_id"])
+    """Q2 on staged orders of which one state's were loaded twice."""
+    stg = _stg(spark, sf)
+    twice = stg.unionByName(stg.where(F.col("customer_state") == "BA"))
+    return quality.unique_violations(twice, ["customer_id"]).withColumn("occurrences", F.col("occurrences").cast("int"))
+
+
+_MARTS = ("dim_customers", "fct_customer_segments", "mart_bi_customer_segments")
+
+
+def q_dq_marts(spark, sf):
+    """The marts' declared checks on planted faults: repeated persons in the dimension (one
+    region) and the fact (another), missing labels in the mart (a third)."""
+    f = _shared_features(spark, sf)
+    built = marts.build_marts(f, _empty_ml(spark), MODEL_VERSION, SCORED_AT)
+    persons = f.select(F.col("customer_unique_id").alias("_p"), F.col("primary_region").alias("_r"))
+
+    def twice(df, region):
+        again = persons.where(F.col("_r") == region)
+        return df.unionByName(df.join(again, F.col("customer_unique_id") == F.col("_p"), "left_semi"))
+
+    mart = built["mart_bi_customer_segments"]
+    gaps = mart.withColumn("segment_label", F.when(~F.col("primary_region").eqNullSafe("Nordeste"), F.col("segment_label")))
+    faulty = (twice(built["dim_customers"], "Sul"), twice(built["fct_customer_segments"], "Norte"), gaps)
+    out = None
+    for name, df in zip(_MARTS, faulty, strict=True):
+        rows = quality.mart_violations(df, name, "customer_unique_id", "segment_label")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+def q_dq_marts_clean(spark, sf):
+    """The same checks as counts on the marts as built."""
+    built = marts.build_marts(_shared_features(spark, sf), _empty_ml(spark), MODEL_VERSION, SCORED_AT)
+    out = None
+    for name in _MARTS:
+        rows = quality.mart_summary(built[name], name, "customer_unique_id", "segment_label")
+        out = rows if out is None else out.unionByName(rows)
+    return out
 
 
 def q_dq_relationships(spark, sf):
@@ -321,14 +392,18 @@ def q_dq_relationships(spark, sf):
 
 
 def q_dq_accepted_values(spark, sf):
+    """Q4 on a mart whose labels are spelled in capitals in two regions."""
     f = _shared_features(spark, sf)
     mart = marts.build_marts(f, _fixed_ml_table(f), MODEL_VERSION, SCORED_AT)["mart_bi_customer_segments"]
-    return quality.accepted_values_violations(mart, "segment_label", ACCEPTED_LABELS, "warn")
+    spelled = F.when(F.col("primary_region").isin("Norte", "Sul"), F.upper("segment_label")).otherwise(F.col("segment_label"))
+    return quality.accepted_values_violations(mart.withColumn("segment_label", spelled), "segment_label", ACCEPTED_LABELS, "warn")
 
 
 def q_dq_coverage(spark, sf):
+    """Q5 / J8 against a fact that lost the persons without a region and the frequent ones."""
     f = _shared_features(spark, sf)
-    fct = marts.fct_customer_segments(f, _fixed_ml_table(f), MODEL_VERSION, SCORED_AT)
+    fct = marts.fct_customer_segments(
+        f.where(F.col("primary_region").isNotNull() & (F.col("num_orders") < 3)), _empty_ml(spark), MODEL_VERSION, SCORED_AT)
     return quality.coverage_violations(marts.dim_customers(f), fct)
 
 
@@ -337,13 +412,26 @@ def q_dq_freshness(spark, sf):
     return quality.freshness(read_table(spark, sf, "events"), "ts", FRESHNESS_AS_OF)
 
 
+def q_dq_freshness_bronze(spark, sf):
+    """Q6 on the load time that the features stage writes into bronze."""
+    from segmark.plans.stages import build_features
+
+    settings = _stage_settings(spark, sf)
+    build_features(spark, settings, loaded_at=LOADED_AT)
+    bronze = read_dataset(spark, settings.paths.bronze)
+    at = [LOADED_AT + dt.timedelta(days=d) for d in (1, 2, 4)]
+    return quality.freshness(bronze, "_loaded_at", at).withColumn("max_loaded_at", F.col("max_loaded_at").cast("timestamp_ntz"))
+
+
 def q_dq_reconcile(spark, sf):
     f = _features(spark, sf)
     return quality.reconcile_counts(with_rule_label(f).withColumnRenamed("segment_label_rule", "segment_label"))
 
 
 def q_dq_bounds(spark, sf):
-    return quality.bounds_violations(_features(spark, sf), "state_market_share", 0.0, 1.0)
+    """Q8 on a share that was wrongly raised by every repeated order."""
+    raised = _features(spark, sf).withColumn("state_market_share", F.col("state_market_share") + F.col("num_orders") - 1)
+    return quality.bounds_violations(raised, "state_market_share", 0.0, 1.0).select("customer_unique_id", "state_market_share")
 
 
 def q_dq_grain(spark, sf):
@@ -442,6 +530,16 @@ def q_clustered_roundtrip(spark, sf):
     return read_dataset(spark, path).select(*marts.MART_COLUMNS)
 
 
+def q_view_roundtrip(spark, sf):
+    """K5 as a view: the plan is stored under a name, nothing is written."""
+    return writers.materialize(marts.dim_customers(_features(spark, sf)), f"segmark_view_{uuid.uuid4().hex[:12]}", "view")
+
+
+def q_inline_roundtrip(spark, sf):
+    """K5 inline: the frame itself takes part in the reader's plan."""
+    return writers.materialize(marts.dim_customers(_features(spark, sf)), "inline", "ephemeral")
+
+
 def q_table_roundtrip(spark, sf):
     name = f"segmark_dim_{uuid.uuid4().hex[:12]}"
     return writers.materialize(
@@ -456,10 +554,7 @@ def _stage_settings(spark: SparkSession, sf: str):
 
     landing = scratch_path(spark, "raw_orders_csv")
     _csv_write(_raw(spark, sf), landing)
-    names = ("bronze", "silver", "gold", "model", "metrics")
-    b, s_, g, m, r = (scratch_path(spark, n) for n in names)
-    paths = Paths(raw_orders=landing, bronze=b, silver_features=s_, gold_segments=g, model_dir=m, metrics=r)
-    return Settings(paths=paths, model_version=MODEL_VERSION)
+    return Settings(paths=Paths.under(scratch_path(spark, "stages"), landing), model_version=MODEL_VERSION)
 
 
 def q_stage_features_build(spark, sf):
@@ -489,57 +584,129 @@ def q_stage_train_score(spark, sf):
     build_features(spark, settings)
     train_stage(spark, settings)
     score_stage(spark, settings, scored_at=SCORED_AT)
-    return read_dataset(spark, settings.paths.gold_segments).select(*ml.GOLD_COLUMNS)
+    return _gold_check(read_dataset(spark, settings.paths.gold_segments))
 
 
 # ---- model (rows-only checks) -----------------------------------------------------------
-def _checkpointed_features(spark, sf) -> DataFrame:
-    """Features cut from their lineage (reliable checkpoint folder) before many ML passes."""
-    from segmark.session import checkpoint_dir
+def _label_check(labelled: DataFrame, features: DataFrame | None = None) -> DataFrame:
+    """``labelled`` plus whether its label is the profile rule of its own segment, recomputed
+    from the output rows."""
+    rows = labelled if features is None else labelled.join(features, "customer_unique_id")
+    again = ml.cluster_labels(rows).select(F.col(ml.PRED).alias("_id"), F.col("segment_label").alias("_label"))
+    return rows.join(again, F.col(ml.PRED) == F.col("_id"), "left").withColumn(
+        "label_matches_profile", F.col("segment_label").eqNullSafe(F.col("_label")))
+
 
-    checkpoint_dir(spark)
-    return _features(spark, sf).checkpoint(eager=True)
+def _gold_check(gold: DataFrame) -> DataFrame:
+    keep = [c for c in ml.GOLD_COLUMNS if c not in ("segment_id", "segment_label")]
+    return _label_check(gold).select(*keep, "label_matches_profile")
 
 
 def q_kmeans_scored(spark, sf):
-    f = _checkpointed_features(spark, sf)
-    result = ml.train(f, ModelParams(k=5))
-    return result.model.transform(f).select("customer_unique_id", "segment_id")
+    """M3 / M4: is every person's id that of the nearest centre, by an independent distance?"""
+    f = _shared_features(spark, sf)
+    model = ml.train(f, ModelParams(k=5)).model
+    centres = [[float(x) for x in c] for c in model.stages[-1].clusterCenters()]
+    scored = model.transform(f)
+    nearest = ml.assign_to_centroids(scored.withColumnRenamed(ml.PRED, "got"), centres)
+    return nearest.select("customer_unique_id", (F.col("got") == F.col(ml.PRED)).alias("is_nearest_centre"),
+                          F.col("got").between(0, 4).alias("id_in_range"))
+
+
+def _sweep_rows(result: ml.TrainResult) -> list[tuple[int, float]]:
+    return [(int(k[len("silhouette_k"):]), float(v)) for k, v in result.metrics if k.startswith("silhouette_k")]
 
 
 def q_k_sweep(spark, sf):
-    f = _checkpointed_features(spark, sf)
-    result = ml.train(f, ModelParams())
-    rows = [(int(k[len("silhouette_k"):]), float(v)) for k, v in result.metrics if k.startswith("silhouette_k")]
-    return spark.createDataFrame(rows, "k int, silhouette double")
+    """M6: every k is tried, scores lie in [-1, 1], and one k is chosen: the best, the smaller on ties."""
+    result = ml.train(_shared_features(spark, sf), ModelParams())
+    rows = spark.createDataFrame([(k, v, k == result.k) for k, v in _sweep_rows(result)], "k int, silhouette double, chosen boolean")
+    best = rows.agg(F.max(F.struct("silhouette", -F.col("k"))).alias("top"), F.count_if("chosen").cast("int").alias("n_chosen"),
+                    F.max(F.when(F.col("chosen"), F.col("k"))).alias("picked"))
+    return rows.join(F.broadcast(best)).select(  # one row
+        "k", F.col("silhouette").between(-1.0, 1.0).alias("in_range"), "n_chosen",
+        (F.col("picked") == -F.col("top")["col2"]).alias("chosen_is_best"))
 
 
 def q_train_score_gold(spark, sf):
-    f = _checkpointed_features(spark, sf)
+    f = _shared_features(spark, sf)
     result = ml.train(f, ModelParams())
-    return ml.score(result.model, f, MODEL_VERSION, SCORED_AT)
+    return _gold_check(ml.score(result.model, f, MODEL_VERSION, SCORED_AT))
 
 
 def q_run_metrics(spark, sf):
+    """The parameter rows as written, and what must hold of the measured ones."""
     from segmark.plans.stages import metrics_frame
 
-    f = _checkpointed_features(spark, sf)
-    result = ml.train(f, ModelParams())
-    return metrics_frame(spark, result, MODEL_VERSION, run_id="catalog")
+    result = ml.train(_shared_features(spark, sf), ModelParams())
+    path = scratch_path(spark, "run_metrics")
+    metrics_frame(spark, result, MODEL_VERSION, run_id="catalog").write.parquet(path)
+    rows = read_dataset(spark, path)
+    value = lambda key: F.max(F.when(F.col("key") == key, F.col("value")))
+    swept = F.col("key").startswith("silhouette_k")
+    measured = rows.groupBy("run_id", "model_version").agg(
+        F.count_if(swept).cast("double").alias("n_silhouettes"),
+        F.count_if(swept & F.col("value").between(-1.0, 1.0)).cast("double").alias("silhouettes_in_range"),
+        F.max(F.when(swept, F.col("value"))).eqNullSafe(value("silhouette_best")).cast("double").alias("selected_is_best"),
+        (value("training_cost_wssse") > 0).cast("double").alias("cost_is_positive"),
+    )
+    names = ("n_silhouettes", "silhouettes_in_range", "selected_is_best", "cost_is_positive")
+    derived = measured.unpivot(["run_id", "model_version"], list(names), "key", "value")
+    given = rows.where(F.col("key").isin("k_fixed", "max_iter", "seed", "n_features", "layout_partitions"))
+    return given.unionByName(derived)
 
 
 def q_model_roundtrip(spark, sf):
-    f = _checkpointed_features(spark, sf)
-    result = ml.train(f, ModelParams(k=4))
+    """A saved and loaded model gives every person the same cluster."""
+    f = _shared_features(spark, sf)
+    model = ml.train(f, ModelParams(k=4)).model
     path = scratch_path(spark, "model")
-    writers.save_model(result.model, path)
-    return ml.score(writers.load_model(path), f, MODEL_VERSION, SCORED_AT)
+    writers.save_model(model, path)
+    before = model.transform(f).select("customer_unique_id", F.col(ml.PRED).alias("before"))
+    after = writers.load_model(path).transform(f).select("customer_unique_id", F.col(ml.PRED).alias("after"))
+    return before.join(after, "customer_unique_id").select(
+        "customer_unique_id", (F.col("before") == F.col("after")).alias("same_prediction"))
 
 
 def q_ml_table_retrain(spark, sf):
-    f = _checkpointed_features(spark, sf)
-    table, _ = ml.retrain_segments(f, ModelParams(k=5))
-    return table
+    f = _shared_features(spark, sf)
+    table, result = ml.retrain_segments(f, ModelParams(k=5))
+    return _label_check(table, f).select("customer_unique_id", "label_matches_profile",
+                                         F.col(ml.PRED).between(0, result.k - 1).alias("id_in_range"))
+
+
+# ---- served path: retrained model table -> fact -> mart --------------------------------
+def q_marts_from_retrain(spark, sf):
+    """M13 -> L5: the model table covers persons with a known state; the others fall back."""
+    from segmark.plans.stages import build_features, build_marts_stage, retrain_stage
+
+    settings = _stage_settings(spark, sf).with_model(k=5)
+    build_features(spark, settings)
+    feats = read_dataset(spark, settings.paths.silver_features)
+    path = scratch_path(spark, "ml_table")
+    retrain_stage(spark, settings, path)
+    known = feats.where(F.col("primary_state").isNotNull()).select("customer_unique_id")
+    served = read_dataset(spark, path).join(known, "customer_unique_id", "left_semi")
+    out = build_marts_stage(spark, settings, scratch_path(spark, "marts"), ml_table=served, scored_at=SCORED_AT)
+    mart = read_dataset(spark, out["mart_bi_customer_segments"])
+    table = read_dataset(spark, path).select(F.col("customer_unique_id").alias("_p"), F.col("segment_id").alias("_id"),
+                                             F.col("segment_label").alias("_label"))
+    checked = with_rule_label(mart.join(table, F.col("customer_unique_id") == F.col("_p"), "left"))
+    from_model = F.col("segment_source") == "kmeans"
+    right = F.when(from_model, (F.col("segment_id") == F.col("_id")) & (F.col("segment_label") == F.col("_label"))).otherwise(
+        (F.col("segment_id") == UNKNOWN_INT) & (F.col("segment_label") == F.col("segment_label_rule")))
+    keep = [c for c in marts.MART_COLUMNS if c not in ("segment_id", "segment_label")]
+    return checked.select(*keep, right.alias("label_matches_source"))
+
+
+def q_build_all(spark, sf):
+    """L4: features, training and scoring in one call; gold read back."""
+    from segmark.plans.stages import build_all
+
+    settings = _stage_settings(spark, sf)
+    build_all(spark, settings)
+    gold = _gold_check(read_dataset(spark, settings.paths.gold_segments))
+    return gold.drop("model_version", "scored_at")
 
 
 QUERIES: dict[str, Query] = {
@@ -567,7 +734,9 @@ QUERIES: dict[str, Query] = {
     "mart_wide": q_mart_wide,
     "mart_dim_fact_join": q_mart_dim_fact_join,
     "optional_table": q_optional_table,
+    "optional_table_present": q_optional_table_present,
     "label_by_profile": q_label_by_profile,
+    "label_by_profile_mixed": q_label_by_profile_mixed,
     "cluster_profile": q_cluster_profile,
     "standardized_features": q_standardized_features,
     "assign_fixed_centroids": q_assign_fixed_centroids,
@@ -582,10 +751,13 @@ QUERIES: dict[str, Query] = {
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_unique_orders": q_dq_unique_orders,
+    "dq_marts": q_dq_marts,
+    "dq_marts_clean": q_dq_marts_clean,
     "dq_relationships": q_dq_relationships,
     "dq_accepted_values": q_dq_accepted_values,
     "dq_coverage": q_dq_coverage,
     "dq_freshness": q_dq_freshness,
+    "dq_freshness_bronze": q_dq_freshness_bronze,
     "dq_reconcile": q_dq_reconcile,
     "dq_bounds": q_dq_bounds,
     "dq_grain": q_dq_grain,
@@ -598,9 +770,13 @@ QUERIES: dict[str, Query] = {
     "partition_refresh": q_partition_refresh,
     "clustered_roundtrip": q_clustered_roundtrip,
     "table_roundtrip": q_table_roundtrip,
+    "view_roundtrip": q_view_roundtrip,
+    "inline_roundtrip": q_inline_roundtrip,
     "stage_features_build": q_stage_features_build,
     "stage_marts_build": q_stage_marts_build,
-    # model: no SQL oracle (rows-only checks + invariant tests)
+    "marts_from_retrain": q_marts_from_retrain,
+    "build_all": q_build_all,
+    # model: SQL says what must hold of any correctly trained model
     "stage_train_score": q_stage_train_score,
     "kmeans_scored": q_kmeans_scored,
     "k_sweep": q_k_sweep,

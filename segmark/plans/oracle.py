@@ -11,8 +11,10 @@ loc as (
     select l_orderkey, min(l_suppkey) as supp from lineitem group by l_orderkey
 ),
 raw_orders as (
-    select cast(o_orderkey as varchar) as customer_id,
-           cast(o_custkey as varchar) as customer_unique_id,
+    select case when o_orderkey % 211 <> 0 then cast(o_orderkey as varchar) end as customer_id,
+           case when o_orderkey % 199 = 0 then null
+                when o_orderkey % 10 = 0 then cast(o_custkey as varchar)
+                else cast(o_custkey as varchar) || '-' || cast(o_orderkey as varchar) end as customer_unique_id,
            case when o_orderkey % 97 = 0 then 'x' || cast(supp as varchar)
                 when o_orderkey % 11 = 0 then ' ' || cast(supp * 13 as varchar)
                 else lpad(cast((supp * 7919) % 100000 as varchar), 5, '0') end as customer_zip_code_prefix,
@@ -355,7 +357,7 @@ cstats as (
     ),
     "share_ranking": _q(
         """select customer_state, state_orders, state_market_share,
-                  cast(rank() over (order by state_market_share desc, customer_state asc nulls last) as integer)
+                  rank() over (order by state_orders desc)
                   as share_rank
            from state_share"""
     ),
@@ -371,7 +373,11 @@ cstats as (
            select 'fct_customer_segments', 'customer_unique_id',
                   count(*) filter (where customer_unique_id is null) from fallback
            union all
-           select 'fct_customer_segments', 'segment_label', count(*) filter (where segment_label is null) from fallback"""
+           select 'fct_customer_segments', 'segment_label', count(*) filter (where segment_label is null) from fallback
+           union all
+           select 'fct_planted', 'customer_unique_id', count(*) filter (where primary_state is null) from fallback
+           union all
+           select 'fct_planted', 'segment_label', count(*) filter (where primary_region = 'Norte') from fallback"""
     ),
     "dq_unique": """
         select l_orderkey, l_linenumber, count(*) as occurrences
@@ -380,8 +386,19 @@ cstats as (
         group by l_orderkey, l_linenumber
         having count(*) > 1""",
     "dq_unique_orders": _q(
-        """select customer_id, count(*) as occurrences from stg where customer_id is not null
-           group by customer_id having count(*) > 1"""
+        """select customer_id, 2 as occurrences from stg where customer_state = 'BA'"""
+    ),
+    "dq_marts": _q(
+        """select 'dim_customers' as table_name, customer_unique_id, 2 as occurrences, 0 as missing_labels
+           from fallback where primary_region = 'Sul'
+           union all
+           select 'fct_customer_segments', customer_unique_id, 2, 0 from fallback where primary_region = 'Norte'
+           union all
+           select 'mart_bi_customer_segments', customer_unique_id, 1, 1 from fallback where primary_region = 'Nordeste'"""
+    ),
+    "dq_marts_clean": _q(
+        """select t.name as table_name, (select count(*) from features) as persons, 0 as repeated, 0 as missing_keys, 0 as missing_labels
+           from (values ('dim_customers'), ('fct_customer_segments'), ('mart_bi_customer_segments')) as t(name)"""
     ),
     "dq_relationships": _q(
         """select s.customer_id, s.customer_state from stg s
@@ -389,14 +406,10 @@ cstats as (
              and not exists (select 1 from region_map r where r.state_code = s.customer_state)"""
     ),
     "dq_accepted_values": _q(
-        """select segment_label, count(*) as occurrences, 'warn' as severity from resolved
-           where segment_label not in ('Recurrente alto', 'Recurrente', 'Itinerante', 'Metropolitano', 'Estándar regional')
-           group by segment_label"""
-    ),
-    "dq_coverage": _q(
-        """select f.customer_unique_id from features f
-           where not exists (select 1 from resolved r where r.customer_unique_id = f.customer_unique_id)"""
+        """select upper(segment_label) as segment_label, count(*) as occurrences, 'warn' as severity from resolved
+           where primary_region in ('Norte', 'Sul') group by 1"""
     ),
+    "dq_coverage": _q("select customer_unique_id from features where primary_region is null or num_orders >= 3"),
     "dq_freshness": """
         select as_of, max_loaded_at,
                round((epoch(as_of) - epoch(max_loaded_at)) / 3600.0, 6) as age_hours,
@@ -413,8 +426,8 @@ cstats as (
            from rules"""
     ),
     "dq_bounds": _q(
-        f"""select {_FEATURE_COLS} from features
-            where not coalesce(state_market_share between 0.0 and 1.0, false)"""
+        """select customer_unique_id, state_market_share + num_orders - 1 as state_market_share from features
+           where state_market_share + num_orders - 1 > 1.0"""
     ),
     "dq_grain": _q(
         """select count(*) as rows, count(distinct customer_unique_id) as distinct_keys,
@@ -438,12 +451,65 @@ cstats as (
     "table_roundtrip": _q(f"select {_DIM_COLS} from features"),
 }
 
+# ---- model: what SQL can say of any correctly trained model -------------------------------
+_GOLD_COLS = (
+    "customer_unique_id, primary_customer_id, num_orders, is_repeat_customer, num_distinct_states, num_distinct_cities, "
+    "zip_macro_region, primary_state, primary_region, state_market_share"
+)
+_LABELLED = _q(f"select {_GOLD_COLS}, true as label_matches_profile, 'v1.0.0' as model_version, timestamp '2024-02-01 00:00:00' as scored_at from features")
+ORACLE_SQL |= {
+    "label_by_profile_mixed": _q(
+        """select m.customer_unique_id, m.segment_id, p.segment_label from mixed m join (
+               select segment_id,
+                      case when avg(num_orders) > 1.3 then 'Recurrente'
+                           when avg(num_distinct_states) > 1.05 then 'Itinerante'
+                           when avg(state_market_share) > 0.30 then 'Metropolitano'
+                           else 'Estándar regional' end as segment_label
+               from mixed group by segment_id) p on m.segment_id = p.segment_id""",
+        extra="""
+mixed as (
+    select *, case when num_orders >= 3 then 0
+                   when num_distinct_states > 1 or (num_orders = 1 and zip_macro_region = 1) then 1
+                   when state_market_share > 0.30 then 2 else 3 end as segment_id
+    from features
+)""",
+    ),
+    "kmeans_scored": _q("select customer_unique_id, true as is_nearest_centre, true as id_in_range from features"),
+    "k_sweep": """select cast(range as integer) as k, true as in_range, 1 as n_chosen, true as chosen_is_best from range(3, 9)""",
+    "train_score_gold": _LABELLED,
+    "stage_train_score": _LABELLED,
+    "model_roundtrip": _q("select customer_unique_id, true as same_prediction from features"),
+    "ml_table_retrain": _q("select customer_unique_id, true as label_matches_profile, true as id_in_range from features"),
+    "run_metrics": """
+        select 'catalog' as run_id, 'v1.0.0' as model_version, key, value from (values
+            ('k_fixed', -1.0::double), ('max_iter', 50.0::double), ('seed', 42.0::double), ('n_features', 7.0::double),
+            ('layout_partitions', 16.0::double), ('n_silhouettes', 6.0::double), ('silhouettes_in_range', 6.0::double),
+            ('selected_is_best', 1.0::double), ('cost_is_positive', 1.0::double)) as t(key, value)""",
+    # served path: retrained model table -> fact -> mart
+    "marts_from_retrain": _q(
+        f"""select {_GOLD_COLS.replace("state_market_share", "round(state_market_share, 4) as state_market_share")},
+                   case when primary_state is not null then 'kmeans' else 'rule_based' end as segment_source,
+                   true as label_matches_source, 'v1.0.0' as model_version, timestamp '2024-02-01 00:00:00' as scored_at
+            from rules"""
+    ),
+    "build_all": _q(f"select {_GOLD_COLS}, true as label_matches_profile from features"),
+    "dq_freshness_bronze": _q(
+        """select a.as_of, timestamp '2024-01-31 00:00:00' as max_loaded_at, a.age_hours, a.status
+           from (values (timestamp '2024-02-01 00:00:00', 24.0::double, 'pass'), (timestamp '2024-02-02 00:00:00', 48.0::double, 'warn'),
+                        (timestamp '2024-02-04 00:00:00', 96.0::double, 'error')) as a(as_of, age_hours, status)
+           where exists (select 1 from stg)"""
+    ),
+}
+
 # Same result, different operator form.
 ORACLE_SQL["region_lookup_map"] = ORACLE_SQL["region_lookup_join"]
 ORACLE_SQL["state_share_sql"] = ORACLE_SQL["state_share"]
 ORACLE_SQL["primary_state_sql"] = ORACLE_SQL["primary_state_window"]
 ORACLE_SQL["primary_state_struct"] = ORACLE_SQL["primary_state_window"]
 ORACLE_SQL["mart_dim_fact_join"] = ORACLE_SQL["mart_wide"]
+ORACLE_SQL["optional_table_present"] = ORACLE_SQL["fct_segments_with_ml"]
+ORACLE_SQL["view_roundtrip"] = ORACLE_SQL["table_roundtrip"]
+ORACLE_SQL["inline_roundtrip"] = ORACLE_SQL["table_roundtrip"]
 ORACLE_SQL["optional_table"] = ORACLE_SQL["fct_segments_fallback"]
 ORACLE_SQL["stage_features_build"] = ORACLE_SQL["person_features"]
 ORACLE_SQL["stage_marts_build"] = _q(_MART_SELECT.replace("from resolved", "from fallback"))

@@ -15,8 +15,9 @@ from segmark.operators import marts, ml
 from segmark.operators.features import customer_features
 from segmark.operators.staging import stage_orders
 from segmark.params import Settings
+from segmark.session import scratch_path
 from segmark.sinks import writers
-from segmark.sources.raw import read_raw_csv
+from segmark.sources.raw import read_raw_csv, with_loaded_at
 from segmark.sources.tables import empty_typed, read_dataset
 
 log = logging.getLogger("segmark.stages")
@@ -49,15 +50,18 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def build_features(spark: SparkSession, settings: Settings, raw: DataFrame | None = None) -> int:
+def build_features(
+    spark: SparkSession, settings: Settings, raw: DataFrame | None = None, loaded_at: dt.datetime | None = None
+) -> int:
     """L1: raw orders -> staged orders (bronze) -> person features (silver).
 
-    Staged orders are written once in columnar form; each feature branch then reads
-    only the columns it needs from that table instead of re-parsing the raw input.
+    Staged orders are written once in columnar form with their load time (S3; ``loaded_at``
+    fixes it for reproducible runs); the features read only the columns they need from that
+    table instead of re-parsing the raw input.
     """
     raw = raw if raw is not None else read_raw_csv(spark, settings.paths.raw_orders)
     fmt = settings.output_format
-    writers.write_table(stage_orders(raw), settings.paths.bronze, fmt=fmt)
+    writers.write_table(with_loaded_at(stage_orders(raw), loaded_at), settings.paths.bronze, fmt=fmt)
     feats, obs = _counted(customer_features(read_dataset(spark, settings.paths.bronze, fmt)), "features")
     _write_person_table(feats, settings, "features", settings.paths.silver_features)
     n = int(obs.get["rows"])
@@ -100,10 +104,15 @@ def score_stage(
     return n
 
 
-def retrain_stage(spark: SparkSession, settings: Settings, ml_table_path: str, k: int = 5) -> int:
-    """Retrain with a fixed k and overwrite the model assignment table."""
+#: k of a retraining whose settings name none.
+RETRAIN_K = 5
+
+
+def retrain_stage(spark: SparkSession, settings: Settings, ml_table_path: str) -> int:
+    """Retrain with the settings' k and overwrite the model assignment table."""
     feats = _read_person_table(spark, settings, "features", settings.paths.silver_features)
-    table, _ = ml.retrain_segments(feats, replace(settings.model, k=k))
+    params = settings.model if settings.model.k is not None else replace(settings.model, k=RETRAIN_K)
+    table, _ = ml.retrain_segments(feats, params)
     table, obs = _counted(table, "ml_table")
     _write_person_table(table, settings, "ml_segments", ml_table_path)
     return int(obs.get["rows"])
@@ -126,7 +135,7 @@ def build_marts_stage(
     column projections of it, each laid out by its cluster keys."""
     feats = _read_person_table(spark, settings, "features", settings.paths.silver_features)
     ml_tab = ml_table if ml_table is not None else empty_typed(spark, marts.ML_SCHEMA)
-    resolved_path = f"{out_dir.rstrip('/')}/_resolved"
+    resolved_path = scratch_path(spark, "resolved")
     writers.write_table(marts.resolve_segments(feats, ml_tab, settings.model_version, scored_at), resolved_path)
     resolved = read_dataset(spark, resolved_path)
     layout = {
@@ -139,6 +148,7 @@ def build_marts_stage(
         path = f"{out_dir.rstrip('/')}/{name}"
         writers.write_table(writers.clustered(df, keys), path, fmt=settings.output_format, rebalance=False)
         paths[name] = path
+    writers.remove(spark, resolved_path)
     return paths
 
 

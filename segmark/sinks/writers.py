@@ -7,6 +7,11 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 
+def _balanced(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows dealt by ``keys`` in an AQE rebalance: small partitions merge, a skewed one splits (K7)."""
+    return df.hint("rebalance", *keys)
+
+
 def write_table(
     df: DataFrame,
     path: str,
@@ -17,25 +22,20 @@ def write_table(
     overwrite: str = "static",
     rebalance: bool | None = None,
 ) -> None:
-    """Idempotent write (K1). ``partition_by`` -> one folder per value (K2);
-    ``overwrite='dynamic'`` replaces only the partitions present in ``df`` (K3), while
-    ``'static'`` is a full refresh.
-
-    ``rebalance`` (K7, default: only for partitioned writes) adds AQE's rebalance shuffle
-    by the partition columns, so each task writes few partition folders and a skewed
-    partition value is split into several files. Unpartitioned writes skip it by
-    default: their input splits / coalesced shuffle partitions already give even files,
-    and an extra full shuffle of e.g. the staged orders would cost more than it saves."""
-    if rebalance is None:
-        rebalance = bool(partition_by)
-    if rebalance:
-        df = df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
-    writer = df.write.mode(mode).format(fmt).option("partitionOverwriteMode", overwrite)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    if fmt == "parquet":
-        writer = writer.option("compression", "snappy")
-    writer.save(path)
+    """Write a dataset so that a rerun gives the same state (K1).
+
+    ``overwrite`` says what a rerun replaces: ``'static'`` everything below ``path``,
+    ``'dynamic'`` the partitions that ``df`` has rows for (K3). It is an option of this write,
+    so concurrent writes in a session do not share it. With ``partition_by`` (K2) the rows are
+    rebalanced by those columns first, unless ``rebalance`` says otherwise; without, input
+    splits and coalesced shuffles give even files already. The codec is the session's.
+    """
+    if overwrite not in ("static", "dynamic"):
+        raise ValueError(f"unknown overwrite mode {overwrite!r}")
+    keys = list(partition_by or ())
+    out = _balanced(df, keys) if (bool(keys) if rebalance is None else rebalance) else df
+    options = {"partitionOverwriteMode": overwrite}
+    out.write.save(path, format=fmt, mode=mode, partitionBy=keys or None, **options)
 
 
 def clustered(
@@ -44,13 +44,15 @@ def clustered(
     """Clustered layout (K6): range-partition and sort by the keys, so every output file
     covers a narrow key range and parquet min/max statistics skip row groups.
 
-    Range partitioning cannot split one key value, so a (region, segment) pair holding a
+    Without ``partitions`` AQE merges the ranges up to its advisory size, so the number of
+    files follows the table's bytes, not the session's initial partition count. Range
+    partitioning cannot split one key value, so a (region, segment) pair holding a
     third of all rows would land in one huge file; the ``tiebreak`` column (the person id,
     when present) is appended as the last range key so such a group spreads over several
     files while the files stay ordered by the cluster keys."""
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     range_keys = list(keys) + ([tiebreak] if tiebreak and tiebreak in df.columns and tiebreak not in keys else [])
-    return df.repartitionByRange(n, *range_keys).sortWithinPartitions(*range_keys)
+    dealt = df.repartitionByRange(partitions, *range_keys) if partitions else df.repartitionByRange(*range_keys)
+    return dealt.sortWithinPartitions(*range_keys)
 
 
 def save_as_table(
@@ -97,6 +99,12 @@ def materialize(
     raise ValueError(f"unknown materialization {how!r}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a hand-over folder that nothing reads any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def save_model(model: PipelineModel, path: str) -> None:
     """K8."""
     model.write().overwrite().save(path)

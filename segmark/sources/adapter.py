@@ -1,11 +1,11 @@
 """Raw order rows derived from the driver's TPC-H-like tables.
 
-The reference reads a CSV of orders (one row per order, person id, zip prefix, city,
-state). That file is not available, so this relation stands in for it, built from
-``orders`` (order = o_orderkey, person = o_custkey), the order's lowest supplier key
-in ``lineitem`` and that supplier's nation in ``supplier``. Some zip, city and state
-values are deliberately dirty so that staging has real work to do. It covers the
-whole ``orders`` table.
+The operators work on a CSV of orders (one row per order, person id, zip prefix, city,
+state). No such file is given, so this relation stands in for it, built from ``orders``, the
+order's lowest supplier key in ``lineitem`` and that supplier's nation in ``supplier``. Every
+order gives one row. Most persons order once: a customer's orders count as one person's
+for every tenth order key only, the others as guests of their own. Some keys are missing and
+some zip, city and state values are dirty, so that staging has real work to do.
 
 At scale: one partial aggregate of ``lineitem`` by order key, one shuffle join with
 ``orders`` on the same key and one join with ``supplier`` (AQE broadcasts it when the
@@ -42,6 +42,11 @@ PADDED_ZIP_EVERY = 11
 UPPER_CITY_EVERY = 5
 TRAILING_CITY_EVERY = 7
 CITY_COUNT = 40
+# Order keys divisible by this belong to the customer's own account; others to a guest.
+ACCOUNT_EVERY = 10
+# Order keys divisible by these lack their order id / their person id.
+NO_ORDER_ID_EVERY = 211
+NO_PERSON_EVERY = 199
 # ---- end of fixed values -----------------------------------------------------------
 
 
@@ -80,9 +85,12 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(key % TRAILING_CITY_EVERY == 0, F.concat(city_base, F.lit(" ")))
         .otherwise(city_base)
     )
+    account = F.col("o_custkey").cast("string")
+    person = F.when(key % NO_PERSON_EVERY == 0, F.lit(None)).when(key % ACCOUNT_EVERY == 0, account).otherwise(
+        F.concat_ws("-", account, key.cast("string")))
     return joined.select(
-        key.cast("string").alias("customer_id"),
-        F.col("o_custkey").cast("string").alias("customer_unique_id"),
+        F.when(key % NO_ORDER_ID_EVERY != 0, key.cast("string")).alias("customer_id"),
+        person.alias("customer_unique_id"),
         zip_raw.alias("customer_zip_code_prefix"),
         city_raw.alias("customer_city"),
         _state_of(F.col("s_nationkey")).alias("customer_state"),

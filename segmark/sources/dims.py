@@ -5,7 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
-# ---- fixed values (must equal the reference) -------------------------------------
+# ---- fixed values (part of the result contract) -------------------------------------
 # state_code, region, region_idx as seeded, is_capital_state -- in seed order.
 STATE_REGION_ROWS = [
     ("AC", "Norte", 0, 0),

@@ -1,8 +1,6 @@
-"""Columnar and named-table sources."""
+"""Columnar and named-table sources."""
 from __future__ import annotations
 
-from typing import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -18,16 +16,6 @@ def read_dataset(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return spark.read.format(fmt).load(path)
 
 
-def named_table(spark: SparkSession, name: str) -> DataFrame:
-    """Catalog table or temp view."""
-    return spark.table(name)
-
-
-def local_rows(spark: SparkSession, rows: Iterable[tuple], schema: StructType | str) -> DataFrame:
-    """Small driver-side rows -> DataFrame (S7); for fixtures and tiny lookup tables only."""
-    return spark.createDataFrame(list(rows), schema)
-
-
 def empty_typed(spark: SparkSession, schema: StructType | str) -> DataFrame:
     """Typed empty relation (S8): ``select null::type ... where false``.
 

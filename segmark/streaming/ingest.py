@@ -1,19 +1,21 @@
 """Incremental raw-order load (S2 + S3 as a stream).
 
-The reference bulk-loads CSV files from a landing stage into the raw table, aborting on
-malformed rows, turning '' / 'NULL' into NULL and stamping ``_loaded_at``; a scheduled
-rerun picks up new files. Here that is a Structured Streaming file source with an
+CSV files of a landing stage go into the raw table: malformed rows abort, '' / 'NULL' become
+NULL, ``_loaded_at`` is stamped, and a scheduled rerun picks up new files. A Structured
+Streaming file source does that with an
 ``availableNow`` trigger: every run loads exactly the files not loaded before (the
 checkpoint records them), in parallel across the cluster, then stops. The checkpoint
 must live in shared storage so that a rerun on any driver resumes from it.
 """
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmark.functions.scalar import typed_null
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from segmark.sources.raw import RAW_COLUMNS, RAW_SCHEMA
 
@@ -37,10 +39,11 @@ def raw_order_stream(spark: SparkSession, landing: str, strict: bool = True, max
 
 
 def start_ingest(
-    spark: SparkSession, landing: str, bronze: str, checkpoint: str, strict: bool = True
+    spark: SparkSession, landing: str, bronze: str, checkpoint: str, strict: bool = True, max_files: int | None = None
 ) -> StreamingQuery:
+    """``max_files`` splits a backlog into micro-batches of at most that many files."""
     return (
-        raw_order_stream(spark, landing, strict)
+        raw_order_stream(spark, landing, strict, max_files)
         .writeStream.format("parquet")
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
@@ -49,10 +52,42 @@ def start_ingest(
     )
 
 
-def ingest_new_files(spark: SparkSession, landing: str, bronze: str, checkpoint: str, strict: bool = True) -> int:
-    """Load the files that arrived since the last run; returns the rows loaded."""
-    q = start_ingest(spark, landing, bronze, checkpoint, strict)
-    q.awaitTermination()
-    if q.exception() is not None:
-        raise RuntimeError(str(q.exception()))
-    return int(sum(p.get("numInputRows", 0) for p in q.recentProgress))
+class _RowCounter(StreamingQueryListener):
+    """Rows of every micro-batch of one query; progress reports keep only the last hundred."""
+
+    def __init__(self) -> None:
+        self.rows: dict[str, dict[int, int]] = {}
+        self.ended: set[str] = set()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        self.rows.setdefault(str(p.runId), {})[p.batchId] = p.numInputRows
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.ended.add(str(event.runId))
+
+
+def ingest_new_files(
+    spark: SparkSession, landing: str, bronze: str, checkpoint: str, strict: bool = True, max_files: int | None = None
+) -> int:
+    """Load the files that arrived since the last run; returns the rows loaded in all batches."""
+    counter = _RowCounter()
+    spark.streams.addListener(counter)
+    try:
+        q = start_ingest(spark, landing, bronze, checkpoint, strict, max_files)
+        run = str(q.runId)
+        q.awaitTermination()
+        until = time.monotonic() + 30  # reports arrive in order; the end of the run is the last one
+        while run not in counter.ended and time.monotonic() < until:
+            time.sleep(0.01)
+    finally:
+        spark.streams.removeListener(counter)
+    if run not in counter.ended:
+        raise RuntimeError("the stream ended without reporting its batches")
+    return sum(counter.rows.get(run, {}).values())

@@ -45,7 +45,7 @@ def test_lenient_csv_consistent_counts(spark, tmp_dir):
 
 def test_strict_csv_fails_and_nulls(spark, tmp_dir):
     path = _write(os.path.join(tmp_dir, "csv"), PLANTED)
-    with pytest.raises(Exception):
+    with pytest.raises(Exception, match="MALFORMED|[Mm]alformed"):
         rawsrc.read_raw_csv_strict(spark, path).collect()
     ok = _write(os.path.join(tmp_dir, "ok"), "h1,h2,h3,h4,h5\na,A,NULL,,SP\n")
     r = rawsrc.read_raw_csv_strict(spark, ok).collect()[0]

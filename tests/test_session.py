@@ -36,6 +36,6 @@ def test_configured_checkpoint_dir_is_used():
 def test_scale_conf_partition_floor():
     from segmark.session import partitions_for, session_conf
 
-    assert partitions_for(10 * 1024**3) == 64
+    assert partitions_for(10 * 1024**3) == 64  # the floor
     assert session_conf(16)["spark.sql.shuffle.partitions"] == "16"
     assert session_conf()["spark.ui.enabled"] == "false"

@@ -4,6 +4,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import pytest
 from conftest import SF_SMALL
 
 from segmark.operators import marts
@@ -14,14 +15,7 @@ from segmark.plans import stages
 
 
 def _settings(base):
-    paths = Paths(
-        raw_orders=os.path.join(base, "raw"),
-        bronze=os.path.join(base, "bronze"),
-        silver_features=os.path.join(base, "silver"),
-        gold_segments=os.path.join(base, "gold"),
-        model_dir=os.path.join(base, "model"),
-        metrics=os.path.join(base, "metrics"),
-    )
+    paths = Paths.under(base, os.path.join(base, "raw"))
     return Settings(paths=paths).with_model(k=3, max_iter=10)
 
 
@@ -43,19 +37,63 @@ def test_build_all_and_marts(spark, tmp_dir):
     fct0 = read_dataset(spark, no_ml["fct_customer_segments"])
     assert fct0.where("segment_source <> 'rule_based'").count() == 0
 
-    n = stages.retrain_stage(spark, s, os.path.join(tmp_dir, "ml_table"), k=3)
+    n = stages.retrain_stage(spark, s, os.path.join(tmp_dir, "ml_table"))
     assert n == out["features"]
     ml_tab = read_dataset(spark, os.path.join(tmp_dir, "ml_table"))
     with_ml = stages.build_marts_stage(spark, s, os.path.join(tmp_dir, "marts1"), ml_table=ml_tab, scored_at=at)
     mart = read_dataset(spark, with_ml["mart_bi_customer_segments"])
     assert mart.where("segment_source = 'kmeans'").count() == n
+    assert sorted(os.listdir(os.path.join(tmp_dir, "marts1"))) == sorted(with_ml)  # nothing beside the marts
     assert mart.columns == marts.MART_COLUMNS
 
 
+PATHS = {"raw_orders": "/r", "bronze": "/b", "silver_features": "/s", "gold_segments": "/g", "model_dir": "/m", "metrics": "/x"}
+
+
 def test_settings_env_overrides():
-    s = Settings.load({"model_version": "file", "model": {"k": 4}}, env={"MODEL_VERSION": "env"})
-    assert s.model_version == "env" and s.model.k == 4
-    assert Settings.load({}, env={}).model.k is None
+    s = Settings.load({"paths": PATHS, "model_version": "file", "model": {"k": 4}}, env={"MODEL_VERSION": "env"})
+    assert s.model_version == "env" and s.model.k == 4 and s.paths.bronze == "/b"
+    assert Settings.load({"paths": PATHS}, env={}).model.k is None
+
+
+@pytest.mark.parametrize("data, word", [
+    ({"paths": PATHS, "typo": 1}, "typo"), ({"paths": {**PATHS, "silver": "/q"}}, "silver"), ({"paths": {"bronze": "/b"}}, "raw_orders"),
+    ({"paths": PATHS, "spark": {"partitions": 3}}, "partitions"), ({"paths": PATHS, "model": {"clusters": 3}}, "clusters")])
+def test_unknown_and_missing_settings_are_errors(data, word):
+    with pytest.raises(ValueError, match=word):
+        Settings.load(data, env={})
+
+
+def test_spark_section_reaches_the_session(spark):
+    from segmark.session import build_session
+
+    s = Settings.load({"paths": PATHS, "spark": {"shuffle_partitions": 7, "broadcast_bytes": 1234, "extra": {"spark.sql.ansi.enabled": "true"}}}, env={})
+    keys = list(s.spark.conf())
+    before = {k: spark.conf.get(k, None) for k in keys + ["spark.sql.parquet.compression.codec"]}
+    try:
+        got = build_session(extra=s.spark.conf())
+        assert got.conf.get("spark.sql.shuffle.partitions") == "7"
+        assert got.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold") == "1234"
+    finally:
+        spark.sparkContext.setLogLevel("ERROR")
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_bronze_carries_the_load_time(spark, tmp_dir):
+    s = _settings(tmp_dir)
+    at = dt.datetime(2024, 3, 4, 5, 6, 7)
+    stages.build_features(spark, s, raw=raw_orders(spark, SF_SMALL), loaded_at=at)
+    assert [r[0] for r in read_dataset(spark, s.paths.bronze).select("_loaded_at").distinct().collect()] == [at]
+
+
+def test_retraining_uses_the_settings_k(spark, tmp_dir):
+    s = _settings(tmp_dir)
+    stages.build_features(spark, s, raw=raw_orders(spark, SF_SMALL))
+    path = os.path.join(tmp_dir, "ml_table")
+    for k, want in ((3, 3), (None, stages.RETRAIN_K)):
+        stages.retrain_stage(spark, s.with_model(k=k), path)
+        assert read_dataset(spark, path).agg({"segment_id": "max"}).first()[0] == want - 1
 
 
 def test_catalog_mode_joins_features_and_model_table_without_shuffle(spark, tmp_dir):
@@ -66,7 +104,7 @@ def test_catalog_mode_joins_features_and_model_table_without_shuffle(spark, tmp_
     s = _settings(tmp_dir)
     s = Settings(paths=s.paths, model=s.model, table_prefix=f"segmark_t_{uuid.uuid4().hex[:8]}", person_buckets=4)
     stages.build_features(spark, s, raw=raw_orders(spark, SF_SMALL))
-    n = stages.retrain_stage(spark, s, os.path.join(tmp_dir, "ml_table"), k=3)
+    n = stages.retrain_stage(spark, s, os.path.join(tmp_dir, "ml_table"))
     feats = spark.table(f"{s.table_prefix}_features")
     ml_tab = stages.read_ml_table(spark, s, os.path.join(tmp_dir, "ml_table"))
     assert ml_tab.count() == n == feats.count()

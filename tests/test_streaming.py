@@ -3,6 +3,9 @@ from __future__ import annotations
 
 import os
 
+import pytest
+from pyspark.errors import StreamingQueryException
+
 from segmark.sources.tables import read_dataset
 from segmark.streaming.ingest import ingest_new_files
 
@@ -28,10 +31,18 @@ def test_each_file_loaded_once(spark, tmp_dir):
 
 
 def test_malformed_file_aborts_strict_load(spark, tmp_dir):
-    import pytest
-
     landing, bronze, ckpt = (os.path.join(tmp_dir, n) for n in ("landing", "bronze", "ckpt"))
     header = "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state"
     _land(landing, "bad.csv", [header, "o1,p1,01001,sao paulo,SP", "o2,p2"])
-    with pytest.raises(Exception):
+    with pytest.raises(StreamingQueryException, match="bad.csv"):
         ingest_new_files(spark, landing, bronze, ckpt)
+
+
+def test_a_backlog_is_loaded_in_small_batches_and_counted_whole(spark, tmp_dir):
+    landing, bronze, ckpt = (os.path.join(tmp_dir, n) for n in ("landing", "bronze", "ckpt"))
+    header = "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state"
+    for i in range(7):
+        _land(landing, f"f{i}.csv", [header, *[f"o{i}-{j},p{j},01001,x,SP" for j in range(i + 1)]])
+    assert ingest_new_files(spark, landing, bronze, ckpt, max_files=2) == 28
+    assert read_dataset(spark, bronze).count() == 28
+    assert read_dataset(spark, bronze).select("_loaded_at").distinct().count() == 4  # batches
