@@ -28,7 +28,7 @@ def handover(df: DataFrame, name: str) -> DataFrame:
     reread and not a recomputation, and each later branch reads only its columns.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,7 +1,7 @@
 """Benchmark decontamination over a distributed positional inverted index.
 
-The index is a table: one row per (shard, term) with the term's positions in the shard,
-ascending. A shard is a run of whole training texts of bounded size, so a shard's lists fit a
+The index is a table: one row per (shard, term) with the term's ascending positions in the
+shard, as gaps. A shard is a run of whole training texts of bounded size, so a shard's lists fit a
 task whatever the corpus, and very frequent terms are split over all shards. Positions leave
 a gap of one between texts, so that no phrase runs from one text into the next.
 
@@ -36,17 +36,17 @@ QUERY_BLOCK = 20_000
 def build_index(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
     """The written index of ``docs``.
 
-    Term rows have shard, term and positions; document rows have shard, row (a number given
+    Term rows have shard, term and gaps (the first position, then differences); document rows have shard, row (a number given
     to the row when the index is written), first (the position of the text's first word),
     n_words and the ``carry`` columns. A shard is named by its first row.
     """
     rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("_text"), *carry)
     schema = T.StructType([
         T.StructField("shard", T.LongType()), T.StructField("term", T.BinaryType()),
-        T.StructField("positions", T.ArrayType(T.IntegerType())), T.StructField("row", T.LongType()),
+        T.StructField("gaps", T.ArrayType(T.IntegerType())), T.StructField("row", T.LongType()),
         T.StructField("first", T.IntegerType()), T.StructField("n_words", T.LongType()),
         *[T.StructField(c, rows.schema[c].dataType) for c in carry]])
-    kinds = {"shard": pa.int64(), "term": pa.binary(), "positions": pa.list_(pa.int32()), "row": pa.int64(),
+    kinds = {"shard": pa.int64(), "term": pa.binary(), "gaps": pa.list_(pa.int32()), "row": pa.int64(),
              "first": pa.int32(), "n_words": pa.int64()}
 
     def index_rows(batch: pa.RecordBatch, columns: dict[str, pa.Array]) -> pa.RecordBatch:
@@ -69,8 +69,10 @@ def build_index(docs: DataFrame, text_col: str = "text", carry: tuple[str, ...]
                 order = np.argsort(code.astype(np.int32), kind="stable")
                 position = (np.arange(len(w)) + w.doc)[order]
                 off = np.concatenate(([0], np.cumsum(np.bincount(code, minlength=len(vocabulary)))))
-                yield index_rows(batch, {"shard": named(len(vocabulary)), "term": vocabulary, "positions": pa.ListArray.from_arrays(
-                    pa.array(off, pa.int32()), pa.array(position, pa.int32()))})
+                gap = np.diff(position, prepend=0)
+                gap[off[:-1]] = position[off[:-1]]
+                yield index_rows(batch, {"shard": named(len(vocabulary)), "term": vocabulary, "gaps": pa.ListArray.from_arrays(
+                    pa.array(off, pa.int32()), pa.array(gap, pa.int32()))})
 
     return handover(rows.mapInArrow(run, schema), "positional-index")
 
@@ -107,12 +109,15 @@ def proximity_positions(lists: dict[bytes, np.ndarray], terms: list[bytes], with
 
 
 def _lists(table: pa.Table) -> dict[bytes, np.ndarray]:
-    table = table.combine_chunks()
-    term, positions = table.column("term"), table.column("positions")
+    """Ascending positions per term of one shard's rows."""
     out = {}
-    for t, p in zip(term.chunks, positions.chunks, strict=True):
-        flat, off = p.values.to_numpy(), p.offsets.to_numpy()
-        out.update({b: flat[i:j] for b, i, j in zip(t.to_pylist(), off[:-1].tolist(), off[1:].tolist(), strict=True)})
+    for batch in table.combine_chunks().to_batches():
+        gaps = batch.column("gaps")
+        off = gaps.offsets.to_numpy().astype(np.int64)
+        total = np.concatenate(([0], np.cumsum(gaps.values.to_numpy()[off[0]:off[-1]], dtype=np.int64)))
+        off = off - off[0]
+        flat = total[1:] - np.repeat(total[off[:-1]], np.diff(off))
+        out.update({b: flat[i:j] for b, i, j in zip(batch.column("term").to_pylist(), off[:-1].tolist(), off[1:].tolist(), strict=True)})
     return out
 
 
@@ -185,7 +190,7 @@ def find_phrases(index: DataFrame, phrases: DataFrame) -> DataFrame:
     merged; labels are the distinct labels of the phrases that occur.
     """
     spark = index.sparkSession
-    postings = index.where(F.col("term").isNotNull()).select("shard", "term", "positions")
+    postings = index.where(F.col("term").isNotNull()).select("shard", "term", "gaps")
     texts = index.where(F.col("row").isNotNull()).select(F.col("shard").alias("home"), "row", "first", "n_words")
     n_blocks = max(1, -(-phrases.count() // QUERY_BLOCK))
     schema = "row long, spans array<struct<start: int, end: int>>, labels array<long>"
@@ -212,7 +217,7 @@ def _found(row: list, spans: list, labels: list) -> pa.Table:
 def find_near(index: DataFrame, terms: list[bytes], within: int) -> DataFrame:
     """(row, word) of the rarest term of each text region that has all ``terms`` within ``within`` words."""
     asked = [bytes(t) for t in terms]
-    postings = index.where(F.col("term").isin([bytearray(t) for t in asked])).select("shard", "term", "positions")
+    postings = index.where(F.col("term").isin([bytearray(t) for t in asked])).select("shard", "term", "gaps")
     texts = index.where(F.col("row").isNotNull()).select(F.col("shard").alias("home"), "row", "first", "n_words")
 
     def look(lists: pa.Table, texts: pa.Table) -> pa.Table:
