@@ -79,4 +79,38 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN hi USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_decontamination": OP2, "op8_url_filter": OP8, "op10_secret_scan": OP10}
+def _covered(n: int) -> str:
+    """Per word, whether it lies in an n-word window found twice or more in its text."""
+    return f"""c{n} AS (
+  SELECT doc_id, k, coalesce(max(dup) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW), 0) AS hit
+  FROM w LEFT JOIN (
+    SELECT doc_id, k, CASE WHEN count(*) OVER (PARTITION BY doc_id, g) > 1 THEN 1 ELSE 0 END AS dup
+    FROM (SELECT doc_id, k, ws[k:k + {n - 1}] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {n - 2})) AS k FROM d WHERE len(ws) >= {n}))
+  ) USING (doc_id, k)
+)"""
+
+
+_LENGTHS = (3, 5, 7, 10)
+OP1 = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text,
+                  list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+w AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS k, length(unnest(ws)) AS ch FROM d),
+{", ".join(_covered(n) for n in _LENGTHS)},
+s AS (SELECT doc_id, sum(ch) AS word_chars, {", ".join(f"sum(c{n}.hit) AS words_{n}, sum(c{n}.hit * ch) AS chars_{n}" for n in _LENGTHS)}
+      FROM w {" ".join(f"JOIN c{n} USING (doc_id, k)" for n in _LENGTHS)} GROUP BY doc_id),
+l AS (SELECT doc_id, count(*) AS n_dup_lines, sum(length(regexp_replace(line, '[\\x20\\x09-\\x0D]+', '', 'g'))) AS dup_line_chars
+      FROM (SELECT doc_id, line, row_number() OVER (PARTITION BY doc_id, line) AS turn
+            FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM d) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]'))
+      WHERE turn > 1 GROUP BY doc_id),
+m AS (SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(word_chars, 0) AS BIGINT) AS word_chars,
+             CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(n_dup_lines, 0) AS n_dup_lines,
+             CAST(coalesce(words_3, 0) AS BIGINT) AS n_repeat_words, CAST(coalesce(dup_line_chars, 0) AS BIGINT) AS dup_line_chars,
+             {", ".join(f"CAST(coalesce(chars_{n}, 0) AS BIGINT) AS dup_{n}_chars" for n in _LENGTHS[1:])}
+      FROM d LEFT JOIN s USING (doc_id) LEFT JOIN l USING (doc_id)),
+f AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT *, NOT base_failed AND 100 * dup_line_chars <= 30 * word_chars AND 100 * dup_5_chars <= 45 * word_chars
+          AND 100 * dup_7_chars <= 40 * word_chars AND 100 * dup_10_chars <= 35 * word_chars AS kept
+FROM f
+"""
+
+ORACLE_SQL: dict[str, str] = {"op1_repetition": OP1, "op2_decontamination": OP2, "op8_url_filter": OP8, "op10_secret_scan": OP10}
