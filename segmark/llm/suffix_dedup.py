@@ -9,7 +9,7 @@ A byte goes if a ``LENGTH``-byte string that covers it also starts elsewhere in
 2. An anchor whose whole context recurs covers its context. An anchor that recurs in other
    contexts only may do so partly; if it also agrees with another on the 68 bytes before or
    after, one of which any shared window must contain, its context bytes go to a shard.
-3. Per shard, a suffix array of the contexts by Larsson-Sadakane refinement (order by seven
+3. Per shard, a suffix array of the contexts by Larsson-Sadakane refinement (order by three
    bytes, then double the depth of the groups that are still tied) and common prefixes by
    Kasai's argument in its Phi form: a prefix is measured only where it cannot follow from
    the position before. Suffixes are compared at equal offsets from equal anchors, so that
@@ -44,8 +44,9 @@ LENGTH = 200
 GRAM = 64
 SPAN = LENGTH - GRAM  # an anchor's context reaches this far before it and LENGTH after its start
 HALF = SPAN // 2
-SHARD_CONTEXTS = 4000
-BLOCK = 2 << 20
+SHARD_CONTEXTS = 1500
+FIRST = 3  # bytes by which suffixes are ordered before the depth doubles
+BLOCK = 1 << 20
 
 _B = 0x9E3779B97F4A7C15
 _B_INVERSE = pow(_B, -1, 1 << 64)
@@ -113,6 +114,45 @@ def anchors(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     }
 
 
+def _turns(a: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Anchors ordered so that equal contexts of one document are neighbours, and where a kind begins."""
+    order = np.lexsort((a["pos"], a["c"], a["h"], a["doc"]))
+    d, h, c = (a[x][order] for x in ("doc", "h", "c"))
+    return order, np.concatenate(([True], (d[1:] != d[:-1]) | (h[1:] != h[:-1]) | (c[1:] != c[:-1]))) if len(d) else np.zeros(0, bool)
+
+
+def _once(a: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """One anchor of each kind per document, with the number of times it occurs there.
+
+    A looping text has thousands of equal contexts; all but one stay behind, and the
+    removal step finds them again (``inner_repeats``).
+    """
+    order, fresh = _turns(a)
+    times = np.diff(np.append(np.flatnonzero(fresh), len(order)))
+    return {k: v[order[fresh]] for k, v in a.items()} | {"times": times}
+
+
+def inner_repeats(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans of one document's contexts that recur inside it."""
+    a = anchors(data, np.array([0, len(data)]))
+    order, fresh = _turns(a)
+    kind = np.cumsum(fresh) - 1
+    pos = a["pos"][order[np.bincount(kind, minlength=1)[kind] > 1]] if len(order) else np.zeros(0, np.int64)
+    return np.maximum(pos - SPAN, 0), np.minimum(pos + LENGTH, len(data))
+
+
+def _sorted(key: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order of ``key`` (0 to ``most``), and where in it a new value begins."""
+    bits = max(1, (len(key) - 1).bit_length()) if len(key) else 1
+    if most.bit_length() + bits <= 63:  # key and index in one integer: a plain sort, several times faster
+        packed = np.sort((key << bits) | np.arange(len(key)))
+        order, ordered = packed & ((1 << bits) - 1), packed >> bits
+    else:
+        order = np.argsort(key)
+        ordered = key[order]
+    return order, np.concatenate(([True], ordered[1:] != ordered[:-1])) if len(key) else np.zeros(0, bool)
+
+
 def suffix_array(text: np.ndarray, end: np.ndarray, unit: np.ndarray, level: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Suffix array and its inverse over units of ``text``, ordered by level and then by text.
 
@@ -121,26 +161,26 @@ def suffix_array(text: np.ndarray, end: np.ndarray, unit: np.ndarray, level: np.
     """
     n = len(text)
     at = np.arange(n)
-    symbol = np.concatenate((text.astype(np.int64) + 1, np.zeros(8, np.int64)))
+    symbol = np.concatenate((text.astype(np.int64) + 1, np.zeros(FIRST, np.int64)))
     key = np.zeros(n, np.int64)
-    for j in range(7):
+    for j in range(FIRST):
         key = key * 257 + np.where(at + j < end, symbol[at + j], 0)
-    order = np.lexsort((key, level))
-    fresh = np.concatenate(([True], (key[order[1:]] != key[order[:-1]]) | (level[order[1:]] != level[order[:-1]])))
+    order, fresh = _sorted(level, int(level.max(initial=0)))
+    dense = np.empty(n, np.int64)
+    dense[order] = np.cumsum(fresh) - 1
+    order, fresh = _sorted(dense * 257**FIRST + key, (n + 1) * 257**FIRST)
     rank = np.empty(n, np.int64)
     rank[order] = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
     units = int(unit.max()) + 1 if n else 0
-    depth = 7
+    depth = FIRST
     tied = order[~(fresh & np.concatenate((fresh[1:], [True])))]
     while len(tied):
-        onward = tied + depth
-        second = np.where(onward < end[tied], rank[np.minimum(onward, n - 1)] + units, unit[tied])
-        tied = tied[np.lexsort((second, rank[tied]))]
         onward = tied + depth
         second = np.where(onward < end[tied], rank[np.minimum(onward, n - 1)] + units, unit[tied])
         old = rank[tied]
+        order, fresh = _sorted(old * np.int64(n + units + 1) + second, n * (n + units + 1))
+        tied, old = tied[order], old[order]
         group = np.concatenate(([True], old[1:] != old[:-1]))
-        fresh = group | np.concatenate(([True], second[1:] != second[:-1]))
         index = np.arange(len(tied))
         rank[tied] = old + (index[fresh] - index[group][np.cumsum(group) - 1][fresh])[np.cumsum(fresh) - 1]
         tied = tied[~(fresh & np.concatenate((fresh[1:], [True])))]
@@ -300,13 +340,13 @@ def _dealt(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def _occurrences(texts: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, block in blocks(batches, "text", BLOCK):
-            a = anchors(block.data, block.off)
+            a = _once(anchors(block.data, block.off))
             row = batch.column("row").to_numpy(zero_copy_only=False)[a["doc"]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(row), pa.array(a["pos"], pa.int64()), pa.array(a["size"], pa.int64()),
-                 *[pa.array(a[x].view(np.int64)) for x in "hclr"]], names=["row", "pos", "size", *"hclr"])
+                [pa.array(row), *[pa.array(a[x], pa.int64()) for x in ("pos", "size", "times")],
+                 *[pa.array(a[x].view(np.int64)) for x in "hclr"]], names=["row", "pos", "size", "times", *"hclr"])
 
-    return texts.select("row", "text").mapInArrow(run, "row long, pos long, size long, h long, c long, l long, r long")
+    return texts.select("row", "text").mapInArrow(run, "row long, pos long, size long, times long, h long, c long, l long, r long")
 
 
 def _contexts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -336,22 +376,27 @@ def _contexts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
 
 def repeated_spans(texts: DataFrame, shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
-    """(row, start, end): spans that cover every repeated byte; they may overlap."""
+    """(row, start, end, inner): spans that cover every repeated byte; they may overlap. ``inner``: the
+    text repeats a context in itself, of which only one is listed (``inner_repeats`` has all)."""
     by_gram = Window.partitionBy("h")
     by_context = Window.partitionBy("h", "c").orderBy("row", "pos")
     all_of = by_context.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     counted = _occurrences(texts).withColumns({
-        "turn": F.row_number().over(by_context), "same": F.count(F.lit(1)).over(all_of)}).withColumn(
-        "any", F.count(F.lit(1)).over(by_gram)).where(F.col("any") > 1)
+        "turn": F.row_number().over(by_context), "same": F.sum("times").over(all_of)}).withColumn(
+        "any", F.sum("times").over(by_gram)).where(F.col("any") > 1)
     start, stop = F.greatest(F.lit(0), F.col("pos") - SPAN), F.least(F.col("size"), F.col("pos") + LENGTH)
     again = handover(counted.select("row", start.alias("start"), stop.alias("stop"), (F.col("pos") - start).alias("left"),
-                                    "h", "c", "l", "r", "turn", "same", "any"), "repeat-anchors")
-    whole = again.where(F.col("same") > 1).select("row", "start", F.col("stop").alias("end"))
+                                    "h", "c", "l", "r", "turn", "same", "any", (F.col("times") > 1).alias("inner")), "repeat-anchors")
+    whole = again.where(F.col("same") > 1).select("row", "start", F.col("stop").alias("end"), "inner")
     # One context of each kind, where the anchor has several kinds that agree on one side.
     kinds = again.where((F.col("turn") == 1) & (F.col("any") > F.col("same")))
     side = lambda c: (F.col(c) != 0) & (F.count(F.lit(1)).over(Window.partitionBy("h", c)) > 1)
-    partial = kinds.withColumns({"on_l": side("l"), "on_r": side("r")}).where("on_l or on_r").select(
-        "row", "start", "stop", "left", "h", "c", (F.col("same") == 1).alias("single"))
+    both = kinds.withColumns({"on_l": side("l"), "on_r": side("r")}).where("on_l or on_r")
+    # Without a match on one side only windows that lie mostly on the other can recur.
+    first = F.when(F.col("on_l"), F.col("start")).otherwise(F.greatest("start", F.col("start") + F.col("left") - (HALF - 1)))
+    last = F.when(F.col("on_r"), F.col("stop")).otherwise(F.least("stop", F.col("start") + F.col("left") + (LENGTH - HALF)))
+    partial = both.select("row", first.alias("start"), last.alias("stop"), (F.col("start") + F.col("left") - first).alias("left"),
+                          "h", "c", (F.col("same") == 1).alias("single")).where(F.col("stop") - F.col("start") >= LENGTH)
     partial = handover(partial, "partial-contexts")
     total = partial.count()
     parts = F.ceil(F.count(F.lit(1)).over(by_gram) / F.lit(shard_contexts)).cast("int")
@@ -363,15 +408,15 @@ def repeated_spans(texts: DataFrame, shard_contexts: int = SHARD_CONTEXTS) -> Da
     inside = searched.where(F.col("row").isNotNull()).select("row", "start", "end")
     across = searched.where(F.col("digest").isNotNull()).select("h", "part", "digest", "place").groupBy("h", "part").applyInArrow(
         _merge_runs, "row long, start long, end long")
-    return whole.unionByName(inside).unionByName(across)
+    return whole.unionByName(inside.unionByName(across).withColumn("inner", F.lit(False)))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shard_contexts: int = SHARD_CONTEXTS) -> DataFrame:
     """Per row: id, n_bytes, spans (maximal removed runs, byte offsets) and kept (the remaining bytes)."""
     texts = _dealt(df, id_col, text_col)
     spans = repeated_spans(texts, shard_contexts).groupBy("row").agg(
-        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans"))
-    both = texts.join(spans.hint("shuffle_merge"), "row", "left").select("id", "text", "_spans")
+        F.array_sort(F.collect_set(F.struct("start", "end"))).alias("_spans"), F.max("inner").alias("_inner"))
+    both = texts.join(spans.hint("shuffle_merge"), "row", "left").select("id", "text", "_spans", "_inner")
     span = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([T.StructField(id_col, both.schema["id"].dataType), T.StructField("n_bytes", T.LongType()),
                            T.StructField("spans", span), T.StructField("kept", T.BinaryType())])
@@ -386,6 +431,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             mark = np.zeros(len(block.data) + 1, np.int32)
             np.add.at(mark, begin, 1)
             np.add.at(mark, end, -1)
+            for d in np.flatnonzero(np.array(batch.column("_inner").fill_null(False))):
+                a, b = inner_repeats(block.data[block.off[d]:block.off[d + 1]])
+                np.add.at(mark, a + block.off[d], 1)
+                np.add.at(mark, b + block.off[d], -1)
             gone = np.cumsum(mark[:-1]) > 0
             left = np.concatenate(([0], np.cumsum(~gone)))[block.off]
             head = gone.copy()
