@@ -36,6 +36,7 @@ PREFIXES = (3, 4, 5, 6, 7, 8)
 SAMPLE_ROWS = 20_000
 MAX_CELLS = 2048
 MIN_Z = 3.0
+FIT_BYTES = 1 << 20  # of text at a time while all cells of a text are at hand
 MIN_ROWS = 5
 FACTORS = 8
 EPOCHS = 16
@@ -77,8 +78,8 @@ def text_cells(block: Block, chosen: np.ndarray | None = None) -> tuple[np.ndarr
     held = cells >= 0
     n = held.sum(axis=1)
     flat, begin = cells[held], np.concatenate(([0], np.cumsum(n)))
-    doc = w.doc[n[code] > 0]
-    code = code[n[code] > 0]
+    pair = np.unique((w.doc * len(vocabulary) + code)[n[code] > 0])  # each distinct word of a text once
+    doc, code = pair // len(vocabulary), pair % len(vocabulary)
     size = n[code]
     at = np.arange(size.sum()) + np.repeat(begin[code] - np.concatenate(([0], np.cumsum(size)))[:-1], size)
     key = np.unique(np.repeat(doc, size) * SPACE + flat[at])
@@ -135,7 +136,7 @@ def _cell_counts(sample: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count = np.zeros((2, SPACE), np.int64)
-        for batch, block in blocks(batches, "_text"):
+        for batch, block in blocks(batches, "_text", FIT_BYTES):
             label = batch.column("_label").to_numpy(zero_copy_only=False).astype(np.int64)
             doc, cell = text_cells(block)
             for y in (0, 1):
@@ -150,7 +151,7 @@ def _columns(sample: DataFrame, chosen: np.ndarray) -> DataFrame:
     """(label, columns) of each sample text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, block in blocks(batches, "_text"):
+        for batch, block in blocks(batches, "_text", FIT_BYTES):
             doc, column = text_cells(block, chosen)
             off = np.searchsorted(doc, np.arange(len(block) + 1))
             yield pa.RecordBatch.from_arrays(
