@@ -8,8 +8,8 @@ share their top bits; short lines use fewer, wider bands. Two lines of Jaccard 0
 their shingles share a band with a probability of about 0.96 or more.
 
 Equal lines collapse before the shuffle. In each bucket all members are compared with a pivot
-by the exact Jaccard of their shingle sets; links join lines by union-find; buckets that still
-hold several components get another pivot, until a round adds no link. Every round is linear
+by the exact Jaccard of their shingle sets; links join lines by union-find; buckets in which that
+found a link and that still hold several components get more pivots. Every round is linear
 in the buckets' members: no pairs within a bucket are emitted and no bucket is cut.
 
 The line of a component that stays is the one with the smallest (id, line number). Only
@@ -31,6 +31,7 @@ from segmark.llm.components import connected_components
 SHINGLE = 9
 SIMILARITY = 0.8
 BINS_SHIFT = 59  # the top five bits of a hash: 32 bins
+PIVOTS = 8  # of a bucket in its later rounds
 FILTER_BITS = 20  # of the broadcast pre-filter: at most a million small rows
 BLANK = " \t\r\x0b\x0c"
 
@@ -47,39 +48,57 @@ def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return every.select("id", "no", _normal(F.col("raw")).alias("line")).where(F.col("line") != "")
 
 
-def shingles(line: Column) -> Column:
-    """Sorted distinct 64-bit hashes of a normal line's shingles."""
+def _hashed(line: Column) -> Column:
+    """64-bit hashes of a normal line's shingles, sorted; repeated shingles repeat."""
     found = F.regexp_extract_all(line, F.lit(_SHINGLES), F.lit(1))
-    return F.sort_array(F.array_distinct(F.transform(found, lambda x: F.xxhash64(x))))
+    return F.sort_array(F.transform(found, lambda x: F.xxhash64(x)))
+
+
+def shingles(line: Column) -> Column:
+    """The distinct 64-bit hashes of a normal line's shingles."""
+    return F.array_distinct(_hashed(line))
+
+
+def _bin_minima(s: Column) -> Column:
+    """The least hash of each bin: in a sorted array, the one whose predecessor is in another bin."""
+    return F.filter(s, lambda x, i: (i == 0) | (F.shiftright(x, BINS_SHIFT) != F.shiftright(F.get(s, i - 1), BINS_SHIFT)))
+
 
+def _band_keys(least: Column) -> Column:
+    """Bucket keys of bin minima: one per band that has any, in one pass over the sorted array.
 
-def _band_keys(s: Column) -> Column:
-    """Bucket keys of a sorted shingle array."""
-    n = F.size(s)
-    # Sorted hashes of a bin are neighbours: its least value is the one whose predecessor is elsewhere.
-    least = F.filter(s, lambda x, i: (i == 0) | (
-        F.shiftright(x, BINS_SHIFT) != F.shiftright(F.get(s, i - 1), BINS_SHIFT)))
+    The number of filled bins picks the number of bands: 2, 4 or 8. Lines near a limit use both
+    numbers, so that a similar line just beyond it shares a kind of band with them.
+    """
+    longs = "array<bigint>"
 
     def bands(bits: int) -> Column:
         top = 64 - bits
-        keys = F.transform(
-            F.sequence(F.lit(-(1 << (bits - 1))), F.lit((1 << (bits - 1)) - 1)),
-            lambda b: F.struct(b.alias("b"), F.filter(least, lambda x: F.shiftright(x, top) == b).alias("v")))
-        return F.transform(F.filter(keys, lambda k: F.size(k["v"]) > 0), lambda k: F.xxhash64(F.lit(bits), k["b"], k["v"]))
+        start = F.struct(F.lit(-100).cast("bigint").alias("b"), F.lit(0).cast("bigint").alias("v"), F.array().cast(longs).alias("out"))
+
+        def step(acc: Column, x: Column) -> Column:
+            b = F.shiftright(x, top)
+            same = acc["b"] == b
+            return F.struct(
+                b.alias("b"), F.when(same, F.xxhash64(acc["v"], x)).otherwise(F.xxhash64(F.lit(bits), x)).alias("v"),
+                F.when(same, acc["out"]).otherwise(F.concat(acc["out"], F.array(acc["v"]))).cast(longs).alias("out"))
 
-    none = F.array().cast("array<bigint>")
-    # Lines of 5 or 6 and of 10 to 13 shingles may match lines of the next class, so they use both.
-    return F.concat(F.when(n <= 6, bands(1)).otherwise(none), F.when((n >= 5) & (n <= 13), bands(2)).otherwise(none),
-                    F.when(n >= 10, bands(3)).otherwise(none))
+        # The first value handed on is the start's, before any band.
+        return F.aggregate(least, start, step, lambda acc: F.slice(F.concat(acc["out"], F.array(acc["v"])), 2, 64).cast(longs))
+
+    m, none = F.size(least), F.array().cast(longs)
+    return F.concat(F.when(m <= 5, bands(1)).otherwise(none), F.when((m >= 4) & (m <= 11), bands(2)).otherwise(none),
+                    F.when(m >= 8, bands(3)).otherwise(none))
 
 
 def distinct_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Per distinct normal line: h, its first place (id, no) and its bucket keys."""
     lines = _lines(df, id_col, text_col)
-    signed = lines.select(
+    hashed = lines.select(
         F.xxhash64("line").alias("h"), F.hash("line").alias("h2"),
-        F.struct(F.col("id").isNull().alias("last"), "id", "no").alias("place"), shingles(F.col("line")).alias("s"))
-    keyed = signed.select("h", "h2", "place", _band_keys(F.col("s")).alias("keys"))
+        F.struct(F.col("id").isNull().alias("last"), "id", "no").alias("place"), _hashed(F.col("line")).alias("s"))
+    minima = hashed.select("h", "h2", "place", _bin_minima(F.col("s")).alias("least"))
+    keyed = minima.select("h", "h2", "place", _band_keys(F.col("least")).alias("keys"))
     return keyed.groupBy("h", "h2").agg(F.min("place").alias("place"), F.first("keys").alias("keys"))
 
 
@@ -113,28 +132,38 @@ def _verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
 
 
 def line_components(buckets: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, component) of the lines linked by a verified similarity."""
+    """(node, component) of the lines linked by a verified similarity.
+
+    A bucket gets more pivots as long as its last ones found a link and it still holds more
+    than one component; a bucket whose pivot found nothing is a chance meeting.
+    """
     spark = buckets.sparkSession
+    rows = buckets.withColumn("c", F.col("h"))
     edges: DataFrame | None = None
-    component: DataFrame | None = None
     turn = 0
     while True:
         turn += 1
-        if component is None:
-            rows = buckets.withColumn("c", F.col("h"))
-        else:
-            named = component.select(F.col("node").alias("h"), "component")
-            rows = buckets.join(named, "h", "left").select("k", "h", F.coalesce("component", "h").alias("c"))
-        pick = F.xxhash64("h", F.lit(turn))
-        pivots = rows.groupBy("k").agg(F.min_by("h", pick).alias("pivot"), F.min_by("c", pick).alias("pc"))
-        links = rows.join(pivots, "k").where(F.col("c") != F.col("pc")).select(
-            F.least("h", "pivot").alias("a"), F.greatest("h", "pivot").alias("b")).distinct()
-        found = handover(_verified(links, sets, similarity), "line-links")
-        if found.isEmpty():
-            release(spark, found)
-            return component if component is not None else connected_components(found)
+        # One pivot for the many chance buckets; several for the few that go on.
+        picks = [F.xxhash64("h", F.lit(turn), F.lit(i)) for i in range(1 if turn == 1 else PIVOTS)]
+        chosen = rows.groupBy("k").agg(F.array_distinct(F.array(*[F.struct(
+            F.min_by("h", p).alias("pivot"), F.min_by("c", p).alias("pc")) for p in picks])).alias("p"))
+        pivots = chosen.select("k", F.inline("p"))
+        tried = rows.join(pivots, "k").where(F.col("c") != F.col("pc")).select(
+            "k", F.least("h", "pivot").alias("a"), F.greatest("h", "pivot").alias("b")).distinct()
+        found = handover(_verified(tried.select("a", "b").distinct(), sets, similarity), "line-links")
         edges = found if edges is None else edges.unionByName(found)
         component = connected_components(edges)
+        if found.isEmpty():
+            return component
+        named = component.select(F.col("node").alias("h"), "component")
+        lively = tried.join(found, ["a", "b"], "left_semi").select("k").distinct()
+        merged = buckets.join(lively, "k", "left_semi").join(named, "h", "left").select(
+            "k", "h", F.coalesce("component", "h").alias("c"))
+        several = merged.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("k")
+        before = rows
+        rows = handover(merged.join(several, "k", "left_semi"), "line-buckets")
+        if turn > 1:
+            release(spark, before)
 
 
 def kept_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
