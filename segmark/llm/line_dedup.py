@@ -162,8 +162,11 @@ def line_components(buckets: DataFrame, sets: DataFrame, similarity: float = SIM
         several = merged.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("k")
         before = rows
         rows = handover(merged.join(several, "k", "left_semi"), "line-buckets")
+        # Later rounds look at few lines; they shuffle the shingles of those only.
+        wide, sets = sets, handover(sets.join(rows.select("h").distinct(), "h", "left_semi"), "line-shingles")
         if turn > 1:
             release(spark, before)
+            release(spark, wide)
 
 
 def kept_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
