@@ -1,8 +1,8 @@
 """Fuzzy line dedup (native): MinHash banding, exact Jaccard verification, union-find.
 
-A line is lower-cased and trimmed. Its shingles are runs of up to ``SHINGLE`` characters that
-begin at each word, and every eight characters inside a longer word, so that together they
-cover the line. One hash per shingle serves as a one-permutation MinHash: the top five bits
+A line is lower-cased and trimmed. Its shingles are ``SHINGLE`` characters long; one begins at
+each word (it may be shorter at the line's end) and one at every character of a run of more than
+eight characters without a blank, so that lines without blanks are compared at every offset. One hash per shingle serves as a one-permutation MinHash: the top five bits
 name one of 32 bins and the least hash of each bin is its signature value. Bands are bins that
 share their top bits; short lines use fewer, wider bands. Two lines of Jaccard 0.8 or more over
 their shingles share a band with a probability of about 0.96 or more.
@@ -35,7 +35,8 @@ PIVOTS = 8  # of a bucket in its later rounds
 FILTER_BITS = 20  # of the broadcast pre-filter: at most a million small rows
 BLANK = " \t\r\x0b\x0c"
 
-_SHINGLES = rf"(?s)(?=(.{{1,{SHINGLE}}}))\S{{1,8}}\s*"
+# At a word's start up to SHINGLE characters, elsewhere exactly as many; short words are passed whole.
+_SHINGLES = rf"(?s)(?=((?<!\S).{{1,{SHINGLE}}}|.{{{SHINGLE}}}))(?:(?<!\S)\S{{1,8}}(?!\S)|\S)\s*"
 
 
 def _normal(line: Column) -> Column:

@@ -1,7 +1,9 @@
 import random
 import re
 
-from segmark.llm.line_dedup import dedup_lines, line_components
+from pyspark.sql import functions as F
+
+from segmark.llm.line_dedup import dedup_lines, line_components, shingles
 from tests.llm.cases import DOCS, docs, edge_docs, empty_docs, sentence
 
 SHINGLES = re.compile(r"(?s)(?=(.{1,9}))\S{1,8}\s*")
@@ -94,3 +96,43 @@ def test_plan_is_native(spark):
     df = spark.createDataFrame([(1, "a\nb", "", "", 0)], DOCS)
     plan = dedup_lines(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "ArrowEval" not in plan and "CartesianProduct" not in plan
+
+
+def every_shingle(line):
+    """The shingles by their definition, position by position."""
+    out, at = set(), 0
+    for run in re.findall(r"\S+|\s+", line):
+        if not run.isspace():
+            out.add(line[at:at + 9])
+            if len(run) > 8:
+                out |= {line[i:i + 9] for i in range(at, at + len(run)) if i + 9 <= len(line)}
+        at += len(run)
+    return out
+
+
+def test_shingles_start_at_every_character_of_unspaced_runs(spark):
+    rng = random.Random(8)
+    lines = ["abcdefgh ijk", "abcdefghi", "ab cdefghijklm no", "x" * 30, "q", "\U00020000" * 12 + " a", "\u3042\u3044\u3046" * 5]
+    lines += ["".join(rng.choice("abcde    ") for _ in range(50)).strip() or "a" for _ in range(40)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(lines)], "i int, line string")
+    got = {r.i: set(r.s) for r in df.select("i", shingles(F.col("line")).alias("s")).collect()}
+    flat = spark.createDataFrame([(i, x) for i, t in enumerate(lines) for x in every_shingle(t)], "i int, x string")
+    want = {}
+    for r in flat.select("i", F.xxhash64("x").alias("h")).collect():
+        want.setdefault(r.i, set()).add(r.h)
+    assert got == want
+
+
+def test_unspaced_near_copies_link(spark):
+    rng = random.Random(9)
+    han = [chr(c) for c in range(0x4E00, 0x4E00 + 2000)]
+    texts, pairs = [], 120
+    for i in range(pairs):
+        line = "".join(rng.choice(han if i % 2 else "abcdefghijklmnop0123456789/") for _ in range(60))
+        near = rng.choice("xyz") + line if i % 4 < 2 else line + rng.choice("xyz")
+        a, b = every_shingle(line), every_shingle(near)
+        assert len(a & b) >= 0.95 * len(a | b)
+        texts += [line, near]
+    got = {r.doc_id: r.n_removed for r in dedup_lines(docs(spark, texts)).collect()}
+    assert not any(got[2 * i] for i in range(pairs))
+    assert sum(got[2 * i + 1] for i in range(pairs)) >= 0.96 * pairs
