@@ -9,8 +9,13 @@ their shingles share a band with a probability of about 0.96 or more.
 
 Equal lines collapse before the shuffle. In each bucket all members are compared with a pivot
 by the exact Jaccard of their shingle sets; links join lines by union-find; buckets in which that
-found a link and that still hold several components get more pivots. Every round is linear
-in the buckets' members: no pairs within a bucket are emitted and no bucket is cut.
+found a link and that still hold several components get more pivots. These rounds are linear in
+the buckets' members and settle groups of near copies and buckets of two. Lines of all other
+buckets that hold several components meet once more, on the rare shingles of their prefixes:
+two sets of Jaccard 0.8 or more share one of the first n - ceil(0.8 n) + 1 shingles of each in any
+common order. All pairs of different components that meet there are verified inside the join, large
+meetings in salted blocks. So every link between lines that share a bucket is found, none is
+left to chance; only pairs that share no bucket can be missed.
 
 The line of a component that stays is the one with the smallest (id, line number). Only
 built-in column functions are used.
@@ -32,6 +37,7 @@ SHINGLE = 9
 SIMILARITY = 0.8
 BINS_SHIFT = 59  # the top five bits of a hash: 32 bins
 PIVOTS = 8  # of a bucket in its later rounds
+BLOCK = 256  # lines of one rare shingle that one salt compares with the others
 FILTER_BITS = 20  # of the broadcast pre-filter: at most a million small rows
 BLANK = " \t\r\x0b\x0c"
 
@@ -132,13 +138,47 @@ def _verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
         both >= F.lit(similarity) * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
+def _remaining_links(buckets: DataFrame, sets: DataFrame, component: DataFrame, similarity: float) -> DataFrame:
+    """(a, b): all links between lines of different components that share a bucket, and some beyond.
+
+    Buckets of two were settled by their pivot. The lines of the others meet on the shingles of
+    their prefixes, the rarest first, so that a passage they all share brings none together.
+    """
+    named = component.select(F.col("node").alias("h"), "component")
+    member = buckets.join(named, "h", "left").select("k", "h", F.coalesce("component", "h").alias("c"))
+    several = member.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("n > 2 and lo <> hi")
+    unsettled = handover(member.join(several, "k", "left_semi").select("h", "c").distinct().join(sets, "h"), "line-unsettled")
+    each = unsettled.select("h", "c", F.size("s").alias("size"), F.explode("s").alias("x"))
+    ranked = each.join(each.groupBy("x").agg(F.count(F.lit(1)).alias("n")), "x")
+    # A shingle of one line takes its place in the prefix but meets nobody.
+    prefix = ranked.groupBy("h", "c", "size").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("p")).select(
+        "h", "c", F.inline(F.slice("p", F.lit(1), (F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - F.lit(1e-6)) + 1).cast("int")))).where("n > 1")
+    prefix = handover(prefix.select("x", "h", "c"), "line-prefixes")
+    meet = prefix.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("salts"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    asked = prefix.join(meet.where("lo <> hi").select("x", "salts"), "x").join(unsettled.select("h", "s", F.size("s").alias("size")), "h")
+    left = asked.select("x", F.pmod(F.xxhash64("h", "x"), F.col("salts").cast("bigint")).cast("int").alias("salt"),
+                        F.col("h").alias("a"), F.col("c").alias("ca"), F.col("s").alias("sa"), F.col("size").alias("na"))
+    right = asked.select("x", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
+                         F.col("h").alias("b"), F.col("c").alias("cb"), F.col("s").alias("sb"), F.col("size").alias("nb"))
+    l, r = left.alias("l"), right.alias("r")
+    both = F.size(F.array_intersect("sa", "sb"))
+    least = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb") - F.lit(1e-6)
+    links = l.join(r, (F.col("l.x") == F.col("r.x")) & (F.col("l.salt") == F.col("r.salt")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+                   & least & (both >= F.lit(similarity) * (F.col("na") + F.col("nb") - both)))
+    out = handover(links.select("a", "b").distinct(), "line-links")
+    for done in (unsettled, prefix):
+        release(buckets.sparkSession, done)
+    return out
+
+
 def line_components(buckets: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, component) of the lines linked by a verified similarity.
 
     A bucket gets more pivots as long as its last ones found a link and it still holds more
-    than one component; a bucket whose pivot found nothing is a chance meeting.
+    than one component; what the pivots leave open is then compared in full.
     """
     spark = buckets.sparkSession
+    every = sets
     rows = buckets.withColumn("c", F.col("h"))
     edges: DataFrame | None = None
     turn = 0
@@ -155,7 +195,8 @@ def line_components(buckets: DataFrame, sets: DataFrame, similarity: float = SIM
         edges = found if edges is None else edges.unionByName(found)
         component = connected_components(edges)
         if found.isEmpty():
-            return component
+            last = _remaining_links(buckets, every, component, similarity)
+            return component if last.isEmpty() else connected_components(edges.unionByName(last))
         named = component.select(F.col("node").alias("h"), "component")
         lively = tried.join(found, ["a", "b"], "left_semi").select("k").distinct()
         merged = buckets.join(lively, "k", "left_semi").join(named, "h", "left").select(

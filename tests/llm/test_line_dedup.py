@@ -3,6 +3,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from segmark.llm import line_dedup
 from segmark.llm.line_dedup import dedup_lines, line_components, shingles
 from tests.llm.cases import DOCS, docs, edge_docs, empty_docs, sentence
 
@@ -136,3 +137,34 @@ def test_unspaced_near_copies_link(spark):
     got = {r.doc_id: r.n_removed for r in dedup_lines(docs(spark, texts)).collect()}
     assert not any(got[2 * i] for i in range(pairs))
     assert sum(got[2 * i + 1] for i in range(pairs)) >= 0.96 * pairs
+
+
+def hot_passage(rng, few):
+    """Lines that share 14 of 20 words, with some near copies: few words make the rest meet often."""
+    passage = [f"{rng.choice('bcdfg')}{i}shared" for i in range(14)]
+    lines = []
+    for i in range(220):
+        own = [rng.choice(few) if few else f"own{rng.randrange(10**4)}" for _ in range(6)]
+        line = [*own[:3], *passage, *own[3:]]
+        lines.append(" ".join(line))
+        if i % 10 == 0:
+            lines.append(" ".join([*line, f"z{i}"]))
+    return list(dict.fromkeys(lines))
+
+
+def test_every_link_of_a_bucket_is_found(spark, monkeypatch):
+    rng = random.Random(11)
+    for few, block in ((None, 256), (["ka", "lo", "mi", "nu", "pe", "ra"], 16)):
+        monkeypatch.setattr(line_dedup, "BLOCK", block)
+        lines = hot_passage(rng, few)
+        sets = [(i, line) for i, line in enumerate(lines)]
+        table = spark.createDataFrame(sets, "h long, line string").select("h", shingles(F.col("line")).alias("s"))
+        # One bucket with all lines: a pivot seldom meets the near copy of a line.
+        buckets = spark.createDataFrame([(7, i) for i in range(len(lines))], "k long, h long")
+        got = {r.node: r.component for r in line_components(buckets, table).collect()}
+        s = [every_shingle(x) for x in lines]
+        links = [(a, b) for a in range(len(s)) for b in range(a) if len(s[a] & s[b]) >= 0.8 * len(s[a] | s[b])]
+        found = sum(got.get(a, a) == got.get(b, b) for a, b in links)
+        assert len(links) >= 20 and found == len(links)  # recall 1 in a shared bucket
+        linked = {x for pair in links for x in pair}
+        assert set(got) <= linked
