@@ -4,15 +4,20 @@ Text is cut into words of letters, each between a start and an end symbol. Count
 longest character n-gram at each position come from all training rows, summed per distinct
 word inside a task and then by a partial aggregate; every lower order follows from them as
 continuation counts. A language's model is its interpolated probabilities and back-off
-weights; the n-grams of all languages share one sorted array of 64-bit hashes per order, and
-a text is scored by binary search, one look-up per distinct word and position.
+weights; discounts, continuation counts and probabilities are Spark aggregates and joins over all
+n-grams and end in a written table. Its n-grams share one sorted array of 64-bit hashes per order,
+with a (language, value) entry for each language that has the n-gram, and a text is scored by
+binary search, one look-up per distinct word and position.
 
 The language with the lowest cross-entropy per symbol wins. A text is rejected if that
 cross-entropy lies beyond the calibrated limit of the language: half-way to the closest other
 language's text under the same model, plus three standard errors for the text's length.
+All counts are scored for it in Spark, by the scorer that is used.
 
-Model size is bounded by ``MAX_GRAMS`` n-grams in all: each language keeps its n-grams with a
-count of at least 2^b, b the least that fits its share. The counts themselves cover all rows.
+The model holds every n-gram and grows with the number of distinct ones: 12 bytes an entry of a
+language and 16 a distinct n-gram, in the driver and in each worker. A caller may bound the scorer
+by ``max_grams``: each language then keeps its n-grams with a count of at least 2^b, b the least
+that fits its share; their probabilities and the rejection limits still come from all counts.
 
 Defined results: a null text or one without a letter is ``und``, score 0, rejected. With no
 training row every text is ``und``. Ties go to the language first in order. Repeated rows and
@@ -22,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +40,6 @@ from segmark.llm.common import handover, without
 from segmark.llm.textblocks import ALNUM, Block, blocks, scrambled, words
 
 ORDER = 4
-MAX_GRAMS = 1_000_000
 START, END = "\x02", "\x03"
 UNKNOWN = "und"
 SHARPNESS = 8.0  # of the softmax over cross-entropies per symbol
@@ -124,7 +129,7 @@ def gram_counts(rows: DataFrame, lang_col: str, text_col: str, order: int = ORDE
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def largest_model(counts: DataFrame, max_grams: int = MAX_GRAMS) -> DataFrame:
+def largest_model(counts: DataFrame, max_grams: int) -> DataFrame:
     """``counts`` without the rarest n-grams of languages beyond their share of the model."""
     scale = F.floor(F.log2("n")).cast("int")
     tiers = counts.groupBy("lang", scale.alias("tier")).agg(F.count(F.lit(1)).alias("k"))  # at most 63 rows a language
@@ -135,15 +140,19 @@ def largest_model(counts: DataFrame, max_grams: int = MAX_GRAMS) -> DataFrame:
     return counts.join(F.broadcast(least), "lang").where(scale >= F.col("least")).drop("least")
 
 
+#: Where the entries of each key start, and the language and value of each entry.
+Entries = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
 @dataclass
 class CharModels:
-    """Sorted hash arrays per order with a log probability (nan: unseen) or back-off weight per language."""
+    """Sorted hash arrays per order with the log probabilities or back-off weights of the languages that have the key."""
 
     langs: list[str]
     keys: list[np.ndarray]
-    logp: list[np.ndarray]
+    logp: list[Entries]
     context_keys: list[np.ndarray]
-    backoff: list[np.ndarray]
+    backoff: list[Entries]
     floor: np.ndarray
     limit: np.ndarray  # largest expected cross-entropy per language
     spread: np.ndarray  # standard deviation per symbol
@@ -172,11 +181,11 @@ class CharModels:
         weight = np.zeros_like(score)
         for k in range(self.order, 0, -1):
             at = np.flatnonzero((place >= max(1, k - 1)) & np.isnan(score).any(axis=1))
-            found = _rows_of(self.keys[k - 1], self.logp[k - 1], ending[k - 1][at], np.nan)
+            found = _rows_of(self.keys[k - 1], self.logp[k - 1], ending[k - 1][at], np.nan, len(self.langs))
             fresh = np.isnan(score[at]) & ~np.isnan(found)
             score[at] = np.where(fresh, found + weight[at], score[at])
             if k > 1:
-                weight[at] += _rows_of(self.context_keys[k - 1], self.backoff[k - 1], before[k - 2][at], 0.0)
+                weight[at] += _rows_of(self.context_keys[k - 1], self.backoff[k - 1], before[k - 2][at], 0.0, len(self.langs))
         return np.where(np.isnan(score), weight + self.floor, score)
 
     def classify(self, block: Block) -> dict[str, np.ndarray]:
@@ -208,11 +217,24 @@ class CharModels:
         return {"best": best, "score": score, "entropy": entropy, "rejected": rejected}
 
 
-def _rows_of(keys: np.ndarray, values: np.ndarray, asked: np.ndarray, missing: float) -> np.ndarray:
-    if not len(keys):
-        return np.full((len(asked), values.shape[1]), missing)
-    at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
-    return np.where((keys[at] == asked)[:, None], values[at], missing)
+def _rows_of(keys: np.ndarray, entries: Entries, asked: np.ndarray, missing: float, n_langs: int) -> np.ndarray:
+    out = np.full((len(asked), n_langs), missing)
+    if len(keys):
+        first, lang, value = entries
+        at = np.minimum(np.searchsorted(keys, asked), len(keys) - 1)
+        hit = np.flatnonzero(keys[at] == asked)
+        size = first[at[hit] + 1] - first[at[hit]]
+        row = np.repeat(hit, size)
+        entry = np.arange(len(row)) + np.repeat(first[at[hit]] - np.cumsum(size) + size, size)
+        out[row, lang[entry]] = value[entry]
+    return out
+
+
+def _packed(key: np.ndarray, lang: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, Entries]:
+    """Distinct sorted keys, and the entries of each."""
+    order = np.lexsort((lang, key))
+    keys, first = np.unique(key[order], return_index=True)
+    return keys, (np.append(first, len(key)).astype(np.int64), lang[order].astype(np.int32), value[order].astype(np.float64))
 
 
 def _one_language(counts: dict[str, int], order: int) -> tuple[list[dict[str, float]], list[dict[str, float]], float]:
@@ -253,46 +275,149 @@ def _hash_grams(grams: list[str]) -> np.ndarray:
     return _ending_hashes(symbols, k)[k - 1][k - 1::k]
 
 
-def _merge(per_lang: list[dict[str, float]], missing: float) -> tuple[np.ndarray, np.ndarray]:
-    grams = sorted(set().union(*per_lang))
-    if not grams or not grams[0]:
-        return np.zeros(0, np.uint64), np.zeros((0, len(per_lang)))
-    keys = _hash_grams(grams)
-    values = np.array([[d.get(g, missing) for d in per_lang] for g in grams])
-    order = np.argsort(keys)
-    return keys[order], values[order]
+def _merge(per_lang: list[dict[str, float]]) -> tuple[np.ndarray, Entries]:
+    grams = [g for d in per_lang for g in d]
+    key = _hash_grams(grams) if grams else np.zeros(0, np.uint64)
+    return _packed(key, np.repeat(np.arange(len(per_lang)), [len(d) for d in per_lang]), np.array([v for d in per_lang for v in d.values()]))
+
+
+def _assembled(langs: list[str], grams: list[tuple[np.ndarray, Entries]], contexts: list[tuple[np.ndarray, Entries]], floor: np.ndarray) -> CharModels:
+    none = _packed(np.zeros(0, np.uint64), np.zeros(0, int), np.zeros(0))
+    contexts = [none, *contexts]  # a single symbol has no context
+    return CharModels(langs, [g[0] for g in grams], [g[1] for g in grams], [c[0] for c in contexts], [c[1] for c in contexts],
+                      floor, np.zeros(len(langs)), np.zeros(len(langs)))
+
+
+def _text_score(models: CharModels, grams: list[str], n: np.ndarray) -> np.ndarray:
+    """Summed n, cross-entropy and its square under each model, of n-grams that occur n times each."""
+    out, size = np.zeros((3, len(models.langs))), np.fromiter(map(len, grams), np.int64, len(grams))
+    out[0] = n.sum()
+    for k in np.unique(size).tolist():
+        some = np.flatnonzero(size == k)
+        symbols = np.frombuffer("".join(grams[i] for i in some).encode("utf-32-le"), np.uint32)
+        h = _ending_hashes(np.pad(symbols, (0, models.order)), models.order)
+        last = np.arange(k - 1, len(symbols), k)
+        value = -models._positions([x[last] for x in h], [x[last - 1] for x in h], np.full(len(last), k - 1))
+        weight = n[some].astype(float)[:, None]
+        out[1] += (weight * value).sum(axis=0)
+        out[2] += (weight * value**2).sum(axis=0)
+    return out
+
+
+def _calibrate(models: CharModels, scored: np.ndarray) -> CharModels:
+    """Set the limits from ``scored``: per language of the text, the sums of ``_text_score``."""
+    langs = models.langs
+    if langs:
+        mean, second = scored[:, 1] / scored[:, 0], scored[:, 2] / scored[:, 0]  # [text, model]
+        own = np.diag(mean)
+        gap = np.where(np.eye(len(langs), dtype=bool), np.inf, mean - own[None, :])
+        nearest = np.where(np.isfinite(gap.min(axis=0)), gap.min(axis=0), 2.0)
+        models.limit = own + np.maximum(0.5 * nearest, 0.25)
+        models.spread = np.sqrt(np.maximum(np.diag(second) - own**2, 0.0))
+    return models
 
 
 def build_models(counts: dict[str, dict[str, int]], order: int = ORDER) -> CharModels:
-    """Models and rejection limits from the n-gram counts of each language."""
+    """Models and rejection limits from n-gram counts in memory: what ``fit`` computes in Spark."""
     langs = sorted(counts)
     parts = [_one_language(counts[name], order) for name in langs]
-    grams = [_merge([p[0][k] for p in parts], np.nan) for k in range(1, order + 1)]
-    contexts = [(np.zeros(0, np.uint64), np.zeros((0, len(langs))))]
-    contexts += [_merge([p[1][k] for p in parts], 0.0) for k in range(2, order + 1)]
-    models = CharModels(langs, [g[0] for g in grams], [g[1] for g in grams], [c[0] for c in contexts], [c[1] for c in contexts],
-                        np.array([p[2] for p in parts]), np.zeros(len(langs)), np.zeros(len(langs)))
-    # The counts say what the training text of each language scores under every model.
-    mean, second = (np.zeros((len(langs), len(langs))) for _ in range(2))  # [text, model]
-    for i, name in enumerate(langs):
-        total = sum(counts[name].values())
-        by_size: dict[int, list[str]] = {}
-        for g in counts[name]:
-            by_size.setdefault(len(g), []).append(g)
-        for size, some in by_size.items():
-            symbols = np.frombuffer("".join(some).encode("utf-32-le"), np.uint32)
-            h = _ending_hashes(symbols, order) if len(symbols) >= order else _ending_hashes(np.pad(symbols, (0, order)), order)
-            last = np.arange(size - 1, len(symbols), size)
-            value = -models._positions([x[last] for x in h], [x[last - 1] for x in h], np.full(len(last), size - 1))
-            n = np.array([counts[name][g] for g in some], float)[:, None] / total
-            mean[i] += (n * value).sum(axis=0)
-            second[i] += (n * value**2).sum(axis=0)
-    own = np.diag(mean)
-    gap = np.where(np.eye(len(langs), dtype=bool), np.inf, mean - own[None, :])
-    nearest = np.where(np.isfinite(gap.min(axis=0)), gap.min(axis=0), 2.0) if len(langs) else np.zeros(0)
-    models.limit = own + np.maximum(0.5 * nearest, 0.25)
-    models.spread = np.sqrt(np.maximum(np.diag(second) - own**2, 0.0))
-    return models
+    models = _assembled(langs, [_merge([p[0][k] for p in parts]) for k in range(1, order + 1)],
+                        [_merge([p[1][k] for p in parts]) for k in range(2, order + 1)], np.array([p[2] for p in parts]))
+    return _calibrate(models, np.array([_text_score(models, list(counts[x]), np.array(list(counts[x].values()))) for x in langs]))
+
+
+def _levels(counts: DataFrame, order: int, value: str) -> dict[int, DataFrame]:
+    """Per length k, the n-grams (lang, gram) of ``counts`` and of the ends of longer ones, with ``value`` as n."""
+    levels: dict[int, DataFrame] = {}
+    for k in range(order, 0, -1):
+        own = counts.where(F.length("gram") == k).select("lang", "gram", "n")
+        if k < order:  # continuation counts; n-grams at a word's start keep raw counts
+            ends = levels[k + 1].select("lang", F.substring("gram", 2, k).alias("gram"), F.lit(1).cast("bigint").alias("n"))
+            own = handover(own.unionByName(ends).groupBy("lang", "gram").agg(F.expr(value).alias("n")), "char-level")
+        levels[k] = own
+    return levels
+
+
+def model_tables(counts: DataFrame, order: int = ORDER, max_grams: int | None = None) -> tuple[list[str], np.ndarray, list[DataFrame], list[DataFrame]]:
+    """Languages, log probability of a new symbol, and per order (lang, gram, value): probabilities and back-off weights.
+
+    All of it is computed over all n-grams; ``max_grams`` only picks rows.
+    """
+    spark = counts.sparkSession
+    levels = _levels(counts, order, "sum(n)")
+    seen = reduce(DataFrame.unionByName, [levels[k].groupBy("lang").agg(
+        F.lit(k).alias("k"), F.count(F.lit(1)).alias("kinds"), F.count_if(F.col("n") == 1).alias("once"),
+        F.count_if(F.col("n") == 2).alias("twice")) for k in levels]).collect()  # a row per language and order
+    discount = {(r.lang, r.k): min(0.9, max(0.1, r.once / (r.once + 2 * r.twice))) if r.once + r.twice else 0.5 for r in seen}
+    uniform = {r.lang: 1.0 / (r.kinds + 1) for r in seen if r.k == 1}
+    langs = sorted(uniform)
+    if not langs:
+        return [], np.zeros(0), [], []
+    kept = _levels(largest_model(counts, max_grams), order, "max(n)") if max_grams is not None else {}
+    floor = np.zeros(len(langs))
+    grams, contexts, lower = [], [], None
+    for k in range(1, order + 1):
+        rates = F.broadcast(spark.createDataFrame([(x, discount.get((x, k), 0.5), uniform[x]) for x in langs], "lang string, d double, uniform double"))
+        split = levels[k].withColumn("h", F.substring("gram", 1, k - 1))
+        context = handover(split.groupBy("lang", "h").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("kinds")).join(rates, "lang").select(
+            "lang", "h", "total", "d", "uniform", (F.col("d") * F.col("kinds") / F.col("total")).alias("gamma")), "char-contexts")
+        if lower is None:  # one context a language
+            known = split.join(F.broadcast(context), ["lang", "h"]).withColumn("below", F.col("uniform"))
+            for r in context.collect():
+                floor[langs.index(r.lang)] = np.log(r.gamma * r.uniform)
+        else:
+            known = split.join(context, ["lang", "h"]).withColumn("end", F.substring("gram", 2, k - 1)).join(
+                lower.select("lang", F.col("gram").alias("end"), F.col("p").alias("below")), ["lang", "end"])
+        lower = handover(known.select("lang", "gram", ((F.col("n") - F.col("d")) / F.col("total") + F.col("gamma") * F.col("below")).alias("p")), "char-model")
+        own, back = lower, context
+        if kept:
+            own = own.join(kept[k].select("lang", "gram"), ["lang", "gram"], "left_semi")
+            back = back.join(kept[k].select("lang", F.substring("gram", 1, k - 1).alias("h")), ["lang", "h"], "left_semi")
+        grams.append(own.select("lang", "gram", F.log("p").alias("value")))
+        if k > 1:
+            contexts.append(back.select("lang", F.col("h").alias("gram"), F.log("gamma").alias("value")))
+    return langs, floor, grams, contexts
+
+
+def _hashed_table(table: DataFrame, langs: list[str]) -> tuple[np.ndarray, Entries]:
+    """``table`` (n-grams of one length) written sorted by hash, and gathered as packed arrays."""
+    number = {x: i for i, x in enumerate(langs)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                code = pa.array([number[x] for x in batch.column("lang").to_pylist()], pa.int32())
+                key = pa.array(_hash_grams(batch.column("gram").to_pylist()).view(np.int64))
+                yield pa.RecordBatch.from_arrays([key, code, batch.column("value")], names=["key", "lang", "value"])
+
+    hashed = table.mapInArrow(run, "key long, lang int, value double").sortWithinPartitions("key")
+    got = handover(hashed, "char-hashes").toArrow()
+    return _packed(got.column("key").to_numpy().view(np.uint64), got.column("lang").to_numpy(), got.column("value").to_numpy())
+
+
+def _scores_of_all(counts: DataFrame, models: CharModels) -> np.ndarray:
+    """Per language of the text, the sums of ``_text_score`` over all of ``counts``."""
+    shared = counts.sparkSession.sparkContext.broadcast(vars(models))
+    n_langs = len(models.langs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = CharModels(**shared.value)
+        sums = {}
+        for batch in batches:
+            lang, n = np.array(batch.column("lang").to_pylist(), object), batch.column("n").to_numpy()
+            grams = batch.column("gram").to_pylist()
+            for name in set(lang.tolist()):
+                at = np.flatnonzero(lang == name)
+                sums[name] = sums.get(name, 0.0) + _text_score(own, [grams[i] for i in at], n[at])
+        for name, total in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name] * n_langs, pa.string()), pa.array(np.arange(n_langs, dtype=np.int32)), *map(pa.array, total)],
+                                             names=["lang", "model", "n", "s", "q"])
+
+    out = np.zeros((n_langs, 3, n_langs))
+    summed = counts.mapInArrow(run, "lang string, model int, n double, s double, q double").groupBy("lang", "model").agg(F.sum("n"), F.sum("s"), F.sum("q"))
+    for lang, model, *sums in summed.collect():
+        out[models.langs.index(lang), :, model] = sums
+    return out
 
 
 def held_out(id_col: str) -> F.Column:
@@ -300,13 +425,14 @@ def held_out(id_col: str) -> F.Column:
     return F.pmod(F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", max_grams: int = MAX_GRAMS, order: int = ORDER) -> CharModels:
-    """Models of the languages of ``rows``; the driver holds at most about ``max_grams`` n-grams."""
+def fit(rows: DataFrame, lang_col: str = "lang", text_col: str = "text", max_grams: int | None = None, order: int = ORDER) -> CharModels:
+    """Models of the languages of ``rows``, of all n-grams or of about ``max_grams``."""
     counts = handover(gram_counts(rows, lang_col, text_col, order), "char-grams")
-    table: dict[str, dict[str, int]] = {}
-    for r in largest_model(counts, max_grams).toLocalIterator():
-        table.setdefault(r.lang, {})[r.gram] = r.n
-    return build_models(table, order)
+    langs, floor, grams, contexts = model_tables(counts, order, max_grams)
+    if not langs:
+        return build_models({}, order)
+    models = _assembled(langs, [_hashed_table(t, langs) for t in grams], [_hashed_table(t, langs) for t in contexts], floor)
+    return _calibrate(models, _scores_of_all(counts, models))
 
 
 def identify(df: DataFrame, models: CharModels, text_col: str = "text") -> DataFrame:

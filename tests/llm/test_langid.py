@@ -4,7 +4,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 
-from segmark.llm.langid import END, START, UNKNOWN, build_models, drop_rejected, fit, identify, identify_languages, letters
+from segmark.llm.langid import END, START, UNKNOWN, _text_score, build_models, drop_rejected, fit, gram_counts, identify, identify_languages, letters
 from segmark.llm.textblocks import block_of
 from tests.llm.cases import DOCS, edge_docs, empty_docs
 
@@ -119,3 +119,29 @@ def test_letters_leave_codes_out():
     models = build_models({"x": brute_counts(["abc", "abd"])})
     r = models.classify(block_of(pa.array(["a1b2 c3", "12 34", "abc a1", None])))
     assert r["best"].tolist() == [0, -1, 0, -1]
+
+
+def test_statistics_and_limits_come_from_all_counts(spark):
+    df = spark.createDataFrame(corpus(150), DOCS)
+    counts = {}
+    for r in gram_counts(df, "lang", "text").collect():
+        counts.setdefault(r.lang, {})[r.gram] = r.n
+    want, got, small = build_models(counts), fit(df), fit(df, max_grams=90)
+    asked = ["lorem", "solero", "zwetgh", "ñaóéíí", "q", "zzzz", "lore"]
+    assert got.langs == want.langs and [len(k) for k in got.keys] == [len(k) for k in want.keys]
+    assert np.allclose(got.word_scores(asked)[0], want.word_scores(asked)[0], rtol=0, atol=1e-9)
+    assert np.allclose(got.limit, want.limit) and np.allclose(got.spread, want.spread)
+    # A bounded scorer keeps the probabilities of all counts and is calibrated on all of them.
+    assert len(small.keys[3]) < len(want.keys[3])
+    for k in range(4):
+        at = np.searchsorted(want.keys[k], small.keys[k])
+        assert (want.keys[k][at] == small.keys[k]).all()
+        for i, j in enumerate(at):
+            mine, all_ = ({int(m.logp[k][1][e]): m.logp[k][2][e] for e in range(m.logp[k][0][x], m.logp[k][0][x + 1])} for m, x in ((small, i), (want, j)))
+            assert all(abs(v - all_[x]) < 1e-9 for x, v in mine.items())
+    scored = np.array([_text_score(small, list(counts[x]), np.array(list(counts[x].values()))) for x in small.langs])
+    mean = scored[:, 1] / scored[:, 0]
+    own = np.diag(mean)
+    nearest = [min(mean[j, i] - own[i] for j in range(len(own)) if j != i) for i in range(len(own))]
+    assert np.allclose(small.limit, own + np.maximum(0.5 * np.array(nearest), 0.25))
+    assert not np.allclose(small.limit, want.limit)
