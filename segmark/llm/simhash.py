@@ -183,9 +183,8 @@ def near_links(fps: DataFrame) -> DataFrame:
     return folded.repartition("route").sortWithinPartitions("route").mapInArrow(_meet, "a long, b long").distinct()
 
 
-def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: id, ``keep`` columns, fingerprint (16 hex digits) and component_id."""
-    keep = tuple(c for c in keep if c.lower() not in ("fingerprint", "component_id"))
+def _members(df: DataFrame, id_col: str, text_col: str, keep: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """The written fingerprints (id, ``keep``, fp) and, per fp, its component's root and component_id."""
     rows = df.select(*dict.fromkeys([id_col, *keep, text_col]))
     printed = handover(with_fingerprint(rows, text_col, "fp", text_col in keep), "simhash-fp")
     first = printed.groupBy("fp").agg(F.min(id_col).alias("least"))
@@ -194,21 +193,31 @@ def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "fp", F.coalesce("component", "fp").alias("root"), "least")
     at = handover(at, "simhash-roots")
     owner = at.groupBy("root").agg(F.min("least").alias("component_id"))
-    member = handover(at.join(owner, "root").select("fp", "component_id"), "simhash-member")
+    member = handover(at.join(owner, "root").select("fp", "root", "component_id"), "simhash-member")
     release(df.sparkSession, at)
+    return printed, member
+
+
+def simhash_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: id, ``keep`` columns, fingerprint (16 hex digits) and component_id."""
+    keep = tuple(c for c in keep if c.lower() not in ("fingerprint", "component_id"))
+    printed, member = _members(df, id_col, text_col, keep)
     cols = [F.col(f"`{c}`") for c in dict.fromkeys([id_col, *keep])]
-    return printed.join(member, "fp").select(
+    return printed.join(member.drop("root"), "fp").select(
         *cols, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
 def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of each component stays: that of its smallest id (of repeated rows, one).
+    """One row of each component stays: that of its smallest id (null last; of a repeated id, one text).
 
-    Only ids and fingerprints take part in the search; the texts are shuffled once, by id,
-    against the ids that stay. A component of null ids alone keeps one null-id row per text.
+    Only ids, fingerprints and 64-bit marks of the texts take part in the search. A text has one
+    fingerprint, so id and mark lie in one component; the texts are shuffled once, by both,
+    against the one (id, mark) of each component that stays.
     """
-    tagged = simhash_components(df, id_col, text_col)
-    stay = tagged.where(F.col(id_col).eqNullSafe(F.col("component_id"))).select(F.col(id_col).alias("_stay")).distinct()
-    mark = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    kept = df.join(stay, df[id_col].eqNullSafe(stay["_stay"]), "left_semi").withColumn("_mark", mark)
-    return kept.dropDuplicates([id_col, "_mark"]).drop("_mark")
+    marked = df.withColumn("_near_mark", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    printed, member = _members(marked, id_col, text_col, ("_near_mark",))
+    first = printed.join(member.select("fp", "root"), "fp").groupBy("root").agg(F.min(F.struct(
+        F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col("_near_mark").alias("mark"))).alias("first"))
+    stay = first.select(F.col("first.id").alias("_stay"), F.col("first.mark").alias("_stay_mark"))
+    kept = marked.join(stay, marked[id_col].eqNullSafe(F.col("_stay")) & (F.col("_near_mark") == F.col("_stay_mark")), "left_semi")
+    return kept.dropDuplicates([id_col, "_near_mark"]).drop("_near_mark")

@@ -115,3 +115,16 @@ def test_connected_components_on_chains_stars_and_nulls(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{1000 + i: 1000 for i in range(80)}, -4: -9, -9: -9, 2000: -9}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_one_document_a_component_with_null_and_repeated_ids(spark):
+    rng = random.Random(10)
+    a, b, c, d = (sentence(rng, 300) for _ in range(4))
+    rows = [(7, a), (None, a.upper()), (None, a + "  "), (7, a.replace(" ", "  ", 2)),  # one component, id 7 twice and two null ids
+            (None, b), (None, b.upper()), (None, b),  # null ids alone
+            (8, c), (8, c.upper()), (9, c), (8, d)]  # id 8 in two components
+    df = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    root = {t: brute_components(range(len(rows)), [brute_print(x) for _, x in rows])[k] for k, (_, t) in enumerate(rows)}
+    assert len(set(root.values())) == 4
+    kept = drop_near_copies(df).collect()
+    assert sorted((root[r.text], r.doc_id) for r in kept) == [(0, 7), (4, None), (7, 8), (10, 8)]
