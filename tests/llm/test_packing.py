@@ -91,3 +91,21 @@ def test_groups_of_any_size_and_bad_settings(spark, vocabulary):
     for kwargs in ({"rule": "first"}, {"tokens": 0}, {"attention": 100}):
         with pytest.raises(ValueError):
             Capacity(**kwargs)
+
+
+def test_operator_with_a_document_limit_that_binds(spark, vocabulary):
+    rng = random.Random(6)
+    df = spark.createDataFrame([(i, sentence(rng, rng.randint(1, 60)), "en", "s", 0) for i in range(160)], edge_docs(spark).schema)
+
+    def sequences(cap):
+        out = {}
+        for r in pack_documents(df, vocabulary, cap=cap).collect():
+            out.setdefault(r.sequence_id, []).append(r.length)
+        return list(out.values())
+
+    free, bound = sequences(Capacity()), sequences(Capacity(documents=4))
+    assert max(map(len, free)) > 4 and sorted(map(len, bound)) == [4] * 40
+    assert sum(map(sum, bound)) == sum(map(sum, free)) and max(map(sum, bound)) <= 2048
+    # The attention limit is at least the square of the token limit, so it cannot bind.
+    with pytest.raises(ValueError):
+        Capacity(attention=2048 * 2048 - 1)
