@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmark.llm import decontam, langid, line_dedup, packing, repetition, secrets, simhash, suffix_dedup, toxicity, url_filter
+from segmark.llm import ann, decontam, langid, line_dedup, packing, repetition, secrets, simhash, suffix_dedup, toxicity, url_filter
 from segmark.llm.common import table
 from segmark.session import scratch_path
 
@@ -82,6 +82,10 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op2_decontamination": op2_decontamination,
@@ -93,4 +97,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_secret_scan": op10_secret_scan,
+    "op11_nearest_neighbours": op11_nearest_neighbours,
 }
