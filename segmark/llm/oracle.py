@@ -113,4 +113,36 @@ SELECT *, NOT base_failed AND 100 * dup_line_chars <= 30 * word_chars AND 100 *
 FROM f
 """
 
-ORACLE_SQL: dict[str, str] = {"op1_repetition": OP1, "op2_decontamination": OP2, "op8_url_filter": OP8, "op10_secret_scan": OP10}
+OP12 = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+  FROM documents
+), p AS (
+  SELECT lang, regexp_extract_all(unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')), '[^\x20\x09]+') AS ws FROM d
+), total AS (
+  SELECT lang, sum(len(ws))::BIGINT AS n FROM p GROUP BY lang
+), g AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(ws) - k + 2), lambda i: array_to_string(ws[i:i + k - 1], ' '))) AS phrase
+  FROM p, (SELECT unnest([1, 2, 3, 4]) AS k)
+), c AS (
+  SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 30
+), cut AS (
+  SELECT c.lang, c.phrase, c.k, c.a, j, string_split(c.phrase, ' ') AS w FROM c, (SELECT unnest([1, 2, 3]) AS j) WHERE j < c.k
+), scored AS (
+  SELECT cut.lang, cut.phrase, cut.k, cut.a, j, x.a AS l, y.a AS r, ((2000000::HUGEINT * cut.a) // (x.a + y.a))::BIGINT AS score
+  FROM cut JOIN c x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1:j], ' ')
+           JOIN c y ON y.lang = cut.lang AND y.phrase = array_to_string(w[j + 1:], ' ')
+), weakest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inside AS (
+  SELECT DISTINCT s.lang, s.phrase FROM c s JOIN c t
+    ON s.lang = t.lang AND s.k > 1 AND t.k > s.k AND contains(' ' || t.phrase || ' ', ' ' || s.phrase || ' ') AND 100 * t.a >= 80 * s.a
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank
+  FROM weakest ANTI JOIN inside USING (lang, phrase)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_repetition": OP1, "op2_decontamination": OP2, "op8_url_filter": OP8, "op10_secret_scan": OP10, "op12_collocations": OP12}

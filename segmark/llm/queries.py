@@ -6,7 +6,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmark.llm import ann, decontam, langid, line_dedup, packing, repetition, secrets, simhash, suffix_dedup, toxicity, url_filter
+from segmark.llm import ann, collocations, decontam, langid, line_dedup, packing, repetition, secrets, simhash, suffix_dedup, toxicity, url_filter
 from segmark.llm.common import table
 from segmark.session import scratch_path
 
@@ -86,6 +86,10 @@ def op11_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op2_decontamination": op2_decontamination,
@@ -98,4 +102,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_secret_scan": op10_secret_scan,
     "op11_nearest_neighbours": op11_nearest_neighbours,
+    "op12_collocations": op12_collocations,
 }
