@@ -36,12 +36,11 @@ from pyspark.sql import functions as F
 from segmark.llm.common import handover, release
 from segmark.llm.textblocks import BLOCK_BYTES, Block, blocks, scrambled, words
 
-SHARDS = 6
+SHARDS = 4
 SUPPORT = 30
 MAX_WORDS = 4
 BITS = 25
 TOP = 2000
-TOP_SALTS = 16
 INSIDE_PERCENT = 80
 SCORE_UNIT = 2_000_000
 
@@ -165,7 +164,8 @@ def _documents(df: DataFrame, id_col: str, text_col: str, lang_col: str, shards:
 
 
 def _counted(docs: DataFrame, k: int, bitmap: np.ndarray | None) -> DataFrame:
-    """(g, l, key, n): occurrences of phrases of k words whose shorter ends may be frequent in the shard."""
+    """(g, key, n): occurrences of phrases of k words whose shorter ends may be frequent in the shard; for words with l."""
+    names = ["g", "l", "key"] if k == 1 else ["g", "key"]
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -183,18 +183,18 @@ def _counted(docs: DataFrame, k: int, bitmap: np.ndarray | None) -> DataFrame:
             for value in np.unique(g[owner]):
                 mine = g[owner] == value
                 found, n = np.unique(key[mine], return_counts=True)
-                of = pa.array(np.full(len(found), value).view(np.int64))
-                language = pa.array(np.full(len(found), l[owner[np.argmax(mine)]]).view(np.int64))
-                yield pa.RecordBatch.from_arrays([of, language, pa.array(found.view(np.int64)), pa.array(n)], names=["g", "l", "key", "n"])
+                column = {"g": np.full(len(found), value), "l": np.full(len(found), l[owner[np.argmax(mine)]]), "key": found}
+                yield pa.RecordBatch.from_arrays([*[pa.array(column[c].view(np.int64)) for c in names], pa.array(n)], names=[*names, "n"])
 
-    return docs.select("text", "l", "g").mapInArrow(run, "g long, l long, key long, n long").groupBy("g", "l", "key").agg(F.sum("n").alias("n"))
+    counted = docs.select("text", "l", "g").mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", n long")
+    return counted.groupBy(*names).agg(F.sum("n").alias("n"))
 
 
-def local_phrases(docs: DataFrame, support: int, longest: int) -> np.ndarray:
-    """Bitmap of all phrases that reach their lowered support in some shard."""
+def local_phrases(docs: DataFrame, support: int, longest: int) -> tuple[np.ndarray, DataFrame]:
+    """Bitmap of all phrases that reach their lowered support in some shard; (l, n_all) of the languages."""
     found = handover(_counted(docs, 1, None), "phrase-words")
     in_shard = found.groupBy("g", "l").agg(F.sum("n").alias("n_shard"))
-    total = in_shard.groupBy("l").agg(F.sum("n_shard").alias("n_all"))
+    total = handover(in_shard.groupBy("l").agg(F.sum("n_shard").alias("n_all")), "phrase-totals")
     need = F.ceil((F.lit(support).cast("decimal(20,0)") * F.col("n_shard")) / F.col("n_all").cast("decimal(20,0)"))
     lowered = handover(in_shard.join(total, "l").select(F.col("g").alias("of"), need.cast("long").alias("need")), "phrase-support")
     union = np.zeros(1 << (BITS - 6), np.uint64)
@@ -208,7 +208,7 @@ def local_phrases(docs: DataFrame, support: int, longest: int) -> np.ndarray:
             found = _counted(docs, k + 1, bitmap)
         release(docs.sparkSession, frequent)
     release(docs.sparkSession, lowered)
-    return union
+    return union, total
 
 
 def phrase_counts(docs: DataFrame, candidates: np.ndarray, longest: int) -> DataFrame:
@@ -282,23 +282,24 @@ def collocations(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  longest: int = MAX_WORDS, top: int = TOP, shards: int = SHARDS, percent: int = INSIDE_PERCENT) -> DataFrame:
     """The first ``top`` collocations of each language: lang, rank, phrase, a, l, r, n, score."""
     docs = _documents(df, id_col, text_col, lang_col, shards)
-    every = handover(phrase_counts(docs, local_phrases(docs, support, longest), longest).where(F.col("n") >= support), "phrase-counts")
-    total = word_totals(docs)
+    candidates, total = local_phrases(docs, support, longest)
+    every = handover(phrase_counts(docs, candidates, longest).where(F.col("n") >= support), "phrase-counts")
     phrases = every.where("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"))
     scored = weakest_cuts(every, phrases).join(inner_phrases(phrases, percent), ["lang", "phrase"], "left_anti")
-    best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salted = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(TOP_SALTS))).orderBy(*best)
-    first = scored.withColumn("rank", F.row_number().over(salted)).where(F.col("rank") <= top)
-    ranked = first.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).where(F.col("rank") <= top)
-    return ranked.join(total, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
+    names = docs.select("lang", "l").distinct().join(total, "l").select("lang", F.col("n_all").alias("n"))
+    return ranked(scored, top).join(names, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
-def word_totals(docs: DataFrame) -> DataFrame:
-    """(lang, n): all word occurrences of each language."""
+def ranked(scored: DataFrame, top: int) -> DataFrame:
+    """The first ``top`` rows of each language with their rank, from one range sort.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch, block in blocks(batches, "text"):
-            n = np.diff(words(block, WORD).first)
-            yield pa.RecordBatch.from_arrays([batch.column("lang"), pa.array(n.astype(np.int64))], names=["lang", "n"])
-
-    return handover(docs.select("lang", "text").mapInArrow(run, "lang string, n long").groupBy("lang").agg(F.sum("n").alias("n")), "word-totals")
+    A row's rank is its place in its sorted partition plus the language's rows in the partitions
+    before; only one row per language and partition is gathered for that.
+    """
+    best = ["lang", F.desc("score"), F.desc("a"), F.asc("phrase")]
+    rows = handover(scored, "phrase-scores").repartitionByRange(*best).sortWithinPartitions(*best)
+    rows = handover(rows.withColumn("place", F.monotonically_increasing_id()).withColumn("part", F.shiftright("place", 33)), "phrase-order")
+    runs = rows.groupBy("lang", "part").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("size"))
+    before = F.sum("size").over(Window.partitionBy("lang").orderBy("part")) - F.col("size")
+    placed = rows.join(runs.withColumn("before", before), ["lang", "part"])
+    return placed.withColumn("rank", F.col("place") - F.col("first") + F.col("before") + 1).where(F.col("rank") <= top)
