@@ -34,13 +34,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmark.llm.common import handover, release
-from segmark.llm.textblocks import BLOCK_BYTES, Block, blocks, scrambled, words
+from segmark.llm.textblocks import Block, blocks, scrambled, words
 
 SHARDS = 4
 SUPPORT = 30
 MAX_WORDS = 4
 BITS = 25
 TOP = 2000
+TEXT_BYTES = 2 << 20  # of text at a time in a task
 INSIDE_PERCENT = 80
 SCORE_UNIT = 2_000_000
 
@@ -49,35 +50,40 @@ SEPARATOR[[*b".,;:!?", *range(0x0A, 0x0E)]] = True
 WORD = ~SEPARATOR
 WORD[[0x20, 0x09]] = False
 
-_STEP = np.uint64(0xD6E8FEB86659FD93)
+_STEP = 0xD6E8FEB86659FD93
+_BYTE = scrambled(np.arange(1, 257))
+#: Low bits of a key that make room for a small number while keys are sorted.
+_LOW = 6
 
 
-def word_hashes(vocabulary: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each (non-empty) binary value."""
-    off = np.frombuffer(vocabulary.buffers()[1], np.int32)[vocabulary.offset:vocabulary.offset + len(vocabulary) + 1].astype(np.int64)
-    if not len(vocabulary):
-        return np.zeros(0, np.uint64)
-    size = np.diff(off)
-    byte = scrambled(np.frombuffer(vocabulary.buffers()[2], np.uint8)[off[0]:off[-1]])
-    place = np.arange(len(byte)) - np.repeat(off[:-1] - off[0], size)
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each ``data[start:end]``, the same wherever the bytes stand."""
+    n = len(data)
+    power = np.full(n + 1, _STEP, np.uint64)
+    power[0] = 1
     with np.errstate(over="ignore"):
-        power = np.cumprod(np.full(int(size.max()) + 1, _STEP))
-        return scrambled(np.add.reduceat(byte * power[place], off[:-1] - off[0]))
+        np.cumprod(power, out=power)
+        total = np.zeros(n + 1, np.uint64)
+        np.multiply(_BYTE[data], power[:n], out=total[1:])
+        np.cumsum(total, out=total)
+        power[1:] = pow(_STEP, -1, 1 << 64)  # from here on the inverse powers
+        power[0] = 1
+        np.cumprod(power, out=power)
+        return scrambled((total[end] - total[start]) * power[start])
 
 
 class Text:
-    """Words of a block: codes, hashes, documents, and which word is followed by one of its piece.
+    """Words of a block: hashes, documents, and which word is followed by one of its piece.
 
     ``own`` is False for words that are there only to complete phrases of the words before them.
     """
 
     def __init__(self, block: Block, limit: int | None = None) -> None:
-        w = words(block.lowered(), WORD)
+        self.words = w = words(block.lowered(), WORD)
         self.doc = w.doc
         self.own = np.ones(len(w), bool) if limit is None else w.start < limit
-        self.code, self.vocabulary = w.coded if len(w) else (np.zeros(0, np.int64), pa.array([], pa.binary()))
-        self.hash = word_hashes(self.vocabulary)[self.code]
-        piece = np.cumsum(SEPARATOR[block.data])[w.start] if len(w) else np.zeros(0, np.int64)
+        self.hash = word_hashes(w.block.data, w.start, w.end)
+        piece = np.cumsum(SEPARATOR[block.data].view(np.uint8), dtype=np.int32)[w.start]
         self.joined = np.zeros(len(w), bool)
         self.joined[:-1] = (piece[1:] == piece[:-1]) & (self.doc[1:] == self.doc[:-1])
 
@@ -89,19 +95,19 @@ class Text:
             go = self.joined[at + k - 2]
             at = at[go]
             with np.errstate(over="ignore"):
-                h = scrambled(h[go] * _STEP + self.hash[at + k - 1])
+                h = scrambled(h[go] * np.uint64(_STEP) + self.hash[at + k - 1])
             yield k, at, h
 
 
 def _chunks(block: Block) -> Iterator[tuple[Block, int | None]]:
     """The block, or chunks of its one long text that begin at words and overlap by MAX_WORDS - 1 words."""
     n = len(block.data)
-    if len(block) > 1 or n <= 2 * BLOCK_BYTES:
+    if len(block) > 1 or n <= 2 * TEXT_BYTES:
         yield block, None
         return
     at = 0
     while at < n:
-        limit = stop = min(n, at + BLOCK_BYTES)
+        limit = stop = min(n, at + TEXT_BYTES)
         while limit < n and WORD[block.data[limit - 1]]:  # to the end of the word
             ahead = np.flatnonzero(~WORD[block.data[limit:limit + 4096]])
             limit = min(n, limit + (int(ahead[0]) + 1 if len(ahead) else 4096))
@@ -119,11 +125,16 @@ def _chunks(block: Block) -> Iterator[tuple[Block, int | None]]:
 
 
 def texts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Text]]:
-    for batch, block in blocks(batches, "text"):
+    for batch, block in blocks(batches, "text", TEXT_BYTES):
         for chunk, limit in _chunks(block):
             yield batch, Text(chunk, limit)
 
 
+def _key(h: np.ndarray, l: np.ndarray) -> np.ndarray:
+    """Keys of phrase hashes in a language; their low bits are free."""
+    return scrambled(h ^ l) >> np.uint64(_LOW) << np.uint64(_LOW)
+
+
 def _place(key: np.ndarray) -> np.ndarray:
     return (key >> np.uint64(64 - BITS)).astype(np.int64)
 
@@ -174,16 +185,19 @@ def _counted(docs: DataFrame, k: int, bitmap: np.ndarray | None) -> DataFrame:
             l, g = (batch.column(c).to_numpy().view(np.uint64) for c in "lg")
             good = np.ones(0, bool)
             for size, at, h in text.phrases(k):
-                key = scrambled(h ^ l[text.doc[at]])
+                key = _key(h, l[text.doc[at]])
                 if size == k - 1:
                     good = np.zeros(len(text.hash), bool)
                     good[at] = _is_set(may, _local(key, g[text.doc[at]]))
             keep = text.own[at] if k == 1 else text.own[at] & good[at] & good[at + 1]
             key, owner = key[keep], text.doc[at[keep]]
-            for value in np.unique(g[owner]):
-                mine = g[owner] == value
-                found, n = np.unique(key[mine], return_counts=True)
-                column = {"g": np.full(len(found), value), "l": np.full(len(found), l[owner[np.argmax(mine)]]), "key": found}
+            kinds, one, turn = np.unique(g, return_index=True, return_inverse=True)
+            turn = turn.ravel()
+            for low in range(0, len(kinds), 1 << _LOW):  # in one go unless a block has many languages
+                mine = slice(None) if len(kinds) <= 1 << _LOW else turn[owner] >> _LOW == low >> _LOW
+                found, n = np.unique(key[mine] | (turn[owner[mine]] & ((1 << _LOW) - 1)).astype(np.uint64), return_counts=True)
+                of = low + (found & np.uint64((1 << _LOW) - 1)).astype(np.int64)
+                column = {"g": kinds[of], "l": l[one[of]], "key": found >> np.uint64(_LOW) << np.uint64(_LOW)}
                 yield pa.RecordBatch.from_arrays([*[pa.array(column[c].view(np.int64)) for c in names], pa.array(n)], names=[*names, "n"])
 
     counted = docs.select("text", "l", "g").mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", n long")
@@ -223,17 +237,21 @@ def phrase_counts(docs: DataFrame, candidates: np.ndarray, longest: int) -> Data
             first = np.zeros(len(kinds), np.int64)
             first[lang[::-1]] = np.arange(len(lang))[::-1]
             names = batch.column("lang").take(pa.array(first))
-            size = max(len(text.vocabulary), 1)
+            code, vocabulary = text.words.coded if len(text.hash) else (np.zeros(0, np.int64), pa.array([], pa.binary()))
+            size = max(len(vocabulary), 1)
             for k, at, h in text.phrases(longest):
-                at = at[text.own[at] & _is_set(may, scrambled(h ^ l[text.doc[at]]))]
+                at = at[text.own[at] & _is_set(may, _key(h, l[text.doc[at]]))]
                 if not len(at):
                     continue
-                number = lang[text.doc[at]].astype(np.int64)
+                number, most = lang[text.doc[at]].astype(np.int64), len(kinds)
                 for j in range(k):  # equal numbers: equal language and equal words
-                    number = np.unique(number * size + text.code[at + j], return_inverse=True)[1].ravel()
+                    if most * size >= 1 << 62:
+                        number = np.unique(number, return_inverse=True)[1].ravel()
+                        most = len(number)
+                    number, most = number * size + code[at + j], most * size
                 _, one, n = np.unique(number, return_index=True, return_counts=True)
                 at = at[one]
-                parts = [text.vocabulary.take(pa.array(text.code[at + j])) for j in range(k)]
+                parts = [vocabulary.take(pa.array(code[at + j])) for j in range(k)]
                 phrase = pc.binary_join_element_wise(*parts, b" ") if k > 1 else parts[0]
                 yield pa.RecordBatch.from_arrays(
                     [names.take(pa.array(lang[text.doc[at]])), pa.array(np.full(len(at), k, np.int32)), phrase.cast(pa.string()), pa.array(n)],

@@ -78,7 +78,7 @@ def test_a_full_bitmap_only_costs_work(spark, monkeypatch):
 
 
 def test_long_texts_in_chunks(monkeypatch):
-    monkeypatch.setattr(collocations, "BLOCK_BYTES", 300)
+    monkeypatch.setattr(collocations, "TEXT_BYTES", 300)
     rng = random.Random(4)
     for text in (sentence(rng, 900), "x" * 2000 + " " + sentence(rng, 300), sentence(rng, 300) + " " + "y" * 5000, " " * 3000, ", ".join(["a b c d e"] * 300)):
         whole = collocations.Text(block_of(pa.array([text])))
