@@ -5,12 +5,12 @@ must reach ``ceil(s * n_shard / n)`` in at least one shard (n: words of its lang
 all), so what is frequent in no shard is frequent nowhere.
 
 1. Each shard is mined level by level over phrases of 1 to ``MAX_WORDS`` words, as one aggregate per
-   level over all shards: (shard and language, key of the phrase) with partial counts from the tasks.
+   level over all shards: (shard and language, word or key of the phrase) with counts from the tasks.
    A phrase is counted if both of its shorter ends may be frequent in its shard; that is looked up in
    a bitmap of ``BITS`` bits, which may say yes too often but never no too often.
 2. The locally frequent phrases of all shards form one bitmap of candidates.
-3. One more pass counts the candidates by their language and text, so hash keys of steps 1 and 2
-   never decide a count.
+3. One more pass counts the candidates by their language and text (words have been counted so in
+   step 1): hash keys decide which phrases are counted, never a count.
 
 The rest are joins and aggregates over the frequent phrases: the weakest cut of each, phrases that
 live inside a longer one, and the first ``TOP`` of each language.
@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from segmark.llm.common import handover, release
-from segmark.llm.textblocks import Block, blocks, scrambled, words
+from segmark.llm.textblocks import Block, block_of, blocks, scrambled, words
 
 SHARDS = 4
 SUPPORT = 30
@@ -148,19 +148,25 @@ def _local(key: np.ndarray, g: np.ndarray) -> np.ndarray:
     return scrambled(key ^ g)
 
 
-def _bitmap(keys: DataFrame, local: bool) -> np.ndarray:
-    """Bits of the keys (g, key): 2^BITS of them, gathered as at most 2^(BITS - 6) small rows."""
+def _bitmap(rows: DataFrame, local: bool) -> np.ndarray:
+    """Bits of frequent phrases, given as keys (g, key) or as words (g, l, word): 2^BITS of them,
+    gathered as at most 2^(BITS - 6) small rows."""
+    by_word = "word" in rows.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros(1 << (BITS - 6), np.uint64)
         for batch in batches:
-            key = batch.column("key").to_numpy().view(np.uint64)
+            if by_word:
+                word = block_of(batch.column("word"))
+                key = _key(word_hashes(word.data, word.off[:-1], word.off[1:]), batch.column("l").to_numpy().view(np.uint64))
+            else:
+                key = batch.column("key").to_numpy().view(np.uint64)
             at = _place(_local(key, batch.column("g").to_numpy().view(np.uint64)) if local else key)
             np.bitwise_or.at(bits, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
         slot = np.flatnonzero(bits)
         yield pa.RecordBatch.from_arrays([pa.array(slot.astype(np.int32)), pa.array(bits[slot].view(np.int64))], names=["slot", "bits"])
 
-    found = keys.mapInArrow(run, "slot int, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
+    found = rows.mapInArrow(run, "slot int, bits long").groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()
     out = np.zeros(1 << (BITS - 6), np.uint64)
     out[found.column("slot").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return out
@@ -174,76 +180,99 @@ def _documents(df: DataFrame, id_col: str, text_col: str, lang_col: str, shards:
                      F.xxhash64(lang).alias("l"), F.xxhash64(lang, shard).alias("g"))
 
 
-def _counted(docs: DataFrame, k: int, bitmap: np.ndarray | None) -> DataFrame:
-    """(g, key, n): occurrences of phrases of k words whose shorter ends may be frequent in the shard; for words with l."""
-    names = ["g", "l", "key"] if k == 1 else ["g", "key"]
+def _numbered(doc: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Kinds of a value per document, the first document of each, and the kind of each ``doc``."""
+    kinds, one, turn = np.unique(group, return_index=True, return_inverse=True)
+    return kinds, one, turn.ravel()[doc]
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(g, l, lang, word, n): exact counts of each word in each shard."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, text in texts_of(batches):
+            if not len(text.hash):
+                continue
+            code, vocabulary = text.words.coded
+            _, one, turn = _numbered(text.doc, batch.column("g").to_numpy())
+            pair, n = np.unique((turn * len(vocabulary) + code)[text.own], return_counts=True)
+            doc = pa.array(one[pair // len(vocabulary)])
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(c).take(doc) for c in ("g", "l", "lang")], vocabulary.take(pa.array(pair % len(vocabulary))).cast(pa.string()), pa.array(n)],
+                names=["g", "l", "lang", "word", "n"])
+
+    counted = docs.mapInArrow(run, "g long, l long, lang string, word string, n long")
+    return counted.groupBy("g", "l", "lang", "word").agg(F.sum("n").alias("n"))
+
+
+def _counted(docs: DataFrame, k: int, bitmap: np.ndarray) -> DataFrame:
+    """(g, key, n): occurrences of phrases of k words whose shorter ends may be frequent in the shard."""
     shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    low_bits = np.uint64((1 << _LOW) - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = shared.value
         for batch, text in texts_of(batches):
             l, g = (batch.column(c).to_numpy().view(np.uint64) for c in "lg")
-            good = np.ones(0, bool)
+            good = np.zeros(len(text.hash), bool)
             for size, at, h in text.phrases(k):
-                key = _key(h, l[text.doc[at]])
+                if size >= k - 1:
+                    key = _key(h, l[text.doc[at]])
                 if size == k - 1:
-                    good = np.zeros(len(text.hash), bool)
                     good[at] = _is_set(may, _local(key, g[text.doc[at]]))
-            keep = text.own[at] if k == 1 else text.own[at] & good[at] & good[at + 1]
-            key, owner = key[keep], text.doc[at[keep]]
-            kinds, one, turn = np.unique(g, return_index=True, return_inverse=True)
-            turn = turn.ravel()
+            keep = text.own[at] & good[at] & good[at + 1]
+            key = key[keep]
+            kinds, _, turn = _numbered(text.doc[at[keep]], g)
             for low in range(0, len(kinds), 1 << _LOW):  # in one go unless a block has many languages
-                mine = slice(None) if len(kinds) <= 1 << _LOW else turn[owner] >> _LOW == low >> _LOW
-                found, n = np.unique(key[mine] | (turn[owner[mine]] & ((1 << _LOW) - 1)).astype(np.uint64), return_counts=True)
-                of = low + (found & np.uint64((1 << _LOW) - 1)).astype(np.int64)
-                column = {"g": kinds[of], "l": l[one[of]], "key": found >> np.uint64(_LOW) << np.uint64(_LOW)}
-                yield pa.RecordBatch.from_arrays([*[pa.array(column[c].view(np.int64)) for c in names], pa.array(n)], names=[*names, "n"])
+                mine = slice(None) if len(kinds) <= 1 << _LOW else turn >> _LOW == low >> _LOW
+                found, n = np.unique(key[mine] | (turn[mine].astype(np.uint64) & low_bits), return_counts=True)
+                of = kinds[low + (found & low_bits).astype(np.int64)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(of.view(np.int64)), pa.array((found & ~low_bits).view(np.int64)), pa.array(n)], names=["g", "key", "n"])
 
-    counted = docs.select("text", "l", "g").mapInArrow(run, ", ".join(f"{c} long" for c in names) + ", n long")
-    return counted.groupBy(*names).agg(F.sum("n").alias("n"))
+    # Tasks have added up what repeats in their texts; the rest is mostly different and is
+    # shuffled as it is, without a second table of partial sums.
+    counted = docs.select("text", "l", "g").mapInArrow(run, "g long, key long, n long").repartition("g", "key")
+    return counted.groupBy("g", "key").agg(F.sum("n").alias("n"))
 
 
-def local_phrases(docs: DataFrame, support: int, longest: int) -> tuple[np.ndarray, DataFrame]:
-    """Bitmap of all phrases that reach their lowered support in some shard; (l, n_all) of the languages."""
-    found = handover(_counted(docs, 1, None), "phrase-words")
-    in_shard = found.groupBy("g", "l").agg(F.sum("n").alias("n_shard"))
-    total = handover(in_shard.groupBy("l").agg(F.sum("n_shard").alias("n_all")), "phrase-totals")
+def local_phrases(docs: DataFrame, words_: DataFrame, support: int, longest: int) -> np.ndarray:
+    """Bitmap of all phrases of two words or more that reach their lowered support in some shard."""
+    spark = docs.sparkSession
+    in_shard = words_.groupBy("g", "lang").agg(F.sum("n").alias("n_shard"))
+    total = in_shard.groupBy("lang").agg(F.sum("n_shard").alias("n_all"))
     need = F.ceil((F.lit(support).cast("decimal(20,0)") * F.col("n_shard")) / F.col("n_all").cast("decimal(20,0)"))
-    lowered = handover(in_shard.join(total, "l").select(F.col("g").alias("of"), need.cast("long").alias("need")), "phrase-support")
+    lowered = handover(in_shard.join(total, "lang").select(F.col("g").alias("of"), need.cast("long").alias("need")), "phrase-support")
+    frequent = lambda df: df.join(lowered, (F.col("g") == F.col("of")) & (F.col("n") >= F.col("need")))
+    may = _bitmap(frequent(words_).select("g", "l", "word"), local=True)
     union = np.zeros(1 << (BITS - 6), np.uint64)
-    for k in range(1, longest + 1):
-        frequent = handover(found.join(lowered, (F.col("g") == F.col("of")) & (F.col("n") >= F.col("need"))).select("g", "key"), "phrase-keys")
-        if k == 1:
-            release(docs.sparkSession, found)
-        union |= _bitmap(frequent, local=False)
-        if k < longest:
-            bitmap = _bitmap(frequent, local=True)
-            found = _counted(docs, k + 1, bitmap)
-        release(docs.sparkSession, frequent)
-    release(docs.sparkSession, lowered)
-    return union, total
+    for k in range(2, longest + 1):
+        keys = handover(frequent(_counted(docs, k, may)).select("g", "key"), "phrase-keys")
+        union |= _bitmap(keys, local=False)
+        may = _bitmap(keys, local=True) if k < longest else may
+        release(spark, keys)
+    release(spark, lowered)
+    return union
 
 
 def phrase_counts(docs: DataFrame, candidates: np.ndarray, longest: int) -> DataFrame:
-    """(lang, words, phrase, n): exact counts of all candidates, by text."""
+    """(lang, words, phrase, n): exact counts of all candidates of two words or more, by text."""
     shared = docs.sparkSession.sparkContext.broadcast(candidates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         may = shared.value
         for batch, text in texts_of(batches):
+            if not len(text.hash):
+                continue
             l = batch.column("l").to_numpy().view(np.uint64)
-            kinds, lang = np.unique(l, return_inverse=True)
-            first = np.zeros(len(kinds), np.int64)
-            first[lang[::-1]] = np.arange(len(lang))[::-1]
-            names = batch.column("lang").take(pa.array(first))
-            code, vocabulary = text.words.coded if len(text.hash) else (np.zeros(0, np.int64), pa.array([], pa.binary()))
-            size = max(len(vocabulary), 1)
+            code, vocabulary = text.words.coded
+            size = len(vocabulary)
             for k, at, h in text.phrases(longest):
-                at = at[text.own[at] & _is_set(may, _key(h, l[text.doc[at]]))]
-                if not len(at):
+                if k == 1:
                     continue
-                number, most = lang[text.doc[at]].astype(np.int64), len(kinds)
+                at = at[text.own[at] & _is_set(may, _key(h, l[text.doc[at]]))]
+                kinds, first, number = _numbered(text.doc[at], l)
+                lang, most = number, len(kinds)
                 for j in range(k):  # equal numbers: equal language and equal words
                     if most * size >= 1 << 62:
                         number = np.unique(number, return_inverse=True)[1].ravel()
@@ -252,10 +281,9 @@ def phrase_counts(docs: DataFrame, candidates: np.ndarray, longest: int) -> Data
                 _, one, n = np.unique(number, return_index=True, return_counts=True)
                 at = at[one]
                 parts = [vocabulary.take(pa.array(code[at + j])) for j in range(k)]
-                phrase = pc.binary_join_element_wise(*parts, b" ") if k > 1 else parts[0]
                 yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(lang[text.doc[at]])), pa.array(np.full(len(at), k, np.int32)), phrase.cast(pa.string()), pa.array(n)],
-                    names=["lang", "words", "phrase", "n"])
+                    [batch.column("lang").take(pa.array(first[lang[one]])), pa.array(np.full(len(at), k, np.int32)),
+                     pc.binary_join_element_wise(*parts, b" ").cast(pa.string()), pa.array(n)], names=["lang", "words", "phrase", "n"])
 
     counted = docs.select("lang", "text", "l").mapInArrow(run, "lang string, words int, phrase string, n long")
     return counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
@@ -300,12 +328,14 @@ def collocations(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  longest: int = MAX_WORDS, top: int = TOP, shards: int = SHARDS, percent: int = INSIDE_PERCENT) -> DataFrame:
     """The first ``top`` collocations of each language: lang, rank, phrase, a, l, r, n, score."""
     docs = _documents(df, id_col, text_col, lang_col, shards)
-    candidates, total = local_phrases(docs, support, longest)
-    every = handover(phrase_counts(docs, candidates, longest).where(F.col("n") >= support), "phrase-counts")
+    counted = handover(word_counts(docs), "phrase-words")
+    single = counted.groupBy("lang", F.lit(1).alias("words"), F.col("word").alias("phrase")).agg(F.sum("n").alias("n"))
+    longer = phrase_counts(docs, local_phrases(docs, counted, support, longest), longest)
+    every = handover(single.unionByName(longer).where(F.col("n") >= support), "phrase-counts")
     phrases = every.where("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"))
     scored = weakest_cuts(every, phrases).join(inner_phrases(phrases, percent), ["lang", "phrase"], "left_anti")
-    names = docs.select("lang", "l").distinct().join(total, "l").select("lang", F.col("n_all").alias("n"))
-    return ranked(scored, top).join(names, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+    total = counted.groupBy("lang").agg(F.sum("n").alias("n"))
+    return ranked(scored, top).join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
 
 
 def ranked(scored: DataFrame, top: int) -> DataFrame:
