@@ -172,12 +172,16 @@ def _bitmap(rows: DataFrame, local: bool) -> np.ndarray:
     return out
 
 
+def _group(lang: Column, shard: Column) -> Column:
+    return F.xxhash64(lang, shard.cast("int"))
+
+
 def _documents(df: DataFrame, id_col: str, text_col: str, lang_col: str, shards: int) -> DataFrame:
     """lang, text, l (hash of the language) and g (hash of language and shard); content alone decides them."""
     shard = F.pmod(F.xxhash64(F.col(id_col).cast("string"), text_col, F.lit(17)), F.lit(shards))
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("und"))
     return df.select(lang.alias("lang"), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
-                     F.xxhash64(lang).alias("l"), F.xxhash64(lang, shard).alias("g"))
+                     F.xxhash64(lang).alias("l"), _group(lang, shard).alias("g"))
 
 
 def _numbered(doc: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -187,22 +191,20 @@ def _numbered(doc: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(g, l, lang, word, n): exact counts of each word in each shard."""
+    """(g, word, n): exact counts of each word in each shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, text in texts_of(batches):
             if not len(text.hash):
                 continue
             code, vocabulary = text.words.coded
-            _, one, turn = _numbered(text.doc, batch.column("g").to_numpy())
+            kinds, _, turn = _numbered(text.doc, batch.column("g").to_numpy())
             pair, n = np.unique((turn * len(vocabulary) + code)[text.own], return_counts=True)
-            doc = pa.array(one[pair // len(vocabulary)])
             yield pa.RecordBatch.from_arrays(
-                [*[batch.column(c).take(doc) for c in ("g", "l", "lang")], vocabulary.take(pa.array(pair % len(vocabulary))).cast(pa.string()), pa.array(n)],
-                names=["g", "l", "lang", "word", "n"])
+                [pa.array(kinds[pair // len(vocabulary)]), vocabulary.take(pa.array(pair % len(vocabulary))).cast(pa.string()), pa.array(n)],
+                names=["g", "word", "n"])
 
-    counted = docs.mapInArrow(run, "g long, l long, lang string, word string, n long")
-    return counted.groupBy("g", "l", "lang", "word").agg(F.sum("n").alias("n"))
+    return docs.select("g", "text").mapInArrow(run, "g long, word string, n long").groupBy("g", "word").agg(F.sum("n").alias("n"))
 
 
 def _counted(docs: DataFrame, k: int, bitmap: np.ndarray) -> DataFrame:
@@ -237,7 +239,10 @@ def _counted(docs: DataFrame, k: int, bitmap: np.ndarray) -> DataFrame:
 
 
 def local_phrases(docs: DataFrame, words_: DataFrame, support: int, longest: int) -> np.ndarray:
-    """Bitmap of all phrases of two words or more that reach their lowered support in some shard."""
+    """Bitmap of all phrases of two words or more that reach their lowered support in some shard.
+
+    ``words_``: g, l, lang, word, n.
+    """
     spark = docs.sparkSession
     in_shard = words_.groupBy("g", "lang").agg(F.sum("n").alias("n_shard"))
     total = in_shard.groupBy("lang").agg(F.sum("n_shard").alias("n_all"))
@@ -256,7 +261,7 @@ def local_phrases(docs: DataFrame, words_: DataFrame, support: int, longest: int
 
 
 def phrase_counts(docs: DataFrame, candidates: np.ndarray, longest: int) -> DataFrame:
-    """(lang, words, phrase, n): exact counts of all candidates of two words or more, by text."""
+    """(l, phrase, n): exact counts of all candidates of two words or more, by text."""
     shared = docs.sparkSession.sparkContext.broadcast(candidates)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,7 +276,7 @@ def phrase_counts(docs: DataFrame, candidates: np.ndarray, longest: int) -> Data
                 if k == 1:
                     continue
                 at = at[text.own[at] & _is_set(may, _key(h, l[text.doc[at]]))]
-                kinds, first, number = _numbered(text.doc[at], l)
+                kinds, _, number = _numbered(text.doc[at], l)
                 lang, most = number, len(kinds)
                 for j in range(k):  # equal numbers: equal language and equal words
                     if most * size >= 1 << 62:
@@ -282,11 +287,11 @@ def phrase_counts(docs: DataFrame, candidates: np.ndarray, longest: int) -> Data
                 at = at[one]
                 parts = [vocabulary.take(pa.array(code[at + j])) for j in range(k)]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("lang").take(pa.array(first[lang[one]])), pa.array(np.full(len(at), k, np.int32)),
-                     pc.binary_join_element_wise(*parts, b" ").cast(pa.string()), pa.array(n)], names=["lang", "words", "phrase", "n"])
+                    [pa.array(kinds[lang[one]].view(np.int64)), pc.binary_join_element_wise(*parts, b" ").cast(pa.string()), pa.array(n)],
+                    names=["l", "phrase", "n"])
 
-    counted = docs.select("lang", "text", "l").mapInArrow(run, "lang string, words int, phrase string, n long")
-    return counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+    counted = docs.select("text", "l").mapInArrow(run, "l long, phrase string, n long").repartition("l", "phrase")
+    return counted.groupBy("l", "phrase").agg(F.sum("n").alias("n"))
 
 
 def _wide(name: str) -> Column:
@@ -328,10 +333,13 @@ def collocations(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  longest: int = MAX_WORDS, top: int = TOP, shards: int = SHARDS, percent: int = INSIDE_PERCENT) -> DataFrame:
     """The first ``top`` collocations of each language: lang, rank, phrase, a, l, r, n, score."""
     docs = _documents(df, id_col, text_col, lang_col, shards)
-    counted = handover(word_counts(docs), "phrase-words")
-    single = counted.groupBy("lang", F.lit(1).alias("words"), F.col("word").alias("phrase")).agg(F.sum("n").alias("n"))
-    longer = phrase_counts(docs, local_phrases(docs, counted, support, longest), longest)
-    every = handover(single.unionByName(longer).where(F.col("n") >= support), "phrase-counts")
+    groups = docs.select("lang", "l").distinct()
+    in_shard = groups.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).select("lang", "l", _group(F.col("lang"), F.col("shard")).alias("g"))
+    counted = handover(word_counts(docs), "phrase-words").join(in_shard, "g")
+    single = counted.groupBy("lang", F.col("word").alias("phrase")).agg(F.sum("n").alias("n"))
+    longer = phrase_counts(docs, local_phrases(docs, counted, support, longest), longest).join(groups, "l").select("lang", "phrase", "n")
+    size = F.size(F.split("phrase", " ", -1))
+    every = handover(single.unionByName(longer).where(F.col("n") >= support).withColumn("words", size), "phrase-counts")
     phrases = every.where("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"))
     scored = weakest_cuts(every, phrases).join(inner_phrases(phrases, percent), ["lang", "phrase"], "left_anti")
     total = counted.groupBy("lang").agg(F.sum("n").alias("n"))
