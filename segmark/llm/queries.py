@@ -6,7 +6,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmark.llm import ann, collocations, decontam, langid, line_dedup, packing, repetition, secrets, simhash, suffix_dedup, toxicity, url_filter
+from segmark.llm import (
+    ann, collocations, conversations, decontam, langid, line_dedup, packing, repetition, secrets, simhash, suffix_dedup, toxicity, url_filter,
+)
 from segmark.llm.common import table
 from segmark.session import scratch_path
 
@@ -90,6 +92,11 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fixed = conversations.repaired_after_damage(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+    return fixed.select("conv_id", "gaps", *conversations.COUNTS, "audit", F.sha2("repaired", 256).alias("repaired_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_repetition": op1_repetition,
     "op2_decontamination": op2_decontamination,
@@ -103,4 +110,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_secret_scan": op10_secret_scan,
     "op11_nearest_neighbours": op11_nearest_neighbours,
     "op12_collocations": op12_collocations,
+    "op13_conversation_repair": op13_conversation_repair,
 }
