@@ -1,15 +1,14 @@
 """Distributed K-Means segmentation with Spark ML.
 
-Scale notes: the assembler + scaler are fitted once (one distributed summary pass) and
-the scaled vectors are persisted for the whole k sweep; every fit and the silhouette
-are distributed Spark ML jobs. Only k centroids / k cluster profiles ever reach the
-driver. Before each fit the rows get a canonical layout (the partition count named in
-``ModelParams.layout_partitions``, sorted by person) because K-Means initialisation depends
-on the physical layout; neither session settings nor row counts change it.
+Scale notes: the persons are read once, by an aggregate that makes rows of equal features one
+weighted point; scaling, seeding, all fits of the k sweep and their silhouettes run over the
+points in shared passes (``operators.kmeans``). Only sums per cluster and a few dozen seeding
+candidates reach the driver. The result is a plain Spark ML pipeline model and depends on the
+rows alone, not on partitions or session settings.
 """
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+import math
 from dataclasses import dataclass, field
 from typing import Sequence
 
@@ -18,13 +17,15 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmark.functions.scalar import profile_label
+from segmark.operators import kmeans as kmeans_steps
 from segmark.params import MODEL_FEATURES, ModelParams
 from segmark.session import scratch_path
+from segmark.sinks import writers
 
 P = "customer_unique_id"
 RAW_VEC = "features_raw"
@@ -44,11 +45,6 @@ def scaler() -> StandardScaler:
     return StandardScaler(inputCol=RAW_VEC, outputCol=VEC, withMean=True, withStd=True)
 
 
-def canonical_layout(df: DataFrame, partitions: int, key: str = P) -> DataFrame:
-    """Same rows -> same physical layout (fixed hash partition count, sorted by key)."""
-    return df.repartition(partitions, key).sortWithinPartitions(key)
-
-
 def fit_scaling(df: DataFrame, features: Sequence[str] = MODEL_FEATURES) -> PipelineModel:
     asm = assembler(features)
     scaler_model = scaler().fit(asm.transform(df))
@@ -144,71 +140,107 @@ def _score_k(model: KMeansModel, scaled: DataFrame) -> float:
     return silhouette(model.transform(scaled))
 
 
-def _fit_and_score(scaled: DataFrame, k: int, params: ModelParams) -> tuple[KMeansModel, float]:
-    m = kmeans(k, params.max_iter, params.seed).fit(scaled)
-    return m, _score_k(m, scaled)
+def scaling_model(spark: SparkSession, features: Sequence[str], mean: Sequence[float], std: Sequence[float]) -> PipelineModel:
+    """Assembler and scaler with the given moments: the scaler is fitted on two rows that have them."""
+    half = [v / math.sqrt(2.0) for v in std]
+    rows = [tuple(m + sign * h for m, h in zip(mean, half, strict=True)) for sign in (-1, 1)]
+    asm = assembler(features)
+    two = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in features))
+    return PipelineModel(stages=[asm, scaler().fit(asm.transform(two))])
 
 
-def distinct_points(scaled: DataFrame, enough: int) -> int:
-    """Number of distinct vectors: exact where it may be below ``enough``, else an estimate.
+def kmeans_model(spark: SparkSession, centres: Sequence[Sequence[float]]) -> KMeansModel:
+    """A model with exactly these centres, in this order; of equal centres the first stays.
 
-    One aggregate; only inputs of few distinct vectors are counted exactly, and those shrink
-    to a few rows per task before the shuffle.
+    K-Means over k distinct points with k clusters has the points themselves as centres. They come
+    in an order that depends on k and the seed only, so a second fit over rearranged points
+    gives the order asked for.
     """
-    point = vector_to_array(F.col(VEC))
-    n = scaled.agg(F.approx_count_distinct(F.xxhash64(point))).first()[0]
-    return n if n > 4 * enough else scaled.select(point.alias("p")).distinct().count()
+    wanted = list(dict.fromkeys(tuple(map(float, c)) for c in centres))
+    k = len(wanted)
+
+    def fitted(rows: list[Sequence[float]]) -> KMeansModel:
+        one = spark.range(0, 1, 1, 1).select(F.explode(kmeans_steps.constant(rows)).alias("c")).select(array_to_vector("c").alias(VEC))
+        return kmeans(k, 1, 1).setInitMode("random").fit(one)
+
+    got = [tuple(map(float, c)) for c in fitted(wanted).clusterCenters()]
+    rows: list[Sequence[float]] = [()] * k
+    for place, c in enumerate(got):
+        rows[wanted.index(c)] = wanted[place]
+    model = fitted(rows)
+    if [tuple(map(float, c)) for c in model.clusterCenters()] != wanted:
+        raise RuntimeError("the model does not hold the centres it was given")
+    return model
+
+
+def stored_centres(model: PipelineModel) -> tuple[list[str], list[list[float]]]:
+    """Features of a trained model and its centres in feature units."""
+    asm, scaled, clusters = model.stages
+    mean, std = scaled.mean.toArray(), scaled.std.toArray()
+    return list(asm.getInputCols()), [[float(v) for v in c * std + mean] for c in clusters.clusterCenters()]
+
 
+def train(features: DataFrame, params: ModelParams, start: PipelineModel | None = None) -> TrainResult:
+    """Scale, then fit every k of the sweep (or the fixed k) in shared passes and keep the best model.
 
-def train(features: DataFrame, params: ModelParams) -> TrainResult:
-    """Fit assembler + scaler once, sweep k (or use the fixed k), keep the best fitted
-    model (no refit). Ties go to the smaller k; the sweep starts from -1.0.
+    The persons are read once: rows of equal features become weighted points, which are written to
+    the shared folder and read by all passes. Seeding, steps and sums do not depend on the layout
+    (see ``operators.kmeans``). Ties go to the smaller k; the sweep starts from -1.0. A pass that
+    fails fails the run. A k above the number of distinct points has no such clustering; it
+    scores -1.0 without a fit.
 
-    The k candidates are independent distributed fits over the same persisted vectors,
-    so they are submitted concurrently from driver threads; each result is the same
-    as in a serial sweep (same layout, same seed). A fit that fails fails the run: a
-    sweep without one of its candidates could choose another k. A k above the number of
-    distinct points has no such clustering; it scores -1.0 without a fit.
+    ``start`` is an earlier model: its k is used unless the parameters name one, fits of that k
+    begin at its centres, and each new centre takes the id of the old one nearest to it.
     """
+    spark = features.sparkSession
     feats = list(params.features)
-    # Mean / std do not depend on the layout: fit the scaler on the input as it is, so
-    # the person-level shuffle of the canonical layout runs once (for the persisted
-    # vectors) instead of twice.
-    scaling = fit_scaling(features.select(P, *feats), feats)
-    laid = canonical_layout(features.select(P, *feats), params.layout_partitions)
-    scaled = scaling.transform(laid).select(P, VEC).persist(StorageLevel.MEMORY_AND_DISK)
+    old: list[list[float]] = []
+    if start is not None:
+        old_feats, old = stored_centres(start)
+        if old_feats != feats:
+            raise ValueError(f"the earlier model has other features: {old_feats}")
+    fixed = params.k if params.k is not None else (len(old) or None)
     metrics: list[tuple[str, float]] = [
-        ("k_fixed", float(params.k if params.k is not None else -1)),
+        ("k_fixed", float(fixed if fixed is not None else -1)),
         ("max_iter", float(params.max_iter)),
         ("seed", float(params.seed)),
         ("n_features", float(len(feats))),
-        ("layout_partitions", float(params.layout_partitions)),
     ]
+    path = scratch_path(spark, "distinct-rows")
+    kmeans_steps.distinct_rows(features.select(P, *feats), feats, P, params.seed).write.parquet(path)
+    rows = spark.read.parquet(path)
+    _, mean, std = kmeans_steps.moments(rows, feats)
+    scaling = scaling_model(spark, feats, mean, std)
+    x = F.transform(vector_to_array(F.col(VEC)), lambda v: F.round(v, kmeans_steps.DIGITS))
+    points = scaling.transform(rows).select(x.alias("x"), "w", *[c for c in rows.columns if c.startswith("u") and c[1:].isdigit()]).persist(
+        StorageLevel.MEMORY_AND_DISK)
     try:
-        top = params.k if params.k is not None else params.k_search_max
-        n_points = distinct_points(scaled, top)
-        if n_points < (params.k if params.k is not None else params.k_search_min):
+        ks = [fixed] if fixed is not None else list(range(params.k_search_min, params.k_search_max + 1))
+        n_points = points.select("x").distinct().count()
+        possible = [k for k in ks if k <= n_points]
+        if not possible:
             raise ValueError(f"{n_points} distinct points are too few for the clusters asked for")
-        if params.k is not None:
-            best_k = params.k
-            best, best_score = _fit_and_score(scaled, best_k, params)
-        else:
-            ks = list(range(params.k_search_min, params.k_search_max + 1))
-            possible = [k for k in ks if k <= n_points]
-            workers = max(1, min(params.sweep_parallelism, len(possible)))
-            with ThreadPoolExecutor(max_workers=workers) as pool:
-                fitted = list(pool.map(lambda k: _fit_and_score(scaled, k, params), possible))
-            best_k, best_score, best = possible[0], -1.0, fitted[0][0]
-            for k, (m, score) in zip(possible, fitted, strict=True):
-                metrics.append((f"silhouette_k{k}", float(score)))
-                if score > best_score:
-                    best_k, best_score, best = k, score, m
-            metrics += [(f"silhouette_k{k}", -1.0) for k in ks[len(possible):]]
-        cost = float(best.summary.trainingCost)
+        starts = kmeans_steps.seed_centres(points, [k for k in possible if k != len(old)], params.seed) if set(possible) - {len(old)} else {}
+        if len(old) in possible:
+            starts[len(old)] = [[(v - m) / s if s else 0.0 for v, m, s in zip(c, mean, std, strict=True)] for c in old]
+        fits = kmeans_steps.fit_all(points, {k: starts[k] for k in possible}, params.max_iter)
+        scores = kmeans_steps.silhouettes(points, fits)
     finally:
-        scaled.unpersist()
-    metrics += [("k_selected", float(best_k)), ("silhouette_best", float(best_score)), ("training_cost_wssse", cost)]
-    model = PipelineModel(stages=[*scaling.stages, best])
+        points.unpersist()
+    writers.remove(spark, path)
+    best_k, best_score = possible[0], -1.0
+    for k in possible:
+        if scores[k] > best_score:
+            best_k, best_score = k, scores[k]
+    if fixed is None:
+        metrics += [(f"silhouette_k{k}", scores.get(k, -1.0)) for k in ks]
+    centres = fits[best_k].centres
+    if old:
+        centres = kmeans_steps.matched(centres, [[(v - m) / s if s else 0.0 for v, m, s in zip(c, mean, std, strict=True)] for c in old])
+    cost = fits[best_k].cost
+    metrics += [("k_selected", float(best_k)), ("silhouette_best", float(best_score)), ("training_cost_wssse", cost),
+                ("steps", float(max(f.steps for f in fits.values())))]
+    model = PipelineModel(stages=[*scaling.stages, kmeans_model(spark, centres)])
     return TrainResult(model=model, k=best_k, silhouette=best_score, training_cost=cost, metrics=metrics)
 
 
@@ -243,9 +275,9 @@ def score(model: PipelineModel, features: DataFrame, model_version: str, scored_
     )
 
 
-def retrain_segments(features: DataFrame, params: ModelParams) -> tuple[DataFrame, TrainResult]:
-    """Retrain with the configured k and return the ML assignment table (M13):
-    (customer_unique_id, segment_id, segment_label)."""
-    result = train(features, params)
+def retrain_segments(features: DataFrame, params: ModelParams, start: PipelineModel | None = None) -> tuple[DataFrame, TrainResult]:
+    """Retrain with the configured k, from an earlier model if given, and return the ML assignment
+    table (M13): (customer_unique_id, segment_id, segment_label)."""
+    result = train(features, params, start)
     table = label_segments(predictions(result.model, features)).select(P, PRED, "segment_label")
     return table, result

@@ -48,12 +48,6 @@ class ModelParams:
     max_iter: int = 50
     seed: int = 42
     features: tuple[str, ...] = MODEL_FEATURES
-    # Partitions of the canonical layout before every fit. K-Means initialisation depends on
-    # them, so they are part of the model's definition (and of its run metrics), never derived
-    # from the session or the data. Raise it with the cluster: one core works on one partition.
-    layout_partitions: int = 16
-    # k values fitted concurrently during the sweep (each fit is a distributed job).
-    sweep_parallelism: int = 6
 
 
 @dataclass(frozen=True)

@@ -652,7 +652,7 @@ def q_run_metrics(spark, sf):
     )
     names = ("n_silhouettes", "silhouettes_in_range", "selected_is_best", "cost_is_positive")
     derived = measured.unpivot(["run_id", "model_version"], list(names), "key", "value")
-    given = rows.where(F.col("key").isin("k_fixed", "max_iter", "seed", "n_features", "layout_partitions"))
+    given = rows.where(F.col("key").isin("k_fixed", "max_iter", "seed", "n_features"))
     return given.unionByName(derived)
 
 
@@ -675,6 +675,34 @@ def q_ml_table_retrain(spark, sf):
                                          F.col(ml.PRED).between(0, result.k - 1).alias("id_in_range"))
 
 
+def q_kmeans_layouts(spark, sf):
+    """M3: persons dealt into 3 and 96 partitions in other orders give the same centres and ids."""
+    f = _shared_features(spark, sf)
+    a, b = (ml.train(f.repartition(n, key), ModelParams(k=5)).model for n, key in ((3, "num_orders"), (96, "customer_unique_id")))
+    same = [list(map(float, c)) for c in a.stages[-1].clusterCenters()] == [list(map(float, c)) for c in b.stages[-1].clusterCenters()]
+    first = a.transform(f).select("customer_unique_id", F.col(ml.PRED).alias("first"))
+    other = b.transform(f).select("customer_unique_id", F.col(ml.PRED).alias("other"))
+    return first.join(other, "customer_unique_id").select(
+        "customer_unique_id", (F.col("first") == F.col("other")).alias("same_id"), F.lit(same).alias("same_centres"))
+
+
+def q_retrain_warm(spark, sf):
+    """Retraining on unchanged persons from the stored model settles at once and keeps every id."""
+    from segmark.plans.stages import build_features, read_ml_table, retrain_stage
+
+    settings = _stage_settings(spark, sf).with_model(k=5)
+    build_features(spark, settings)
+    paths = [scratch_path(spark, "ml_table") for _ in range(2)]
+    retrain_stage(spark, settings, paths[0])
+    again = retrain_stage(spark, settings, paths[1], warm=True)
+    before, after = (read_ml_table(spark, settings, p) for p in paths)
+    old = before.select("customer_unique_id", F.col(ml.PRED).alias("old"), F.col("segment_label").alias("old_label"))
+    steps = read_dataset(spark, settings.paths.metrics).where(F.col("key") == "steps").agg(F.min("value").alias("fewest"))
+    return after.join(old, "customer_unique_id").join(F.broadcast(steps)).select(  # one row
+        "customer_unique_id", (F.col(ml.PRED) == F.col("old")).alias("same_id"), (F.col("segment_label") == F.col("old_label")).alias("same_label"),
+        (F.col("fewest") == 1.0).alias("settled_at_once"), F.lit(again).cast("long").alias("persons"))
+
+
 # ---- served path: retrained model table -> fact -> mart --------------------------------
 def q_marts_from_retrain(spark, sf):
     """M13 -> L5: the model table covers persons with a known state; the others fall back."""
@@ -779,6 +807,8 @@ QUERIES: dict[str, Query] = {
     # model: SQL says what must hold of any correctly trained model
     "stage_train_score": q_stage_train_score,
     "kmeans_scored": q_kmeans_scored,
+    "kmeans_layouts": q_kmeans_layouts,
+    "retrain_warm": q_retrain_warm,
     "k_sweep": q_k_sweep,
     "train_score_gold": q_train_score_gold,
     "run_metrics": q_run_metrics,

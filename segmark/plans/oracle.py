@@ -479,11 +479,16 @@ mixed as (
     "train_score_gold": _LABELLED,
     "stage_train_score": _LABELLED,
     "model_roundtrip": _q("select customer_unique_id, true as same_prediction from features"),
+    "kmeans_layouts": _q("select customer_unique_id, true as same_id, true as same_centres from features"),
+    "retrain_warm": _q(
+        """select customer_unique_id, true as same_id, true as same_label, true as settled_at_once,
+                  (select count(*) from features) as persons from features"""
+    ),
     "ml_table_retrain": _q("select customer_unique_id, true as label_matches_profile, true as id_in_range from features"),
     "run_metrics": """
         select 'catalog' as run_id, 'v1.0.0' as model_version, key, value from (values
             ('k_fixed', -1.0::double), ('max_iter', 50.0::double), ('seed', 42.0::double), ('n_features', 7.0::double),
-            ('layout_partitions', 16.0::double), ('n_silhouettes', 6.0::double), ('silhouettes_in_range', 6.0::double),
+            ('n_silhouettes', 6.0::double), ('silhouettes_in_range', 6.0::double),
             ('selected_is_best', 1.0::double), ('cost_is_positive', 1.0::double)) as t(key, value)""",
     # served path: retrained model table -> fact -> mart
     "marts_from_retrain": _q(

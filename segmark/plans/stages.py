@@ -108,13 +108,21 @@ def score_stage(
 RETRAIN_K = 5
 
 
-def retrain_stage(spark: SparkSession, settings: Settings, ml_table_path: str) -> int:
-    """Retrain with the settings' k and overwrite the model assignment table."""
+def retrain_stage(spark: SparkSession, settings: Settings, ml_table_path: str, warm: bool = False) -> int:
+    """Retrain with the settings' k and overwrite the model assignment table, the stored model
+    and append the run's metrics.
+
+    ``warm`` starts from the model stored by the run before: segments keep their ids, and unchanged
+    persons settle in one step. Without a stored model that is an error.
+    """
     feats = _read_person_table(spark, settings, "features", settings.paths.silver_features)
-    params = settings.model if settings.model.k is not None else replace(settings.model, k=RETRAIN_K)
-    table, _ = ml.retrain_segments(feats, params)
+    start = writers.load_model(settings.paths.model_dir) if warm else None
+    params = settings.model if settings.model.k is not None or warm else replace(settings.model, k=RETRAIN_K)
+    table, result = ml.retrain_segments(feats, params, start)
     table, obs = _counted(table, "ml_table")
     _write_person_table(table, settings, "ml_segments", ml_table_path)
+    writers.save_model(result.model, settings.paths.model_dir)
+    metrics_frame(spark, result, settings.model_version).write.mode("append").parquet(settings.paths.metrics)
     return int(obs.get["rows"])
 
 

@@ -3,10 +3,13 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 import pytest
 from conftest import SF_SMALL
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
+from segmark.operators import kmeans as kmeans_steps
 from segmark.operators import ml
 from segmark.operators.features import customer_features
 from segmark.operators.staging import stage_orders
@@ -43,35 +46,91 @@ def test_gold_has_one_labelled_row_per_person(raw_df):
     assert all(r.segment_label == want[r.segment_id] and r.model_version == "v7" for r in rows.values())
 
 
-def test_model_does_not_depend_on_session_settings(spark):
-    """More persons than one partition holds, under three initial partition counts."""
+def test_model_does_not_depend_on_the_layout(spark):
+    """Persons in 2, 16 and 512 partitions, in other orders and under other session settings."""
     feats = persons(spark, 3000)
     before = spark.conf.get("spark.sql.shuffle.partitions")
     seen = []
     try:
-        for n in ("2", "8", "64"):
-            spark.conf.set("spark.sql.shuffle.partitions", n)
-            for order in ("num_orders", "zip_macro_region"):
-                r = ml.train(feats.orderBy(order), ModelParams(k_search_min=3, k_search_max=5, max_iter=20))
-                ids = {x.customer_unique_id: x.segment_id for x in r.model.transform(feats).collect()}
-                centres = [tuple(round(float(v), 9) for v in c) for c in r.model.stages[-1].clusterCenters()]
-                seen.append((r.k, centres, ids, dict(r.metrics)["layout_partitions"]))
+        for parts, shuffle, order in ((2, "2", "num_orders"), (16, "8", "zip_macro_region"), (512, "64", "customer_unique_id")):
+            spark.conf.set("spark.sql.shuffle.partitions", shuffle)
+            r = ml.train(feats.orderBy(order).repartition(parts), ModelParams(k_search_min=3, k_search_max=5, max_iter=20))
+            ids = {x.customer_unique_id: x.segment_id for x in r.model.transform(feats).collect()}
+            seen.append((r.k, [tuple(map(float, c)) for c in r.model.stages[-1].clusterCenters()], ids, r.metrics))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert all(s == seen[0] for s in seen) and seen[0][3] == ModelParams().layout_partitions
+    assert all(s == seen[0] for s in seen)
+
+
+def test_the_sweep_shares_its_passes(spark, monkeypatch):
+    """As many aggregates as the longest fit takes steps, and the same fits as one at a time."""
+    feats = persons(spark, 2000)
+    calls = []
+    real = kmeans_steps._measure
+    monkeypatch.setattr(kmeans_steps, "_measure", lambda points, fits: calls.append(sorted(fits)) or real(points, fits))
+    swept = ml.train(feats, ModelParams())
+    assert calls[0] == list(range(3, 9)) and len(calls) == dict(swept.metrics)["steps"]
+    for k in (4, 7):
+        one = ml.train(feats, ModelParams(k=k))
+        assert dict(swept.metrics)[f"silhouette_k{k}"] == pytest.approx(one.silhouette, abs=1e-12)
+
+
+def test_steps_are_lloyds_algorithm(spark):
+    """Against numpy on the weighted points, from the same seeds; capped steps are measured again."""
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(400, 3)) + 4 * rng.integers(0, 3, (400, 1)), 6)
+    w = rng.integers(1, 6, 400)
+    points = spark.createDataFrame([(list(map(float, a)), int(b)) for a, b in zip(x, w)], "x array<double>, w long")
+    start = [[float(v) for v in x[i]] for i in (0, 1, 2, 3)]
+    for steps in (2, 50):
+        fit = kmeans_steps.fit_all(points, {4: start}, steps)[4]
+        c = np.array(start)
+        for _ in range(steps):
+            j = ((x[:, None] - c[None]) ** 2).sum(axis=2).argmin(axis=1)
+            c = np.array([np.average(x[j == i], axis=0, weights=w[j == i]) for i in range(4)])
+        d = ((x[:, None] - c[None]) ** 2).sum(axis=2)
+        j = d.argmin(axis=1)
+        assert np.allclose(fit.centres, c, atol=1e-9) and fit.weights == [int(w[j == i].sum()) for i in range(4)]
+        assert fit.cost == pytest.approx(float((w * d.min(axis=1)).sum()), rel=1e-9)
+        vectors = spark.createDataFrame([(Vectors.dense(a), int(i)) for a, i, n in zip(x, j, w) for _ in range(n)], ["features", "segment_id"])
+        assert kmeans_steps.silhouettes(points, {4: fit})[4] == pytest.approx(ml.silhouette(vectors), abs=1e-9)
+
+
+def test_priorities_sample_rows_by_weight(spark):
+    """Over many seeds a point of three quarters of the rows is the first row three times in four."""
+    rows = spark.createDataFrame([(f"p{i}", 1 if i % 4 else 0) for i in range(400)], "id string, a int")
+    first = [kmeans_steps.distinct_rows(rows, ["a"], "id", seed).orderBy(F.desc("u0")).first()["a"] for seed in range(40)]
+    assert 20 <= sum(first) <= 38
+
+
+def test_a_failed_pass_fails_the_sweep(spark, monkeypatch):
+    def broken(points, fits):
+        raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(kmeans_steps, "_measure", broken)
+    with pytest.raises(RuntimeError, match="executor lost"):
+        ml.train(persons(spark, 60), ModelParams(k_search_min=3, k_search_max=5, max_iter=5))
 
 
-def test_a_failed_fit_fails_the_sweep(spark, monkeypatch):
-    real = ml.kmeans
+def test_warm_start_keeps_ids(small_features):
+    cold = ml.train(small_features, ModelParams(k=5))
+    warm = ml.train(small_features, ModelParams(), start=cold.model)
+    centres = lambda r: [list(map(float, c)) for c in r.model.stages[-1].clusterCenters()]
+    assert warm.k == 5 and dict(warm.metrics)["steps"] == 1.0
+    assert np.allclose(centres(cold), centres(warm), atol=1e-8)
+    ids = lambda r: {x.customer_unique_id: x.segment_id for x in r.model.transform(small_features).collect()}
+    assert ids(cold) == ids(warm)
+    grown = ml.train(small_features.where(F.col("num_orders") < 4), ModelParams(k=5), start=cold.model)
+    again = kmeans_steps.matched(ml.stored_centres(grown.model)[1], ml.stored_centres(cold.model)[1])
+    assert np.allclose(again, ml.stored_centres(grown.model)[1])
+    with pytest.raises(ValueError, match="other features"):
+        ml.train(small_features, ModelParams(features=("num_orders", "state_market_share")), start=cold.model)
 
-    def broken(k, max_iter, seed):
-        if k == 4:
-            raise RuntimeError("executor lost")
-        return real(k, max_iter, seed)
 
-    monkeypatch.setattr(ml, "kmeans", broken)
-    with pytest.raises(RuntimeError, match="executor lost"):
-        ml.train(persons(spark, 60), ModelParams(k_search_min=3, k_search_max=5, max_iter=5))
+def test_centres_take_the_ids_of_the_nearest_old_ones():
+    old = [[0.0, 0.0], [10.0, 0.0], [0.0, 10.0]]
+    assert kmeans_steps.matched([[9.0, 1.0], [1.0, 9.0], [0.5, 0.5]], old) == [[0.5, 0.5], [9.0, 1.0], [1.0, 9.0]]
+    assert kmeans_steps.matched([[9.0, 1.0], [50.0, 50.0], [1.0, 9.0], [0.5, 0.5]], old) == [[0.5, 0.5], [9.0, 1.0], [1.0, 9.0], [50.0, 50.0]]
 
 
 def test_assignment_is_nearest_centre(small_features):
@@ -103,8 +162,6 @@ def test_sweep_picks_best_silhouette(small_features):
 
 
 def test_degenerate_clusters_score_minus_one(spark):
-    from pyspark.ml.linalg import Vectors
-
     df = spark.createDataFrame([(Vectors.dense([1.0, 2.0]),)] * 3, ["features"])
     m = ml.kmeans(3, 5, 42).fit(df)
     assert sum(1 for s in m.summary.clusterSizes if s > 0) == 1
