@@ -193,8 +193,12 @@ def state_info(places: DataFrame) -> DataFrame:
     # pruning from making this branch's exchange differ from person_level's: the plan then
     # reads and groups the orders once and reuses that exchange.
     whole = places.where(F.col("min_customer_id").isNotNull() & (F.coalesce("max_zip_macro_region", F.lit(UNKNOWN_INT)) >= UNKNOWN_INT))
-    per_state = whole.groupBy(S).agg(F.sum("cnt").alias("state_orders"))
-    dim = state_dim(places.sparkSession)
+    return described_states(whole.groupBy(S).agg(F.sum("cnt").alias("state_orders")))
+
+
+def described_states(per_state: DataFrame) -> DataFrame:
+    """Share and region of each state, from its orders (customer_state, state_orders)."""
+    dim = state_dim(per_state.sparkSession)
     return share_of_total(per_state).join(dim, F.col(S) == dim.state_code, "left").select(
         F.col(S).alias("ss_state"),
         "state_orders",
@@ -207,9 +211,14 @@ def state_info(places: DataFrame) -> DataFrame:
 def customer_features(stg: DataFrame) -> DataFrame:
     """Eleven person-level features, one row per person (see module docstring)."""
     places = place_counts(stg)
+    return feature_rows(person_level(places), state_info(places))
+
+
+def feature_rows(persons: DataFrame, states: DataFrame) -> DataFrame:
+    """``person_level`` rows with the share and region of their primary state: the feature columns."""
     # Null-safe, or the inferred "state is not null" filter would change the state branch's
     # scan and undo the shared exchange; the NULL state's share is left out below instead.
-    out = person_level(places).join(state_info(places), F.col("top.state").eqNullSafe(F.col("ss_state")), "left")
+    out = persons.join(states, F.col("top.state").eqNullSafe(F.col("ss_state")), "left")
     share = F.when(F.col("top.state").isNotNull(), F.col("state_market_share"))
     return out.select(
         P,

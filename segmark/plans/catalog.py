@@ -169,6 +169,36 @@ def q_person_features_raw(spark, sf):
     return feat.customer_features(stage_orders(_raw(spark, sf), clean=False))
 
 
+def q_features_incremental(spark, sf):
+    """A1-A5 / J1 load by load: three loads of uneven size, the second of them delivered twice, few
+    rows a bucket so that the buckets are dealt anew on the way."""
+    from segmark.operators.incremental import current_features, merge_load
+
+    state = scratch_path(spark, "feature_state")
+    staged = scratch_path(spark, "staged")
+    writers.write_table(_stg(spark, sf), staged)
+    orders = read_dataset(spark, staged)
+    share = F.pmod(F.xxhash64("customer_id"), F.lit(10))
+    parts = [orders.where(share < 6), orders.where((share >= 6) & (share < 9)), orders.where(share == 9)]
+    for number in (0, 1, 1, 2):
+        merge_load(spark, state, parts[number], number, buckets=4, rows_per_bucket=2000)
+    return current_features(spark, state)
+
+
+def q_stream_features(spark, sf):
+    """The same from files: two drops of raw CSV files, merged by two runs of the stream."""
+    from segmark.operators.incremental import current_features
+    from segmark.streaming.ingest import merge_new_files
+
+    landing, state, ckpt = (scratch_path(spark, n) for n in ("landing", "feature_state", "merge_ckpt"))
+    raw = _raw(spark, sf)
+    in_sp = F.coalesce(F.col("customer_state") == "SP", F.lit(False))
+    for drop, rows in enumerate((raw.where(in_sp), raw.where(~in_sp))):
+        _csv_write(rows, f"{landing}/drop={drop}", null_value="NULL")
+        merge_new_files(spark, landing, state, ckpt)
+    return current_features(spark, state)
+
+
 def q_rule_segments(spark, sf):
     return rule_segments(_features(spark, sf))
 
@@ -754,6 +784,8 @@ QUERIES: dict[str, Query] = {
     "person_rollup": q_person_rollup,
     "person_features": q_person_features,
     "person_features_raw": q_person_features_raw,
+    "features_incremental": q_features_incremental,
+    "stream_features": q_stream_features,
     "rule_segments": q_rule_segments,
     "rule_segment_distribution": q_rule_segment_distribution,
     "dim_customers": q_dim_customers,

@@ -516,5 +516,7 @@ ORACLE_SQL["optional_table_present"] = ORACLE_SQL["fct_segments_with_ml"]
 ORACLE_SQL["view_roundtrip"] = ORACLE_SQL["table_roundtrip"]
 ORACLE_SQL["inline_roundtrip"] = ORACLE_SQL["table_roundtrip"]
 ORACLE_SQL["optional_table"] = ORACLE_SQL["fct_segments_fallback"]
+ORACLE_SQL["features_incremental"] = ORACLE_SQL["person_features"]
+ORACLE_SQL["stream_features"] = ORACLE_SQL["person_features"]
 ORACLE_SQL["stage_features_build"] = ORACLE_SQL["person_features"]
 ORACLE_SQL["stage_marts_build"] = _q(_MART_SELECT.replace("from resolved", "from fallback"))

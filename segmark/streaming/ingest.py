@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from segmark.functions.scalar import typed_null
 from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
+from segmark.operators.incremental import merge_load
+from segmark.operators.staging import stage_orders
 from segmark.sources.raw import RAW_COLUMNS, RAW_SCHEMA
 
 
@@ -91,3 +93,17 @@ def ingest_new_files(
     if run not in counter.ended:
         raise RuntimeError("the stream ended without reporting its batches")
     return sum(counter.rows.get(run, {}).values())
+
+
+def merge_new_files(spark: SparkSession, landing: str, state: str, checkpoint: str, strict: bool = True, max_files: int | None = None) -> None:
+    """Merge the files that arrived since the last run into the feature state below ``state``.
+
+    Each micro-batch is one load, numbered by its batch id: a batch that is run again after a failure
+    is skipped if its load was committed, so every file counts once.
+    """
+
+    def merge(batch: DataFrame, number: int) -> None:
+        merge_load(batch.sparkSession, state, stage_orders(batch.drop("_loaded_at")), number)
+
+    stream = raw_order_stream(spark, landing, strict, max_files).writeStream.foreachBatch(merge)
+    stream.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
