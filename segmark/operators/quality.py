@@ -131,3 +131,14 @@ def grain_check(df: DataFrame, key: str) -> DataFrame:
 def length_violations(df: DataFrame, column: str, max_len: int) -> DataFrame:
     """Values longer than ``max_len`` characters (Q10)."""
     return df.where(F.length(column) > max_len)
+
+
+def reconcile_load(lines: DataFrame, kept: DataFrame, quarantined: DataFrame) -> DataFrame:
+    """Q7 on a load: one row; lines read = rows kept + lines quarantined.
+
+    ``lines`` counts the data lines of each source file (``raw.data_lines``), independently of the parser.
+    """
+    one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    read = lines.agg(F.coalesce(F.sum("n_lines"), F.lit(0)).cast("long").alias("n_read"))
+    sums = read.select("n_read", one(kept, "n").scalar().alias("n_kept"), one(quarantined, "n").scalar().alias("n_quarantined"))
+    return sums.withColumn("reconciled", F.col("n_read") == F.col("n_kept") + F.col("n_quarantined"))

@@ -31,13 +31,17 @@ class Paths:
     gold_segments: str
     model_dir: str
     metrics: str
+    # Parsed raw rows with the malformed lines among them; without it these are dropped uncounted.
+    quarantine: str | None = None
+    # Which stages a resumable build has finished, and on what.
+    manifest: str | None = None
 
     @staticmethod
-    def under(base: str, raw_orders: str) -> "Paths":
+    def under(base: str, raw_orders: str, quarantine: bool = False) -> "Paths":
         """The usual layout below one base folder."""
         b = base.rstrip("/")
         return Paths(raw_orders, f"{b}/bronze/orders", f"{b}/silver/customer_features", f"{b}/gold/customer_segments",
-                     f"{b}/artifacts/model", f"{b}/artifacts/run_metrics")
+                     f"{b}/artifacts/model", f"{b}/artifacts/run_metrics", f"{b}/quarantine/orders" if quarantine else None, f"{b}/artifacts/stages")
 
 
 @dataclass(frozen=True)

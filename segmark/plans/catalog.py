@@ -421,6 +421,48 @@ def q_dq_relationships(spark, sf):
     )
 
 
+def _lineitem_loads(spark, sf) -> list[DataFrame]:
+    """Line items in three loads; a key's rows come in different ones."""
+    items = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
+    part = F.pmod(F.col("l_partkey"), F.lit(5))
+    return [items.where(part < 2), items.where(part == 2), items.where(part > 2)]
+
+
+def _checked_lineitems(spark, sf) -> str:
+    from segmark.operators import digests
+
+    root = scratch_path(spark, "lineitem_loads")
+    for number, rows in enumerate(_lineitem_loads(spark, sf)):
+        digests.check_load(rows, root, ["l_orderkey", "l_linenumber"], number)
+    return root
+
+
+def q_dq_unique_loads(spark, sf):
+    """Q2 kept up over three loads by key digests."""
+    from segmark.operators import digests
+
+    return digests.violations(spark, _checked_lineitems(spark, sf), 2)
+
+
+def q_dq_grain_loads(spark, sf):
+    """Q9 over the same loads, from digests and violations alone."""
+    from segmark.operators import digests
+
+    return digests.grain(spark, _checked_lineitems(spark, sf), 2)
+
+
+def q_dq_relationships_loads(spark, sf):
+    """Q3 of line items against orders in two loads that miss every 37th order."""
+    from segmark.operators import digests
+
+    root = scratch_path(spark, "order_loads")
+    orders = read_table(spark, sf, "orders").select("o_orderkey").where(F.col("o_orderkey") % 37 != 0)
+    for number in (0, 1):
+        digests.write_load(orders.where(F.col("o_orderkey") % 2 == number), root, ["o_orderkey"], number, 16)
+    items = read_table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
+    return digests.orphans(items, "l_orderkey", root, "o_orderkey", [0, 1])[0]
+
+
 def q_dq_accepted_values(spark, sf):
     """Q4 on a mart whose labels are spelled in capitals in two regions."""
     f = _shared_features(spark, sf)
@@ -503,6 +545,35 @@ def q_csv_lenient(spark, sf):
     return rawsrc.read_raw_csv(spark, [good, bad])
 
 
+def _csv_with_bad_lines(spark, sf) -> list[str]:
+    """The raw orders as CSV, and a file that repeats every 50th order as a broken line: cut short,
+    with a field too many, or with a quote that never ends."""
+    good, bad = scratch_path(spark, "raw_csv"), scratch_path(spark, "raw_csv_bad")
+    _csv_write(_raw(spark, sf), good)
+    number = F.try_to_number("customer_id", F.lit("999999999999")).cast("long")
+    field = lambda c: F.coalesce(F.trim(c), F.lit(""))
+    whole = F.concat_ws(",", *[field(c) for c in rawsrc.RAW_COLUMNS])
+    line = F.when(number % 3 == 0, F.concat_ws(",", *[field(c) for c in rawsrc.RAW_COLUMNS[:3]])).when(
+        number % 3 == 1, F.concat(whole, F.lit(",more"))).otherwise(F.concat(field("customer_id"), F.lit(',"open,'), field("customer_unique_id")))
+    lines = _raw(spark, sf).where(number % 50 == 0).select(line.alias("value"))
+    header = spark.createDataFrame([(",".join(rawsrc.RAW_COLUMNS),)], "value string")
+    header.unionByName(lines).coalesce(1).write.mode("overwrite").text(bad)
+    return [good, bad]
+
+
+def q_csv_quarantine(spark, sf):
+    """S1 with quarantine: every malformed line with its reason, none of the good ones."""
+    landed = rawsrc.land_raw_csv(spark, _csv_with_bad_lines(spark, sf), scratch_path(spark, "landed"))
+    return landed.quarantined.select("reason", "record")
+
+
+def q_dq_reconcile_load(spark, sf):
+    """Q7 on the load: lines read = rows kept + lines quarantined."""
+    paths = _csv_with_bad_lines(spark, sf)
+    landed = rawsrc.land_raw_csv(spark, paths, scratch_path(spark, "landed"))
+    return quality.reconcile_load(rawsrc.data_lines(spark, paths), landed.kept, landed.quarantined)
+
+
 def q_csv_strict(spark, sf):
     """Strict load of a CSV whose missing values are spelled 'NULL'."""
     path = scratch_path(spark, "raw_csv_strict")
@@ -560,6 +631,32 @@ def q_clustered_roundtrip(spark, sf):
     return read_dataset(spark, path).select(*marts.MART_COLUMNS)
 
 
+def q_interleaved_roundtrip(spark, sf):
+    """K6 on two keys at once: the same rows, laid out so that either key alone skips files."""
+    path = scratch_path(spark, "mart_interleaved")
+    f = _shared_features(spark, sf)
+    mart = marts.build_marts(f, _fixed_ml_table(f), MODEL_VERSION, SCORED_AT)["mart_bi_customer_segments"]
+    writers.write_table(writers.interleaved(mart, ["primary_region", "segment_id"]), path, rebalance=False)
+    return read_dataset(spark, path).select(*marts.MART_COLUMNS)
+
+
+def q_resumed_build(spark, sf):
+    """L4 resumed: a build that ends after training, then one that only has scoring left to do."""
+    from dataclasses import replace
+
+    from segmark.plans import stages
+
+    settings = _stage_settings(spark, sf).with_model(k=4)
+    settings = replace(settings, paths=replace(settings.paths, manifest=scratch_path(spark, "build_manifest")))
+    first = stages.build_all(spark, settings, resume=True, until="train")
+    second = stages.build_all(spark, settings, resume=True)
+    third = stages.build_all(spark, settings, resume=True)
+    ran = [",".join(r["ran"]) for r in (first, second, third)]
+    gold = read_dataset(spark, settings.paths.gold_segments)
+    return _gold_check(gold).select("customer_unique_id", "label_matches_profile", F.lit(ran[0]).alias("first_ran"),
+                                    F.lit(ran[1]).alias("second_ran"), F.lit(ran[2]).alias("third_ran"))
+
+
 def q_view_roundtrip(spark, sf):
     """K5 as a view: the plan is stored under a name, nothing is written."""
     return writers.materialize(marts.dim_customers(_features(spark, sf)), f"segmark_view_{uuid.uuid4().hex[:12]}", "view")
@@ -617,6 +714,34 @@ def q_stage_train_score(spark, sf):
     return _gold_check(read_dataset(spark, settings.paths.gold_segments))
 
 
+def q_wall_clock(spark, sf):
+    """Without a time passed in, load and scoring time are the query's own time."""
+    fact = marts.fct_customer_segments(_features(spark, sf), _empty_ml(spark), MODEL_VERSION)
+    loaded = rawsrc.with_loaded_at(fact)
+    own = F.current_timestamp()
+    return loaded.select("customer_unique_id", (F.col("scored_at") == own).alias("scored_now"), (F.col("_loaded_at") == own).alias("loaded_now"))
+
+
+def q_settings_run(spark, sf):
+    """Parameters from a mapping, with the environment above it, through all stages."""
+    from segmark.params import Settings
+    from segmark.plans.stages import build_all
+
+    base = _stage_settings(spark, sf).paths
+    given = {
+        "paths": {f: getattr(base, f) for f in ("raw_orders", "bronze", "silver_features", "gold_segments", "model_dir", "metrics")},
+        "model": {"k": 4, "max_iter": 12, "features": ["num_orders", "num_distinct_cities", "state_market_share"]},
+        "model_version": "v-file",
+    }
+    settings = Settings.load(given, env={"MODEL_VERSION": "v-env", "OUTPUT_FORMAT": "parquet"})
+    build_all(spark, settings)
+    value = lambda key: F.max(F.when(F.col("key") == key, F.col("value"))).cast("int").alias(key)
+    used = read_dataset(spark, settings.paths.metrics).agg(value("k_fixed"), value("max_iter"), value("n_features"))
+    gold = read_dataset(spark, settings.paths.gold_segments)
+    return gold.join(F.broadcast(used)).select(  # one row
+        "customer_unique_id", "model_version", F.col("segment_id").between(0, 3).alias("id_in_range"), "k_fixed", "max_iter", "n_features")
+
+
 # ---- model (rows-only checks) -----------------------------------------------------------
 def _label_check(labelled: DataFrame, features: DataFrame | None = None) -> DataFrame:
     """``labelled`` plus whether its label is the profile rule of its own segment, recomputed
@@ -814,6 +939,9 @@ QUERIES: dict[str, Query] = {
     "dq_marts": q_dq_marts,
     "dq_marts_clean": q_dq_marts_clean,
     "dq_relationships": q_dq_relationships,
+    "dq_unique_loads": q_dq_unique_loads,
+    "dq_grain_loads": q_dq_grain_loads,
+    "dq_relationships_loads": q_dq_relationships_loads,
     "dq_accepted_values": q_dq_accepted_values,
     "dq_coverage": q_dq_coverage,
     "dq_freshness": q_dq_freshness,
@@ -823,18 +951,24 @@ QUERIES: dict[str, Query] = {
     "dq_grain": q_dq_grain,
     "dq_length": q_dq_length,
     "csv_lenient": q_csv_lenient,
+    "csv_quarantine": q_csv_quarantine,
+    "dq_reconcile_load": q_dq_reconcile_load,
     "csv_strict": q_csv_strict,
     "stream_ingest": q_stream_ingest,
     "parquet_roundtrip": q_parquet_roundtrip,
     "partitioned_roundtrip": q_partitioned_roundtrip,
     "partition_refresh": q_partition_refresh,
     "clustered_roundtrip": q_clustered_roundtrip,
+    "interleaved_roundtrip": q_interleaved_roundtrip,
+    "resumed_build": q_resumed_build,
     "table_roundtrip": q_table_roundtrip,
     "view_roundtrip": q_view_roundtrip,
     "inline_roundtrip": q_inline_roundtrip,
     "stage_features_build": q_stage_features_build,
     "stage_marts_build": q_stage_marts_build,
     "marts_from_retrain": q_marts_from_retrain,
+    "wall_clock": q_wall_clock,
+    "settings_run": q_settings_run,
     "build_all": q_build_all,
     # model: SQL says what must hold of any correctly trained model
     "stage_train_score": q_stage_train_score,

@@ -479,6 +479,22 @@ mixed as (
     "train_score_gold": _LABELLED,
     "stage_train_score": _LABELLED,
     "model_roundtrip": _q("select customer_unique_id, true as same_prediction from features"),
+    "csv_quarantine": f"""with {_RAW.strip()},
+        broken as (select *, try_cast(customer_id as bigint) as number from raw_orders where try_cast(customer_id as bigint) % 50 = 0)
+        select case number % 3 when 0 then 'too few fields' when 1 then 'too many fields' else 'open quote' end as reason,
+               case number % 3 when 0 then concat_ws(',', customer_id, coalesce(customer_unique_id, ''), coalesce(trim(customer_zip_code_prefix), ''))
+                               when 1 then concat_ws(',', customer_id, coalesce(customer_unique_id, ''), coalesce(trim(customer_zip_code_prefix), ''),
+                                                     coalesce(trim(customer_city), ''), coalesce(trim(customer_state), '')) || ',more'
+                               else customer_id || ',"open,' || coalesce(customer_unique_id, '') end as record
+        from broken""",
+    "dq_reconcile_load": f"""with {_RAW.strip()},
+        n as (select count(*) as n_kept, count(*) filter (try_cast(customer_id as bigint) % 50 = 0) as n_quarantined from raw_orders)
+        select n_kept + n_quarantined as n_read, n_kept, n_quarantined, true as reconciled from n""",
+    "wall_clock": _q("select customer_unique_id, true as scored_now, true as loaded_now from features"),
+    "settings_run": _q(
+        """select customer_unique_id, 'v-env' as model_version, true as id_in_range,
+                  cast(4 as integer) as k_fixed, cast(12 as integer) as max_iter, cast(3 as integer) as n_features from features"""
+    ),
     "kmeans_layouts": _q("select customer_unique_id, true as same_id, true as same_centres from features"),
     "retrain_warm": _q(
         """select customer_unique_id, true as same_id, true as same_label, true as settled_at_once,
@@ -516,6 +532,15 @@ ORACLE_SQL["optional_table_present"] = ORACLE_SQL["fct_segments_with_ml"]
 ORACLE_SQL["view_roundtrip"] = ORACLE_SQL["table_roundtrip"]
 ORACLE_SQL["inline_roundtrip"] = ORACLE_SQL["table_roundtrip"]
 ORACLE_SQL["optional_table"] = ORACLE_SQL["fct_segments_fallback"]
+ORACLE_SQL["dq_unique_loads"] = ORACLE_SQL["dq_unique"]
+ORACLE_SQL["dq_grain_loads"] = """
+    select count(*) as rows, count(distinct (l_orderkey, l_linenumber)) as distinct_keys,
+           count(*) - count(distinct (l_orderkey, l_linenumber)) as duplicates from lineitem"""
+ORACLE_SQL["dq_relationships_loads"] = """
+    select l_orderkey, l_linenumber from lineitem anti join (select o_orderkey from orders where o_orderkey % 37 <> 0) on l_orderkey = o_orderkey"""
+ORACLE_SQL["interleaved_roundtrip"] = ORACLE_SQL["clustered_roundtrip"]
+ORACLE_SQL["resumed_build"] = _q(
+    "select customer_unique_id, true as label_matches_profile, 'features,train' as first_ran, 'score' as second_ran, '' as third_ran from features")
 ORACLE_SQL["features_incremental"] = ORACLE_SQL["person_features"]
 ORACLE_SQL["stream_features"] = ORACLE_SQL["person_features"]
 ORACLE_SQL["stage_features_build"] = ORACLE_SQL["person_features"]

@@ -4,6 +4,7 @@ more than that stage to be rerun."""
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import logging
 import uuid
 from dataclasses import replace
@@ -13,11 +14,12 @@ from pyspark.sql import functions as F
 
 from segmark.operators import marts, ml
 from segmark.operators.features import customer_features
+from segmark.operators.quality import reconcile_load
 from segmark.operators.staging import stage_orders
 from segmark.params import Settings
 from segmark.session import scratch_path
 from segmark.sinks import writers
-from segmark.sources.raw import read_raw_csv, with_loaded_at
+from segmark.sources.raw import data_lines, land_raw_csv, read_raw_csv, with_loaded_at
 from segmark.sources.tables import empty_typed, read_dataset
 
 log = logging.getLogger("segmark.stages")
@@ -50,6 +52,19 @@ def _counted(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
+def _read_raw(spark: SparkSession, settings: Settings) -> DataFrame:
+    """The raw orders; with a quarantine path, parsed once into it and reconciled with the files' lines."""
+    path, out = settings.paths.raw_orders, settings.paths.quarantine
+    if out is None:
+        return read_raw_csv(spark, path)
+    landed = land_raw_csv(spark, path, out)
+    counts = reconcile_load(data_lines(spark, path), landed.kept, landed.quarantined).first()
+    if not counts["reconciled"]:
+        raise RuntimeError(f"lines read, kept and quarantined do not add up: {counts.asDict()}")
+    log.info("%d raw lines: %d kept, %d quarantined in %s", counts["n_read"], counts["n_kept"], counts["n_quarantined"], out)
+    return landed.kept
+
+
 def build_features(
     spark: SparkSession, settings: Settings, raw: DataFrame | None = None, loaded_at: dt.datetime | None = None
 ) -> int:
@@ -59,7 +74,8 @@ def build_features(
     fixes it for reproducible runs); the features read only the columns they need from that
     table instead of re-parsing the raw input.
     """
-    raw = raw if raw is not None else read_raw_csv(spark, settings.paths.raw_orders)
+    if raw is None:
+        raw = _read_raw(spark, settings)
     fmt = settings.output_format
     writers.write_table(with_loaded_at(stage_orders(raw), loaded_at), settings.paths.bronze, fmt=fmt)
     feats, obs = _counted(customer_features(read_dataset(spark, settings.paths.bronze, fmt)), "features")
@@ -149,20 +165,90 @@ def build_marts_stage(
     layout = {
         "dim_customers": (resolved.select(*marts.DIM_COLUMNS), ["primary_region"]),
         "fct_customer_segments": (resolved.select(*marts.FACT_COLUMNS), ["segment_id"]),
+        # Read by region, by segment or by both.
         "mart_bi_customer_segments": (marts.mart_from_resolved(resolved), ["primary_region", "segment_id"]),
     }
     paths = {}
     for name, (df, keys) in layout.items():
         path = f"{out_dir.rstrip('/')}/{name}"
-        writers.write_table(writers.clustered(df, keys), path, fmt=settings.output_format, rebalance=False)
+        laid = writers.clustered(df, keys) if len(keys) == 1 else writers.interleaved(df, keys)
+        writers.write_table(laid, path, fmt=settings.output_format, rebalance=False)
         paths[name] = path
     writers.remove(spark, resolved_path)
     return paths
 
 
-def build_all(spark: SparkSession, settings: Settings, raw: DataFrame | None = None) -> dict[str, object]:
-    """L4: features -> train -> score, each stage also runnable on its own."""
-    n_feat = build_features(spark, settings, raw)
-    result = train_stage(spark, settings)
-    n_gold = score_stage(spark, settings)
-    return {"features": n_feat, "k": result.k, "silhouette": result.silhouette, "gold": n_gold}
+# ---- resumable builds -------------------------------------------------------------------
+STAGES = ("features", "train", "score")
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    """Name, length and time of every file below ``path``; empty if there is none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return []
+    found, out = fs.listFiles(p, True), []
+    while found.hasNext():
+        f = found.next()
+        out.append(f"{f.getPath()}:{f.getLen()}:{f.getModificationTime()}")
+    return sorted(out)
+
+
+def _fingerprint(spark: SparkSession, inputs: list[str], *given: object) -> str:
+    """Digest of the files below ``inputs`` and of the parameters that a stage works on."""
+    parts = [line for path in inputs for line in _files(spark, path)] + [repr(g) for g in given]
+    return hashlib.sha256("\n".join(parts).encode()).hexdigest()
+
+
+def finished_stages(spark: SparkSession, settings: Settings) -> dict[str, dict]:
+    """Per stage its latest manifest row: inputs, outputs (fingerprints), rows."""
+    if settings.paths.manifest is None or not _files(spark, settings.paths.manifest):
+        return {}
+    rows = read_dataset(spark, settings.paths.manifest)
+    latest = rows.groupBy("stage").agg(F.max(F.struct("at", "inputs", "outputs", "n_rows", "k", "silhouette")).alias("r"))
+    return {r["stage"]: r["r"].asDict() for r in latest.collect()}  # one row a stage
+
+
+def build_all(spark: SparkSession, settings: Settings, raw: DataFrame | None = None, resume: bool = False, until: str = "score") -> dict[str, object]:
+    """L4: features -> train -> score, each stage also runnable on its own.
+
+    With ``resume`` a stage is skipped if the manifest says that it ended on the same input files and
+    parameters and its output files are still those it wrote; what ran is returned under ``ran``.
+    ``raw`` given as a frame has no fingerprint, so it cannot be resumed. ``until`` names the last stage.
+    """
+    if until not in STAGES:
+        raise ValueError(f"unknown stage {until!r}")
+    if resume and (raw is not None or settings.paths.manifest is None):
+        raise ValueError("a resumable build reads the raw path and needs a manifest path")
+    p, out = settings.paths, {"ran": []}
+    plan = {
+        "features": ([p.raw_orders], p.silver_features, (settings.output_format, p.quarantine, settings.table_prefix, settings.person_buckets)),
+        "train": ([p.silver_features], p.model_dir, (settings.model, settings.model_version)),
+        "score": ([p.silver_features, p.model_dir], p.gold_segments, (settings.model_version, settings.output_format)),
+    }
+    for stage in STAGES[: STAGES.index(until) + 1]:
+        inputs, written, given = plan[stage]
+        mark = _fingerprint(spark, inputs, *given) if resume else ""
+        done = finished_stages(spark, settings).get(stage) if resume else None
+        if done and done["inputs"] == mark and done["outputs"] == _fingerprint(spark, [written]):
+            n_rows, k, silhouette = done["n_rows"], done["k"], done["silhouette"]
+        else:
+            n_rows, k, silhouette = 0, None, None
+            if stage == "features":
+                n_rows = build_features(spark, settings, raw)
+            elif stage == "train":
+                result = train_stage(spark, settings)
+                k, silhouette = result.k, result.silhouette
+            else:
+                n_rows = score_stage(spark, settings)
+            out["ran"].append(stage)
+            if resume:
+                row = (stage, dt.datetime.now(dt.timezone.utc), mark, _fingerprint(spark, [written]), n_rows, k, silhouette)
+                spark.createDataFrame([row], "stage string, at timestamp, inputs string, outputs string, n_rows long, k int, silhouette double").coalesce(
+                    1).write.mode("append").parquet(p.manifest)
+        if stage == "train":
+            out |= {"k": k, "silhouette": silhouette}
+        else:
+            out["features" if stage == "features" else "gold"] = n_rows
+    return out

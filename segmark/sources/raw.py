@@ -2,8 +2,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmark.functions.scalar import typed_null
@@ -57,6 +58,61 @@ def read_raw_csv_strict(spark: SparkSession, path: str | list[str]) -> DataFrame
     )
 
 
+# ---- lenient reading that loses nothing ---------------------------------------------------
+CORRUPT = "_corrupt_record"
+
+
+def _reason(record: Column) -> Column:
+    """Why a line is malformed: an open quote, or a number of fields other than the schema's."""
+    outside = F.regexp_replace(record, '"([^"]|"")*"', "")
+    fields = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1
+    return (
+        F.when(F.contains(outside, F.lit('"')), "open quote")
+        .when(fields < len(RAW_COLUMNS), "too few fields")
+        .when(fields > len(RAW_COLUMNS), "too many fields")
+        .otherwise("unreadable")
+    )
+
+
+@dataclass(frozen=True)
+class Landed:
+    """A parsed load: the rows kept and the lines quarantined, both read from what was written."""
+
+    kept: DataFrame
+    quarantined: DataFrame
+
+
+def land_raw_csv(spark: SparkSession, path: str | list[str], out: str) -> Landed:
+    """Lenient scan (S1) that keeps malformed lines: parsed once and written below ``out``.
+
+    ``kept`` are exactly the rows of ``read_raw_csv``; ``quarantined`` has one row per malformed line:
+    source_file, reason, record.
+    """
+    schema = StructType([*RAW_SCHEMA.fields, StructField(CORRUPT, StringType(), True)])
+    parsed = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .option("columnPruning", "false")
+        .csv(path)
+    )
+    rows = parsed.select("*", F.col("_metadata.file_path").alias("source_file"), F.col(CORRUPT).isNotNull().alias("malformed"))
+    rows.write.mode("overwrite").partitionBy("malformed").parquet(out)
+    every = spark.read.schema(rows.schema).parquet(out)
+    kept = every.where(~F.col("malformed")).select(*RAW_COLUMNS)
+    bad = every.where("malformed").select("source_file", _reason(F.col(CORRUPT)).alias("reason"), F.col(CORRUPT).alias("record"))
+    return Landed(kept, bad)
+
+
+def data_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """(source_file, n_lines): lines of each file that are not blank, without its header."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("source_file"))
+    return lines.where(F.trim("value") != "").groupBy("source_file").agg((F.count(F.lit(1)) - 1).alias("n_lines"))
+
+
 def with_loaded_at(df: DataFrame, at: dt.datetime | None = None) -> DataFrame:
     """Add ``_loaded_at`` (S3): the load time, or a passed timestamp for reproducibility."""
     ts = F.current_timestamp() if at is None else F.lit(at).cast("timestamp")

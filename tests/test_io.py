@@ -5,6 +5,7 @@ import datetime as dt
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from segmark.sinks import writers
 from segmark.sources import raw as rawsrc
@@ -119,3 +120,82 @@ def test_clustered_layout_splits_a_hot_key(spark, tmp_dir):
     writers.write_table(writers.clustered(df, ["primary_region", "segment_id"], 4), p, rebalance=False)
     files = read_dataset(spark, p).selectExpr("input_file_name() as f").distinct().count()
     assert files == 4
+
+
+def _csv(folder, name, lines):
+    os.makedirs(folder, exist_ok=True)
+    path = os.path.join(folder, name)
+    with open(path, "w", encoding="utf-8") as f:
+        f.write("\n".join(lines) + "\n")
+    return path
+
+
+HEAD = "customer_id,customer_unique_id,customer_zip_code_prefix,customer_city,customer_state"
+
+
+def test_quarantine_keeps_what_the_lenient_reader_drops(spark, tmp_dir):
+    from segmark.operators.quality import reconcile_load
+    from segmark.sources import raw as rawsrc
+
+    folder = os.path.join(tmp_dir, "in")
+    _csv(folder, "a.csv", [HEAD, 'a,A,1,"rio, centro",RJ', "", "b,B", '"c",C,3,"say ""hi""",SP', "d,D,4,x,SP,more"])
+    _csv(folder, "b.csv", [HEAD, "   ", 'e,"E,5,y,SP', "f,F,,,"])
+    _csv(folder, "c.csv", [HEAD])
+    landed = rawsrc.land_raw_csv(spark, folder, os.path.join(tmp_dir, "out"))
+    assert sorted(map(str, landed.kept.collect())) == sorted(map(str, rawsrc.read_raw_csv(spark, folder).collect()))
+    assert sorted(r.customer_id for r in landed.kept.collect()) == ["a", "c", "f"]
+    bad = {(os.path.basename(r.source_file), r.reason, r.record) for r in landed.quarantined.collect()}
+    assert bad == {("a.csv", "too few fields", "b,B"), ("a.csv", "too many fields", "d,D,4,x,SP,more"), ("b.csv", "open quote", 'e,"E,5,y,SP')}
+    counts = reconcile_load(rawsrc.data_lines(spark, folder), landed.kept, landed.quarantined).first()
+    assert tuple(counts) == (6, 3, 3, True)
+    assert not reconcile_load(rawsrc.data_lines(spark, folder), landed.kept.limit(1), landed.quarantined).first().reconciled
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        rawsrc.read_raw_csv_strict(spark, folder).collect()
+
+
+def test_features_stage_with_quarantine(spark, tmp_dir, monkeypatch):
+    from segmark.params import Paths, Settings
+    from segmark.plans import stages
+    from segmark.sources.tables import read_dataset
+
+    folder = os.path.join(tmp_dir, "in")
+    _csv(folder, "a.csv", [HEAD, "a,A,1,rio,RJ", "b,B", "c,A,1,rio,RJ"])
+    settings = Settings(paths=Paths.under(os.path.join(tmp_dir, "out"), folder, quarantine=True))
+    assert stages.build_features(spark, settings) == 1
+    assert read_dataset(spark, settings.paths.quarantine).where("cast(malformed as boolean)").count() == 1
+    real = stages.data_lines
+    monkeypatch.setattr(stages, "data_lines", lambda s, p: real(s, p).selectExpr("source_file", "n_lines + 1 as n_lines"))
+    with pytest.raises(RuntimeError, match="do not add up"):
+        stages.build_features(spark, settings)
+
+
+def test_interleaved_layout_skips_files_by_either_key(spark, tmp_dir):
+    """Files whose min/max range holds a value, for each key alone, against the layout by key order."""
+    rows = spark.range(40_000).selectExpr(
+        "cast(id % 8 as int) as segment_id", "concat('region ', cast(floor(id / 8) % 7 as int)) as primary_region", "cast(id as string) as customer_unique_id")
+    rows = rows.unionByName(spark.createDataFrame([(None, None, "x")], rows.schema))
+    keys = ["primary_region", "segment_id"]
+    share = {}
+    for name, laid in (("ordered", writers.clustered(rows, keys, 28)), ("interleaved", writers.interleaved(rows, keys, 28))):
+        path = os.path.join(tmp_dir, name)
+        writers.write_table(laid, path, rebalance=False)
+        back = read_dataset(spark, path)
+        assert sorted(map(str, back.select(*rows.columns).collect())) == sorted(map(str, rows.collect()))
+        for key in keys:
+            hit = writers.files_per_value(back, key).collect()
+            assert {r.value for r in hit} == {str(r[0]) for r in rows.select(key).distinct().collect() if r[0] is not None}
+            share[name, key] = max(r.files_holding / r.files for r in hit)
+    assert share["interleaved", "segment_id"] <= 0.5 < share["ordered", "segment_id"]
+    assert share["interleaved", "primary_region"] <= 0.5
+
+
+def test_interleaving_many_values(spark):
+    rows = spark.range(4096 * 3).selectExpr("id % 16 as a", "cast(floor(id / 16) % 16 as double) as b", "concat('v', 10 + cast(floor(id / 256) % 16 as int)) as c")
+    z = writers.interleaved_key(rows, ["a", "b", "c"], bits=4)
+    got = rows.select(z.alias("z")).agg(F.countDistinct("z").alias("n"), F.min("z").alias("lo"), F.max("z").alias("hi")).first()
+    assert tuple(got) == (4096, 0, 4095)  # every combination has a number of its own
+    many = spark.range(20_000).selectExpr("id as a")
+    few = many.select(writers.interleaved_key(many, ["a"], bits=5).alias("z"), "a").groupBy("z").agg(F.count("a").alias("n"), F.min("a"), F.max("a")).orderBy("z").collect()
+    assert len(few) == 32 and all(200 < r.n < 1600 for r in few) and all(x[3] < y[2] for x, y in zip(few, few[1:]))
+    empty = rows.where("false")
+    assert writers.interleaved(empty, ["a", "b"]).count() == 0

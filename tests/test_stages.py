@@ -138,3 +138,35 @@ def test_stages_are_idempotent_and_metrics_append(spark, tmp_dir):
     g1 = stages.score_stage(spark, s, scored_at=at)
     g2 = stages.score_stage(spark, s, scored_at=at, overwrite="dynamic")
     assert g1 == g2 == read_dataset(spark, s.paths.gold_segments).count()
+
+
+def test_a_killed_build_resumes_after_its_last_stage(spark, tmp_dir, monkeypatch):
+    from segmark.params import Paths, Settings
+    from segmark.plans import stages
+
+    landing = os.path.join(tmp_dir, "in")
+    rows = [(f"o{i}", f"p{i % 40}", str(i * 37 % 100000), f"city {i % 6}", ["SP", "BA", "RJ"][i % 3]) for i in range(120)]
+    names = "customer_id string, customer_unique_id string, customer_zip_code_prefix string, customer_city string, customer_state string"
+    spark.createDataFrame(rows, names).write.option("header", True).csv(landing)
+    settings = Settings(paths=Paths.under(os.path.join(tmp_dir, "out"), landing)).with_model(k=3)
+    real, calls = stages.score_stage, []
+
+    def dies(*a, **kw):
+        raise RuntimeError("driver lost")
+
+    monkeypatch.setattr(stages, "score_stage", dies)
+    with pytest.raises(RuntimeError, match="driver lost"):
+        stages.build_all(spark, settings, resume=True)
+    monkeypatch.setattr(stages, "score_stage", real)
+    for name in ("build_features", "train_stage"):
+        monkeypatch.setattr(stages, name, lambda *a, f=getattr(stages, name), n=name, **kw: calls.append(n) or f(*a, **kw))
+    again = stages.build_all(spark, settings, resume=True)
+    assert again["ran"] == ["score"] and calls == [] and again["gold"] == again["features"] == 40 and again["k"] == 3
+    assert stages.build_all(spark, settings, resume=True)["ran"] == []
+    # Other parameters rerun what depends on them, new input reruns everything.
+    assert stages.build_all(spark, settings.with_model(k=4), resume=True)["ran"] == ["train", "score"]
+    spark.createDataFrame([("z", "pz", "1", "x", "SP")], names).write.mode("append").option("header", True).csv(landing)
+    last = stages.build_all(spark, settings.with_model(k=4), resume=True)
+    assert last["ran"] == ["features", "train", "score"] and last["gold"] == 41
+    with pytest.raises(ValueError, match="raw path"):
+        stages.build_all(spark, settings, raw=spark.createDataFrame([], names), resume=True)
