@@ -6,9 +6,10 @@ them), hashed into ``SPACE`` cells. The machine has a weight per cell and a vect
 the sum of its parts.
 
 The model is fitted on a bounded sample, about ``SAMPLE_ROWS`` labelled rows spread by a hash
-of their ids, of the rows that are not held out. Cells are picked in Spark: of the sample's
-cells, the ``MAX_CELLS`` whose share among toxic and other texts differs most, by the z value
-of the log odds. Scoring is a map over whole texts.
+of their ids, of the rows that are not held out. Cells are picked in Spark, for two reasons: the
+``MAX_CELLS`` whose share among toxic and other texts differs most, by the z value of the log odds;
+and, whatever their labels, the cells of the ``MAX_WORDS`` words that divide the sample most evenly,
+so that a word that matters only beside another reaches the machine. Scoring is a map over whole texts.
 
 Defined results: a null or wordless text scores as one without any term. Without labelled
 training rows, or with labels of one class, every score is the smoothed base rate (0.5
@@ -35,6 +36,7 @@ SPACE = 1 << 18
 PREFIXES = (3, 4, 5, 6, 7, 8)
 SAMPLE_ROWS = 20_000
 MAX_CELLS = 2048
+MAX_WORDS = 4096
 MIN_Z = 3.0
 FIT_BYTES = 1 << 20  # of text at a time while all cells of a text are at hand
 MIN_ROWS = 5
@@ -65,14 +67,14 @@ def _cells_of_words(vocabulary: pa.Array) -> np.ndarray:
     return np.where(cells < SPACE, cells, -1)
 
 
-def text_cells(block: Block, chosen: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def text_cells(block: Block, chosen: np.ndarray | None = None, whole: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """(document, cell) of the distinct terms of each text, sorted; with ``chosen`` (cell to
-    column, or -1) only those, as columns."""
+    column, or -1) only those, as columns; with ``whole`` only whole words."""
     w = words(block.lowered(), ALNUM)
     if not len(w):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     code, vocabulary = w.coded
-    cells = _cells_of_words(vocabulary)
+    cells = _cells_of_words(vocabulary)[:, :1] if whole else _cells_of_words(vocabulary)
     if chosen is not None:
         cells = np.where(cells >= 0, chosen[cells], -1)
     held = cells >= 0
@@ -104,7 +106,21 @@ class FactorizationMachine:
         return 1.0 / (1.0 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, rate: float = 0.1, decay: float = 1e-3) -> tuple[float, np.ndarray, np.ndarray]:
+class Rows:
+    """0/1 rows by the columns that are set; a batch of them is made dense when it is its turn."""
+
+    def __init__(self, off: np.ndarray, column: np.ndarray, width: int) -> None:
+        self.off, self.column, self.shape = off, column, (len(off) - 1, width)
+
+    def __getitem__(self, rows: np.ndarray) -> np.ndarray:
+        size = self.off[rows + 1] - self.off[rows]
+        at = np.arange(size.sum()) + np.repeat(self.off[rows] - np.concatenate(([0], np.cumsum(size)))[:-1], size)
+        out = np.zeros((len(rows), self.shape[1]), np.float32)
+        out[np.repeat(np.arange(len(rows)), size), self.column[at]] = 1
+        return out
+
+
+def train(x: np.ndarray | Rows, y: np.ndarray, epochs: int = EPOCHS, rate: float = 0.1, decay: float = 1e-3) -> tuple[float, np.ndarray, np.ndarray]:
     """Bias, weights and factors by mini-batch Adagrad on the logistic loss; x: rows by columns, 0 or 1."""
     rng = np.random.default_rng(7)
     share = (y.sum() + 0.5) / (len(y) + 1)
@@ -132,19 +148,23 @@ def train(x: np.ndarray, y: np.ndarray, epochs: int = EPOCHS, rate: float = 0.1,
 
 
 def _cell_counts(sample: DataFrame) -> DataFrame:
-    """(cell, pos, neg): toxic and other sample texts with a term in the cell."""
+    """(cell, word, pos, neg): toxic and other sample texts with a term in the cell; apart, with a whole word in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = np.zeros((2, SPACE), np.int64)
+        count = np.zeros((2, 2, SPACE), np.int64)
         for batch, block in blocks(batches, "_text", FIT_BYTES):
             label = batch.column("_label").to_numpy(zero_copy_only=False).astype(np.int64)
-            doc, cell = text_cells(block)
-            for y in (0, 1):
-                count[y] += np.bincount(cell[label[doc] == y], minlength=SPACE)
-        cell = np.flatnonzero(count.any(axis=0))
-        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(count[1, cell]), pa.array(count[0, cell])], names=["cell", "pos", "neg"])
+            for whole in (0, 1):
+                doc, cell = text_cells(block, whole=bool(whole))
+                for y in (0, 1):
+                    count[whole, y] += np.bincount(cell[label[doc] == y], minlength=SPACE)
+        for whole in (0, 1):
+            cell = np.flatnonzero(count[whole].any(axis=0))
+            yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.full(len(cell), bool(whole))), pa.array(count[whole, 1, cell]),
+                                              pa.array(count[whole, 0, cell])], names=["cell", "word", "pos", "neg"])
 
-    return sample.mapInArrow(run, "cell long, pos long, neg long").groupBy("cell").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    counted = sample.mapInArrow(run, "cell long, word boolean, pos long, neg long")
+    return counted.groupBy("cell", "word").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
 def _columns(sample: DataFrame, chosen: np.ndarray) -> DataFrame:
@@ -179,15 +199,18 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     a, b = F.col("pos") + 0.5, F.col("neg") + 0.5
     c, d = F.lit(n_pos + 1.0) - a, F.lit(n_neg + 1.0) - b
     z = F.abs(F.log(a * d / (b * c))) / F.sqrt(1 / a + 1 / b + 1 / c + 1 / d)
-    best = _cell_counts(sample).where(F.col("pos") + F.col("neg") >= MIN_ROWS).select("cell", z.alias("z")).where(
-        F.col("z") >= MIN_Z).orderBy(F.desc("z"), "cell").limit(MAX_CELLS)
-    cells = np.array([r.cell for r in best.collect()], np.int64)
+    counts = handover(_cell_counts(sample).where(F.col("pos") + F.col("neg") >= MIN_ROWS), "toxicity-cells")
+    telling = counts.where(~F.col("word")).select("cell", z.alias("z")).where(F.col("z") >= MIN_Z).orderBy(F.desc("z"), "cell").limit(MAX_CELLS)
+    n = F.col("pos") + F.col("neg")
+    even = F.least(n, F.lit(n_pos + n_neg) - n)
+    dividing = counts.where(F.col("word") & (even >= MIN_ROWS)).orderBy(F.desc(even), "cell").limit(MAX_WORDS)
+    cells = np.unique(np.array([r.cell for r in telling.select("cell").union(dividing.select("cell")).collect()], np.int64))
     chosen[cells] = np.arange(len(cells))
-    rows = _columns(sample, chosen).collect()  # the bounded sample, a few hundred small numbers a row at most
-    x = np.zeros((len(rows), len(cells)), np.uint8)
-    for i, r in enumerate(rows):
-        x[i, r["columns"]] = 1
-    bias, w, v = train(x, np.array([r.label for r in rows], float))
+    rows = _columns(sample, chosen).toArrow()  # the bounded sample, at most MAX_CELLS + MAX_WORDS small numbers a row
+    found = rows.column("columns").combine_chunks()
+    x = Rows(np.concatenate(([0], np.cumsum(found.value_lengths().to_numpy()))), found.flatten().to_numpy(), len(cells))
+    label = rows.column("label").to_numpy().astype(float)
+    bias, w, v = train(x, label)
     return FactorizationMachine(chosen, bias, w, v)
 
 

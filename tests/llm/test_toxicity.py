@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pyarrow as pa
+import pytest
 
 from segmark.llm import toxicity
 from segmark.llm.langid import held_out
@@ -53,7 +54,7 @@ def test_edges_and_single_class(spark):
 def test_sample_is_bounded_by_its_parameter(spark):
     rows, labels = labelled()
     model = fit(spark.createDataFrame(rows, DOCS), spark.createDataFrame(labels, "doc_id long, toxic int"), sample_rows=60)
-    assert (model.chosen >= 0).sum() <= toxicity.MAX_CELLS
+    assert (model.chosen >= 0).sum() <= toxicity.MAX_CELLS + toxicity.MAX_WORDS
 
 
 def test_pairs_beyond_single_terms():
@@ -68,6 +69,27 @@ def test_pairs_beyond_single_terms():
     assert np.mean((z > 0) == (y > 0)) > 0.9
 
 
+@pytest.mark.parametrize("kind", ["either", "both"])
+def test_pairs_through_the_whole_operator(spark, kind):
+    """Either of two words but not both; or an insult beside a mention of a group: neither counts alone."""
+    rng = random.Random(6)
+    insults, groups = ["zorp", "zorpish", "quolm"], ["vexians", "uldites"]
+    rows, labels = [], []
+    for i in range(4000):
+        a, b = rng.random() < 0.5, rng.random() < 0.5
+        words = sentence(rng, 25).split()
+        for present, choice in ((a, insults[:1] if kind == "either" else insults), (b, groups[:1] if kind == "either" else groups)):
+            if present:
+                words.insert(rng.randrange(25), rng.choice(choice))
+        rows.append((i, " ".join(words), "en", "s", 0))
+        labels.append((i, int(a != b if kind == "either" else a and b)))
+    df = spark.createDataFrame(rows, DOCS)
+    model = fit(df, spark.createDataFrame(labels, "doc_id long, toxic int"))
+    got = score_toxicity(df.withColumn("held_out", held_out("doc_id")), model).where("held_out").collect()
+    truth = dict(labels)
+    assert len(got) > 600 and np.mean([r.predicted == truth[r.doc_id] for r in got]) > 0.95
+
+
 def test_scores_equal_the_definition():
     rng = np.random.default_rng(2)
     texts = ["idiot moron idiots", "a bc def", "", "ünï idiot!"]
