@@ -57,7 +57,7 @@ RULES: tuple[SecretRule, ...] = (
     SecretRule("forge", "1", r"gh[pousr]_[A-Za-z0-9]{36,255}", 0, 40),
     SecretRule("jwt", "1", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", 0, 30),
 )
-RESULT = ("blob", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+RESULT = ("blob", "n_assign", "n_access", "n_hex", "base_sha256", "base_spans", "spans")
 LEDGER = "blob string, rule string, rule_version string, spans array<struct<start: int, end: int>>"
 
 
@@ -133,10 +133,14 @@ def update_ledger(spark: SparkSession, versions: DataFrame, path: str, rules: tu
 
 
 def findings(ledger: DataFrame, rules: tuple[SecretRule, ...] = RULES) -> DataFrame:
-    """Per blob with a span: counts per base rule, base digest text and all spans."""
+    """Per blob with a span: counts per base rule, base digest text and all spans.
+
+    A pair that two runs started together have both scanned counts once.
+    """
     order = F.create_map(*[F.lit(x) for i, r in enumerate(rules) for x in (r.kind, i)])
     current = F.concat_ws("@", "rule", "rule_version").isin([r.key for r in rules])
-    spans = ledger.where(current & (F.size("spans") > 0)).select("blob", "rule", F.explode("spans").alias("s")).groupBy(
+    hits = ledger.where(current & (F.size("spans") > 0)).dropDuplicates(["blob", "rule", "rule_version"])
+    spans = hits.select("blob", "rule", F.explode("spans").alias("s")).groupBy(
         "blob").agg(F.sort_array(F.collect_list(F.struct(
             F.col("s.start").alias("start"), order[F.col("rule")].alias("rank"),
             F.col("rule").alias("kind"), F.col("s.end").alias("end")))).alias("all"))
@@ -160,7 +164,9 @@ def scan_secrets(df: DataFrame, ledger_path: str, rules: tuple[SecretRule, ...]
     spark = df.sparkSession
     versions = addressed(without(df, RESULT))
     ledger = update_ledger(spark, versions.select("blob", "text"), ledger_path, rules)
-    found = handover(findings(ledger, rules), "secret-findings")
+    # The ledger grows with history; only the blobs of this run are looked at.
+    own = ledger.where(F.size("spans") > 0).join(versions.select("blob"), "blob", "left_semi")
+    found = handover(findings(own, rules), "secret-findings")
     joined = versions.join(found, "blob", "left")
     kept = [F.col(f"`{c}`") for c in versions.columns if c != "blob"]
     return joined.select(

@@ -62,3 +62,16 @@ def test_edge_tables_and_native_plan(spark):
     out = scan_secrets(df, scratch_path(spark, "ledger"))
     assert out.count() == df.count() and out.columns.count("spans") == 1 and "SPANS" not in out.columns
     assert "Python" not in out._jdf.queryExecution().toString()
+
+
+def test_clashing_columns_and_a_pair_scanned_twice(spark, tmp_path):
+    from segmark.llm.secrets import scan_secrets
+
+    df = spark.createDataFrame([(1, "password = hunter2222", "b", "s"), (2, "none", "b", "s")], "doc_id long, text string, base_spans string, SPANS string")
+    path = str(tmp_path / "ledger")
+    first = sorted(map(str, scan_secrets(df, path).collect()))
+    ledger = spark.read.parquet(path).collect()
+    spark.createDataFrame(ledger, spark.read.parquet(path).schema).write.mode("append").parquet(path)
+    again = scan_secrets(df, path)
+    assert sorted(map(str, again.collect())) == first and "base_spans" not in again.columns
+    assert [r.n_assign for r in again.orderBy("doc_id").collect()] == [1, 0]
