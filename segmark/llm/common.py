@@ -21,6 +21,14 @@ def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     return df.select([df[f"`{c}`"] for c in df.columns if c.lower() not in taken])
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of ``df`` is called so (in any letter case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def handover(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segmark.llm.common import handover, release, without
+from segmark.llm.common import free_name, handover, release, without
 from segmark.llm.components import connected_components
 from segmark.llm.textblocks import NOT_SPACE, Block, blocks, recurring, words
 
@@ -214,10 +214,11 @@ def drop_near_copies(df: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     fingerprint, so id and mark lie in one component; the texts are shuffled once, by both,
     against the one (id, mark) of each component that stays.
     """
-    marked = df.withColumn("_near_mark", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    printed, member = _members(marked, id_col, text_col, ("_near_mark",))
+    mark = free_name(df, "_near_mark")
+    marked = df.withColumn(mark, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    printed, member = _members(marked, id_col, text_col, (mark,))
     first = printed.join(member.select("fp", "root"), "fp").groupBy("root").agg(F.min(F.struct(
-        F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col("_near_mark").alias("mark"))).alias("first"))
-    stay = first.select(F.col("first.id").alias("_stay"), F.col("first.mark").alias("_stay_mark"))
-    kept = marked.join(stay, marked[id_col].eqNullSafe(F.col("_stay")) & (F.col("_near_mark") == F.col("_stay_mark")), "left_semi")
-    return kept.dropDuplicates([id_col, "_near_mark"]).drop("_near_mark")
+        F.col(id_col).isNull().alias("last"), F.col(id_col).alias("id"), F.col(mark).alias("mark"))).alias("first"))
+    stay = first.select(F.col("first.id").alias("id"), F.col("first.mark").alias("mark")).alias("stay")
+    kept = marked.join(stay, marked[id_col].eqNullSafe(F.col("stay.id")) & (marked[mark] == F.col("stay.mark")), "left_semi")
+    return kept.dropDuplicates([id_col, mark]).drop(mark)

@@ -128,3 +128,10 @@ def test_one_document_a_component_with_null_and_repeated_ids(spark):
     assert len(set(root.values())) == 4
     kept = drop_near_copies(df).collect()
     assert sorted((root[r.text], r.doc_id) for r in kept) == [(0, 7), (4, None), (7, 8), (10, 8)]
+
+
+def test_a_column_named_like_the_mark_stays(spark):
+    from segmark.llm.simhash import drop_near_copies
+
+    df = spark.createDataFrame([(1, "a b c d e f", "m1"), (2, "a b c d e f", "m2"), (3, "other words are here now", "m3")], "doc_id long, text string, _near_mark string")
+    assert sorted((r.doc_id, r._near_mark) for r in drop_near_copies(df).collect()) == [(1, "m1"), (3, "m3")]
