@@ -21,8 +21,8 @@ The line of a component that stays is the one with the smallest (id, line number
 built-in column functions are used.
 
 Defined results: a null text has no lines and stays null. Lines without a visible character
-always stay and are never compared. Rows that share an id share the numbers of the lines that
-stay; null ids count as one id, after all others. Input columns named like a result column are
+always stay and are never compared. Rows are numbered, so repeated rows and rows that share an id, or
+have none, are rows of their own; null ids come after all others. Input columns named like a result column are
 replaced. Empty tables give empty results.
 """
 from __future__ import annotations
@@ -49,10 +49,10 @@ def _normal(line: Column) -> Column:
     return F.btrim(F.lower(line), F.lit(BLANK))
 
 
-def _lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, no and the normal form of every visible line."""
-    every = df.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_col, "\n", -1)).alias("no", "raw"))
-    return every.select("id", "no", _normal(F.col("raw")).alias("line")).where(F.col("line") != "")
+def _lines(rows: DataFrame) -> DataFrame:
+    """id, row, no and the normal form of every visible line of numbered rows."""
+    every = rows.select("id", "row", F.posexplode(F.split("text", "\n", -1)).alias("no", "raw"))
+    return every.select("id", "row", "no", _normal(F.col("raw")).alias("line")).where(F.col("line") != "")
 
 
 def _hashed(line: Column) -> Column:
@@ -98,12 +98,12 @@ def _band_keys(least: Column) -> Column:
                     F.when(m >= 8, bands(3)).otherwise(none))
 
 
-def distinct_lines(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per distinct normal line: h, its first place (id, no) and its bucket keys."""
-    lines = _lines(df, id_col, text_col)
+def distinct_lines(rows: DataFrame) -> DataFrame:
+    """Per distinct normal line: h, its first place (id, row, no) and its bucket keys."""
+    lines = _lines(rows)
     hashed = lines.select(
         F.xxhash64("line").alias("h"), F.hash("line").alias("h2"),
-        F.struct(F.col("id").isNull().alias("last"), "id", "no").alias("place"), _hashed(F.col("line")).alias("s"))
+        F.struct(F.col("id").isNull().alias("last"), "id", "row", "no").alias("place"), _hashed(F.col("line")).alias("s"))
     minima = hashed.select("h", "h2", "place", _bin_minima(F.col("s")).alias("least"))
     keyed = minima.select("h", "h2", "place", _band_keys(F.col("least")).alias("keys"))
     return keyed.groupBy("h", "h2").agg(F.min("place").alias("place"), F.first("keys").alias("keys"))
@@ -115,7 +115,7 @@ def _shared_buckets(lines: DataFrame) -> DataFrame:
     return rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k"))).where(F.col("n") > 1).select("k", "h")
 
 
-def _shingle_sets(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame) -> DataFrame:
+def _shingle_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, s) of the ``wanted`` lines (h, place), read again from the texts.
 
     A broadcast of the wanted hashes' top bits, at most 2^20 of them whatever the input, drops
@@ -123,10 +123,10 @@ def _shingle_sets(df: DataFrame, id_col: str, text_col: str, wanted: DataFrame)
     """
     top = F.shiftrightunsigned("h", 64 - FILTER_BITS)
     likely = F.broadcast(wanted.select(top.alias("top")).distinct())
-    lines = _lines(df, id_col, text_col).select("id", "no", F.xxhash64("line").alias("h"), "line")
+    lines = _lines(rows).select("row", "no", F.xxhash64("line").alias("h"), "line")
     near = lines.withColumn("top", top).join(likely, "top", "left_semi")
-    at = wanted.select(F.col("h").alias("_h"), F.col("place.id").alias("_id"), F.col("place.no").alias("_no"))
-    hit = near.join(at, (F.col("h") == F.col("_h")) & (F.col("no") == F.col("_no")) & F.col("id").eqNullSafe(F.col("_id")))
+    at = wanted.select(F.col("h").alias("_h"), F.col("place.row").alias("_row"), F.col("place.no").alias("_no"))
+    hit = near.join(at, (F.col("h") == F.col("_h")) & (F.col("no") == F.col("_no")) & (F.col("row") == F.col("_row")))
     return hit.dropDuplicates(["h"]).select("h", shingles(F.col("line")).alias("s"))
 
 
@@ -211,36 +211,40 @@ def line_components(buckets: DataFrame, sets: DataFrame, similarity: float = SIM
             release(spark, wide)
 
 
-def kept_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
-    """Per id, the sorted numbers of the visible lines that stay: id, stay."""
-    spark = df.sparkSession
-    lines = handover(distinct_lines(df, id_col, text_col), "lines")
+def kept_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """Per numbered row (id, text, row), the sorted numbers of the visible lines that stay: row, stay."""
+    spark = rows.sparkSession
+    lines = handover(distinct_lines(rows), "lines")
     buckets = handover(_shared_buckets(lines), "line-buckets")
     wanted = lines.select("h", "place").join(buckets.select("h").distinct(), "h", "left_semi")
-    sets = handover(_shingle_sets(df, id_col, text_col, handover(wanted, "lines-wanted")), "line-shingles")
+    wanted = handover(wanted, "lines-wanted")
+    sets = handover(_shingle_sets(rows, wanted), "line-shingles")
+    release(spark, wanted)
     component = line_components(buckets, sets, similarity)
     root = lines.select("h", "place").join(component.select(F.col("node").alias("h"), "component"), "h", "left")
     alone = root.where(F.col("component").isNull()).select("place")
     first = root.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("place").alias("place")).select("place")
-    stay = alone.unionByName(first).groupBy(F.col("place.id").alias("id")).agg(
-        F.array_sort(F.collect_set("place.no")).alias("stay"))
+    stay = alone.unionByName(first).groupBy(F.col("place.row").alias("row")).agg(F.array_sort(F.collect_set("place.no")).alias("stay"))
     out = handover(stay, "lines-kept")
-    for done in (buckets, sets):
+    for done in (lines, buckets, sets):
         release(spark, done)
     return out
 
 
 def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """``df`` with only the lines that stay in its texts, plus n_lines and n_removed."""
-    rows = without(df, {"n_lines", "n_removed"} - {text_col.lower(), id_col.lower()})
-    stay = kept_lines(rows, id_col, text_col, similarity).select(F.col("id").alias("_id"), F.col("stay").alias("_stay"))
-    joined = rows.join(stay, rows[id_col].eqNullSafe(F.col("_id")), "left").withColumn("_lines", F.split(text_col, "\n", -1))
-    blank = F.filter(F.transform("_lines", lambda x, i: F.when(F.btrim(x, F.lit(BLANK)) == "", i)), lambda i: i.isNotNull())
-    n = F.coalesce(F.size("_lines"), F.lit(0))
-    numbers = F.array_union(F.coalesce("_stay", F.array().cast("array<int>")), blank)
-    joined = joined.withColumn("_n", F.when(F.col(text_col).isNull(), 0).otherwise(n)).withColumn(
-        "_at", F.filter(F.array_sort(numbers), lambda i: i < F.col("_n")))
-    removed = F.when(F.col("_n") > 0, F.col("_n") - F.size("_at")).otherwise(0)
-    text = F.when(removed > 0, F.array_join(F.transform("_at", lambda i: F.get("_lines", i)), "\n")).otherwise(F.col(text_col))
-    kept = [text.alias(c) if c == text_col else F.col(f"`{c}`") for c in rows.columns]
-    return joined.select(*kept, F.col("_n").cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
+    given = without(df, {"n_lines", "n_removed"} - {text_col.lower(), id_col.lower()})
+    # The other columns travel in one struct, so none can clash with a name used here.
+    others = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(given.columns) if c != text_col])
+    rows = handover(given.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), others.alias("given"),
+                                 F.monotonically_increasing_id().alias("row")), "line-rows")
+    stay = kept_lines(rows.select("id", "text", "row"), similarity)
+    joined = rows.join(stay, "row", "left").withColumn("lines", F.split("text", "\n", -1))
+    blank = F.filter(F.transform("lines", lambda x, i: F.when(F.btrim(x, F.lit(BLANK)) == "", i)), lambda i: i.isNotNull())
+    numbers = F.array_union(F.coalesce("stay", F.array().cast("array<int>")), blank)
+    joined = joined.withColumn("n", F.when(F.col("text").isNull(), 0).otherwise(F.coalesce(F.size("lines"), F.lit(0)))).withColumn(
+        "at", F.filter(F.array_sort(numbers), lambda i: i < F.col("n")))
+    removed = F.when(F.col("n") > 0, F.col("n") - F.size("at")).otherwise(0)
+    text = F.when(removed > 0, F.array_join(F.transform("at", lambda i: F.get("lines", i)), "\n")).otherwise(F.col("text"))
+    kept = [text.alias(c) if c == text_col else F.col(f"given.c{i}").alias(c) for i, c in enumerate(given.columns)]
+    return joined.select(*kept, F.col("n").cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))

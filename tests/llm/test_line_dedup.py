@@ -168,3 +168,23 @@ def test_every_link_of_a_bucket_is_found(spark, monkeypatch):
         assert len(links) >= 20 and found == len(links)  # recall 1 in a shared bucket
         linked = {x for pair in links for x in pair}
         assert set(got) <= linked
+
+
+def test_repeated_and_null_ids_are_rows_of_their_own(spark):
+    line = "one line that is long enough to be compared with all the others here"
+    rows = [(5, line, "en", "s", 0), (5, line, "en", "s", 0), (None, line + " x", "en", "s", 0), (None, line, None, None, None)]
+    out = dedup_lines(spark.createDataFrame(rows, DOCS)).collect()
+    assert len(out) == 4 and sorted(r.n_removed for r in out) == [0, 1, 1, 1]
+    assert [(r.doc_id, r.text) for r in out if not r.n_removed] == [(5, line)]
+    only_null = dedup_lines(spark.createDataFrame(rows[2:], DOCS)).collect()
+    assert sorted(r.n_removed for r in only_null) == [0, 1]
+
+
+def test_columns_named_like_inner_ones_stay(spark):
+    names = ["_id", "_stay", "_lines", "_n", "_at", "id", "row", "given", "lines", "at", "n", "stay", "place", "none", "h", "N_LINES"]
+    line = "one line that is long enough to be compared with all the others here"
+    df = spark.createDataFrame([(i, line, *[f"{n}{i}" for n in names]) for i in range(2)], ", ".join(f"{n} string" if n not in ("doc_id",) else n for n in ["doc_id", "text", *names]).replace("doc_id", "doc_id long", 1))
+    out = {r.doc_id: r for r in dedup_lines(df).collect()}
+    for i in range(2):
+        assert all(out[i][n] == f"{n}{i}" for n in names[:-1]) and out[i].n_lines == 1
+    assert [out[i].n_removed for i in range(2)] == [0, 1]
