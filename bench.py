@@ -56,12 +56,17 @@ def main() -> None:
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t, 3)
     m = re.search(r"sf([0-9.]+)", sf_dir)
+    orders = spark.read.parquet(os.path.join(sf_dir, "orders.parquet")).count()
+    persons = QUERIES["person_features"](spark, sf_dir).count()
     print(json.dumps({
         "metric": "headline_total",
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else sf_dir,
+        "orders": orders,
+        "persons": persons,
+        "sec_per_million_persons": {k: round(v / persons * 1e6, 2) for k, v in times.items()} if persons else {},
     }))
     spark.stop()
 
