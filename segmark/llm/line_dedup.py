@@ -7,15 +7,15 @@ name one of 32 bins and the least hash of each bin is its signature value. Bands
 share their top bits; short lines use fewer, wider bands. Two lines of Jaccard 0.8 or more over
 their shingles share a band with a probability of about 0.96 or more.
 
-Equal lines collapse before the shuffle. In each bucket all members are compared with a pivot
-by the exact Jaccard of their shingle sets; links join lines by union-find; buckets in which that
-found a link and that still hold several components get more pivots. These rounds are linear in
-the buckets' members and settle groups of near copies and buckets of two. Lines of all other
-buckets that hold several components meet once more, on the rare shingles of their prefixes:
-two sets of Jaccard 0.8 or more share one of the first n - ceil(0.8 n) + 1 shingles of each in any
-common order. All pairs of different components that meet there are verified inside the join, large
-meetings in salted blocks. So every link between lines that share a bucket is found, none is
-left to chance; only pairs that share no bucket can be missed.
+Equal lines collapse before the shuffle. In each bucket all members are compared with a few pivots
+by the exact Jaccard of their shingle sets, and union-find joins what is linked: linear in the
+buckets' members, it settles small buckets and groups of near copies. Lines of buckets that still
+hold several components meet once more, on the rare shingles of their prefixes: two sets of
+Jaccard 0.8 or more share one of the first n - ceil(0.8 n) + 1 shingles of each in any common
+order. Rows of (shingle, line, place, size) meet there, large meetings in salted blocks; each
+distinct pair of different components that sizes and places allow is verified once. So every
+link between lines that share a bucket is found, none is left to chance; only pairs that share
+no bucket can be missed.
 
 The line of a component that stays is the one with the smallest (id, line number). Only
 built-in column functions are used.
@@ -36,13 +36,13 @@ from segmark.llm.components import connected_components
 SHINGLE = 9
 SIMILARITY = 0.8
 BINS_SHIFT = 59  # the top five bits of a hash: 32 bins
-PIVOTS = 8  # of a bucket in its later rounds
+PIVOTS = 4  # of a bucket: at most so many comparisons per member
 BLOCK = 256  # lines of one rare shingle that one salt compares with the others
 FILTER_BITS = 20  # of the broadcast pre-filter: at most a million small rows
 BLANK = " \t\r\x0b\x0c"
 
 # At a word's start up to SHINGLE characters, elsewhere exactly as many; short words are passed whole.
-_SHINGLES = rf"(?s)(?=((?<!\S).{{1,{SHINGLE}}}|.{{{SHINGLE}}}))(?:(?<!\S)\S{{1,8}}(?!\S)|\S)\s*"
+_SHINGLES = rf"(?s)(?=(.{{{SHINGLE}}}|(?<!\S).{{1,{SHINGLE}}}+))(?:(?<!\S)\S{{1,8}}+(?!\S)|\S)\s*+"
 
 
 def _normal(line: Column) -> Column:
@@ -116,99 +116,99 @@ def _shared_buckets(lines: DataFrame) -> DataFrame:
 
 
 def _shingle_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(h, s) of the ``wanted`` lines (h, place), read again from the texts.
+    """(h, s) of the ``wanted`` lines (h, place; each h once), read again from the texts.
 
     A broadcast of the wanted hashes' top bits, at most 2^20 of them whatever the input, drops
-    most other lines before the shuffle.
+    most other lines before they meet their places.
     """
     top = F.shiftrightunsigned("h", 64 - FILTER_BITS)
     likely = F.broadcast(wanted.select(top.alias("top")).distinct())
     lines = _lines(rows).select("row", "no", F.xxhash64("line").alias("h"), "line")
-    near = lines.withColumn("top", top).join(likely, "top", "left_semi")
-    at = wanted.select(F.col("h").alias("_h"), F.col("place.row").alias("_row"), F.col("place.no").alias("_no"))
-    hit = near.join(at, (F.col("h") == F.col("_h")) & (F.col("no") == F.col("_no")) & (F.col("row") == F.col("_row")))
-    return hit.dropDuplicates(["h"]).select("h", shingles(F.col("line")).alias("s"))
+    near = lines.withColumn("top", top).join(likely, "top", "left_semi").select("row", "no", "h", "line")
+    at = wanted.select("h", F.col("place.row").alias("row"), F.col("place.no").alias("no"))
+    return near.join(at, ["h", "row", "no"]).select("h", shingles(F.col("line")).alias("s"))
 
 
-def _verified(links: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+def _may_link(na: Column, nb: Column, similarity: float) -> Column:
+    """Sets of these sizes can have that Jaccard at all."""
+    return F.least(na, nb) >= F.lit(similarity) * F.greatest(na, nb) - F.lit(1e-6)
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The distinct ``pairs`` (a, b) whose sets have the Jaccard; sizes are compared before any set travels."""
+    size = lambda end: sets.select(F.col("h").alias(end), F.size("s").alias(f"n{end}"))
+    near = pairs.join(size("a"), "a").join(size("b"), "b").where(_may_link(F.col("na"), F.col("nb"), similarity))
     left = sets.select(F.col("h").alias("a"), F.col("s").alias("sa"))
     right = sets.select(F.col("h").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return links.join(left, "a").join(right, "b").where(
-        both >= F.lit(similarity) * (F.size("sa") + F.size("sb") - both)).select("a", "b")
+    return near.join(left, "a").join(right, "b").where(both >= F.lit(similarity) * (F.col("na") + F.col("nb") - both)).select("a", "b")
 
 
-def _remaining_links(buckets: DataFrame, sets: DataFrame, component: DataFrame, similarity: float) -> DataFrame:
-    """(a, b): all links between lines of different components that share a bucket, and some beyond.
+def _pivot_pairs(buckets: DataFrame) -> DataFrame:
+    """(a, b): every member of a bucket with each of the bucket's pivots; linear in the members."""
+    picks = [F.min_by("h", F.xxhash64("h", F.lit(i))) for i in range(PIVOTS)]
+    pivots = buckets.groupBy("k").agg(F.array_distinct(F.array(*picks)).alias("p")).select("k", F.explode("p").alias("pivot"))
+    return buckets.join(pivots, "k").where(F.col("h") != F.col("pivot")).select(
+        F.least("h", "pivot").alias("a"), F.greatest("h", "pivot").alias("b")).distinct()
 
-    Buckets of two were settled by their pivot. The lines of the others meet on the shingles of
-    their prefixes, the rarest first, so that a passage they all share brings none together.
-    """
+
+def _open_lines(buckets: DataFrame, component: DataFrame) -> DataFrame:
+    """(h, c) of the lines in buckets that hold several components; buckets of up to PIVOTS were compared in full."""
     named = component.select(F.col("node").alias("h"), "component")
     member = buckets.join(named, "h", "left").select("k", "h", F.coalesce("component", "h").alias("c"))
     several = member.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("n > 2 and lo <> hi")
-    unsettled = handover(member.join(several, "k", "left_semi").select("h", "c").distinct().join(sets, "h"), "line-unsettled")
-    each = unsettled.select("h", "c", F.size("s").alias("size"), F.explode("s").alias("x"))
+    return member.join(several, "k", "left_semi").select("h", "c").distinct()
+
+
+def _meeting_pairs(opened: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of open lines that meet on a rare shingle and that sizes and places leave possible.
+
+    The rarest shingles come first, so that a passage they all share brings none together. Only
+    (shingle, line, place, size) rows meet: at the first shared shingle no more than the shorter
+    rest can be shared beyond it.
+    """
+    each = opened.join(sets, "h").select("h", "c", F.size("s").alias("size"), F.explode("s").alias("x"))
     ranked = each.join(each.groupBy("x").agg(F.count(F.lit(1)).alias("n")), "x")
+    reach = (F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - F.lit(1e-6)) + 1).cast("int")
+    first = ranked.groupBy("h", "c", "size").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("p")).select(
+        "h", "c", "size", F.posexplode(F.slice("p", F.lit(1), reach)).alias("at", "p"))
     # A shingle of one line takes its place in the prefix but meets nobody.
-    prefix = ranked.groupBy("h", "c", "size").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("p")).select(
-        "h", "c", F.inline(F.slice("p", F.lit(1), (F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - F.lit(1e-6)) + 1).cast("int")))).where("n > 1")
-    prefix = handover(prefix.select("x", "h", "c"), "line-prefixes")
+    prefix = handover(first.where("p.n > 1").select(F.col("p.x").alias("x"), "h", "c", "size", "at"), "line-prefixes")
     meet = prefix.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("salts"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-    asked = prefix.join(meet.where("lo <> hi").select("x", "salts"), "x").join(unsettled.select("h", "s", F.size("s").alias("size")), "h")
-    left = asked.select("x", F.pmod(F.xxhash64("h", "x"), F.col("salts").cast("bigint")).cast("int").alias("salt"),
-                        F.col("h").alias("a"), F.col("c").alias("ca"), F.col("s").alias("sa"), F.col("size").alias("na"))
-    right = asked.select("x", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"),
-                         F.col("h").alias("b"), F.col("c").alias("cb"), F.col("s").alias("sb"), F.col("size").alias("nb"))
-    l, r = left.alias("l"), right.alias("r")
-    both = F.size(F.array_intersect("sa", "sb"))
-    least = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb") - F.lit(1e-6)
-    links = l.join(r, (F.col("l.x") == F.col("r.x")) & (F.col("l.salt") == F.col("r.salt")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                   & least & (both >= F.lit(similarity) * (F.col("na") + F.col("nb") - both)))
-    out = handover(links.select("a", "b").distinct(), "line-links")
-    for done in (unsettled, prefix):
-        release(buckets.sparkSession, done)
+    asked = prefix.join(meet.where("lo <> hi").select("x", "salts"), "x")
+    side = lambda end, salt: asked.select("x", salt.alias("salt"), F.col("h").alias(end), F.col("c").alias(f"c{end}"),
+                                          F.col("size").alias(f"n{end}"), (F.col("size") - F.col("at")).alias(f"rest_{end}"))
+    left = side("a", F.pmod(F.xxhash64("h", "x"), F.col("salts").cast("bigint")).cast("int"))
+    right = side("b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    needed = F.lit(similarity / (1 + similarity)) * (F.col("na") + F.col("nb")) - F.lit(1e-6)
+    pairs = left.join(right, ["x", "salt"]).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
+                                                  & _may_link(F.col("na"), F.col("nb"), similarity) & (F.least("rest_a", "rest_b") >= needed))
+    out = handover(pairs.select("a", "b").distinct(), "line-pairs")
+    release(sets.sparkSession, prefix)
     return out
 
 
 def line_components(buckets: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, component) of the lines linked by a verified similarity.
 
-    A bucket gets more pivots as long as its last ones found a link and it still holds more
-    than one component; what the pivots leave open is then compared in full.
+    Pivots settle small buckets and groups of near copies; lines of different components that
+    are left in a common bucket are then compared in full.
     """
     spark = buckets.sparkSession
-    every = sets
-    rows = buckets.withColumn("c", F.col("h"))
-    edges: DataFrame | None = None
-    turn = 0
-    while True:
-        turn += 1
-        # One pivot for the many chance buckets; several for the few that go on.
-        picks = [F.xxhash64("h", F.lit(turn), F.lit(i)) for i in range(1 if turn == 1 else PIVOTS)]
-        chosen = rows.groupBy("k").agg(F.array_distinct(F.array(*[F.struct(
-            F.min_by("h", p).alias("pivot"), F.min_by("c", p).alias("pc")) for p in picks])).alias("p"))
-        pivots = chosen.select("k", F.inline("p"))
-        tried = rows.join(pivots, "k").where(F.col("c") != F.col("pc")).select(
-            "k", F.least("h", "pivot").alias("a"), F.greatest("h", "pivot").alias("b")).distinct()
-        found = handover(_verified(tried.select("a", "b").distinct(), sets, similarity), "line-links")
-        edges = found if edges is None else edges.unionByName(found)
-        component = connected_components(edges)
-        if found.isEmpty():
-            last = _remaining_links(buckets, every, component, similarity)
-            return component if last.isEmpty() else connected_components(edges.unionByName(last))
-        named = component.select(F.col("node").alias("h"), "component")
-        lively = tried.join(found, ["a", "b"], "left_semi").select("k").distinct()
-        merged = buckets.join(lively, "k", "left_semi").join(named, "h", "left").select(
-            "k", "h", F.coalesce("component", "h").alias("c"))
-        several = merged.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("k")
-        before = rows
-        rows = handover(merged.join(several, "k", "left_semi"), "line-buckets")
-        # Later rounds look at few lines; they shuffle the shingles of those only.
-        wide, sets = sets, handover(sets.join(rows.select("h").distinct(), "h", "left_semi"), "line-shingles")
-        if turn > 1:
-            release(spark, before)
-            release(spark, wide)
+    found = handover(_verified(_pivot_pairs(buckets), sets, similarity), "line-links")
+    component = connected_components(found)
+    opened = handover(_open_lines(buckets, component), "line-open")
+    if not opened.isEmpty():
+        pairs = _meeting_pairs(opened, sets, similarity)
+        last = handover(_verified(pairs, sets, similarity), "line-links")
+        release(spark, pairs)
+        if not last.isEmpty():
+            release(spark, component)
+            component = connected_components(found.unionByName(last))
+        release(spark, last)
+    for done in (found, opened):
+        release(spark, done)
+    return component
 
 
 def kept_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -216,7 +216,7 @@ def kept_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     spark = rows.sparkSession
     lines = handover(distinct_lines(rows), "lines")
     buckets = handover(_shared_buckets(lines), "line-buckets")
-    wanted = lines.select("h", "place").join(buckets.select("h").distinct(), "h", "left_semi")
+    wanted = lines.join(buckets.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.min("place").alias("place"))
     wanted = handover(wanted, "lines-wanted")
     sets = handover(_shingle_sets(rows, wanted), "line-shingles")
     release(spark, wanted)
