@@ -153,7 +153,7 @@ def _pivot_pairs(buckets: DataFrame) -> DataFrame:
 
 
 def _open_lines(buckets: DataFrame, component: DataFrame) -> DataFrame:
-    """(h, c) of the lines in buckets that hold several components; buckets of up to PIVOTS were compared in full."""
+    """(h, c) of the lines in buckets that hold several components; their pivots compared buckets of two in full."""
     named = component.select(F.col("node").alias("h"), "component")
     member = buckets.join(named, "h", "left").select("k", "h", F.coalesce("component", "h").alias("c"))
     several = member.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("n > 2 and lo <> hi")
