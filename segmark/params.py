@@ -52,6 +52,10 @@ class ModelParams:
     max_iter: int = 50
     seed: int = 42
     features: tuple[str, ...] = MODEL_FEATURES
+    # Partitions that the distinct points are dealt into for all passes of a training. They are named
+    # here (and in the run metrics), never derived from the session or the data; the result is the
+    # same for any number. Raise it with the cluster: one core works on one partition.
+    layout_partitions: int = 16
 
 
 @dataclass(frozen=True)

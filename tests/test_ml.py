@@ -226,3 +226,13 @@ def test_scaler_uses_sample_std(spark):
     mean, n = 3.0, 4
     std = (sum((x - mean) ** 2 for x in [1, 2, 3, 6]) / (n - 1)) ** 0.5
     assert got == {f"p{i}": round((x - mean) / std, 6) for i, x in enumerate([1, 2, 3, 6])}
+
+
+def test_points_are_dealt_as_the_parameters_say(spark, monkeypatch):
+    """The number is among the run's metrics, every pass works on so many partitions, and the result is the same."""
+    parts, real = [], kmeans_steps.fit_all
+    monkeypatch.setattr(kmeans_steps, "fit_all", lambda points, *a: parts.append(points.rdd.getNumPartitions()) or real(points, *a))
+    runs = [ml.train(persons(spark, 600), ModelParams(k=4, max_iter=20, layout_partitions=n)) for n in (3, 16)]
+    assert parts == [3, 16] == [dict(r.metrics)["layout_partitions"] for r in runs]
+    centres = [[list(map(float, c)) for c in r.model.stages[-1].clusterCenters()] for r in runs]
+    assert centres[0] == centres[1]
