@@ -7,12 +7,14 @@ name one of 32 bins and the least hash of each bin is its signature value. Bands
 share their top bits; short lines use fewer, wider bands. Two lines of Jaccard 0.8 or more over
 their shingles share a band with a probability of about 0.96 or more.
 
-Equal lines collapse before the shuffle. In each bucket all members are compared with a few pivots
-by the exact Jaccard of their shingle sets, and union-find joins what is linked: linear in the
-buckets' members, it settles small buckets and groups of near copies. Lines of buckets that still
-hold several components meet once more, on the rare shingles of their prefixes: two sets of
-Jaccard 0.8 or more share one of the first n - ceil(0.8 n) + 1 shingles of each in any common
-order. Rows of (shingle, line, place, size) meet there, large meetings in salted blocks; each
+Equal lines collapse before the shuffle. In a small bucket all pairs are compared, in a larger one all
+members with a few pivots, by the exact Jaccard of their shingle sets, and union-find joins what is
+linked: linear in the buckets' members, it settles small buckets and groups of near copies. Pairs are
+first judged by their sets' sizes and bitmaps, which travel with the bucket rows and rule out most
+pairs for certain; only the rest meet their sets. Buckets that still hold several components are
+compared in full, bitmaps first, up to ``BLOCK`` lines; lines of wider ones meet on the
+rare shingles of their prefixes: two sets of Jaccard 0.8 or more share one of the first
+n - ceil(0.8 n) + 1 shingles of each in any common order. Rows of (shingle, line, place, size) meet there, large meetings in salted blocks; each
 distinct pair of different components that sizes and places allow is verified once. So every
 link between lines that share a bucket is found, none is left to chance; only pairs that share
 no bucket can be missed.
@@ -37,7 +39,9 @@ SHINGLE = 9
 SIMILARITY = 0.8
 BINS_SHIFT = 59  # the top five bits of a hash: 32 bins
 PIVOTS = 4  # of a bucket: at most so many comparisons per member
-BLOCK = 256  # lines of one rare shingle that one salt compares with the others
+SMALL = 2 * PIVOTS  # lines of a bucket that are compared in full at once, as cheap as with pivots
+MARKS = 4  # longs of a line's bitmap
+BLOCK = 256  # lines of an open bucket compared in full; of one rare shingle that one salt compares with the others
 FILTER_BITS = 20  # of the broadcast pre-filter: at most a million small rows
 BLANK = " \t\r\x0b\x0c"
 
@@ -134,30 +138,69 @@ def _may_link(na: Column, nb: Column, similarity: float) -> Column:
     return F.least(na, nb) >= F.lit(similarity) * F.greatest(na, nb) - F.lit(1e-6)
 
 
+def _marked(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+    """(k, h, n) of ``buckets`` with the line's set size and its shingles as a bitmap of ``MARKS`` longs.
+
+    The low bits of a shingle's hash choose its bit. n is the number of lines in the bucket.
+    """
+    bits = [F.expr(f"aggregate(s, 0L, (m, x) -> if((x >> 6 & {MARKS - 1}) = {j}, m | (1L << cast(x & 63 as int)), m))").alias(f"m{j}") for j in range(MARKS)]
+    own = sets.select("h", F.size("s").alias("size"), *bits)
+    return buckets.select("k", "h").join(own, "h").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k")))
+
+
+def _end(rows: DataFrame, end: str, *others: str) -> DataFrame:
+    """Bucket rows as one end of pairs."""
+    return rows.select("k", F.col("h").alias(end), F.col("size").alias(f"n{end}"), *[F.col(f"m{j}").alias(f"{end}{j}") for j in range(MARKS)],
+                       *[F.col(c).alias(f"{c}{end}") for c in others])
+
+
+def _possible(similarity: float) -> Column:
+    """Sizes and bitmaps of the ends a and b leave the Jaccard possible.
+
+    Each bit that one set has and the other lacks stands for at least one shingle that is not shared.
+    """
+    def alone(p: str, q: str) -> Column:
+        lacks = [F.bit_count(F.col(f"{p}{j}").bitwiseAND(F.bitwise_not(F.col(f"{q}{j}")))) for j in range(MARKS)]
+        return sum(lacks[1:], lacks[0])
+
+    shared = F.least(F.col("na") - alone("a", "b"), F.col("nb") - alone("b", "a"))
+    return _may_link(F.col("na"), F.col("nb"), similarity) & (
+        shared >= F.lit(similarity / (1 + similarity)) * (F.col("na") + F.col("nb")) - F.lit(1e-6))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The distinct ``pairs`` (a, b) whose sets have the Jaccard; sizes are compared before any set travels."""
-    size = lambda end: sets.select(F.col("h").alias(end), F.size("s").alias(f"n{end}"))
-    near = pairs.join(size("a"), "a").join(size("b"), "b").where(_may_link(F.col("na"), F.col("nb"), similarity))
+    """The distinct ``pairs`` (a, b) whose sets have the Jaccard."""
     left = sets.select(F.col("h").alias("a"), F.col("s").alias("sa"))
     right = sets.select(F.col("h").alias("b"), F.col("s").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
-    return near.join(left, "a").join(right, "b").where(both >= F.lit(similarity) * (F.col("na") + F.col("nb") - both)).select("a", "b")
+    return pairs.join(left, "a").join(right, "b").where(both >= F.lit(similarity) * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
-def _pivot_pairs(buckets: DataFrame) -> DataFrame:
-    """(a, b): every member of a bucket with each of the bucket's pivots; linear in the members."""
-    picks = [F.min_by("h", F.xxhash64("h", F.lit(i))) for i in range(PIVOTS)]
-    pivots = buckets.groupBy("k").agg(F.array_distinct(F.array(*picks)).alias("p")).select("k", F.explode("p").alias("pivot"))
-    return buckets.join(pivots, "k").where(F.col("h") != F.col("pivot")).select(
-        F.least("h", "pivot").alias("a"), F.greatest("h", "pivot").alias("b")).distinct()
+def _first_pairs(marked: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) that may link: all pairs of a bucket of at most ``SMALL`` lines, and every member of a larger
+    one with each of its pivots; linear in the members."""
+    few, many = marked.where(F.col("n") <= SMALL), marked.where(F.col("n") > SMALL)
+    full = _end(few, "a").join(_end(few, "b"), "k").where((F.col("a") < F.col("b")) & _possible(similarity))
+    line = F.struct("h", "size", *[f"m{j}" for j in range(MARKS)])
+    picks = [F.min_by(line, F.xxhash64("h", F.lit(i))) for i in range(PIVOTS)]
+    pivots = many.groupBy("k").agg(F.array_distinct(F.array(*picks)).alias("p")).select("k", F.explode("p").alias("p")).select("k", "p.*")
+    spokes = _end(many, "a").join(_end(pivots, "b"), "k").where((F.col("a") != F.col("b")) & _possible(similarity))
+    return full.select("a", "b").unionByName(spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
 
-def _open_lines(buckets: DataFrame, component: DataFrame) -> DataFrame:
-    """(h, c) of the lines in buckets that hold several components; their pivots compared buckets of two in full."""
+def _open_lines(marked: DataFrame, component: DataFrame) -> DataFrame:
+    """Rows (with component c) of the buckets of more than ``SMALL`` lines that hold several components."""
     named = component.select(F.col("node").alias("h"), "component")
-    member = buckets.join(named, "h", "left").select("k", "h", F.coalesce("component", "h").alias("c"))
-    several = member.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("c").alias("lo"), F.max("c").alias("hi")).where("n > 2 and lo <> hi")
-    return member.join(several, "k", "left_semi").select("h", "c").distinct()
+    member = marked.where(F.col("n") > SMALL).join(named, "h", "left").withColumn("c", F.coalesce("component", "h")).drop("component")
+    several = member.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
+    return member.join(several.select("k"), "k", "left_semi")
+
+
+def _bucket_pairs(opened: DataFrame, similarity: float) -> DataFrame:
+    """(a, b) of different components that may link, in open buckets of at most ``BLOCK`` lines."""
+    some = opened.where(F.col("n") <= BLOCK)
+    return _end(some, "a", "c").join(_end(some, "b", "c"), "k").where(
+        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _possible(similarity)).select("a", "b").distinct()
 
 
 def _meeting_pairs(opened: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
@@ -191,17 +234,24 @@ def _meeting_pairs(opened: DataFrame, sets: DataFrame, similarity: float) -> Dat
 def line_components(buckets: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(node, component) of the lines linked by a verified similarity.
 
-    Pivots settle small buckets and groups of near copies; lines of different components that
-    are left in a common bucket are then compared in full.
+    Pairs in small buckets and pivots of larger ones come first and settle groups of near copies; lines
+    of different components that are left in a common bucket are then compared in full.
     """
     spark = buckets.sparkSession
-    found = handover(_verified(_pivot_pairs(buckets), sets, similarity), "line-links")
+    marked = handover(_marked(buckets, sets), "line-marked")
+    found = handover(_verified(_first_pairs(marked, similarity), sets, similarity), "line-links")
     component = connected_components(found)
-    opened = handover(_open_lines(buckets, component), "line-open")
+    opened = handover(_open_lines(marked, component), "line-open")
+    release(spark, marked)
     if not opened.isEmpty():
-        pairs = _meeting_pairs(opened, sets, similarity)
+        pairs, met = _bucket_pairs(opened, similarity), None
+        wide = opened.where(F.col("n") > BLOCK).select("h", "c").distinct()
+        if not wide.isEmpty():
+            met = _meeting_pairs(wide, sets, similarity)
+            pairs = pairs.unionByName(met).distinct()
         last = handover(_verified(pairs, sets, similarity), "line-links")
-        release(spark, pairs)
+        if met is not None:
+            release(spark, met)
         if not last.isEmpty():
             release(spark, component)
             component = connected_components(found.unionByName(last))
@@ -214,19 +264,23 @@ def line_components(buckets: DataFrame, sets: DataFrame, similarity: float = SIM
 def kept_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Per numbered row (id, text, row), the sorted numbers of the visible lines that stay: row, stay."""
     spark = rows.sparkSession
-    lines = handover(distinct_lines(rows), "lines")
-    buckets = handover(_shared_buckets(lines), "line-buckets")
+    every = handover(distinct_lines(rows), "lines")
+    buckets = handover(_shared_buckets(every), "line-buckets")
+    lines = handover(every.select("h", "place"), "line-places")
+    release(spark, every)  # most of it are bucket keys
     wanted = lines.join(buckets.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.min("place").alias("place"))
     wanted = handover(wanted, "lines-wanted")
     sets = handover(_shingle_sets(rows, wanted), "line-shingles")
     release(spark, wanted)
     component = line_components(buckets, sets, similarity)
-    root = lines.select("h", "place").join(component.select(F.col("node").alias("h"), "component"), "h", "left")
+    for done in (buckets, sets):
+        release(spark, done)
+    root = lines.join(component.select(F.col("node").alias("h"), "component"), "h", "left")
     alone = root.where(F.col("component").isNull()).select("place")
     first = root.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("place").alias("place")).select("place")
     stay = alone.unionByName(first).groupBy(F.col("place.row").alias("row")).agg(F.array_sort(F.collect_set("place.no")).alias("stay"))
     out = handover(stay, "lines-kept")
-    for done in (lines, buckets, sets):
+    for done in (lines, component):
         release(spark, done)
     return out
 

@@ -188,3 +188,21 @@ def test_columns_named_like_inner_ones_stay(spark):
     for i in range(2):
         assert all(out[i][n] == f"{n}{i}" for n in names[:-1]) and out[i].n_lines == 1
     assert [out[i].n_removed for i in range(2)] == [0, 1]
+
+
+def test_bitmaps_rule_out_no_link_and_most_others(spark):
+    """Sizes and bitmaps against exact Jaccard, for sets from one shingle to far more than the bitmap has bits."""
+    rng = random.Random(12)
+    sets = {}
+    for i in range(60):
+        base = [rng.getrandbits(63) for _ in range(rng.choice([1, 5, 40, 300, 900]))]
+        near = base[:-max(1, len(base) // 12)] + [rng.getrandbits(63)] if i % 2 and len(base) > 1 else base + [rng.getrandbits(63)]
+        sets[2 * i], sets[2 * i + 1] = base, near
+    table = spark.createDataFrame(list(sets.items()), "h long, s array<long>")
+    marked = line_dedup._marked(spark.createDataFrame([(1, h) for h in sets], "k long, h long"), table)
+    every = line_dedup._end(marked, "a").join(line_dedup._end(marked, "b"), "k").where("a < b")
+    got = {(r.a, r.b) for r in every.where(line_dedup._possible(0.8)).select("a", "b").collect()}
+    links = {(a, b) for a in sets for b in sets if a < b and len(set(sets[a]) & set(sets[b])) >= 0.8 * len(set(sets[a]) | set(sets[b]))}
+    assert len(links) >= 40 and links <= got
+    small = {(a, b) for a, b in got if len(sets[a]) < 100}
+    assert not small - {(a, b) for a, b in small if a // 2 == b // 2}
