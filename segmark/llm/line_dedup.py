@@ -2,22 +2,22 @@
 
 A line is lower-cased and trimmed. Its shingles are ``SHINGLE`` characters long; one begins at
 each word (it may be shorter at the line's end) and one at every character of a run of more than
-eight characters without a blank, so that lines without blanks are compared at every offset. One hash per shingle serves as a one-permutation MinHash: the top five bits
-name one of 32 bins and the least hash of each bin is its signature value. Bands are bins that
-share their top bits; short lines use fewer, wider bands. Two lines of Jaccard 0.8 or more over
-their shingles share a band with a probability of about 0.96 or more.
+eight characters without a blank, so that lines without blanks are compared at every offset.
+The top bits of a shingle's hash name its band; the ``PER_BAND`` least hashes of a band are its key.
+Short lines use fewer, wider bands. Two lines of Jaccard 0.8 or more over their shingles share a band
+with a probability of about 0.96 or more.
 
 Equal lines collapse before the shuffle. In a small bucket all pairs are compared, in a larger one all
-members with a few pivots, by the exact Jaccard of their shingle sets, and union-find joins what is
-linked: linear in the buckets' members, it settles small buckets and groups of near copies. Pairs are
-first judged by their sets' sizes and bitmaps, which travel with the bucket rows and rule out most
-pairs for certain; only the rest meet their sets. Buckets that still hold several components are
-compared in full, bitmaps first, up to ``BLOCK`` lines; lines of wider ones meet on the
-rare shingles of their prefixes: two sets of Jaccard 0.8 or more share one of the first
-n - ceil(0.8 n) + 1 shingles of each in any common order. Rows of (shingle, line, place, size) meet there, large meetings in salted blocks; each
-distinct pair of different components that sizes and places allow is verified once. So every
-link between lines that share a bucket is found, none is left to chance; only pairs that share
-no bucket can be missed.
+members with a few pivots, and union-find joins what is linked: linear in the buckets' members, it
+settles small buckets and groups of near copies. Pairs are first judged by their sets' sizes and
+tallies (shingles per 32nd of the hash space), which come with the keys and rule out most pairs for
+certain; only lines of the rest are read again, compared by bitmaps and then by the exact Jaccard of
+their sets. Buckets that still hold several components are compared in full, tallies first, up to
+``BLOCK`` lines; lines of wider ones meet on the rare shingles of their prefixes: two sets of Jaccard
+0.8 or more share one of the first n - ceil(0.8 n) + 1 shingles of each in any common order. A bounded
+sample tells which shingles come last; it decides the number of meetings only. Large meetings are
+split into salted blocks. So every link between lines that share a bucket is found, none is left to
+chance; only pairs that share no bucket can be missed.
 
 The line of a component that stays is the one with the smallest (id, line number). Only
 built-in column functions are used.
@@ -29,6 +29,8 @@ replaced. Empty tables give empty results.
 """
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,16 +39,23 @@ from segmark.llm.components import connected_components
 
 SHINGLE = 9
 SIMILARITY = 0.8
-BINS_SHIFT = 59  # the top five bits of a hash: 32 bins
+BINS = 32
+BINS_SHIFT = 59  # a bin is named by the top five bits of a hash
+PER_BAND = 4  # least shingles of a band that make its key
+TALLIES = BINS // 8  # longs of a line's tallies
+TALLIED = ["size", *[f"t{i}" for i in range(TALLIES)]]
 PIVOTS = 4  # of a bucket: at most so many comparisons per member
 SMALL = 2 * PIVOTS  # lines of a bucket that are compared in full at once, as cheap as with pivots
 MARKS = 4  # longs of a line's bitmap
 BLOCK = 256  # lines of an open bucket compared in full; of one rare shingle that one salt compares with the others
+SAMPLE = 1024  # open lines whose shingles tell common from rare ones
 FILTER_BITS = 20  # of the broadcast pre-filter: at most a million small rows
 BLANK = " \t\r\x0b\x0c"
 
 # At a word's start up to SHINGLE characters, elsewhere exactly as many; short words are passed whole.
-_SHINGLES = rf"(?s)(?=(.{{{SHINGLE}}}|(?<!\S).{{1,{SHINGLE}}}+))(?:(?<!\S)\S{{1,8}}+(?!\S)|\S)\s*+"
+_WS = r" \t\n\x0B\f\r"
+_SHINGLES = (rf"(?s)(?=(.{{{SHINGLE}}}|(?<![^{_WS}]).{{1,{SHINGLE}}}+))"
+             rf"(?:(?<![^{_WS}])[^{_WS}]{{1,8}}+(?=[{_WS}]|\z)|[^{_WS}])[{_WS}]*+")
 
 
 def _normal(line: Column) -> Column:
@@ -70,67 +79,75 @@ def shingles(line: Column) -> Column:
     return F.array_distinct(_hashed(line))
 
 
-def _bin_minima(s: Column) -> Column:
-    """The least hash of each bin: in a sorted array, the one whose predecessor is in another bin."""
-    return F.filter(s, lambda x, i: (i == 0) | (F.shiftright(x, BINS_SHIFT) != F.shiftright(F.get(s, i - 1), BINS_SHIFT)))
+def _binned(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``below``: per bin the number of hashes of ``s`` (sorted) in lower ones, and at last of all.
+
+    The bin numbers, each of the 32 put in once more, are searched for the first place of each.
+    """
+    numbers = [F.lit(j) for j in range(-BINS // 2, BINS // 2)]
+    bin_of = F.transform("s", lambda x: F.shiftright(x, BINS_SHIFT).cast("int"))
+    first = F.array(*[F.array_position("bins", j).cast("int") for j in numbers])
+    below = F.concat(F.transform(first, lambda at, i: at - i - 1), F.array(F.size("s")))
+    return rows.withColumn("bins", F.sort_array(F.concat(bin_of, F.array(*numbers)))).withColumn("below", below).drop("bins")
 
 
-def _band_keys(least: Column) -> Column:
-    """Bucket keys of bin minima: one per band that has any, in one pass over the sorted array.
+def _band_keys(s: Column, below: Column) -> Column:
+    """Bucket keys of sorted distinct shingles: one per band that has any, of its ``PER_BAND`` least.
 
-    The number of filled bins picks the number of bands: 2, 4 or 8. Lines near a limit use both
+    The number of shingles picks the number of bands: 2, 4 or 8. Lines near a limit use both
     numbers, so that a similar line just beyond it shares a kind of band with them.
     """
-    longs = "array<bigint>"
-
     def bands(bits: int) -> Column:
-        top = 64 - bits
-        start = F.struct(F.lit(-100).cast("bigint").alias("b"), F.lit(0).cast("bigint").alias("v"), F.array().cast(longs).alias("out"))
-
-        def step(acc: Column, x: Column) -> Column:
-            b = F.shiftright(x, top)
-            same = acc["b"] == b
-            return F.struct(
-                b.alias("b"), F.when(same, F.xxhash64(acc["v"], x)).otherwise(F.xxhash64(F.lit(bits), x)).alias("v"),
-                F.when(same, acc["out"]).otherwise(F.concat(acc["out"], F.array(acc["v"]))).cast(longs).alias("out"))
-
-        # The first value handed on is the start's, before any band.
-        return F.aggregate(least, start, step, lambda acc: F.slice(F.concat(acc["out"], F.array(acc["v"])), 2, 64).cast(longs))
-
-    m, none = F.size(least), F.array().cast(longs)
-    return F.concat(F.when(m <= 5, bands(1)).otherwise(none), F.when((m >= 4) & (m <= 11), bands(2)).otherwise(none),
-                    F.when(m >= 8, bands(3)).otherwise(none))
+        wide = BINS >> bits
+        starts = F.array(*[F.lit(i) for i in range(0, BINS, wide)])
+        return F.transform(starts, lambda i: F.when(F.get(below, i + wide) > F.get(below, i), F.xxhash64(F.lit(bits), F.slice(
+            s, F.get(below, i) + 1, F.least(F.lit(PER_BAND), F.get(below, i + wide) - F.get(below, i))))))
+
+    m, none = F.size(s), F.array().cast("array<bigint>")
+    every = F.concat(F.when(m <= 6, bands(1)).otherwise(none), F.when((m >= 4) & (m <= 14), bands(2)).otherwise(none),
+                     F.when(m >= 9, bands(3)).otherwise(none))
+    return F.array_except(every, F.array(F.lit(None).cast("bigint")))
+
+
+def _tallies(below: Column) -> list[Column]:
+    """The number of shingles in each bin (at most 127), a byte each in ``TALLIES`` longs t0.."""
+    counts = [F.least(F.get(below, F.lit(i + 1)) - F.get(below, F.lit(i)), F.lit(127)).cast("bigint") for i in range(BINS)]
+    out = []
+    for i in range(TALLIES):
+        eight = [F.shiftleft(c, 8 * j) for j, c in enumerate(counts[8 * i:8 * i + 8])]
+        out.append(sum(eight[1:], eight[0]).alias(f"t{i}"))
+    return out
 
 
 def distinct_lines(rows: DataFrame) -> DataFrame:
-    """Per distinct normal line: h, its first place (id, row, no) and its bucket keys."""
+    """Per distinct normal line: h, its first place (id, row, no), its bucket keys, set size and tallies."""
     lines = _lines(rows)
     hashed = lines.select(
         F.xxhash64("line").alias("h"), F.hash("line").alias("h2"),
-        F.struct(F.col("id").isNull().alias("last"), "id", "row", "no").alias("place"), _hashed(F.col("line")).alias("s"))
-    minima = hashed.select("h", "h2", "place", _bin_minima(F.col("s")).alias("least"))
-    keyed = minima.select("h", "h2", "place", _band_keys(F.col("least")).alias("keys"))
-    return keyed.groupBy("h", "h2").agg(F.min("place").alias("place"), F.first("keys").alias("keys"))
+        F.struct(F.col("id").isNull().alias("last"), "id", "row", "no").alias("place"), shingles(F.col("line")).alias("s"))
+    keyed = _binned(hashed).select("h", "h2", "place", _band_keys(F.col("s"), F.col("below")).alias("keys"), F.size("s").alias("size"),
+                          *_tallies(F.col("below")))
+    return keyed.groupBy("h", "h2").agg(F.min("place").alias("place"), *[F.first(c).alias(c) for c in ["keys", *TALLIED]])
 
 
 def _shared_buckets(lines: DataFrame) -> DataFrame:
-    """(k, h) of the buckets with at least two lines."""
+    """(k, h, n) of the buckets with n > 1 lines."""
     rows = lines.select(F.explode("keys").alias("k"), "h")
-    return rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k"))).where(F.col("n") > 1).select("k", "h")
+    return rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k")).cast("int")).where(F.col("n") > 1)
 
 
 def _shingle_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, s) of the ``wanted`` lines (h, place; each h once), read again from the texts.
 
-    A broadcast of the wanted hashes' top bits, at most 2^20 of them whatever the input, drops
-    most other lines before they meet their places.
+    A broadcast of the top bits of the wanted places' hashes, at most 2^20 of them whatever the input,
+    drops most other lines before they are shuffled; only wanted lines are lower-cased and cut up.
     """
-    top = F.shiftrightunsigned("h", 64 - FILTER_BITS)
-    likely = F.broadcast(wanted.select(top.alias("top")).distinct())
-    lines = _lines(rows).select("row", "no", F.xxhash64("line").alias("h"), "line")
-    near = lines.withColumn("top", top).join(likely, "top", "left_semi").select("row", "no", "h", "line")
     at = wanted.select("h", F.col("place.row").alias("row"), F.col("place.no").alias("no"))
-    return near.join(at, ["h", "row", "no"]).select("h", shingles(F.col("line")).alias("s"))
+    top = F.shiftrightunsigned(F.xxhash64("row", "no"), 64 - FILTER_BITS)
+    likely = F.broadcast(at.select(top.alias("top")).distinct())
+    every = rows.select("row", F.posexplode(F.split("text", "\n", -1)).alias("no", "raw"))
+    near = every.withColumn("top", top).join(likely, "top", "left_semi").select("row", "no", "raw")
+    return near.join(at, ["row", "no"]).select("h", shingles(_normal(F.col("raw"))).alias("s"))
 
 
 def _may_link(na: Column, nb: Column, similarity: float) -> Column:
@@ -138,20 +155,23 @@ def _may_link(na: Column, nb: Column, similarity: float) -> Column:
     return F.least(na, nb) >= F.lit(similarity) * F.greatest(na, nb) - F.lit(1e-6)
 
 
-def _marked(buckets: DataFrame, sets: DataFrame) -> DataFrame:
-    """(k, h, n) of ``buckets`` with the line's set size and its shingles as a bitmap of ``MARKS`` longs.
+def _bitmaps(sets: DataFrame) -> DataFrame:
+    """(h, size, m0..) of ``sets``: their sizes and their shingles as a bitmap of ``MARKS`` longs.
 
-    The low bits of a shingle's hash choose its bit. n is the number of lines in the bucket.
+    The low bits of a shingle's hash choose its bit.
     """
     bits = [F.expr(f"aggregate(s, 0L, (m, x) -> if((x >> 6 & {MARKS - 1}) = {j}, m | (1L << cast(x & 63 as int)), m))").alias(f"m{j}") for j in range(MARKS)]
-    own = sets.select("h", F.size("s").alias("size"), *bits)
-    return buckets.select("k", "h").join(own, "h").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k")))
+    return sets.select("h", F.size("s").alias("size"), *bits)
 
 
-def _end(rows: DataFrame, end: str, *others: str) -> DataFrame:
-    """Bucket rows as one end of pairs."""
-    return rows.select("k", F.col("h").alias(end), F.col("size").alias(f"n{end}"), *[F.col(f"m{j}").alias(f"{end}{j}") for j in range(MARKS)],
-                       *[F.col(c).alias(f"{c}{end}") for c in others])
+def _marked(buckets: DataFrame, sets: DataFrame) -> DataFrame:
+    """(k, h) of ``buckets`` with the bitmaps of their lines."""
+    return buckets.select("k", "h").join(_bitmaps(sets), "h")
+
+
+def _end(rows: DataFrame, end: str) -> DataFrame:
+    """Marked rows as one end of pairs."""
+    return rows.select("k", F.col("h").alias(end), F.col("size").alias(f"n{end}"), *[F.col(f"m{j}").alias(f"{end}{j}") for j in range(MARKS)])
 
 
 def _possible(similarity: float) -> Column:
@@ -176,22 +196,47 @@ def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame
     return pairs.join(left, "a").join(right, "b").where(both >= F.lit(similarity) * (F.size("sa") + F.size("sb") - both)).select("a", "b")
 
 
-def _first_pairs(marked: DataFrame, similarity: float) -> DataFrame:
+def _tallied(buckets: DataFrame, described: DataFrame) -> DataFrame:
+    """(k, h, n) with the set size and tallies of each line."""
+    own = described.groupBy("h").agg(*[F.first(c).alias(c) for c in TALLIED])
+    return buckets.select("k", "h", "n").join(own, "h")
+
+
+def _side(rows: DataFrame, end: str, *others: str) -> DataFrame:
+    """Tallied rows as one end of pairs."""
+    return rows.select("k", F.col("h").alias(end), F.col("size").alias(f"n{end}"), *[F.col(f"t{i}").alias(f"{end}{i}") for i in range(TALLIES)],
+                       *[F.col(c).alias(f"{c}{end}") for c in others])
+
+
+def _plausible(similarity: float) -> Column:
+    """Sizes and tallies of the ends a and b leave the Jaccard possible.
+
+    Where two sets have i and j shingles in a bin, at least |i - j| of them are not shared.
+    """
+    def byte(end: str, i: int) -> Column:
+        return F.shiftright(F.col(f"{end}{i // 8}"), i % 8 * 8).bitwiseAND(F.lit(127))
+
+    gaps = [F.abs(byte("a", i) - byte("b", i)) for i in range(BINS)]
+    return _may_link(F.col("na"), F.col("nb"), similarity) & (
+        sum(gaps[1:], gaps[0]) <= F.lit((1 - similarity) / (1 + similarity)) * (F.col("na") + F.col("nb")) + F.lit(1e-6))
+
+
+def _first_pairs(tallied: DataFrame, similarity: float) -> DataFrame:
     """(a, b) that may link: all pairs of a bucket of at most ``SMALL`` lines, and every member of a larger
     one with each of its pivots; linear in the members."""
-    few, many = marked.where(F.col("n") <= SMALL), marked.where(F.col("n") > SMALL)
-    full = _end(few, "a").join(_end(few, "b"), "k").where((F.col("a") < F.col("b")) & _possible(similarity))
-    line = F.struct("h", "size", *[f"m{j}" for j in range(MARKS)])
+    few, many = tallied.where(F.col("n") <= SMALL), tallied.where(F.col("n") > SMALL)
+    full = _side(few, "a").join(_side(few, "b"), "k").where((F.col("a") < F.col("b")) & _plausible(similarity))
+    line = F.struct("h", *TALLIED)
     picks = [F.min_by(line, F.xxhash64("h", F.lit(i))) for i in range(PIVOTS)]
     pivots = many.groupBy("k").agg(F.array_distinct(F.array(*picks)).alias("p")).select("k", F.explode("p").alias("p")).select("k", "p.*")
-    spokes = _end(many, "a").join(_end(pivots, "b"), "k").where((F.col("a") != F.col("b")) & _possible(similarity))
+    spokes = _side(many, "a").join(_side(pivots, "b"), "k").where((F.col("a") != F.col("b")) & _plausible(similarity))
     return full.select("a", "b").unionByName(spokes.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
 
-def _open_lines(marked: DataFrame, component: DataFrame) -> DataFrame:
+def _open_lines(tallied: DataFrame, component: DataFrame) -> DataFrame:
     """Rows (with component c) of the buckets of more than ``SMALL`` lines that hold several components."""
     named = component.select(F.col("node").alias("h"), "component")
-    member = marked.where(F.col("n") > SMALL).join(named, "h", "left").withColumn("c", F.coalesce("component", "h")).drop("component")
+    member = tallied.where(F.col("n") > SMALL).join(named, "h", "left").withColumn("c", F.coalesce("component", "h")).drop("component")
     several = member.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
     return member.join(several.select("k"), "k", "left_semi")
 
@@ -199,59 +244,93 @@ def _open_lines(marked: DataFrame, component: DataFrame) -> DataFrame:
 def _bucket_pairs(opened: DataFrame, similarity: float) -> DataFrame:
     """(a, b) of different components that may link, in open buckets of at most ``BLOCK`` lines."""
     some = opened.where(F.col("n") <= BLOCK)
-    return _end(some, "a", "c").join(_end(some, "b", "c"), "k").where(
-        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _possible(similarity)).select("a", "b").distinct()
+    return _side(some, "a", "c").join(_side(some, "b", "c"), "k").where(
+        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _plausible(similarity)).select("a", "b").distinct()
+
+
+def _common_shingles(lines: DataFrame, sets: DataFrame) -> DataFrame:
+    """One row, ``often``: the shingles that several of about ``SAMPLE`` lines hold, rarer ones first.
+
+    They only order shingles: another sample gives the same links, by more or fewer meetings.
+    """
+    share = -(-lines.count() // SAMPLE)
+    some = lines.where(F.pmod(F.xxhash64("h", F.lit(share)), F.lit(max(share, 1))) == 0).join(sets, "h")
+    counts = some.select(F.explode("s").alias("x")).groupBy("x").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    most = counts.orderBy(F.desc("n"), "x").limit(4 * SAMPLE)
+    return most.agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "x"))), lambda p: p["x"]).alias("often"))
 
 
 def _meeting_pairs(opened: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """(a, b) of open lines that meet on a rare shingle and that sizes and places leave possible.
+    """(a, b) of open lines that meet on a rare shingle and that sizes, tallies and places leave possible.
 
-    The rarest shingles come first, so that a passage they all share brings none together. Only
-    (shingle, line, place, size) rows meet: at the first shared shingle no more than the shorter
-    rest can be shared beyond it.
+    A line's shingles are put in one order for all lines, common ones last, so that a passage they all
+    share brings none together; only those of its prefix become rows. At the first shared shingle no
+    more than the shorter rest can be shared beyond it.
     """
-    each = opened.join(sets, "h").select("h", "c", F.size("s").alias("size"), F.explode("s").alias("x"))
-    ranked = each.join(each.groupBy("x").agg(F.count(F.lit(1)).alias("n")), "x")
     reach = (F.col("size") - F.ceil(F.lit(similarity) * F.col("size") - F.lit(1e-6)) + 1).cast("int")
-    first = ranked.groupBy("h", "c", "size").agg(F.array_sort(F.collect_list(F.struct("n", "x"))).alias("p")).select(
-        "h", "c", "size", F.posexplode(F.slice("p", F.lit(1), reach)).alias("at", "p"))
-    # A shingle of one line takes its place in the prefix but meets nobody.
-    prefix = handover(first.where("p.n > 1").select(F.col("p.x").alias("x"), "h", "c", "size", "at"), "line-prefixes")
-    meet = prefix.groupBy("x").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("salts"), F.min("c").alias("lo"), F.max("c").alias("hi"))
-    asked = prefix.join(meet.where("lo <> hi").select("x", "salts"), "x")
-    side = lambda end, salt: asked.select("x", salt.alias("salt"), F.col("h").alias(end), F.col("c").alias(f"c{end}"),
-                                          F.col("size").alias(f"n{end}"), (F.col("size") - F.col("at")).alias(f"rest_{end}"))
-    left = side("a", F.pmod(F.xxhash64("h", "x"), F.col("salts").cast("bigint")).cast("int"))
-    right = side("b", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    common = handover(_common_shingles(opened.select("h"), sets), "line-common")
+    ordered = opened.join(sets, "h").crossJoin(F.broadcast(common)).select(
+        "h", "c", *TALLIED, F.sort_array("s").alias("s"), "often").select(
+        "h", "c", *TALLIED, F.slice(F.concat(F.array_except("s", "often"), F.array_intersect("often", "s")), F.lit(1), reach).alias("p"))
+    prefix = handover(ordered.select("h", "c", *TALLIED, F.posexplode("p").alias("at", "k")), "line-prefixes")
+    meet = prefix.groupBy("k").agg(F.ceil(F.count(F.lit(1)) / F.lit(BLOCK)).cast("int").alias("salts"), F.min("c").alias("lo"), F.max("c").alias("hi"))
+    asked = prefix.join(meet.where("lo <> hi").select("k", "salts"), "k").withColumn("rest", F.col("size") - F.col("at"))
+    left = _side(asked.withColumn("salt", F.pmod(F.xxhash64("h", "k"), F.col("salts").cast("bigint")).cast("int")), "a", "c", "rest", "salt")
+    right = _side(asked.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))), "b", "c", "rest", "salt")
     needed = F.lit(similarity / (1 + similarity)) * (F.col("na") + F.col("nb")) - F.lit(1e-6)
-    pairs = left.join(right, ["x", "salt"]).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-                                                  & _may_link(F.col("na"), F.col("nb"), similarity) & (F.least("rest_a", "rest_b") >= needed))
+    pairs = left.withColumnRenamed("salta", "salt").join(right.withColumnRenamed("saltb", "salt"), ["k", "salt"]).where(
+        (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & (F.least("resta", "restb") >= needed) & _plausible(similarity))
     out = handover(pairs.select("a", "b").distinct(), "line-pairs")
-    release(sets.sparkSession, prefix)
+    for done in (common, prefix):
+        release(sets.sparkSession, done)
+    return out
+
+
+def _links(pairs: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
+    """The written ``pairs`` (a, b) whose sets have the Jaccard; bitmaps go before the sets."""
+    spark = pairs.sparkSession
+    sets = sets_of(pairs.select(F.explode(F.array("a", "b")).alias("h")).distinct())
+    marks = _bitmaps(sets).withColumn("k", F.lit(0))
+    ends = pairs.join(_end(marks, "a").drop("k"), "a").join(_end(marks, "b").drop("k"), "b")
+    out = handover(_verified(ends.where(_possible(similarity)).select("a", "b"), sets, similarity), "line-links")
+    release(spark, sets)
     return out
 
 
 def line_components(buckets: DataFrame, sets: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
+    """(node, component) of the lines linked by a verified similarity: buckets (k, h), sets (h, s)."""
+    described = _binned(sets.select("h", F.sort_array("s").alias("s"))).select("h", F.size("s").alias("size"), *_tallies(F.col("below")))
+    counted = buckets.select("k", "h").withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k")).cast("int"))
+    tallied = handover(_tallied(counted, described), "line-tallied")
+    out = _components(tallied, lambda lines: handover(lines.join(sets, "h"), "line-shingles"), similarity)
+    release(sets.sparkSession, tallied)
+    return out
+
+
+def _components(tallied: DataFrame, sets_of: Callable[[DataFrame], DataFrame], similarity: float) -> DataFrame:
     """(node, component) of the lines linked by a verified similarity.
 
     Pairs in small buckets and pivots of larger ones come first and settle groups of near copies; lines
-    of different components that are left in a common bucket are then compared in full.
+    of different components that are left in a common bucket are then compared in full. ``sets_of``
+    writes (h, s) of the lines (h) asked for.
     """
-    spark = buckets.sparkSession
-    marked = handover(_marked(buckets, sets), "line-marked")
-    found = handover(_verified(_first_pairs(marked, similarity), sets, similarity), "line-links")
+    spark = tallied.sparkSession
+    pairs = handover(_first_pairs(tallied, similarity), "line-pairs")
+    found = _links(pairs, sets_of, similarity)
     component = connected_components(found)
-    opened = handover(_open_lines(marked, component), "line-open")
-    release(spark, marked)
+    opened = handover(_open_lines(tallied, component), "line-open")
+    release(spark, pairs)
     if not opened.isEmpty():
-        pairs, met = _bucket_pairs(opened, similarity), None
-        wide = opened.where(F.col("n") > BLOCK).select("h", "c").distinct()
+        pairs = _bucket_pairs(opened, similarity)
+        wide = opened.where(F.col("n") > BLOCK).select("h", "c", *TALLIED).distinct()
         if not wide.isEmpty():
+            sets = sets_of(wide.select("h"))
             met = _meeting_pairs(wide, sets, similarity)
+            release(spark, sets)
             pairs = pairs.unionByName(met).distinct()
-        last = handover(_verified(pairs, sets, similarity), "line-links")
-        if met is not None:
-            release(spark, met)
+        pairs = handover(pairs, "line-pairs")
+        last = _links(pairs, sets_of, similarity)
+        release(spark, pairs)
         if not last.isEmpty():
             release(spark, component)
             component = connected_components(found.unionByName(last))
@@ -265,16 +344,20 @@ def kept_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Per numbered row (id, text, row), the sorted numbers of the visible lines that stay: row, stay."""
     spark = rows.sparkSession
     every = handover(distinct_lines(rows), "lines")
-    buckets = handover(_shared_buckets(every), "line-buckets")
     lines = handover(every.select("h", "place"), "line-places")
-    release(spark, every)  # most of it are bucket keys
-    wanted = lines.join(buckets.select("h").distinct(), "h", "left_semi").groupBy("h").agg(F.min("place").alias("place"))
-    wanted = handover(wanted, "lines-wanted")
-    sets = handover(_shingle_sets(rows, wanted), "line-shingles")
-    release(spark, wanted)
-    component = line_components(buckets, sets, similarity)
-    for done in (buckets, sets):
+
+    def sets_of(asked: DataFrame) -> DataFrame:
+        wanted = handover(lines.join(asked, "h", "left_semi").groupBy("h").agg(F.min("place").alias("place")), "lines-wanted")
+        sets = handover(_shingle_sets(rows, wanted), "line-shingles")
+        release(spark, wanted)
+        return sets
+
+    buckets = handover(_shared_buckets(every), "line-buckets")
+    tallied = handover(_tallied(buckets, every), "line-tallied")
+    for done in (every, buckets):  # most of it are bucket keys
         release(spark, done)
+    component = _components(tallied, sets_of, similarity)
+    release(spark, tallied)
     root = lines.join(component.select(F.col("node").alias("h"), "component"), "h", "left")
     alone = root.where(F.col("component").isNull()).select("place")
     first = root.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("place").alias("place")).select("place")

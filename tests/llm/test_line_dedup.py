@@ -206,3 +206,53 @@ def test_bitmaps_rule_out_no_link_and_most_others(spark):
     assert len(links) >= 40 and links <= got
     small = {(a, b) for a, b in got if len(sets[a]) < 100}
     assert not small - {(a, b) for a, b in small if a // 2 == b // 2}
+
+
+def test_tallies_rule_out_no_link_and_most_others(spark):
+    """Sizes and bin tallies against exact Jaccard, for sets from one shingle to over 127 a bin."""
+    rng = random.Random(13)
+    sets = {}
+    for i in range(60):
+        base = [rng.getrandbits(64) - 2**63 for _ in range(rng.choice([1, 5, 40, 120, 400, 6000]))]
+        near = base[:-max(1, len(base) // 12)] + [rng.getrandbits(63)] if i % 2 and len(base) > 1 else base + [rng.getrandbits(63)]
+        sets[2 * i], sets[2 * i + 1] = base, near
+    table = spark.createDataFrame(list(sets.items()), "h long, s array<long>").withColumn("s", F.sort_array("s"))
+    described = line_dedup._binned(table).select("h", F.size("s").alias("size"), *line_dedup._tallies(F.col("below")))
+    tallied = line_dedup._tallied(spark.createDataFrame([(1, h, 120) for h in sets], "k long, h long, n int"), described)
+    every = line_dedup._side(tallied, "a").join(line_dedup._side(tallied, "b"), "k").where("a < b")
+    got = {(r.a, r.b) for r in every.where(line_dedup._plausible(0.8)).select("a", "b").collect()}
+    links = {(a, b) for a in sets for b in sets if a < b and len(set(sets[a]) & set(sets[b])) >= 0.8 * len(set(sets[a]) | set(sets[b]))}
+    assert len(links) >= 40 and links <= got
+    assert not {(a, b) for a, b in got if 40 <= len(sets[a]) <= 121 and a // 2 != b // 2}
+
+
+def test_only_lines_of_plausible_pairs_are_read_again(spark, monkeypatch):
+    """Lines that share a bucket by a common passage alone have no shingle set built."""
+    rng = random.Random(14)
+    passage = " ".join(sentence(rng, 12) for _ in range(1))
+    texts = [f"{sentence(rng, 14)} {passage} {sentence(rng, 14)} {i}" for i in range(120)]
+    texts += [texts[0] + " x", texts[1] + " x"]
+    asked, sets = [], line_dedup._shingle_sets
+    monkeypatch.setattr(line_dedup, "_shingle_sets", lambda rows, wanted: asked.append(wanted.count()) or sets(rows, wanted))
+    out = {r.doc_id: r.n_removed for r in dedup_lines(docs(spark, texts)).collect()}
+    assert out[120] == out[121] == 1 and sum(out.values()) == 2
+    assert sum(asked) < 30
+
+
+def test_prefixes_alone_become_rows(spark, monkeypatch):
+    """Lines of a wide bucket meet on the rare shingles of their prefixes; no other shingle makes a row."""
+    rng = random.Random(15)
+    monkeypatch.setattr(line_dedup, "BLOCK", 16)
+    lines = hot_passage(rng, None)
+    table = spark.createDataFrame(list(enumerate(lines)), "h long, line string").select("h", shingles(F.col("line")).alias("s"))
+    written, write = {}, line_dedup.handover
+
+    def spy(df, name):
+        out = write(df, name)
+        written[name] = out.count()
+        return out
+
+    monkeypatch.setattr(line_dedup, "handover", spy)
+    line_components(spark.createDataFrame([(7, i) for i in range(len(lines))], "k long, h long"), table)
+    total = table.agg(F.sum(F.size("s"))).first()[0]
+    assert 0 < written["line-prefixes"] <= 0.2 * total + 2 * len(lines)
