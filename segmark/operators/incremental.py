@@ -11,6 +11,11 @@ that the manifest has passed is skipped, so a repeated micro-batch counts once.
 than ``rows_per_bucket`` rows on average, the next load deals all rows into as many buckets as hold
 half of that: a bucket's size does not grow with the history, and each row is moved a bounded number of
 times on average.
+
+Up to ``FOLDERS`` buckets have a folder each. More of them share folders, sorted by bucket, so that files
+follow the rows and not the buckets; a row then names its bucket and version, and rows whose bucket has
+moved on to a later version are left out when the folder is read. Such a folder goes when none of its
+buckets counts any more.
 """
 from __future__ import annotations
 
@@ -18,22 +23,30 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 from segmark.operators import features as feat
 from segmark.sinks import writers
 
 BUCKETS = 16
 ROWS_PER_BUCKET = 2_000_000
+FOLDERS = 64  # so many buckets have folders of their own, whatever their size
+FOLDER_ROWS = 1_000_000  # of more buckets, those that share a folder hold about so many rows
+PART, VERSION = "_part", "_version"  # bucket and version of a row in a shared folder
 PLACE = [feat.P, feat.S, feat.CITY]
 
 
 @dataclass(frozen=True)
 class Manifest:
-    """The last load and, per bucket, the version that holds its rows and how many there are."""
+    """The last load and, per bucket, the version that holds its rows, how many there are, and its folder."""
 
     load: int
     versions: tuple[int, ...]
     rows: tuple[int, ...]
+    folders: int
+
+    def folder(self, bucket: int) -> int:
+        return bucket % self.folders
 
     @property
     def buckets(self) -> int:
@@ -55,18 +68,29 @@ def read_manifest(spark: SparkSession, root: str) -> Manifest | None:
     if not done:
         return None
     rows = spark.read.parquet(_at(root, "manifest", f"load={max(done)}")).orderBy("bucket").collect()  # one row a bucket
-    return Manifest(max(done), tuple(r["version"] for r in rows), tuple(r["n_rows"] for r in rows))
+    # A manifest without folders is from before buckets shared any.
+    folders = rows[0]["folders"] if "folders" in rows[0] else len(rows)
+    return Manifest(max(done), tuple(r["version"] for r in rows), tuple(r["n_rows"] for r in rows), folders)
 
 
 def _paths(root: str, kind: str, manifest: Manifest, buckets: list[int]) -> list[str]:
-    return [_at(root, kind, f"version={manifest.versions[b]}", f"bucket={b}") for b in buckets if manifest.rows[b]]
+    places = dict.fromkeys((manifest.versions[b], manifest.folder(b)) for b in buckets if manifest.rows[b])
+    return [_at(root, kind, f"version={v}", f"bucket={f}") for v, f in places]
 
 
 def read_buckets(spark: SparkSession, root: str, kind: str, manifest: Manifest, buckets: list[int], schema) -> DataFrame:
-    """Rows of ``kind`` ('places' or 'persons') in the given buckets; no other file is listed or read."""
-    reader = spark.read.schema(schema)
+    """Rows of ``kind`` ('places' or 'persons') in the given buckets; no folder of others is listed or read."""
     paths = _paths(root, kind, manifest, buckets)
-    return reader.parquet(*paths) if paths else spark.createDataFrame([], schema)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    if manifest.folders == manifest.buckets:
+        return spark.read.schema(schema).parquet(*paths)
+    named = StructType([*schema.fields, StructField(PART, IntegerType()), StructField(VERSION, IntegerType())])
+    rows = spark.read.schema(named).parquet(*paths)
+    if len(buckets) <= FOLDERS:  # skips pages of the sorted files
+        rows = rows.where(F.col(PART).isin(buckets))
+    live = spark.createDataFrame([(b, manifest.versions[b]) for b in buckets], f"{PART} int, {VERSION} int")  # one row a bucket
+    return rows.join(F.broadcast(live), [PART, VERSION], "left_semi").select(*schema.names)
 
 
 def _merged(places: DataFrame) -> DataFrame:
@@ -78,6 +102,21 @@ def _bucket_of(n: int):
     return F.pmod(F.xxhash64(feat.P), F.lit(n)).cast("int")
 
 
+def _folders(n: int, rows: int) -> int:
+    """Folders of ``n`` buckets that hold so many rows in all."""
+    return min(n, max(FOLDERS, rows // FOLDER_ROWS))
+
+
+def _write_buckets(df: DataFrame, path: str, n: int, folders: int, load: int) -> None:
+    """Write ``df`` dealt into ``n`` buckets, a partition per folder."""
+    if folders == n:
+        writers.write_table(df.withColumn("bucket", _bucket_of(n)), path, partition_by=["bucket"])
+        return
+    named = df.withColumn(PART, _bucket_of(n)).withColumn(VERSION, F.lit(load)).withColumn("bucket", F.col(PART) % folders)
+    sorted_rows = named.hint("rebalance", "bucket").sortWithinPartitions("bucket", PART)
+    writers.write_table(sorted_rows, path, partition_by=["bucket"], rebalance=False)
+
+
 def merge_load(spark: SparkSession, root: str, staged: DataFrame, load: int, buckets: int = BUCKETS,
                rows_per_bucket: int = ROWS_PER_BUCKET) -> list[int]:
     """Merge the staged orders of load number ``load`` (rising, from 0); returns the buckets rewritten.
@@ -91,28 +130,30 @@ def merge_load(spark: SparkSession, root: str, staged: DataFrame, load: int, buc
     writers.write_table(feat.place_counts(staged), fresh_path)
     fresh = spark.read.parquet(fresh_path)
     n = old.buckets if old else buckets
+    folders = old.folders if old else _folders(n, fresh.count())
     touched = sorted(r[0] for r in fresh.select(_bucket_of(n)).distinct().collect())  # at most one number a bucket
     if old and sum(old.rows) > rows_per_bucket * n:
         n = -(-2 * sum(old.rows) // rows_per_bucket)
+        folders = _folders(n, sum(old.rows))
         touched, read = list(range(n)), list(range(old.buckets))
     else:
         read = touched
     before = read_buckets(spark, root, "places", old, read, fresh.schema) if old else spark.createDataFrame([], fresh.schema)
-    places = _merged(before.unionByName(fresh)).withColumn("bucket", _bucket_of(n))
+    places = _merged(before.unionByName(fresh))
     new = _at(root, "places", f"version={load}")
-    writers.write_table(places, new, partition_by=["bucket"])
+    _write_buckets(places, new, n, folders, load)
     placed = spark.read.schema(places.schema).parquet(new)
-    writers.write_table(feat.person_level(placed.drop("bucket")).withColumn("bucket", _bucket_of(n)), _at(root, "persons", f"version={load}"), partition_by=["bucket"])
+    _write_buckets(feat.person_level(placed), _at(root, "persons", f"version={load}"), n, folders, load)
     counts = fresh.groupBy(feat.S).agg(F.sum("cnt").alias("state_orders"))
     if old:
         counts = counts.unionByName(spark.read.schema(counts.schema).parquet(_at(root, "states", f"version={old.load}"))).groupBy(feat.S).agg(
             F.sum("state_orders").alias("state_orders"))
     writers.write_table(counts.coalesce(1), _at(root, "states", f"version={load}"))
-    size = {r["bucket"]: r["count"] for r in placed.groupBy("bucket").count().collect()}  # one row a bucket
+    size = {r["bucket"]: r["count"] for r in placed.groupBy(_bucket_of(n).alias("bucket")).count().collect()}  # one row a bucket
     same = old if old and n == old.buckets else None
-    rows = [(b, load, size.get(b, 0)) if b in size or same is None else (b, same.versions[b], same.rows[b]) for b in range(n)]
+    rows = [(b, load, size.get(b, 0), folders) if b in size or same is None else (b, same.versions[b], same.rows[b], folders) for b in range(n)]
     # The manifest's _SUCCESS file is the commit of the load.
-    manifest = spark.createDataFrame(rows, "bucket int, version int, n_rows long").coalesce(1)
+    manifest = spark.createDataFrame(rows, "bucket int, version int, n_rows long, folders int").coalesce(1)
     writers.write_table(manifest, _at(root, "manifest", f"load={load}"))
     writers.remove(spark, fresh_path)
     return touched
@@ -126,7 +167,7 @@ def current_features(spark: SparkSession, root: str) -> DataFrame:
     every = list(range(manifest.buckets))
     if not sum(manifest.rows):
         raise ValueError(f"the loads merged into {root} had no orders")
-    schema = spark.read.parquet(_paths(root, "persons", manifest, every)[0]).schema
+    schema = spark.read.parquet(_paths(root, "persons", manifest, every)[0]).drop(PART, VERSION).schema
     persons = read_buckets(spark, root, "persons", manifest, every, schema)
     states = spark.read.parquet(_at(root, "states", f"version={manifest.load}"))
     return feat.feature_rows(persons, feat.described_states(states))
@@ -140,7 +181,7 @@ def drop_old_versions(spark: SparkSession, root: str) -> int:
     manifest = read_manifest(spark, root)
     if manifest is None:
         return 0
-    live = {(v, b) for b, v in enumerate(manifest.versions)}
+    live = {(v, manifest.folder(b)) for b, v in enumerate(manifest.versions)}
     gone = 0
     fs_path = spark._jvm.org.apache.hadoop.fs.Path
     for kind in ("places", "persons"):

@@ -75,3 +75,24 @@ def test_a_load_reads_the_buckets_of_its_persons_only(spark, tmp_dir, monkeypatc
 def test_nothing_merged(spark, tmp_dir):
     with pytest.raises(ValueError, match="no load"):
         inc.current_features(spark, os.path.join(tmp_dir, "none"))
+
+
+def test_many_buckets_share_folders(spark, tmp_dir, monkeypatch):
+    monkeypatch.setattr(inc, "FOLDERS", 4)
+    rng = random.Random(5)
+    every = orders(rng, 300)
+    inc.merge_load(spark, tmp_dir, stage_orders(raw(spark, every[:200])), 0, buckets=3, rows_per_bucket=10)
+    inc.merge_load(spark, tmp_dir, stage_orders(raw(spark, every[200:])), 1, buckets=3, rows_per_bucket=10)
+    manifest = inc.read_manifest(spark, tmp_dir)
+    assert manifest.buckets > 8 and manifest.folders == 4
+    for kind in ("places", "persons"):
+        assert len([f for f in os.listdir(os.path.join(tmp_dir, kind, "version=1")) if f.startswith("bucket=")]) == 4
+    assert rows(inc.current_features(spark, tmp_dir)) == rows(customer_features(stage_orders(raw(spark, every))))
+    # Loads of one person: rows of other buckets in its folder stay, its own older ones no longer count.
+    for load in (2, 3):
+        every.append((f"z{load}", "p007", "1", "serra", "SP"))
+        seen = inc.merge_load(spark, tmp_dir, stage_orders(raw(spark, every[-1:])), load, rows_per_bucket=1000)
+        assert len(seen) == 1
+        assert rows(inc.current_features(spark, tmp_dir)) == rows(customer_features(stage_orders(raw(spark, every))))
+    assert inc.drop_old_versions(spark, tmp_dir) > 0
+    assert rows(inc.current_features(spark, tmp_dir)) == rows(customer_features(stage_orders(raw(spark, every))))
