@@ -58,6 +58,8 @@ def clustered(
 
 #: Values of a key that decide its split points, at most.
 SPLIT_SAMPLE = 4096
+#: So many split points are compared one by one.
+FEW_SPLITS = 16
 
 
 def _splits(df: DataFrame, key: str, bits: int) -> list:
@@ -76,13 +78,16 @@ def interleaved_key(df: DataFrame, keys: Sequence[str], bits: int = 8) -> Column
     out = F.lit(0).cast("long")
     for place, key in enumerate(keys):
         splits = _splits(df, key, bits)
-        spot = F.lit(0)
-        if splits:
-            points, value = F.array(*[F.lit(v).cast(df.schema[key].dataType) for v in splits]), F.col(key)
-            spot = F.when(value.isNull(), 0).otherwise(F.size(F.filter(points, lambda p: p <= value)))  # noqa: B023
-        for bit in range(bits):
-            one = F.shiftright(spot, bit).bitwiseAND(F.lit(1)).cast("long")
-            out = out.bitwiseOR(F.shiftleft(one, bit * len(keys) + len(keys) - 1 - place))
+        if not splits:
+            continue
+        points, value = [F.lit(v).cast(df.schema[key].dataType) for v in splits], F.col(key)
+        if len(points) <= FEW_SPLITS:  # plain comparisons, which Spark compiles; a lambda it does not
+            below = sum(((p <= value).cast("int") for p in points[1:]), (points[0] <= value).cast("int"))
+        else:
+            below = F.size(F.filter(F.array(*points), lambda p: p <= value))  # noqa: B023
+        # A row's position is worked out once; its bits come spread out already.
+        spread = [sum((at >> bit & 1) << (bit * len(keys) + len(keys) - 1 - place) for bit in range(bits)) for at in range(len(points) + 1)]
+        out = out.bitwiseOR(F.when(value.isNull(), 0).otherwise(F.get(F.array(*[F.lit(v).cast("long") for v in spread]), below)))
     return out
 
 

@@ -199,3 +199,12 @@ def test_interleaving_many_values(spark):
     assert len(few) == 32 and all(200 < r.n < 1600 for r in few) and all(x[3] < y[2] for x, y in zip(few, few[1:]))
     empty = rows.where("false")
     assert writers.interleaved(empty, ["a", "b"]).count() == 0
+
+
+def test_interleaved_key_works_out_each_position_once(spark):
+    rows = spark.range(200).select((F.col("id") % 40).alias("a"), F.when(F.col("id") % 7 > 0, (F.col("id") % 6).cast("string")).alias("b"))
+    keyed = rows.select("a", "b", writers.interleaved_key(rows, ["a", "b"]).alias("z"))
+    assert keyed._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction") <= 1
+    for r in keyed.collect():
+        places = [r["a"], 0 if r["b"] is None else int(r["b"])]
+        assert r["z"] == sum((at >> bit & 1) << (2 * bit + 1 - i) for bit in range(8) for i, at in enumerate(places))
