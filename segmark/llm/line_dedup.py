@@ -136,17 +136,24 @@ def _shared_buckets(lines: DataFrame) -> DataFrame:
     return rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("k")).cast("int")).where(F.col("n") > 1)
 
 
+def _likely(rows: DataFrame, wanted: DataFrame, *key: str, how: str = "left_semi") -> DataFrame:
+    """``rows`` whose key may be in ``wanted``, or with ``left_anti`` those whose key is not, unshuffled.
+
+    A broadcast of the top bits of the wanted keys' hashes, at most 2^20 of them whatever the input, tells
+    them apart: every wanted row is likely, and few others are while the wanted keys are fewer than those bits.
+    """
+    top = F.shiftrightunsigned(F.xxhash64(*key), 64 - FILTER_BITS)
+    return rows.withColumn("top", top).join(F.broadcast(wanted.select(top.alias("top")).distinct()), "top", how).drop("top")
+
+
 def _shingle_sets(rows: DataFrame, wanted: DataFrame) -> DataFrame:
     """(h, s) of the ``wanted`` lines (h, place; each h once), read again from the texts.
 
-    A broadcast of the top bits of the wanted places' hashes, at most 2^20 of them whatever the input,
-    drops most other lines before they are shuffled; only wanted lines are lower-cased and cut up.
+    Most other lines go before the shuffle; only wanted lines are lower-cased and cut up.
     """
     at = wanted.select("h", F.col("place.row").alias("row"), F.col("place.no").alias("no"))
-    top = F.shiftrightunsigned(F.xxhash64("row", "no"), 64 - FILTER_BITS)
-    likely = F.broadcast(at.select(top.alias("top")).distinct())
     every = rows.select("row", F.posexplode(F.split("text", "\n", -1)).alias("no", "raw"))
-    near = every.withColumn("top", top).join(likely, "top", "left_semi").select("row", "no", "raw")
+    near = _likely(every, at, "row", "no")
     return near.join(at, ["row", "no"]).select("h", shingles(_normal(F.col("raw"))).alias("s"))
 
 
@@ -347,9 +354,11 @@ def kept_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     lines = handover(every.select("h", "place"), "line-places")
 
     def sets_of(asked: DataFrame) -> DataFrame:
-        wanted = handover(lines.join(asked, "h", "left_semi").groupBy("h").agg(F.min("place").alias("place")), "lines-wanted")
+        asked = handover(asked, "lines-asked")
+        wanted = handover(_likely(lines, asked, "h").join(asked, "h", "left_semi").groupBy("h").agg(F.min("place").alias("place")), "lines-wanted")
         sets = handover(_shingle_sets(rows, wanted), "line-shingles")
-        release(spark, wanted)
+        for done in (asked, wanted):
+            release(spark, done)
         return sets
 
     buckets = handover(_shared_buckets(every), "line-buckets")
@@ -358,8 +367,9 @@ def kept_lines(rows: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         release(spark, done)
     component = _components(tallied, sets_of, similarity)
     release(spark, tallied)
-    root = lines.join(component.select(F.col("node").alias("h"), "component"), "h", "left")
-    alone = root.where(F.col("component").isNull()).select("place")
+    linked = component.select(F.col("node").alias("h"), "component")
+    root = _likely(lines, linked, "h").join(linked, "h", "left")
+    alone = _likely(lines, linked, "h", how="left_anti").select("place").unionByName(root.where(F.col("component").isNull()).select("place"))
     first = root.where(F.col("component").isNotNull()).groupBy("component").agg(F.min("place").alias("place")).select("place")
     stay = alone.unionByName(first).groupBy(F.col("place.row").alias("row")).agg(F.array_sort(F.collect_set("place.no")).alias("stay"))
     out = handover(stay, "lines-kept")
@@ -373,15 +383,24 @@ def dedup_lines(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
     given = without(df, {"n_lines", "n_removed"} - {text_col.lower(), id_col.lower()})
     # The other columns travel in one struct, so none can clash with a name used here.
     others = F.struct(F.lit(0).alias("none"), *[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(given.columns) if c != text_col])
+    visible = F.size(F.filter(F.split(F.col(text_col), "\n", -1), lambda x: F.btrim(x, F.lit(BLANK)) != ""))
     rows = handover(given.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), others.alias("given"),
-                                 F.monotonically_increasing_id().alias("row")), "line-rows")
+                                 F.monotonically_increasing_id().alias("row"), F.coalesce(visible, F.lit(0)).alias("visible")), "line-rows")
     stay = kept_lines(rows.select("id", "text", "row"), similarity)
-    joined = rows.join(stay, "row", "left").withColumn("lines", F.split("text", "\n", -1))
+    less = F.coalesce(F.size("stay"), F.lit(0)) < F.col("visible")
+    cut = handover(rows.select("row", "visible").join(stay, "row", "left").where(less).select("row", "stay"), "lines-cut")
+
+    def given_columns(text: Column) -> list[Column]:
+        return [text.alias(c) if c == text_col else F.col(f"given.c{i}").alias(c) for i, c in enumerate(given.columns)]
+
+    n = F.when(F.col("text").isNull(), 0).otherwise(F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0)))
+    # Texts that lose no line are not shuffled, but for a few.
+    whole = _likely(rows, cut, "row", how="left_anti").select(
+        *given_columns(F.col("text")), n.cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_removed"))
+    joined = _likely(rows, cut, "row").join(cut.withColumn("cut", F.lit(True)), "row", "left").withColumn("lines", F.split("text", "\n", -1))
     blank = F.filter(F.transform("lines", lambda x, i: F.when(F.btrim(x, F.lit(BLANK)) == "", i)), lambda i: i.isNotNull())
-    numbers = F.array_union(F.coalesce("stay", F.array().cast("array<int>")), blank)
-    joined = joined.withColumn("n", F.when(F.col("text").isNull(), 0).otherwise(F.coalesce(F.size("lines"), F.lit(0)))).withColumn(
-        "at", F.filter(F.array_sort(numbers), lambda i: i < F.col("n")))
-    removed = F.when(F.col("n") > 0, F.col("n") - F.size("at")).otherwise(0)
-    text = F.when(removed > 0, F.array_join(F.transform("at", lambda i: F.get("lines", i)), "\n")).otherwise(F.col("text"))
-    kept = [text.alias(c) if c == text_col else F.col(f"given.c{i}").alias(c) for i, c in enumerate(given.columns)]
-    return joined.select(*kept, F.col("n").cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"))
+    numbers = F.array_sort(F.array_union(F.coalesce("stay", F.array().cast("array<int>")), blank))
+    joined = joined.withColumn("n", n).withColumn("at", F.when(F.col("cut"), numbers))
+    removed = F.when(F.col("cut"), F.col("n") - F.size("at")).otherwise(0)
+    text = F.when(F.col("cut"), F.array_join(F.transform("at", lambda i: F.get("lines", i)), "\n")).otherwise(F.col("text"))
+    return whole.unionByName(joined.select(*given_columns(text), F.col("n").cast("long").alias("n_lines"), removed.cast("long").alias("n_removed")))

@@ -256,3 +256,19 @@ def test_prefixes_alone_become_rows(spark, monkeypatch):
     line_components(spark.createDataFrame([(7, i) for i in range(len(lines))], "k long, h long"), table)
     total = table.agg(F.sum(F.size("s"))).first()[0]
     assert 0 < written["line-prefixes"] <= 0.2 * total + 2 * len(lines)
+
+
+def test_only_texts_that_lose_lines_meet_the_lines_that_stay(spark, monkeypatch):
+    written = {}
+    real = line_dedup.handover
+    monkeypatch.setattr(line_dedup, "handover", lambda df, name: written.setdefault(name, real(df, name)))
+    rng = random.Random(11)
+    texts = [sentence(rng, 14) + "\n\n" + sentence(rng, 12) for _ in range(30)]
+    texts += [None, "", " \n", texts[3] + "\n" + sentence(rng, 13), texts[4], texts[5].upper() + "\n"]
+    out = dedup_lines(docs(spark, texts))
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in out.collect()}
+    assert [got[i][0] for i in range(len(texts))] == brute(texts)[0]
+    assert sorted(i for i in got if got[i][1]) == [33, 34, 35]
+    assert written["lines-cut"].count() == 3
+    # The texts that lose nothing come from a branch without a shuffle.
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 1
