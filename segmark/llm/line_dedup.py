@@ -52,10 +52,9 @@ SAMPLE = 1024  # open lines whose shingles tell common from rare ones
 FILTER_BITS = 20  # of the broadcast pre-filter: at most a million small rows
 BLANK = " \t\r\x0b\x0c"
 
-# At a word's start up to SHINGLE characters, elsewhere exactly as many; short words are passed whole.
-_WS = r" \t\n\x0B\f\r"
-_SHINGLES = (rf"(?s)(?=(.{{{SHINGLE}}}|(?<![^{_WS}]).{{1,{SHINGLE}}}+))"
-             rf"(?:(?<![^{_WS}])[^{_WS}]{{1,8}}+(?=[{_WS}]|\z)|[^{_WS}])[{_WS}]*+")
+# At a word's start up to SHINGLE characters, elsewhere exactly as many; short words are passed whole. The last
+# word is not, but no shingle begins inside it.
+_SHINGLES = rf"(?s)(?=(.{{{SHINGLE}}}|(?<!\S).{{1,{SHINGLE}}}+))(?:(?<!\S)\S{{1,{SHINGLE - 1}}}+\s++|\S\s*+)"
 
 
 def _normal(line: Column) -> Column:
@@ -82,13 +81,12 @@ def shingles(line: Column) -> Column:
 def _binned(rows: DataFrame) -> DataFrame:
     """``rows`` with ``below``: per bin the number of hashes of ``s`` (sorted) in lower ones, and at last of all.
 
-    The bin numbers, each of the 32 put in once more, are searched for the first place of each.
+    The least hash of each of the 32 bins is put in once more, and its first place is searched for.
     """
-    numbers = [F.lit(j) for j in range(-BINS // 2, BINS // 2)]
-    bin_of = F.transform("s", lambda x: F.shiftright(x, BINS_SHIFT).cast("int"))
-    first = F.array(*[F.array_position("bins", j).cast("int") for j in numbers])
-    below = F.concat(F.transform(first, lambda at, i: at - i - 1), F.array(F.size("s")))
-    return rows.withColumn("bins", F.sort_array(F.concat(bin_of, F.array(*numbers)))).withColumn("below", below).drop("bins")
+    least = [F.lit((j - BINS // 2) << BINS_SHIFT).cast("bigint") for j in range(BINS)]
+    first = [(F.array_position("bins", x) - F.lit(j + 1)).cast("int") for j, x in enumerate(least)]
+    marked = rows.withColumn("bins", F.sort_array(F.concat("s", F.array(*least))))
+    return marked.withColumn("below", F.concat(F.array(*first), F.array(F.size("s")))).drop("bins")
 
 
 def _band_keys(s: Column, below: Column) -> Column:

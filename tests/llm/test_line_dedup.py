@@ -272,3 +272,38 @@ def test_only_texts_that_lose_lines_meet_the_lines_that_stay(spark, monkeypatch)
     assert written["lines-cut"].count() == 3
     # The texts that lose nothing come from a branch without a shuffle.
     assert out._jdf.queryExecution().optimizedPlan().toString().count("LeftAnti") == 1
+
+
+def test_bins_of_hashes_at_their_limits_and_by_no_lambda(spark):
+    """Counts below each bin by their definition; no element of a set passes an interpreted function."""
+    rng = random.Random(16)
+    least = [(j - 16) << 59 for j in range(32)]
+    sets = [[], least, [x - 1 for x in least[1:]] + [2**63 - 1], sorted({rng.getrandbits(64) - 2**63 for _ in range(300)}), [-2**63], [-1, 0, 1]]
+    table = spark.createDataFrame(list(enumerate(sets)), "h long, s array<long>")
+    binned = line_dedup._binned(table)
+    got = {r.h: list(r.below) for r in binned.collect()}
+    assert got == {h: [sum(x < low for x in s) for low in least] + [len(s)] for h, s in enumerate(sets)}
+    assert binned.columns == ["h", "s", "below"] and "lambda" not in binned._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_short_words_are_passed_whole_with_any_blanks_between(spark):
+    rng = random.Random(17)
+    lines = ["a  b", "ab \t cd\x0b", "abcdefgh", "abcdefghi j", "\x85abc de\u00a0fgh ij", "a\x0cb", "  lead"]
+    lines += ["".join(rng.choice("ab\t\x0b\x0c\r \u00a0") for _ in range(rng.randint(1, 60))) for _ in range(300)]
+
+    def starts(line):
+        """Shingles by position: at each start of a run, and at each character of a run of more than eight."""
+        out = set()
+        for run in re.finditer(r"[^ \t\n\x0b\x0c\r]+", line):
+            out.add(line[run.start():run.start() + 9])
+            if len(run.group()) > 8:
+                out |= {line[i:i + 9] for i in range(run.start(), run.end()) if i + 9 <= len(line)}
+        return out
+
+    df = spark.createDataFrame(list(enumerate(lines)), "i int, line string")
+    got = {r.i: sorted(r.s) for r in df.select("i", shingles(F.col("line")).alias("s")).collect()}
+    flat = spark.createDataFrame([(i, x) for i, t in enumerate(lines) for x in starts(t)], "i int, x string")
+    want = {i: [] for i in range(len(lines))}
+    for r in flat.select("i", F.xxhash64("x").alias("h")).collect():
+        want[r.i].append(r.h)
+    assert got == {i: sorted(x) for i, x in want.items()}
