@@ -1,7 +1,8 @@
 """Distributed union-find: connected components by randomised contraction of an edge table.
 
 Each round every node hooks onto the neighbour with the smallest hash, if smaller than its
-own, edges are relabelled and deduplicated, and about half of the remaining nodes go. Rounds
+own, edges are relabelled and deduplicated, and about half of the remaining nodes go. Two rounds
+share their hashes: in the second, what is left of a star hooks onto its smallest node at once. Rounds
 are written tables in the shared folder; nothing but a count reaches the driver.
 """
 from __future__ import annotations
@@ -32,7 +33,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     current = handover(_simple(edges.where(F.col("a").isNotNull() & F.col("b").isNotNull())), "cc-edges")
     first, rounds = current, []
     while not current.isEmpty():
-        seed = F.lit(len(rounds) + 1)
+        seed = F.lit(len(rounds) // 2 + 1)
         both = current.select(F.col("a").alias("node"), F.col("b").alias("next")).union(
             current.select(F.col("b").alias("node"), F.col("a").alias("next")))
         best = both.groupBy("node").agg(

@@ -45,6 +45,8 @@ PER_BAND = 4  # least shingles of a band that make its key
 TALLIES = BINS // 8  # longs of a line's tallies
 TALLIED = ["size", *[f"t{i}" for i in range(TALLIES)]]
 PIVOTS = 4  # of a bucket: at most so many comparisons per member
+# Of a long: its even bytes, and a one above each of them, which a subtraction byte by byte may borrow.
+EVEN, BORROW = 0x00FF00FF00FF00FF, 0x0100010001000100
 SMALL = 2 * PIVOTS  # lines of a bucket that are compared in full at once, as cheap as with pivots
 MARKS = 4  # longs of a line's bitmap
 BLOCK = 256  # lines of an open bucket compared in full; of one rare shingle that one salt compares with the others
@@ -54,7 +56,7 @@ BLANK = " \t\r\x0b\x0c"
 
 # At a word's start up to SHINGLE characters, elsewhere exactly as many; short words are passed whole. The last
 # word is not, but no shingle begins inside it.
-_SHINGLES = rf"(?s)(?=(.{{{SHINGLE}}}|(?<!\S).{{1,{SHINGLE}}}+))(?:(?<!\S)\S{{1,{SHINGLE - 1}}}+\s++|\S\s*+)"
+_SHINGLES = rf"(?s)(?=({'.' * SHINGLE}|(?<!\S).{{1,{SHINGLE - 1}}}))(?:(?<!\S)\S{{1,{SHINGLE - 1}}}+\s++|\S\s*+)"
 
 
 def _normal(line: Column) -> Column:
@@ -81,30 +83,35 @@ def shingles(line: Column) -> Column:
 def _binned(rows: DataFrame) -> DataFrame:
     """``rows`` with ``below``: per bin the number of hashes of ``s`` (sorted) in lower ones, and at last of all.
 
-    The least hash of each of the 32 bins is put in once more, and its first place is searched for.
+    The least hash of each of the 32 bins is put in once more, and its first place is searched for, in the
+    half of the hashes it belongs to.
     """
-    least = [F.lit((j - BINS // 2) << BINS_SHIFT).cast("bigint") for j in range(BINS)]
-    first = [(F.array_position("bins", x) - F.lit(j + 1)).cast("int") for j, x in enumerate(least)]
+    half = BINS // 2
+    least = [F.lit((j - half) << BINS_SHIFT).cast("bigint") for j in range(BINS)]
     marked = rows.withColumn("bins", F.sort_array(F.concat("s", F.array(*least))))
-    return marked.withColumn("below", F.concat(F.array(*first), F.array(F.size("s")))).drop("bins")
+    marked = marked.withColumn("to", F.array_position("bins", least[half]).cast("int"))
+    marked = marked.withColumns({"low": F.slice("bins", F.lit(1), F.col("to")), "high": F.slice("bins", F.col("to"), F.size("bins"))})
+    first = [F.array_position("low" if j < half else "high", x) - F.lit(j + 1) for j, x in enumerate(least)]
+    low, high = F.array(*first[:half]), F.array(*[F.col("to") - F.lit(1) + x for x in first[half:]])
+    return marked.select(*rows.columns, F.concat(low, high, F.array(F.size("s").cast("bigint"))).cast("array<int>").alias("below"))
 
 
 def _band_keys(s: Column, below: Column) -> Column:
     """Bucket keys of sorted distinct shingles: one per band that has any, of its ``PER_BAND`` least.
 
     The number of shingles picks the number of bands: 2, 4 or 8. Lines near a limit use both
-    numbers, so that a similar line just beyond it shares a kind of band with them.
+    numbers, so that a similar line just beyond it shares a kind of band with them. The lambda, over
+    a null alone, keeps the rest out of whole-stage code, whose one method would be too long for the JIT compiler.
     """
     def bands(bits: int) -> Column:
-        wide = BINS >> bits
-        starts = F.array(*[F.lit(i) for i in range(0, BINS, wide)])
-        return F.transform(starts, lambda i: F.when(F.get(below, i + wide) > F.get(below, i), F.xxhash64(F.lit(bits), F.slice(
-            s, F.get(below, i) + 1, F.least(F.lit(PER_BAND), F.get(below, i + wide) - F.get(below, i))))))
+        wide, at = BINS >> bits, lambda i: F.get(below, F.lit(i))
+        return F.array(*[F.when(at(i + wide) > at(i), F.xxhash64(F.lit(bits), F.slice(
+            s, at(i) + 1, F.least(F.lit(PER_BAND), at(i + wide) - at(i))))) for i in range(0, BINS, wide)])
 
     m, none = F.size(s), F.array().cast("array<bigint>")
     every = F.concat(F.when(m <= 6, bands(1)).otherwise(none), F.when((m >= 4) & (m <= 14), bands(2)).otherwise(none),
                      F.when(m >= 9, bands(3)).otherwise(none))
-    return F.array_except(every, F.array(F.lit(None).cast("bigint")))
+    return F.array_except(every, F.transform(F.array(F.when(m < 0, m).cast("bigint")), lambda x: x))
 
 
 def _tallies(below: Column) -> list[Column]:
@@ -208,22 +215,31 @@ def _tallied(buckets: DataFrame, described: DataFrame) -> DataFrame:
 
 
 def _side(rows: DataFrame, end: str, *others: str) -> DataFrame:
-    """Tallied rows as one end of pairs."""
-    return rows.select("k", F.col("h").alias(end), F.col("size").alias(f"n{end}"), *[F.col(f"t{i}").alias(f"{end}{i}") for i in range(TALLIES)],
+    """Tallied rows as one end of pairs; sizes and tallies are known never to be null, which shortens the code that compares them."""
+    tallied = {f"n{end}": F.coalesce("size", F.lit(0))} | {f"{end}{i}": F.coalesce(f"t{i}", F.lit(0).cast("bigint")) for i in range(TALLIES)}
+    return rows.select("k", F.col("h").alias(end), *[x.alias(c) for c, x in tallied.items()],
                        *[F.col(c).alias(f"{c}{end}") for c in others])
 
 
 def _plausible(similarity: float) -> Column:
     """Sizes and tallies of the ends a and b leave the Jaccard possible.
 
-    Where two sets have i and j shingles in a bin, at least |i - j| of them are not shared.
+    Where a has i and b has j < i shingles in a bin, at least i - j of a are not shared; as many of b are not
+    shared then as of a, and those that b has more in all. Four bins are compared at once, in every other byte
+    of a long; with a comparison a bin, the method that joins the rows is too long for the JIT compiler.
     """
-    def byte(end: str, i: int) -> Column:
-        return F.shiftright(F.col(f"{end}{i // 8}"), i % 8 * 8).bitwiseAND(F.lit(127))
+    def bins(end: str, i: int) -> Column:
+        return F.shiftrightunsigned(F.col(f"{end}{i // 2}"), i % 2 * 8).bitwiseAND(F.lit(EVEN))
 
-    gaps = [F.abs(byte("a", i) - byte("b", i)) for i in range(BINS)]
+    def more(i: int) -> Column:
+        less = bins("a", i).bitwiseOR(F.lit(BORROW)) - bins("b", i)
+        kept = less.bitwiseAND(F.lit(BORROW))  # a one where nothing was borrowed
+        return less.bitwiseAND(kept - F.shiftrightunsigned(kept, 8))
+
+    every = [more(i) for i in range(2 * TALLIES)]
+    alone = sum(every[1:], every[0]) % F.lit(0xFFFF)  # the sum of its four parts
     return _may_link(F.col("na"), F.col("nb"), similarity) & (
-        sum(gaps[1:], gaps[0]) <= F.lit((1 - similarity) / (1 + similarity)) * (F.col("na") + F.col("nb")) + F.lit(1e-6))
+        2 * alone - F.col("na") + F.col("nb") <= F.lit((1 - similarity) / (1 + similarity)) * (F.col("na") + F.col("nb")) + F.lit(1e-6))
 
 
 def _first_pairs(tallied: DataFrame, similarity: float) -> DataFrame:

@@ -307,3 +307,40 @@ def test_short_words_are_passed_whole_with_any_blanks_between(spark):
     for r in flat.select("i", F.xxhash64("x").alias("h")).collect():
         want[r.i].append(r.h)
     assert got == {i: sorted(x) for i, x in want.items()}
+
+
+def method_bytes(spark, df):
+    """The longest method of each piece of whole-stage code in the plan."""
+    debug = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$")
+    return [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", debug.codegenString(df._jdf.queryExecution().executedPlan()))]
+
+
+def test_methods_that_compare_and_cut_lines_are_compiled(spark):
+    """HotSpot interprets methods of more than 8,000 bytes for ever, however often they run."""
+    conf = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        tallied = spark.createDataFrame([], ", ".join(["k long", "h long", "n int", "c long", "size int", *[f"t{i} long" for i in range(line_dedup.TALLIES)]]))
+        rows = spark.createDataFrame([], "id long, text string, row long")
+        for df in (line_dedup._bucket_pairs(tallied, 0.8), line_dedup._first_pairs(tallied, 0.8), line_dedup.distinct_lines(rows)):
+            sizes = method_bytes(spark, df)
+            assert sizes and max(sizes) < 8000
+        # Nothing but a single null passes a lambda, so the keys are compiled and not interpreted.
+        keys = rows.select(line_dedup._band_keys(F.array("id"), F.array("row")).alias("keys"))
+        assert keys._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction(") == 1
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_stars_contract_in_two_rounds(spark, monkeypatch):
+    from segmark.llm import components
+
+    names, write = [], components.handover
+    monkeypatch.setattr(components, "handover", lambda df, name: names.append(name) or write(df, name))
+    edges = spark.createDataFrame([(1000 * s, 1000 * s + i) for s in range(30) for i in range(1, 300)], "a long, b long")
+    got = components.connected_components(edges).collect()
+    assert {(r.node, r.component) for r in got} == {(1000 * s + i, 1000 * s) for s in range(30) for i in range(300)}
+    assert names.count("cc-moved") == 2
