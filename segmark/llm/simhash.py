@@ -36,6 +36,8 @@ SEED = 42
 RADIUS = 2
 ROUTE_BITS = 16
 MAX_VARIANTS = 2_000_000
+LANE = (1 << 16) - 1  # the largest count in a lane of 16 bits
+LANES = np.uint64(0x0001000100010001)  # a one in each of four lanes
 
 
 def fingerprints(block: Block) -> np.ndarray:
@@ -59,14 +61,17 @@ def fingerprints(block: Block) -> np.ndarray:
     view, digest = memoryview(joined.tobytes()), xxhash.xxh64_intdigest
     h = np.fromiter((digest(view[i:j], SEED) for i, j in zip(begin[at].tolist(), (begin[last] + length[last]).tolist(), strict=True)),
                     np.uint64, int(base[-1]))
-    step = 1 << 16
+    step = LANE  # so many can be counted in a lane
     ones = np.zeros((len(docs), 64), np.int64)
-    for i in range(0, len(h), step):  # unpacked bits of a slice of shingles at a time
-        bits = np.unpackbits(h[i:i + step].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1)
+    for i in range(0, len(h), step):
+        part = h[i:i + step]
         lo = int(np.searchsorted(base, i, "right")) - 1
         hi = int(np.searchsorted(base, min(i + step, len(h)), "left"))
         cuts = np.maximum(base[lo:hi] - i, 0)
-        ones[lo:hi] += np.add.reduceat(bits, cuts, axis=0, dtype=np.int64)
+        for bit in range(16):  # and the three that lie 16, 32 and 48 above it
+            lanes = np.add.reduceat((part >> np.uint64(bit)) & LANES, cuts)
+            for up in range(0, 64, 16):
+                ones[lo:hi, 63 - bit - up] += ((lanes >> np.uint64(up)) & np.uint64(LANE)).astype(np.int64)
     majority = np.packbits(2 * ones > n[:, None], axis=1)
     out[docs] = majority.view(">u8").reshape(-1).astype(np.uint64)
     return out

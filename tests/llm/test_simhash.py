@@ -51,6 +51,14 @@ def test_fingerprints_equal_brute_force():
     assert [int(x) for x in got] == [brute_print(t) for t in texts]
 
 
+def test_bits_are_counted_without_a_row_of_64_each(monkeypatch):
+    """Also where a text has more equal shingles than one count of 16 bits holds."""
+    monkeypatch.setattr(simhash.np, "unpackbits", None)
+    rng = random.Random(20)
+    texts = ["a " * 70_000, " ".join(rng.choice("abcdef") for _ in range(66_000)), "", "a b", *(sentence(rng, 30) for _ in range(40))]
+    assert fingerprints(block_of(pa.array(texts))).tolist() == [brute_print(t) for t in texts]
+
+
 def _rows(points):
     masks = np.array(simhash._route_masks(), np.uint64)
     route = ((points & np.uint64((1 << simhash.ROUTE_BITS) - 1))[:, None] ^ masks).ravel()
